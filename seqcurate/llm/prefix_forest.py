@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .blocks import search, usable
 
 #: Trees, bits of a hash string, and the share of a shard's vectors (and the least number) that a query looks at.
-TREES, BITS, SHARE, LEAST = 12, 24, 0.35, 400
+TREES, BITS, SHARE, LEAST = 48, 24, 0.4, 1200
 
 
 class PrefixForest:
@@ -32,24 +32,27 @@ class PrefixForest:
     def codes(self, matrix: np.ndarray, tree: int) -> np.ndarray:
         return ((matrix - self.center) @ self.planes[tree] > 0) @ self.weights
 
-    def candidates(self, codes: np.ndarray, wanted: int) -> np.ndarray:
-        """codes: a query's string in every tree. Descends to the longest prefixes, then ascends in all trees at once, a bit at a
-        time, until `wanted` different vectors are met; the last level is taken whole."""
+    def spans(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each query, tree and number of low bits left out: where the vectors with the same prefix begin and end."""
+        low = np.arange(self.bits + 1, dtype=np.int64)
+        begin = np.empty((len(queries), len(self.rows), self.bits + 1), np.int32)
+        end = np.empty_like(begin)
+        for t, codes in enumerate(self.sorted):
+            first = (self.codes(queries, t)[:, None] >> low) << low
+            begin[:, t] = np.searchsorted(codes, first.ravel()).reshape(first.shape)
+            end[:, t] = np.searchsorted(codes, (first + (np.int64(1) << low)).ravel()).reshape(first.shape)
+        return begin, end
+
+    def candidates(self, begin: np.ndarray, end: np.ndarray, wanted: int) -> np.ndarray:
+        """begin, end: the spans of one query. Descends to the longest prefixes, then ascends in all trees at once, a bit at a
+        time, until `wanted` different vectors are met; the last level is taken whole. Levels whose spans together are
+        too few to hold that many are passed at once."""
         seen = np.zeros(len(self.matrix), bool)
-        span = [(0, 0)] * len(codes)
-        for depth in range(self.bits, -1, -1):
-            low_bits = self.bits - depth
-            for t, code in enumerate(codes):
-                first = (int(code) >> low_bits) << low_bits
-                a, b = np.searchsorted(self.sorted[t], (first, first + (1 << low_bits)))
-                old = span[t]
-                if old[0] == old[1]:
-                    seen[self.rows[t][a:b]] = True
-                else:
-                    seen[self.rows[t][a : old[0]]] = True
-                    seen[self.rows[t][old[1] : b]] = True
-                span[t] = (a, b)
-            if sum(b - a for a, b in span) >= wanted and int(seen.sum()) >= wanted:
+        enough = np.flatnonzero((end - begin).sum(0) >= wanted)
+        for level in range(int(enough[0]) if len(enough) else self.bits, self.bits + 1):
+            for t, (a, b) in enumerate(zip(begin[:, level].tolist(), end[:, level].tolist(), strict=True)):
+                seen[self.rows[t][a:b]] = True
+            if np.count_nonzero(seen) >= wanted:
                 break
         return np.flatnonzero(seen)
 
@@ -64,11 +67,11 @@ def inner(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 def _within(ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
     forest = PrefixForest(matrix)
-    codes = np.stack([forest.codes(queries, t) for t in range(TREES)], 1)
+    begin, end = forest.spans(queries)
     wanted = max(LEAST, k + 1, int(SHARE * len(ids)))
     place, found, value = [], [], []
     for j, q in enumerate(queries):
-        near = forest.candidates(codes[j], wanted)
+        near = forest.candidates(begin[j], end[j], wanted)
         near = near[ids[near] != query_ids[j]]
         rough = matrix[near] @ q
         if len(near) > k:
