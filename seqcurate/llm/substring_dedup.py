@@ -9,7 +9,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import mix, pieces, rolling, sliding, utf8, words
 
@@ -67,10 +66,6 @@ def factors(repeated: np.ndarray, window: int) -> list[tuple[int, int]]:
     return [(int(place[a]), int(place[b]) + window) for a, b in zip(first, last, strict=True)]
 
 
-def _arrow(kinds: str) -> dict:
-    return {"long": pa.int64(), "int": pa.int32()}[kinds]
-
-
 def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35, anchor: int = ANCHOR) -> DataFrame:
     """docs with the text cut, and n_words, n_removed (longs), spans array<struct<start,end>> (words) and kept_sha256 string.
 
@@ -79,72 +74,77 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35, anchor
     joined by one space. A null text stays null, and counts as no words, like an empty one. Repeated rows repeat each other, so they lose all windows. Other columns stay, whatever
     their names, except those four and any that begin with `__rlz_`. An empty table gives an empty result.
 
-    The reference is the whole corpus, indexed in blocks: the shuffle partitions that its anchors, and then its windows, are hashed to. (1) Anchors, a fourteenth of the
-    places, are counted, map-side first. Only windows around an anchor that recurs can recur. (2) Each text gets its recurring anchors. (3) The windows around them are looked up in the
-    index, which tells those that stand alone: where a factor ends and the next begins. (4) Each text is parsed greedily into its longest factors; those of at least `window` words are
-    removed. Windows agree if 96 bits of hashes of their words do."""
+    Texts that are equal are one, with a weight, from the start. The reference is the whole corpus, indexed in blocks: the shuffle partitions that its anchors,
+    and then its windows, are hashed to. (1) Anchors, a fourteenth of the places, are counted, map-side first. Only windows around an anchor that recurs can recur. (2) Each text gets
+    its recurring anchors. (3) The windows around them are looked up in the index, which tells those that stand alone: where a factor ends and the next begins. (4) Each text is
+    parsed greedily into its longest factors; those of at least `window` words are removed. Texts agree if 128 bits of hashes do, windows if 96 bits of hashes of their words do."""
     docs = docs.drop("n_words", "n_removed", "spans", "kept_sha256")
-    keyed = docs.withColumn("__rlz_key", F.xxhash64(*[F.col(c) for c in docs.columns if c in ("doc_id", text)], F.length(text)))
+    key = ["__rlz_1", "__rlz_2"]
+    keyed = docs.withColumn(key[0], F.xxhash64(text)).withColumn(key[1], F.xxhash64(F.lit(42), text, F.length(text)))
+    texts = keyed.where(F.col(text).isNotNull()).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.first(text).alias("text"))
 
     def anchors(counted: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in pieces(batch, text, 2 << 20):
-                    doc, h = Parsed(part.column(text), window, anchor).anchors()
+                for part in pieces(batch, "text", 2 << 20):
+                    doc, h = Parsed(part.column("text"), window, anchor).anchors()
+                    copies = part.column("n").to_numpy()[doc]
+                    order = np.lexsort((h, doc))
+                    doc, h, copies = doc[order], h[order], copies[order]
+                    new = np.ones(len(h), bool)
+                    new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
                     if counted:
-                        h, n = np.unique(h, return_counts=True)
+                        h, where = np.unique(h, return_inverse=True)
+                        n = np.bincount(where, np.minimum(copies, 2), len(h))
                         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int32))], names=["h", "n"])
                     else:
-                        order = np.lexsort((h, doc))
-                        doc, h = doc[order], h[order]
-                        new = np.ones(len(h), bool)
-                        new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
-                        key = part.column("__rlz_key").to_numpy()
-                        yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), pa.array(key[doc[new]])], names=["h", "__rlz_key"])
+                        own = [pa.array(part.column(k).to_numpy()[doc[new]]) for k in key]
+                        yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), *own], names=["h", *key])
 
         return run
 
-    source = keyed.select("__rlz_key", text)
-    recurring = source.mapInArrow(anchors(True), "h long, n int").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-    held = source.mapInArrow(anchors(False), "h long, __rlz_key long").join(recurring, "h", "left_semi").groupBy("__rlz_key").agg(F.collect_set("h").alias("__rlz_anchors"))
-    joined = keyed.join(held, "__rlz_key", "left")
+    recurring = texts.mapInArrow(anchors(True), "h long, n int").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
+    held = texts.mapInArrow(anchors(False), f"h long, {key[0]} long, {key[1]} long").join(recurring, "h", "left_semi").groupBy(*key).agg(F.collect_set("h").alias("anchors"))
+    joined = texts.join(held, key, "left")
 
     def lists(column: pa.Array) -> list[np.ndarray]:
         return [np.asarray(x.values, np.int64).view(np.uint64) if x.is_valid else np.zeros(0, np.uint64) for x in column]
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, text, 1 << 20):
-                p = Parsed(part.column(text), window, anchor)
-                at = np.flatnonzero(p.shared(lists(part.column("__rlz_anchors"))))
+            for part in pieces(batch, "text", 1 << 20):
+                p = Parsed(part.column("text"), window, anchor)
+                at = np.flatnonzero(p.shared(lists(part.column("anchors"))))
                 if len(at):
                     one, two = p.fingerprints()
-                    key = part.column("__rlz_key").to_numpy()[p.doc[at]]
-                    yield pa.RecordBatch.from_arrays([pa.array(one[at]), pa.array(two[at]), pa.array(key), pa.array((at - p.edge[p.doc[at]]).astype(np.int32))], names=["w", "c", "__rlz_key", "at"])
-
-    found = joined.where(F.col("__rlz_anchors").isNotNull()).select("__rlz_key", text, "__rlz_anchors").mapInArrow(windows, "w long, c int, __rlz_key long, at int")
-    alone = found.groupBy("w", "c").agg(F.count(F.lit(1)).alias("n"), F.min("__rlz_key").alias("__rlz_key"), F.min("at").alias("at")).where("n = 1")
-    alone = alone.groupBy("__rlz_key").agg(F.collect_list("at").alias("__rlz_alone"))
-    schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string("n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_sha256 string").fields])
+                    doc = p.doc[at]
+                    own = [pa.array(part.column(k).to_numpy()[doc]) for k in key]
+                    copies = np.minimum(part.column("n").to_numpy()[doc], 2).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(one[at]), pa.array(two[at]), pa.array(copies), *own, pa.array((at - p.edge[doc]).astype(np.int32))], names=["w", "c", "n", *key, "at"])
+
+    found = joined.where(F.col("anchors").isNotNull()).mapInArrow(windows, f"w long, c int, n int, {key[0]} long, {key[1]} long, at int")
+    alone = found.groupBy("w", "c").agg(F.sum("n").alias("n"), *(F.min(k).alias(k) for k in key), F.min("at").alias("at")).where("n = 1")
+    alone = alone.groupBy(*key).agg(F.collect_list("at").alias("alone"))
     spans_kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    place = docs.columns.index(text)
+    names = [*key, "cut", "n_words", "n_removed", "spans", "kept_sha256"]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, text, 1 << 20):
-                p = Parsed(part.column(text), window, anchor)
-                known = lists(part.column("__rlz_anchors"))
+            for part in pieces(batch, "text", 1 << 20):
+                p = Parsed(part.column("text"), window, anchor)
+                known = lists(part.column("anchors"))
                 repeated = p.shared(known) if any(map(len, known)) else np.zeros(len(p.least), bool)
                 raw, out = p.data.tobytes(), ([], [], [], [], [])
-                for i, (value, alone_at) in enumerate(zip(part.column(text), part.column("__rlz_alone"), strict=True)):
+                for i, alone_at in enumerate(part.column("alone")):
                     a, b = p.edge[i], p.edge[i + 1]
                     own = repeated[a : max(a, b - window + 1)]
                     if len(own) and alone_at.is_valid:
                         own[np.asarray(alone_at.values, np.int64)] = False
                     spans = factors(own, window)
                     body = raw[p.at[i] : p.at[i + 1]]
+                    kept = body.split()
                     if spans:
-                        tokens, begin, cut, kept, parts = body.split(), 0, 0, [], []
+                        tokens, begin, cut, kept, parts = kept, 0, 0, [], []
                         for s, e in spans:
                             kept += tokens[begin:s]
                             parts.append(raw[p.at[i] + cut : p.start[a + s]])
@@ -152,14 +152,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35, anchor
                         kept += tokens[begin:]
                         parts.append(raw[p.at[i] + cut : p.at[i + 1]])
                         body = b"".join(parts)
-                    else:
-                        kept = body.split()
-                    row = (body.decode() if value.is_valid else None, b - a, sum(e - s for s, e in spans), [{"start": s, "end": e} for s, e in spans], hashlib.sha256(b" ".join(kept)).hexdigest())
+                    row = (body.decode(), b - a, sum(e - s for s, e in spans), [{"start": s, "end": e} for s, e in spans], hashlib.sha256(b" ".join(kept)).hexdigest())
                     for column, x in zip(out, row, strict=True):
                         column.append(x)
                 new = [pa.array(x, k) for x, k in zip(out, (pa.string(), pa.int64(), pa.int64(), spans_kind, pa.string()), strict=True)]
-                columns = part.columns[: len(schema) - 4]
-                columns[place] = new[0]
-                yield pa.RecordBatch.from_arrays([*columns, *new[1:]], names=schema.names)
-
-    return joined.join(alone, "__rlz_key", "left").select(*docs.columns, "__rlz_anchors", "__rlz_alone").mapInArrow(parse, schema)
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in key), *new], names=names)
+
+    parsed = joined.join(alone, key, "left").select(*key, "text", "anchors", "alone").mapInArrow(parse, f"{key[0]} long, {key[1]} long, cut string, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_sha256 string")
+    rest = [c for c in docs.columns if c != text]
+    back = keyed.select(*rest, *key, F.col(text).isNull().alias("__rlz_null")).join(parsed, key, "left")
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    new = {"n_words": F.coalesce("n_words", F.lit(0)), "n_removed": F.coalesce("n_removed", F.lit(0)), "spans": F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")), "kept_sha256": F.coalesce("kept_sha256", none)}
+    columns = [F.when(~F.col("__rlz_null"), F.col("cut")).alias(text) if c == text else F.col(c) for c in docs.columns]
+    return back.select(*columns, *(v.alias(k) for k, v in new.items()))
