@@ -13,7 +13,10 @@ from .common import cut, mix, pieces, rolling, utf8, words
 from .components import components
 
 #: Trees of the forest, minima that every region of a tree shares at least, and a region's size up to which all neighbours are candidates.
-TREES, DEPTH, REGION = 16, 4, 32
+TREES, DEPTH, REGION = 24, 6, 16
+#: What a large region leaves open is settled for documents that lie in so many large ones; a pair shares fewer than that once in a thousand,
+#: and then all of them must be large.
+OFTEN = 3
 _MINIMA = TREES * DEPTH
 _rng = np.random.default_rng(20240229)
 _FACTORS = _rng.integers(0, 1 << 31, _MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -62,9 +65,9 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                     f1.append(mix(s + np.uint64(1)).sum(dtype=np.uint64))
                     f2.append(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
                     m = minima(s).astype(np.uint64)
-                    four = mix(rolling(m, DEPTH, _BASE)[::DEPTH] + np.arange(TREES, dtype=np.uint64))
-                    heads.append(four.view(np.int64))
-                    tails.append(np.roll(four, -1).view(np.int64))
+                    six = mix(rolling(m, DEPTH, _BASE)[::DEPTH] + np.arange(TREES, dtype=np.uint64))
+                    heads.append(six.view(np.int64))
+                    tails.append(np.roll(six, -1).view(np.int64))
                 if not n:
                     continue
                 flat = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(x)), TREES).cast(pa.list_(pa.int64()))
@@ -73,38 +76,26 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, heads array<long>, tails array<long>")
 
 
-def _within(region: DataFrame, key: str) -> DataFrame:
-    """Candidates of regions of up to REGION documents: all their neighbours in the sorted order."""
-    left = region.select(key, F.col("rep").alias("a"), F.col("n").alias("na"))
-    right = region.select(key, F.col("rep").alias("b"), F.col("n").alias("nb"))
-    return left.join(right, key).where("a < b").select("a", "b", "na", "nb")
+def _fits(percent: int):
+    return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
 
 
 def candidates(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """reps: (rep, n, copies, heads, tails). Returns candidate pairs (a, b) and the members (key, rep, n) of regions that are not covered by them.
+    """reps: (rep, n, copies, heads, tails). Returns candidate pairs (a, b) and the members (head, tail, rep, n) of large regions.
 
     In each tree the documents stand sorted by their minima; those with the same first DEPTH minima make a region. In a region of up to REGION
-    all are each other's neighbours. In a larger one the depth doubles, and so do the smaller regions in it; besides, each member is a neighbour of the region's hub, the
-    document with most exact copies, at both depths. Pairs whose sizes alone exclude the similarity are left out."""
+    all are each other's neighbours. In a larger one each is first a neighbour of the region's hub only, the document with most
+    exact copies; the rest is settled afterwards (see rest). Pairs whose sizes alone exclude the similarity are left out."""
     tree = F.explode(F.arrays_zip("heads", "tails")).alias("t")
     rows = reps.select("rep", "n", "copies", tree).select("rep", "n", "copies", F.col("t.heads").alias("head"), F.col("t.tails").alias("tail"))
     hub = F.max(F.struct("copies", (-F.col("rep")).alias("other"), "n"))
     regions = rows.groupBy("head").agg(F.count(F.lit(1)).alias("m"), hub.alias("hub")).where("m > 1")
-    rows = cut(rows.join(regions, "head").select("head", "tail", "rep", "n", "copies", "m", (-F.col("hub.other")).alias("hub"), F.col("hub.n").alias("hub_n")))
-    near = [_within(rows.where(F.col("m") <= REGION), "head")]
-    large = rows.where(F.col("m") > REGION)
-    deep = large.withColumn("key", F.xxhash64("head", "tail"))
-    inner = deep.groupBy("key").agg(F.count(F.lit(1)).alias("im"), hub.alias("ihub")).where("im > 1")
-    deep = deep.join(inner, "key")
-    near.append(_within(deep.where(F.col("im") <= REGION), "key"))
-    star = lambda df, h, hn: df.where(F.col("rep") != h).select(F.least("rep", h).alias("a"), F.greatest("rep", h).alias("b"), F.when(F.col("rep") < h, F.col("n")).otherwise(hn).alias("na"), F.when(F.col("rep") < h, hn).otherwise(F.col("n")).alias("nb"))
-    near.append(star(large, F.col("hub"), F.col("hub_n")))
-    near.append(star(deep.where(F.col("im") > REGION), -F.col("ihub.other"), F.col("ihub.n")))
-    pairs = near[0]
-    for x in near[1:]:
-        pairs = pairs.unionByName(x)
-    fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    return pairs.where(fits).select("a", "b").distinct(), large.select(F.col("head").alias("key"), "rep", "n")
+    rows = cut(rows.join(regions, "head").select("head", "tail", "rep", "n", "m", (-F.col("hub.other")).alias("hub"), F.col("hub.n").alias("hub_n")))
+    small, large = rows.where(F.col("m") <= REGION), rows.where(F.col("m") > REGION)
+    left, right = small.select("head", F.col("rep").alias("a"), F.col("n").alias("na")), small.select("head", F.col("rep").alias("b"), F.col("n").alias("nb"))
+    near = left.join(right, "head").where((F.col("a") < F.col("b")) & _fits(percent)).select("a", "b")
+    star = large.where(F.col("rep") != F.col("hub")).select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"), F.col("n").alias("na"), F.col("hub_n").alias("nb")).where(_fits(percent)).select("a", "b")
+    return near.unionByName(star).distinct(), large.select("head", "tail", "rep", "n")
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataFrame:
@@ -142,8 +133,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     link nothing. An empty table gives an empty result.
 
     Documents with equal sets are one class from the start, found by a fingerprint of 128 bits and a pre-aggregated minimum, however many they are. The smallest id
-    of each goes into the forest (see candidates), and pairs are confirmed on full sets. A pair at 85 % shares no region of 16 trees once in 130,000.
-    What a large region's neighbours leave open is then settled: of its documents, those outside its largest component are compared with all of the region that are not in theirs."""
+    of each goes into the forest (see candidates), and pairs are confirmed on full sets. A pair at 85 % shares no region of 24 trees once in 85,000.
+    What the hubs of large regions leave open is then settled (see rest), once. A document whose boilerplate puts it into a large region or two has its near-duplicates in smaller regions of other trees."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     known = rows.where(F.col("doc_id").isNotNull())
     sets = cut(_sets(known, k))
@@ -155,9 +146,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = cut(confirm(texts, pairs, percent, k))
     found = components(links)
     if not large.isEmpty():
-        rest = cut(_rest(large, found, pairs, percent))
-        if not rest.isEmpty():
-            found = components(links.unionByName(confirm(texts, rest, percent, k)))
+        more = cut(rest(large, found, pairs, percent))
+        if not more.isEmpty():
+            found = components(links.unionByName(confirm(texts, more, percent, k)))
     member = classes.select("f1", "f2", "n", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", "n", F.coalesce("component", "rep").alias("component"))
     out = sets.select("doc_id", "n", "f1", "f2").join(member, ["f1", "f2", "n"], "left")
     component = F.coalesce("component", "doc_id")
@@ -169,13 +160,21 @@ def _repeats(sets: DataFrame) -> bool:
     return not sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
 
 
-def _rest(large: DataFrame, found: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a large region that no component holds together, but for those of two members of its largest one."""
-    rows = large.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("m", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key", F.col("main.component").alias("main"))
-    rows = rows.join(main, "key")
-    outside = rows.where("component <> main").select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    pairs = outside.join(rows.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), "main"), "key").where("ca <> cb and (a < b or cb = main)")
-    pairs = pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
+def rest(large: DataFrame, found: DataFrame, done: DataFrame, percent: int) -> DataFrame:
+    """Pairs of large regions that no component holds together so far.
+
+    The depth doubles: in the regions of twice the depth, up to REGION, all are neighbours. And of the documents that lie in OFTEN large regions or more,
+    those outside the largest component of a region are neighbours of all in it, but for the two's own component."""
+    rows = cut(large.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("head", "tail", "rep", "n", F.coalesce("component", "rep").alias("component")))
+    deep = rows.withColumn("head", F.xxhash64("head", "tail"))
+    deep = deep.join(deep.groupBy("head").agg(F.count(F.lit(1)).alias("m"), F.countDistinct("component").alias("parts")).where((F.col("m") <= REGION) & (F.col("parts") > 1)), "head")
+    side = lambda df, x, *more: df.select("head", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("component").alias(f"c{x}"), *more)
+    one = side(deep, "a").join(side(deep, "b"), "head").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits(percent)).select("a", "b")
+    often = rows.groupBy("rep").agg(F.count(F.lit(1)).alias("regions")).where(F.col("regions") >= OFTEN).select("rep")
+    sizes = rows.groupBy("head", "component").agg(F.count(F.lit(1)).alias("m"))
+    main = sizes.groupBy("head").agg(F.max(F.struct("m", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("head", F.col("main.component").alias("main"))
+    rows = rows.join(often, "rep", "left_semi").join(main, "head")
+    outside = side(rows.where("component <> main"), "a")
+    two = outside.join(side(rows, "b", "main"), "head").where((F.col("ca") != F.col("cb")) & ((F.col("a") < F.col("b")) | (F.col("cb") == F.col("main"))) & _fits(percent))
+    two = two.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return one.unionByName(two).distinct().join(done, ["a", "b"], "left_anti")

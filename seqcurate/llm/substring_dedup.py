@@ -158,7 +158,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35, anchor
                 new = [pa.array(x, k) for x, k in zip(out, (pa.string(), pa.int64(), pa.int64(), spans_kind, pa.string()), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in key), *new], names=names)
 
-    parsed = joined.join(alone, key, "left").select(*key, "text", "anchors", "alone").mapInArrow(parse, f"{key[0]} long, {key[1]} long, cut string, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_sha256 string")
+    # n stays, so that both uses of `texts` are one plan and share its exchange
+    parsed = joined.join(alone, key, "left").select(*key, "n", "text", "anchors", "alone").mapInArrow(parse, f"{key[0]} long, {key[1]} long, cut string, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_sha256 string")
     rest = [c for c in docs.columns if c != text]
     back = keyed.select(*rest, *key, F.col(text).isNull().alias("__rlz_null")).join(parsed, key, "left")
     none = F.sha2(F.lit("").cast("binary"), 256)
