@@ -90,6 +90,7 @@ def cube_sample(units: DataFrame, seed: int = 0) -> DataFrame:
         per = rest.where("p > 0 and p < 1").groupBy("source_no").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
         dealt = rest.join(per, "source_no", "left").withColumn("block", F.pmod(F.xxhash64(F.lit(seed + round_), "unit"), F.coalesce("blocks", F.lit(1))))
         dealt = dealt.withColumn("order", F.xxhash64(F.lit(seed + 101 + round_), "unit")).withColumn("draw", _uniform(seed + 201 + round_, "unit"))
+        dealt = dealt.repartition("source_no", "block")  # or the join's partitions by source would serve, one task for a source
         flown = cut(dealt.groupBy("source_no", "block").applyInPandas(_fly_block, "unit long, source_no long, size long, p double"))
         open_ = flown.where("p > 0 and p < 1")
         most = per.agg(F.max("blocks")).first()[0] or 1
