@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, mix, pieces, rolling, utf8, words
@@ -14,9 +14,8 @@ from .components import components
 
 #: Trees of the forest, minima that every region of a tree shares at least, and a region's size up to which all neighbours are candidates.
 TREES, DEPTH, REGION = 24, 6, 16
-#: What a large region leaves open is settled for documents that lie in so many large ones. Others have regions of other trees: a pair at 85 % shares nine
-#: of 24 on average, and lies in fewer than OFTEN large ones only, and in no region of twice the depth, once in 50,000.
-OFTEN = 8
+#: Pairs that a rare difference (see settle) may make at once; beyond it, its documents are first compared with one of them.
+BUCKET = 1024
 _MINIMA = TREES * DEPTH
 _rng = np.random.default_rng(20240229)
 _FACTORS = _rng.integers(0, 1 << 31, _MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -53,13 +52,12 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """docs: (doc_id, text). Adds n, the fingerprint (f1, f2) of the set, and for each tree the hash of its first DEPTH minima and one of the DEPTH that
-    follow them in the tree's order."""
+    """docs: (doc_id, text). Adds n, the fingerprint (f1, f2) of the set, and for each tree the hash of its first DEPTH minima."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text", 2 << 20):
-                n, f1, f2, heads, tails = [], [], [], [], []
+                n, f1, f2, heads = [], [], [], []
                 for s in shingle_sets(*utf8(part.column("text")), k):
                     n.append(len(s))
                     f1.append(mix(s + np.uint64(1)).sum(dtype=np.uint64))
@@ -67,13 +65,12 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                     m = minima(s).astype(np.uint64)
                     six = mix(rolling(m, DEPTH, _BASE)[::DEPTH] + np.arange(TREES, dtype=np.uint64))
                     heads.append(six.view(np.int64))
-                    tails.append(np.roll(six, -1).view(np.int64))
                 if not n:
                     continue
                 flat = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(x)), TREES).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.array(f1, np.uint64).view(np.int64)), pa.array(np.array(f2, np.uint64).view(np.int64)), flat(heads), flat(tails)], names=["doc_id", "n", "f1", "f2", "heads", "tails"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.array(f1, np.uint64).view(np.int64)), pa.array(np.array(f2, np.uint64).view(np.int64)), flat(heads)], names=["doc_id", "n", "f1", "f2", "heads"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, heads array<long>, tails array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, heads array<long>")
 
 
 def _fits(percent: int):
@@ -81,33 +78,36 @@ def _fits(percent: int):
 
 
 def candidates(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """reps: (rep, n, copies, heads, tails). Returns candidate pairs (a, b) and the members (head, tail, rep, n) of large regions.
+    """reps: (rep, n, copies, heads). Returns candidate pairs (a, b) and the members (hub, hub_n, rep, n) of large regions, but for the hubs.
 
     In each tree the documents stand sorted by their minima; those with the same first DEPTH minima make a region. In a region of up to REGION
     all are each other's neighbours. In a larger one each is first a neighbour of the region's hub only, the document with most
-    exact copies; the rest is settled afterwards (see rest). Pairs whose sizes alone exclude the similarity are left out."""
-    tree = F.explode(F.arrays_zip("heads", "tails")).alias("t")
-    rows = reps.select("rep", "n", "copies", tree).select("rep", "n", "copies", F.col("t.heads").alias("head"), F.col("t.tails").alias("tail"))
+    exact copies; the rest is settled afterwards (see settle). Pairs whose sizes alone exclude the similarity are left out."""
+    rows = reps.select("rep", "n", "copies", F.explode("heads").alias("head"))
     hub = F.max(F.struct("copies", (-F.col("rep")).alias("other"), "n"))
     regions = rows.groupBy("head").agg(F.count(F.lit(1)).alias("m"), hub.alias("hub")).where("m > 1")
-    rows = cut(rows.join(regions, "head").select("head", "tail", "rep", "n", "m", (-F.col("hub.other")).alias("hub"), F.col("hub.n").alias("hub_n")))
+    rows = cut(rows.join(regions, "head").select("head", "rep", "n", "m", (-F.col("hub.other")).alias("hub"), F.col("hub.n").alias("hub_n")))
     small, large = rows.where(F.col("m") <= REGION), rows.where(F.col("m") > REGION)
     left, right = small.select("head", F.col("rep").alias("a"), F.col("n").alias("na")), small.select("head", F.col("rep").alias("b"), F.col("n").alias("nb"))
     near = left.join(right, "head").where((F.col("a") < F.col("b")) & _fits(percent)).select("a", "b")
     star = large.where(F.col("rep") != F.col("hub")).select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"), F.col("n").alias("na"), F.col("hub_n").alias("nb")).where(_fits(percent)).select("a", "b")
-    return near.unionByName(star).distinct(), large.select("head", "tail", "rep", "n")
+    return near.unionByName(star).distinct(), large.where(F.col("rep") != F.col("hub")).select("hub", "hub_n", "rep", "n").distinct()
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataFrame:
-    """The pairs (a, b) with 100 * |A and B| >= percent * |A or B|, counted on the full sets. docs: (doc_id, text), one row for each id."""
-    asked = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _binary_sets(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(doc_id, s): the shingle hashes of the documents asked for, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text", 2 << 20):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(*utf8(part.column("text")), k)], pa.binary())], names=["doc_id", "s"])
 
-    sets = docs.join(asked, "doc_id", "left_semi").mapInArrow(run, "doc_id long, s binary")
+    return docs.join(asked, "doc_id", "left_semi").mapInArrow(run, "doc_id long, s binary")
+
+
+def confirm(docs: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataFrame:
+    """The pairs (a, b) with 100 * |A and B| >= percent * |A or B|, counted on the full sets. docs: (doc_id, text), one row for each id."""
+    sets = _binary_sets(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), k)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,11 +134,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Documents with equal sets are one class from the start, found by a fingerprint of 128 bits and a pre-aggregated minimum, however many they are. The smallest id
     of each goes into the forest (see candidates), and pairs are confirmed on full sets. A pair at 85 % shares no region of 24 trees once in 85,000.
-    What the hubs of large regions leave open is then settled (see rest), once. A document whose boilerplate puts it into a large region or two has its near-duplicates in smaller regions of other trees."""
+    What the hubs of large regions leave open is then settled exactly (see settle)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     known = rows.where(F.col("doc_id").isNotNull())
     sets = cut(_sets(known, k))
-    classes = sets.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("heads").alias("heads"), F.first("tails").alias("tails"))
+    classes = sets.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("heads").alias("heads"))
     classes = cut(classes)
     pairs, large = candidates(classes, percent)
     pairs, large = cut(pairs), cut(large)
@@ -146,9 +146,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = cut(confirm(texts, pairs, percent, k))
     found = components(links)
     if not large.isEmpty():
-        more = cut(rest(large, found, pairs, percent))
-        if not more.isEmpty():
-            found = components(links.unionByName(confirm(texts, more, percent, k)))
+        found = settle(texts, large, links, found, percent, k)
     member = classes.select("f1", "f2", "n", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", "n", F.coalesce("component", "rep").alias("component"))
     out = sets.select("doc_id", "n", "f1", "f2").join(member, ["f1", "f2", "n"], "left")
     component = F.coalesce("component", "doc_id")
@@ -160,21 +158,72 @@ def _repeats(sets: DataFrame) -> bool:
     return not sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
 
 
-def rest(large: DataFrame, found: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Pairs of large regions that no component holds together so far.
-
-    The depth doubles: in the regions of twice the depth, up to REGION, all are neighbours. And of the documents that lie in OFTEN large regions or more,
-    those outside the largest component of a region are neighbours of all in it, but for the two's own component."""
-    rows = cut(large.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("head", "tail", "rep", "n", F.coalesce("component", "rep").alias("component")))
-    deep = rows.withColumn("head", F.xxhash64("head", "tail"))
-    deep = deep.join(deep.groupBy("head").agg(F.count(F.lit(1)).alias("m"), F.countDistinct("component").alias("parts")).where((F.col("m") <= REGION) & (F.col("parts") > 1)), "head")
-    side = lambda df, x, *more: df.select("head", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("component").alias(f"c{x}"), *more)
-    one = side(deep, "a").join(side(deep, "b"), "head").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits(percent)).select("a", "b")
-    often = rows.groupBy("rep").agg(F.count(F.lit(1)).alias("regions")).where(F.col("regions") >= OFTEN).select("rep")
-    sizes = rows.groupBy("head", "component").agg(F.count(F.lit(1)).alias("m"))
-    main = sizes.groupBy("head").agg(F.max(F.struct("m", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("head", F.col("main.component").alias("main"))
-    rows = rows.join(often, "rep", "left_semi").join(main, "head")
-    outside = side(rows.where("component <> main"), "a")
-    two = outside.join(side(rows, "b", "main"), "head").where((F.col("ca") != F.col("cb")) & ((F.col("a") < F.col("b")) | (F.col("cb") == F.col("main"))) & _fits(percent))
-    two = two.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return one.unionByName(two).distinct().join(done, ["a", "b"], "left_anti")
+def _differences(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """members with d, the sorted hashes of the shingles that only one of rep and hub has."""
+    asked = members.select(F.col("rep").alias("doc_id")).union(members.select("hub")).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                found.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
+            d = pa.array(found, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("hub", "hub_n", "rep", "n")), d], names=["hub", "hub_n", "rep", "n", "d"])
+
+    sets = _binary_sets(docs, asked, k)
+    one = members.join(sets.select(F.col("doc_id").alias("hub"), F.col("s").alias("sa")), "hub")
+    two = one.join(sets.select(F.col("doc_id").alias("rep"), F.col("s").alias("sb")), "rep")
+    return two.select("hub", "hub_n", "rep", "n", "sa", "sb").mapInArrow(run, "hub long, hub_n long, rep long, n long, d array<long>")
+
+
+def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame, percent: int, k: int) -> DataFrame:
+    """The components once the pairs of large regions that no component holds together are compared. large: (hub, hub_n, rep, n), without hubs.
+
+    Of sets x and y in a hub's region let a and b be the numbers of shingles in which they differ from the hub. They differ from each other in a + b less
+    twice what those differences share, and similar sets differ in h = (100 - percent) / (100 + percent) of their sizes' sum at most. So they share
+    t = (a + b - h) / 2 differences, and in one order of all differences, rarest first, one of the first a - t + 1 and b - t + 1 (a prefix filter).
+    If t is 0 or less, both are linked with the hub. Documents that changed a text in different ways share only frequent differences, and meet nowhere.
+
+    A difference with which more than BUCKET pairs would meet is put off: first its documents are compared with the least of them,
+    then those that are still in different components with each other."""
+    same = found.withColumnRenamed("node", "rep")
+    c = (100 - percent) / (100 + percent)
+    rows = cut(_differences(docs, large, k).select("hub", "hub_n", "rep", "n", F.size("d").alias("d"), F.explode("d").alias("e")))
+    often = rows.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("m"))
+    rank = F.row_number().over(Window.partitionBy("hub", "rep").orderBy("m", "e"))
+    rows = rows.join(often, ["hub", "e"]).withColumn("at", rank).where("m > 1")
+    rows = rows.join(same, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    of_hub = same.select(F.col("rep").alias("hub"), F.col("component").alias("hub_component"))
+    rows = rows.join(of_hub, "hub", "left").withColumn("ours", F.coalesce(F.col("component") == F.col("hub_component"), F.lit(False)))
+    most = F.floor(F.col("n") * (100 - percent) / percent)  # differences from any similar set
+    # Of two components one is not the hub's, and a set outside it has more differences than c of its size and the hub's.
+    shared = F.when(F.col("ours"), F.ceil((F.floor(F.col("d") + c * (F.col("hub_n") - F.col("n")) - 1e-6) + 1) / 2)).otherwise(F.ceil((2 * F.col("d") - most) / 2))
+    rows = rows.withColumn("small", F.col("at") <= F.col("d") - F.greatest(shared, F.lit(1)) + 1).withColumn("wide", F.col("at") <= F.least("d", most + 1))
+    rows = cut(rows.where("small or wide").select("hub", "e", "rep", "n", "d", "at", "component", "small", "wide"))
+    met = rows.groupBy("hub", "e").agg((F.count_if("small") * F.count_if("wide")).alias("pairs"), F.min("rep").alias("least"), F.min_by("n", "rep").alias("least_n"))
+    rows = rows.join(met.where("pairs > 0"), ["hub", "e"])
+    crowded = cut(rows.where(F.col("pairs") > BUCKET))
+    star = crowded.where("rep <> least").select(F.least("rep", "least").alias("a"), F.greatest("rep", "least").alias("b"), F.col("n").alias("na"), F.col("least_n").alias("nb")).where(_fits(percent)).select("a", "b")
+    more = cut(_meet(rows.where(F.col("pairs") <= BUCKET), percent, c).unionByName(star).distinct())
+    if more.isEmpty():
+        return found
+    links = cut(links.unionByName(confirm(docs, more, percent, k)))
+    found = components(links)
+    if crowded.isEmpty():
+        return found
+    crowded = crowded.drop("component").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    last = cut(_meet(crowded, percent, c).distinct().join(more, ["a", "b"], "left_anti"))
+    return found if last.isEmpty() else components(links.unionByName(confirm(docs, last, percent, k)))
+
+
+def _meet(rows: DataFrame, percent: int, c: float) -> DataFrame:
+    """Pairs (a, b) of different components that share a difference early enough in both (see settle)."""
+    side = lambda x, test: rows.where(test).select("hub", "e", *(F.col(y).alias(x + y) for y in ("rep", "n", "d", "at", "component")))
+    t = F.greatest(F.ceil((F.col("x_d") + F.col("y_d") - F.floor(c * (F.col("x_n") + F.col("y_n")) + 1e-6)) / 2), F.lit(1))
+    ordered: Column = (F.col("x_d") < F.col("y_d")) | ((F.col("x_d") == F.col("y_d")) & (F.col("x_rep") < F.col("y_rep")))
+    early = (F.col("x_at") <= F.col("x_d") - t + 1) & (F.col("y_at") <= F.col("y_d") - t + 1)
+    fits = F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent
+    x, y = side("x_", "small"), side("y_", "wide").withColumnsRenamed({"hub": "y_hub", "e": "y_e"})
+    near = (F.col("hub") == F.col("y_hub")) & (F.col("e") == F.col("y_e")) & ordered & (F.col("x_component") != F.col("y_component")) & fits & early
+    return x.join(y, near).select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
