@@ -159,8 +159,9 @@ def _repeats(sets: DataFrame) -> bool:
 
 
 def _differences(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
-    """members with d, the sorted hashes of the shingles that only one of rep and hub has."""
+    """members (hub, hub_n, rep, n, component, ours) with d, the sorted hashes of the shingles that only one of rep and hub has."""
     asked = members.select(F.col("rep").alias("doc_id")).union(members.select("hub")).distinct()
+    kept = ["hub", "hub_n", "rep", "n", "component", "ours"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,12 +170,12 @@ def _differences(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                 found.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
             d = pa.array(found, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("hub", "hub_n", "rep", "n")), d], names=["hub", "hub_n", "rep", "n", "d"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), d], names=[*kept, "d"])
 
     sets = _binary_sets(docs, asked, k)
     one = members.join(sets.select(F.col("doc_id").alias("hub"), F.col("s").alias("sa")), "hub")
     two = one.join(sets.select(F.col("doc_id").alias("rep"), F.col("s").alias("sb")), "rep")
-    return two.select("hub", "hub_n", "rep", "n", "sa", "sb").mapInArrow(run, "hub long, hub_n long, rep long, n long, d array<long>")
+    return two.select(*kept, "sa", "sb").mapInArrow(run, "hub long, hub_n long, rep long, n long, component long, ours boolean, d array<long>")
 
 
 def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame, percent: int, k: int) -> DataFrame:
@@ -185,22 +186,26 @@ def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame
     t = (a + b - h) / 2 differences, and in one order of all differences, rarest first, one of the first a - t + 1 and b - t + 1 (a prefix filter).
     If t is 0 or less, both are linked with the hub. Documents that changed a text in different ways share only frequent differences, and meet nowhere.
 
+    Where the hub's component has all members of its regions, nothing is open. Elsewhere a difference counts only if a member outside that component has it,
+    since one of two members to compare is outside; the others are left out of the sets before these are ordered, which takes no shared one away.
+
     A difference with which more than BUCKET pairs would meet is put off: first its documents are compared with the least of them,
     then those that are still in different components with each other."""
     same = found.withColumnRenamed("node", "rep")
     c = (100 - percent) / (100 + percent)
-    rows = cut(_differences(docs, large, k).select("hub", "hub_n", "rep", "n", F.size("d").alias("d"), F.explode("d").alias("e")))
-    often = rows.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("m"))
-    rank = F.row_number().over(Window.partitionBy("hub", "rep").orderBy("m", "e"))
-    rows = rows.join(often, ["hub", "e"]).withColumn("at", rank).where("m > 1")
-    rows = rows.join(same, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    members = large.join(same, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     of_hub = same.select(F.col("rep").alias("hub"), F.col("component").alias("hub_component"))
-    rows = rows.join(of_hub, "hub", "left").withColumn("ours", F.coalesce(F.col("component") == F.col("hub_component"), F.lit(False)))
+    members = cut(members.join(of_hub, "hub", "left").withColumn("ours", F.coalesce(F.col("component") == F.col("hub_component"), F.lit(False))))
+    members = members.join(members.where("not ours").select("hub").distinct(), "hub", "left_semi")
+    rows = cut(_differences(docs, members, k).select("hub", "hub_n", "rep", "n", "component", "ours", F.size("d").alias("d"), F.explode("d").alias("e")))
+    often = rows.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("m"), F.count_if(~F.col("ours")).alias("outside")).where("m > 1 and outside > 0")
+    left = F.row_number().over(Window.partitionBy("hub", "rep").orderBy(F.desc("m"), F.desc("e")))  # differences from here on, rarest first
+    rows = rows.join(often, ["hub", "e"]).withColumn("left", left)
     most = F.floor(F.col("n") * (100 - percent) / percent)  # differences from any similar set
     # Of two components one is not the hub's, and a set outside it has more differences than c of its size and the hub's.
     shared = F.when(F.col("ours"), F.ceil((F.floor(F.col("d") + c * (F.col("hub_n") - F.col("n")) - 1e-6) + 1) / 2)).otherwise(F.ceil((2 * F.col("d") - most) / 2))
-    rows = rows.withColumn("small", F.col("at") <= F.col("d") - F.greatest(shared, F.lit(1)) + 1).withColumn("wide", F.col("at") <= F.least("d", most + 1))
-    rows = cut(rows.where("small or wide").select("hub", "e", "rep", "n", "d", "at", "component", "small", "wide"))
+    rows = rows.withColumn("small", F.col("left") >= F.greatest(shared, F.lit(1))).withColumn("wide", F.col("left") >= F.greatest(F.col("d") - most, F.lit(1)))
+    rows = cut(rows.where("small or wide").select("hub", "e", "rep", "n", "d", "left", "component", "small", "wide"))
     met = rows.groupBy("hub", "e").agg((F.count_if("small") * F.count_if("wide")).alias("pairs"), F.min("rep").alias("least"), F.min_by("n", "rep").alias("least_n"))
     rows = rows.join(met.where("pairs > 0"), ["hub", "e"])
     crowded = cut(rows.where(F.col("pairs") > BUCKET))
@@ -219,10 +224,10 @@ def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame
 
 def _meet(rows: DataFrame, percent: int, c: float) -> DataFrame:
     """Pairs (a, b) of different components that share a difference early enough in both (see settle)."""
-    side = lambda x, test: rows.where(test).select("hub", "e", *(F.col(y).alias(x + y) for y in ("rep", "n", "d", "at", "component")))
+    side = lambda x, test: rows.where(test).select("hub", "e", *(F.col(y).alias(x + y) for y in ("rep", "n", "d", "left", "component")))
     t = F.greatest(F.ceil((F.col("x_d") + F.col("y_d") - F.floor(c * (F.col("x_n") + F.col("y_n")) + 1e-6)) / 2), F.lit(1))
     ordered: Column = (F.col("x_d") < F.col("y_d")) | ((F.col("x_d") == F.col("y_d")) & (F.col("x_rep") < F.col("y_rep")))
-    early = (F.col("x_at") <= F.col("x_d") - t + 1) & (F.col("y_at") <= F.col("y_d") - t + 1)
+    early = (F.col("x_left") >= t) & (F.col("y_left") >= t)
     fits = F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent
     x, y = side("x_", "small"), side("y_", "wide").withColumnsRenamed({"hub": "y_hub", "e": "y_e"})
     near = (F.col("hub") == F.col("y_hub")) & (F.col("e") == F.col("y_e")) & ordered & (F.col("x_component") != F.col("y_component")) & fits & early
