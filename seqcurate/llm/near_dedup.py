@@ -178,6 +178,18 @@ def _differences(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
     return two.select(*kept, "sa", "sb").mapInArrow(run, "hub long, hub_n long, rep long, n long, component long, ours boolean, d array<long>")
 
 
+def _merge(large: DataFrame) -> DataFrame:
+    """large with fewer hubs: where a hub is itself a member of larger regions, their largest one's hub takes its members over (two steps up).
+
+    A document in the regions of several hubs of one group is then compared with one of them, not with each."""
+    size = cut(large.groupBy("hub").agg(F.struct(F.count(F.lit(1)).alias("m"), (-F.col("hub")).alias("other"), F.max("hub_n").alias("n")).alias("top")))
+    above = large.join(size, "hub").select(F.col("rep").alias("hub"), "top").join(size.select("hub"), "hub", "left_semi")
+    root = cut(size.unionByName(above).groupBy("hub").agg(F.max("top").alias("top")))
+    for _ in range(2):
+        large = large.join(root, "hub").select((-F.col("top.other")).alias("hub"), F.col("top.n").alias("hub_n"), "rep", "n")
+    return large.where("rep <> hub").distinct()
+
+
 def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame, percent: int, k: int) -> DataFrame:
     """The components once the pairs of large regions that no component holds together are compared. large: (hub, hub_n, rep, n), without hubs.
 
@@ -186,6 +198,7 @@ def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame
     t = (a + b - h) / 2 differences, and in one order of all differences, rarest first, one of the first a - t + 1 and b - t + 1 (a prefix filter).
     If t is 0 or less, both are linked with the hub. Documents that changed a text in different ways share only frequent differences, and meet nowhere.
 
+    Hubs are merged first, so hub and member may not have been compared yet; those that prove similar are linked, too.
     Where the hub's component has all members of its regions, nothing is open. Elsewhere a difference counts only if a member outside that component has it,
     since one of two members to compare is outside; the others are left out of the sets before these are ordered, which takes no shared one away.
 
@@ -193,11 +206,14 @@ def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame
     then those that are still in different components with each other."""
     same = found.withColumnRenamed("node", "rep")
     c = (100 - percent) / (100 + percent)
-    members = large.join(same, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    members = _merge(large).join(same, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     of_hub = same.select(F.col("rep").alias("hub"), F.col("component").alias("hub_component"))
     members = cut(members.join(of_hub, "hub", "left").withColumn("ours", F.coalesce(F.col("component") == F.col("hub_component"), F.lit(False))))
     members = members.join(members.where("not ours").select("hub").distinct(), "hub", "left_semi")
     rows = cut(_differences(docs, members, k).select("hub", "hub_n", "rep", "n", "component", "ours", F.size("d").alias("d"), F.explode("d").alias("e")))
+    common = (F.col("n") + F.col("hub_n") - F.col("d")) / 2
+    new = rows.where(~F.col("ours") & (100 * common >= percent * (F.col("n") + F.col("hub_n") - common))).select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
+    links = links.unionByName(cut(new))
     often = rows.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("m"), F.count_if(~F.col("ours")).alias("outside")).where("m > 1 and outside > 0")
     left = F.row_number().over(Window.partitionBy("hub", "rep").orderBy(F.desc("m"), F.desc("e")))  # differences from here on, rarest first
     rows = rows.join(often, ["hub", "e"]).withColumn("left", left)
@@ -211,7 +227,7 @@ def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame
     crowded = cut(rows.where(F.col("pairs") > BUCKET))
     star = crowded.where("rep <> least").select(F.least("rep", "least").alias("a"), F.greatest("rep", "least").alias("b"), F.col("n").alias("na"), F.col("least_n").alias("nb")).where(_fits(percent)).select("a", "b")
     more = cut(_meet(rows.where(F.col("pairs") <= BUCKET), percent, c).unionByName(star).distinct())
-    if more.isEmpty():
+    if more.isEmpty() and new.isEmpty():
         return found
     links = cut(links.unionByName(confirm(docs, more, percent, k)))
     found = components(links)
