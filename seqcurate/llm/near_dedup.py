@@ -16,6 +16,8 @@ from .components import components
 TREES, DEPTH, REGION = 24, 6, 16
 #: Pairs that a rare difference (see settle) may make at once; beyond it, its documents are first compared with one of them.
 BUCKET = 1024
+#: Ids (of 8 bytes) that are broadcast to find their documents; if more are asked for, texts and ids are shuffled.
+BROADCAST = 1 << 20
 _MINIMA = TREES * DEPTH
 _rng = np.random.default_rng(20240229)
 _FACTORS = _rng.integers(0, 1 << 31, _MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -102,7 +104,9 @@ def _binary_sets(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
             for part in pieces(batch, "text", 2 << 20):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(*utf8(part.column("text")), k)], pa.binary())], names=["doc_id", "s"])
 
-    return docs.join(asked, "doc_id", "left_semi").mapInArrow(run, "doc_id long, s binary")
+    asked = cut(asked)
+    few = asked.count() <= BROADCAST  # a shuffle of the texts to pick a part of them is what costs most
+    return docs.join(F.broadcast(asked) if few else asked, "doc_id", "left_semi").mapInArrow(run, "doc_id long, s binary")
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataFrame:
@@ -209,7 +213,7 @@ def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame
     members = _merge(large).join(same, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     of_hub = same.select(F.col("rep").alias("hub"), F.col("component").alias("hub_component"))
     members = cut(members.join(of_hub, "hub", "left").withColumn("ours", F.coalesce(F.col("component") == F.col("hub_component"), F.lit(False))))
-    members = members.join(members.where("not ours").select("hub").distinct(), "hub", "left_semi")
+    members = cut(members.join(members.where("not ours").select("hub").distinct(), "hub", "left_semi"))
     rows = cut(_differences(docs, members, k).select("hub", "hub_n", "rep", "n", "component", "ours", F.size("d").alias("d"), F.explode("d").alias("e")))
     common = (F.col("n") + F.col("hub_n") - F.col("d")) / 2
     new = rows.where(~F.col("ours") & (100 * common >= percent * (F.col("n") + F.col("hub_n") - common))).select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
