@@ -91,3 +91,17 @@ def pareto(df: DataFrame, name: str, metric: str, speed: str) -> DataFrame:
 def fingerprint(df: DataFrame, by: Sequence[str], id_: str, bp: str) -> DataFrame:
     """Per group: records, base pairs and an order-independent hash of the ids."""
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("records"), F.sum(bp).alias("bp"), F.bit_xor(F.xxhash64(id_)).alias("ids"))
+
+
+def project(stats: DataFrame, priors: DataFrame, cls: str, n: str, target: int) -> DataFrame:
+    """Per class with a prior: its share, the difference from the prior in percentage points, and the rows still missing at `target` rows in all."""
+    total = stats.agg(F.sum(n).alias("_total"))
+    out = priors.join(stats, cls, "left").na.fill(0, [n]).crossJoin(total)
+    share = F.coalesce(F.try_divide(n, "_total"), F.lit(0.0))
+    return out.withColumn("share", share).withColumn("delta_pp", 100 * (share - F.col("prior"))).withColumn("missing", F.greatest(F.lit(0), F.bround(F.lit(target) * F.col("prior")).cast("long") - F.col(n))).drop("_total")
+
+
+def pred_share(df: DataFrame, pred: str) -> DataFrame:
+    """The most predicted class (ties: the first) and its share of all predictions."""
+    per = df.groupBy(F.col(pred).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.min_by("pred", F.struct(-F.col("n"), F.col("pred"))).alias("pred"), (F.max("n") / F.sum("n")).alias("share"))

@@ -150,3 +150,18 @@ def chop(df: DataFrame, id_: str, seq: str, n: int) -> DataFrame:
     """Pieces of n letters that do not overlap; a shorter sequence is one piece, and a tail is dropped."""
     pieces = F.greatest(F.lit(1), F.floor(F.length(seq) / n)).cast("int")
     return df.select(F.col(id_).alias("id"), F.posexplode(F.transform(F.sequence(F.lit(0), pieces - 1), lambda i: F.substr(F.col(seq), i * n + 1, F.lit(n)))).alias("piece", "fragment"))
+
+
+def diff_index(rows: DataFrame, index: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """rows with status: duplicate_in_source (but the first row of a key), already_held, other_version (the index has the key with another version) or new."""
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    exact = index.select(key).distinct().withColumn("_held", F.lit(True))
+    base = index.select(base_accession(F.col(key)).alias("_base")).distinct().withColumn("_other", F.lit(True))
+    out = rows.withColumn("_nth", nth).withColumn("_base", base_accession(F.col(key))).join(exact, key, "left").join(base, "_base", "left")
+    status = F.when(F.col("_nth") > 1, "duplicate_in_source").when(F.col("_held"), "already_held").when(F.col("_other"), "other_version").otherwise("new")
+    return out.withColumn("status", status).drop("_nth", "_base", "_held", "_other")
+
+
+def distinct_sequences(df: DataFrame, record: Sequence[str], seq: str) -> DataFrame:
+    """Each record's distinct sequences by digest, with their number of copies; pre-aggregated, so copies meet nowhere."""
+    return df.groupBy(*record, F.sha2(F.col(seq).cast("binary"), 256).alias("digest")).agg(F.count(F.lit(1)).alias("copies"))

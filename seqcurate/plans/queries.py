@@ -151,8 +151,39 @@ def w34_latest_status(spark, sf_dir):
     return select.latest_status(_t(spark, sf_dir, "events"), "user_id", "event_type", "ts", "event_id").select("user_id", "event_type")
 
 
+def a03_project(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents")
+    priors = spark.createDataFrame([("en", 0.4), ("de", 0.3), ("xx", 0.3)], "lang string, prior double")
+    out = metrics.project(docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), priors, "lang", "n", 10_000_000)
+    return out.select("lang", "n", "missing", F.round("share", 6).alias("share"), F.round("delta_pp", 6).alias("delta_pp"))
+
+
+def a32_pred_share(spark, sf_dir):
+    return metrics.pred_share(_predictions(spark, sf_dir), "pred").select("pred", F.round("share", 6).alias("share"))
+
+
+def f22_range_bin(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").groupBy(scalars.range_bin(F.col("n_chars")).alias("bin")).agg(F.min("n_chars").alias("least"), F.max("n_chars").alias("most"), F.count(F.lit(1)).alias("n"))
+
+
+def j05_diff_index(spark, sf_dir):
+    key = lambda c, v: F.concat(c.cast("string"), F.lit("."), v.cast("string")).alias("key")
+    items = _t(spark, sf_dir, "lineitem").select(key(F.col("l_partkey"), F.col("l_linenumber")), "l_orderkey", "l_linenumber", "l_suppkey")
+    index = _t(spark, sf_dir, "part").where("p_size < 25").select(key(F.col("p_partkey"), F.col("p_size") % 7 + 1))
+    return select.diff_index(items, index, "key", ["l_orderkey", "l_linenumber", "l_suppkey"]).groupBy("key", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def j13_drop_leaky(spark, sf_dir):
+    items = _t(spark, sf_dir, "lineitem")
+    return select.drop_leaky(items.where("l_quantity < 49"), items.where("l_quantity >= 49"), "l_partkey").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+def u05_distinct_sequences(spark, sf_dir):
+    return select.distinct_sequences(_t(spark, sf_dir, "documents").where("text is not null"), ["lang"], "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (balanced_corpus, a01_census, a13_coverage_cells, a14_leakage, a18_class_metrics, a22_best_f1, a23_auprc, a26_compare, a28_length_hist, f17_filter_quality, f19_length_bin, f23_hash_split, f25_keep_by_id, j08_dedup_exact, j14_ancestors, m01_tfidf, t01_chop, t07_kmer_counts, u03_split_overlap, w02_genus_balance, w12_bp_cap, w14_apportion, w22_class_weights, w33_pareto, w34_latest_status)
+    own = (balanced_corpus, a01_census, a13_coverage_cells, a14_leakage, a18_class_metrics, a22_best_f1, a23_auprc, a26_compare, a28_length_hist, f17_filter_quality, f19_length_bin, f23_hash_split, f25_keep_by_id, j08_dedup_exact, j14_ancestors, m01_tfidf, t01_chop, t07_kmer_counts, u03_split_overlap, w02_genus_balance, w12_bp_cap, w14_apportion, w22_class_weights, w33_pareto, w34_latest_status, a03_project, a32_pred_share, f22_range_bin, j05_diff_index, j13_drop_leaky, u05_distinct_sequences)
     return {f.__name__: f for f in own}
 
 
@@ -210,4 +241,14 @@ def oracle_sql() -> dict[str, str]:
         "w22_class_weights": "select lang, n, round(sum(n) over () / (count(*) over () * n), 6) as weight from (select lang, count(*) as n from documents group by lang)",
         "w33_pareto": """select p_partkey, p_retailprice, p_size from (select *, max(p_retailprice) over (order by p_size desc, p_retailprice desc, p_partkey rows between unbounded preceding and 1 preceding) as b from part) where b is null or p_retailprice > b""",
         "w34_latest_status": "select user_id, arg_max(event_type, (ts, event_id)) as event_type from events group by user_id",
+        "a03_project": """with p as (select * from (values ('en', 0.4::double), ('de', 0.3::double), ('xx', 0.3::double)) t(lang, prior)), c as (select lang, count(*) as n from documents group by lang), t as (select count(*) as total from documents)
+            select lang, coalesce(n, 0) as n, greatest(0, round_even(10000000 * prior, 0)::bigint - coalesce(n, 0)) as missing, round(coalesce(n, 0) / total, 6) as share, round(100 * (coalesce(n, 0) / total - prior), 6) as delta_pp from p left join c using (lang), t""",
+        "a32_pred_share": f"with {_P}, c as (select pred, count(*) as n from p group by pred) select pred, round(n / (select sum(n) from c), 6) as share from c order by n desc, pred limit 1",
+        "j05_diff_index": """with i as (select l_partkey || '.' || l_linenumber as key, l_partkey, row_number() over (partition by l_partkey, l_linenumber order by l_orderkey, l_suppkey) as nth from lineitem),
+            x as (select p_partkey, p_partkey || '.' || (p_size % 7 + 1) as key from part where p_size < 25)
+            select key, case when nth > 1 then 'duplicate_in_source' when key in (select key from x) then 'already_held' when l_partkey in (select p_partkey from x) then 'other_version' else 'new' end as status, count(*) as n from i group by all""",
+        "j13_drop_leaky": "select l_partkey, count(*) as n from lineitem where l_quantity < 49 and l_partkey not in (select l_partkey from lineitem where l_quantity >= 49) group by l_partkey",
+        "f22_range_bin": """select bin, min(n_chars) as least, max(n_chars) as most, count(*) as n from (select n_chars, coalesce((select lo || '-' || (hi - 1) from
+            (values (800, 1000), (1000, 1250), (1250, 1500), (1500, 1750), (1750, 2000), (2000, 2250), (2250, 2500)) t(lo, hi) where n_chars >= lo and n_chars < hi), 'outside') as bin from documents) group by bin""",
+        "u05_distinct_sequences": "select lang, sha256(text) as digest, count(*) as copies from documents where text is not null group by all",
     }

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from seqcurate.functions import labels, scalars
 from seqcurate.functions.ids import base_accession, extract_accessions, parse_header
-from seqcurate.operators import quota, select
+from seqcurate.operators import metrics, quota, select
 
 
 def test_class_from_meta(spark):
@@ -58,3 +58,22 @@ def test_entry_imports(spark):
 
     assert __spark_entry__.entry(spark).columns == ["stratum", "available_bp", "target_bp", "kept_bp", "kept_records", "error_pct"]
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_diff_index(spark):
+    rows = spark.createDataFrame([("A.1", 1), ("A.1", 2), ("A.2", 3), ("B.1", 4)], "key string, i int")
+    got = select.diff_index(rows, spark.createDataFrame([("A.1",), ("A.1",)], "key string"), "key", ["i"]).collect()
+    assert sorted((r.i, r.status) for r in got) == [(1, "already_held"), (2, "duplicate_in_source"), (3, "other_version"), (4, "new")]
+    assert select.diff_index(rows.limit(0), rows.select("key"), "key", ["i"]).count() == 0
+
+
+def test_distinct_sequences(spark):
+    got = select.distinct_sequences(spark.createDataFrame([(1, "A"), (1, "A"), (2, "A"), (2, "C")], "r int, s string"), ["r"], "s").collect()
+    assert sorted((r.r, r.copies) for r in got) == [(1, 2), (2, 1), (2, 1)]
+
+
+def test_projection_and_collapse(spark):
+    stats, priors = spark.createDataFrame([("a", 30), ("b", 10)], "c string, n long"), spark.createDataFrame([("a", 0.5), ("z", 0.5)], "c string, prior double")
+    got = {r.c: (r.n, r.share, r.delta_pp, r.missing) for r in metrics.project(stats, priors, "c", "n", 100).collect()}
+    assert got == {"a": (30, 0.75, 25.0, 20), "z": (0, 0.0, -50.0, 50)}
+    assert tuple(metrics.pred_share(spark.createDataFrame([("b",), ("a",), ("b",), ("a",)], "p string"), "p").first()) == ("a", 0.5)
