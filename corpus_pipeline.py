@@ -14,6 +14,8 @@ from seqcurate.llm.near_dedup import near_duplicates
 from seqcurate.llm.packing import pack
 from seqcurate.llm.substring_dedup import remove_repeats
 
+#: Five-word shingle sets this similar (percent) make near-duplicates of the corpus.
+SIMILAR = 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -25,7 +27,7 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id; documents without an id stay."""
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = near_duplicates(docs, percent=SIMILAR).where("kept and doc_id is not null").select("doc_id").distinct()
     named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
     return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*COLUMNS)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,19 +13,28 @@ from pyspark.sql import functions as F
 from .common import cut, mix, pieces, rolling, utf8, words
 from .components import components
 
-#: Trees of the forest, minima that every region of a tree shares at least, and a region's size up to which all neighbours are candidates.
-TREES, DEPTH, REGION = 24, 6, 16
+#: Of so many pairs at the threshold one shares no region of any tree; a region's size up to which all neighbours are candidates.
+MISS, REGION = 85_000, 16
 #: Pairs that a rare difference (see settle) may make at once; beyond it, its documents are first compared with one of them.
 BUCKET = 1024
 #: Ids (of 8 bytes) that are broadcast to find their documents; if more are asked for, texts and ids are shuffled.
 BROADCAST = 1 << 20
-_MINIMA = TREES * DEPTH
-_rng = np.random.default_rng(20240229)
-_FACTORS = _rng.integers(0, 1 << 31, _MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_OFFSETS = _rng.integers(0, 1 << 32, _MINIMA, dtype=np.uint32)
 _BASE = 0xD6E8FEB86659FD93
 
 
+def forest(percent: int) -> tuple[int, int]:
+    """Trees, and minima that a region of a tree shares: of pairs at the threshold about 35 % share a tree's region, and all but one in MISS some tree's."""
+    s = min(max(percent, 1), 95) / 100  # regions for 95 % hold the pairs of stricter thresholds, too
+    depth = max(1, round(math.log(0.35) / math.log(s)))
+    return math.ceil(math.log(MISS) / -math.log1p(-(s**depth))), depth
+
+
+def _orders(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and offsets of n orders."""
+    rng = np.random.default_rng(20240229)
+    return rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, n, dtype=np.uint32)
+
+
 def shingle_sets(data: np.ndarray, at: np.ndarray, k: int) -> list[np.ndarray]:
     """Of every text the sorted distinct hashes of its k-word shingles, in lower case (A-Z); fewer words are one shingle."""
     h, _, _, doc = words(data, at, lower=True)
@@ -41,20 +51,22 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, k: int) -> list[np.ndarray]:
     return out
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """The signature of a set: under each of many orders of its members, the least."""
+def minima(shingles: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The signature of a set: under each of many orders of its members (see _orders), the least."""
     low = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
-    out = np.full(_MINIMA, 0xFFFFFFFF, np.uint32)
+    out = np.full(len(factors), 0xFFFFFFFF, np.uint32)
     for begin in range(0, len(low), 4096):
-        h = (low[None, begin : begin + 4096] ^ _OFFSETS[:, None]) * _FACTORS[:, None]
+        h = (low[None, begin : begin + 4096] ^ offsets[:, None]) * factors[:, None]
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x2C1B3C6D)
         out = np.minimum(out, h.min(1))
     return out
 
 
-def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """docs: (doc_id, text). Adds n, the fingerprint (f1, f2) of the set, and for each tree the hash of its first DEPTH minima."""
+def _sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """docs: (doc_id, text). Adds n, the fingerprint (f1, f2) of the set, and for each tree of the forest the hash of its minima."""
+    trees, depth = forest(percent)
+    factors, offsets = _orders(trees * depth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -64,12 +76,11 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                     n.append(len(s))
                     f1.append(mix(s + np.uint64(1)).sum(dtype=np.uint64))
                     f2.append(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
-                    m = minima(s).astype(np.uint64)
-                    six = mix(rolling(m, DEPTH, _BASE)[::DEPTH] + np.arange(TREES, dtype=np.uint64))
-                    heads.append(six.view(np.int64))
+                    m = minima(s, factors, offsets).astype(np.uint64)
+                    heads.append(mix(rolling(m, depth, _BASE)[::depth] + np.arange(trees, dtype=np.uint64)).view(np.int64))
                 if not n:
                     continue
-                flat = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(x)), TREES).cast(pa.list_(pa.int64()))
+                flat = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(x)), trees).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.array(f1, np.uint64).view(np.int64)), pa.array(np.array(f2, np.uint64).view(np.int64)), flat(heads)], names=["doc_id", "n", "f1", "f2", "heads"])
 
     return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, heads array<long>")
@@ -82,7 +93,7 @@ def _fits(percent: int):
 def candidates(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """reps: (rep, n, copies, heads). Returns candidate pairs (a, b) and the members (hub, hub_n, rep, n) of large regions, but for the hubs.
 
-    In each tree the documents stand sorted by their minima; those with the same first DEPTH minima make a region. In a region of up to REGION
+    In each tree the documents stand sorted by their minima; those with the same minima (see forest) make a region. In a region of up to REGION
     all are each other's neighbours. In a larger one each is first a neighbour of the region's hub only, the document with most
     exact copies; the rest is settled afterwards (see settle). Pairs whose sizes alone exclude the similarity are left out."""
     rows = reps.select("rep", "n", "copies", F.explode("heads").alias("head"))
@@ -137,11 +148,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     link nothing. An empty table gives an empty result.
 
     Documents with equal sets are one class from the start, found by a fingerprint of 128 bits and a pre-aggregated minimum, however many they are. The smallest id
-    of each goes into the forest (see candidates), and pairs are confirmed on full sets. A pair at 85 % shares no region of 24 trees once in 85,000.
+    of each goes into the forest (see candidates), and pairs are confirmed on full sets. A pair at the threshold shares no region of the forest once in MISS.
     What the hubs of large regions leave open is then settled exactly (see settle)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     known = rows.where(F.col("doc_id").isNotNull())
-    sets = cut(_sets(known, k))
+    sets = cut(_sets(known, k, percent))
     classes = sets.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("heads").alias("heads"))
     classes = cut(classes)
     pairs, large = candidates(classes, percent)
@@ -155,7 +166,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     out = sets.select("doc_id", "n", "f1", "f2").join(member, ["f1", "f2", "n"], "left")
     component = F.coalesce("component", "doc_id")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
-    return out.unionByName(_sets(rows.where(F.col("doc_id").isNull()), k).select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept")))
+    return out.unionByName(_sets(rows.where(F.col("doc_id").isNull()), k, percent).select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept")))
 
 
 def _repeats(sets: DataFrame) -> bool:

@@ -341,3 +341,19 @@ def test_pipeline(spark, odd, tmp_path):
     assert four.columns == list(corpus_pipeline.COLUMNS) and four.count() > 200
     words = four.select(F.sum(F.size(F.split("text", " ")))).first()[0]
     assert corpus_pipeline.packed(spark, four, "").agg(F.sum("n_words")).first()[0] == pytest.approx(words, abs=200)
+
+
+def test_pipeline_near_copies_from_80(spark):
+    """Four of 200 words changed leave a similarity of 176 / 216 = 0.815; five leave 171 / 221 = 0.774."""
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    rows = []
+    for i in range(80):
+        w = sentence(rng, 200, 10**6).split()
+        other = list(w)
+        for j in range(4 + i % 2):
+            other[20 + 40 * j if j < 4 else 193] = f"new{j}"
+        rows += [(i, " ".join(w), "en", "a", 1), (1000 + i, " ".join(other), "en", "a", 1)]
+    got = corpus_pipeline.one_of_each(spark, spark.createDataFrame(rows, DOCS), "")
+    assert {r.doc_id for r in got.collect()} == {*range(80), *range(1001, 1080, 2)}
