@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix, pieces
+from .common import cut, mix, pieces, shared_folder
 
 ORDER = 4
-#: The model of a language keeps so many four-grams, the most frequent ones; with the number of languages this bounds what is broadcast.
-MAX_NGRAMS = 200_000
+#: Rows of a model (grams and contexts of all orders) that are read at once, by the driver to broadcast them and by a worker to look grams up.
+SHARD = 1 << 21
 #: Documents, chosen by hash, whose cross-entropies calibrate the rejection.
 CALIBRATION = 4096
 
@@ -52,51 +54,93 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return g[own], np.cumsum(np.bincount(doc[own], minlength=len(texts))), letters
 
 
+def _table(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The hashes of the keys, sorted, and the values in their order."""
+    h = mix(keys)
+    order = np.argsort(h)
+    return h[order], *(v[order] for v in values)
+
+
+def _look(table: tuple[np.ndarray, ...], keys: np.ndarray) -> list[np.ndarray]:
+    """The values of each key, 0 where the table has none."""
+    hashes, *values = table
+    h = mix(keys)
+    at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+    hit = hashes[at] == h
+    return [np.where(hit, v[at], 0) for v in values]
+
+
+def _low(g: np.ndarray, n: int) -> np.ndarray:
+    return g & np.uint64((1 << 16 * n) - 1)
+
+
+def _context(g: np.ndarray, n: int) -> np.ndarray:
+    return _low(g, n) >> np.uint64(16) if n > 1 else np.zeros(len(g), np.uint64)
+
+
+def statistics(shards, g: np.ndarray) -> list[np.ndarray]:
+    """For orders 1 to ORDER of each gram: its count, and its context's total and kinds.
+
+    A shard has under n a table of grams with counts and under -n one of contexts with totals and kinds; each key is in one shard."""
+    out = [np.zeros((3, len(g)), np.int64) for _ in range(ORDER)]
+    for shard in shards:
+        for n in range(1, ORDER + 1):
+            if n in shard:
+                out[n - 1][0] += _look(shard[n], _low(g, n))[0]
+            if -n in shard:
+                out[n - 1][1:] += _look(shard[-n], _context(g, n))
+    return out
+
+
+def interpolate(found: list[np.ndarray], discounts: np.ndarray) -> np.ndarray:
+    """Interpolated Kneser-Ney probabilities from statistics()."""
+    p = np.full(found[0].shape[1], 2.0**-16)
+    for (count, total, kinds), d in zip(found, discounts, strict=True):
+        some = np.maximum(total, 1e-300)
+        p = np.maximum(count - d, 0) / some + np.where(total > 0, d * kinds / some, 1.0) * p
+    return p
+
+
+def discount(ones: int, twos: int) -> float:
+    return ones / (ones + 2 * twos) if ones and twos else 0.5
+
+
 class KneserNey:
-    """Interpolated Kneser-Ney over packed four-grams: at every order a sorted array of hashes with its discounted probabilities,
-    and one of contexts with the weight of the order below."""
+    """Interpolated Kneser-Ney over packed four-grams in memory: what fit() counts in Spark, as one shard."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        self.tables = []
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order].astype(float)
+        self.shard, self.discounts = {}, np.zeros(ORDER)
         for n in range(ORDER, 0, -1):
-            ones, twos = (counts == 1).sum(), (counts == 2).sum()
-            d = ones / (ones + 2 * twos) if ones and twos else 0.5
-            context, first = np.unique(keys >> np.uint64(16), return_inverse=True) if n > 1 else (np.zeros(1, np.uint64), np.zeros(len(keys), np.int64))
-            total, kinds = np.bincount(first, counts, len(context)), np.bincount(first, minlength=len(context))
-            own = np.maximum(counts - d, 0) / np.maximum(total[first], 1e-300)
-            weight = np.where(total > 0, d * kinds / np.maximum(total, 1e-300), 1.0)
-            self.tables.append((*self._sorted(keys, own), *self._sorted(context, weight)))
-            keys, counts = np.unique(keys & np.uint64((1 << 16 * (n - 1)) - 1), return_counts=True)
-            counts = counts.astype(float)
-
-    @staticmethod
-    def _sorted(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        h = mix(keys)
-        order = np.argsort(h)
-        return h[order], values[order]
-
-    @staticmethod
-    def _find(hashes: np.ndarray, values: np.ndarray, keys: np.ndarray, default: float) -> np.ndarray:
-        if not len(hashes):
-            return np.full(len(keys), default)
-        h = mix(keys)
-        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-        return np.where(hashes[at] == h, values[at], default)
+            self.discounts[n - 1] = discount((counts == 1).sum(), (counts == 2).sum())
+            context, first, kinds = np.unique(_context(keys, n), return_inverse=True, return_counts=True)
+            self.shard[n], self.shard[-n] = _table(keys, counts), _table(context, np.bincount(first, counts).astype(np.int64), kinds)
+            keys, counts = np.unique(_low(keys, n - 1), return_counts=True)
 
     def prob(self, g: np.ndarray) -> np.ndarray:
-        p = np.full(len(g), 2.0**-16)
-        for n in range(1, ORDER + 1):
-            hashes, own, contexts, weight = self.tables[ORDER - n]
-            part = g & np.uint64((1 << 16 * n) - 1)
-            p = self._find(hashes, own, part, 0.0) + self._find(contexts, weight, part >> np.uint64(16) if n > 1 else np.zeros(len(g), np.uint64), 1.0) * p
-        return p
+        return interpolate(statistics([self.shard], g), self.discounts)
 
 
-def scores(models: list[KneserNey], texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cross-entropy (nats a character) of every text under every model, its characters and its letters."""
-    g, ends, letters = grams(texts)
+class Model:
+    """A language's discounts and broadcast shards; unless `cached`, one shard at a time is in a worker's memory."""
+
+    def __init__(self, discounts: np.ndarray, shards: list, cached: bool):
+        self.discounts, self.shards, self.cached = discounts, shards, cached
+
+    def read(self):
+        for shard in self.shards:
+            yield shard.value
+            if not self.cached:
+                shard.__dict__.pop("_value", None)
+
+    def statistics(self, g: np.ndarray) -> list[np.ndarray]:
+        return statistics(self.read(), g)
+
+    def prob(self, g: np.ndarray) -> np.ndarray:
+        return interpolate(self.statistics(g), self.discounts)
+
+
+def _kinds(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams, and which of them each is."""
     kinds = np.unique(g)
     slots = np.zeros(1 << 20, np.int64)
     slots[(mix(kinds) >> np.uint64(44)).astype(np.int64)] = np.arange(len(kinds))
@@ -104,6 +148,13 @@ def scores(models: list[KneserNey], texts: list[str | None]) -> tuple[np.ndarray
     if len(kinds):
         wrong = np.flatnonzero(kinds[at] != g)
         at[wrong] = np.searchsorted(kinds, g[wrong])
+    return kinds, at
+
+
+def scores(models: list, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cross-entropy (nats a character) of every text under every model, its characters and its letters."""
+    g, ends, letters = grams(texts)
+    kinds, at = _kinds(g)
     begins = np.concatenate(([0], ends[:-1])) if len(ends) else ends
     n = ends - begins
     out = np.zeros((len(texts), len(models)))
@@ -154,22 +205,58 @@ class LanguageModels:
     """Languages in the order of their code points, a Kneser-Ney model of each, and for the rejection the highest cross-entropy
     that the calibration documents of the language have under it."""
 
-    def __init__(self, names: list[str], models: list[KneserNey]):
+    def __init__(self, names: list[str], models: list[Model]):
         self.names, self.models = names, models
         self.highest = np.full(len(names), np.inf)
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", max_ngrams: int = MAX_NGRAMS) -> LanguageModels:
+def _learn(counts: DataFrame) -> tuple[list[str], list[Model]]:
+    """counts: (lang, gram, n). The languages and their models, over every gram: discounts, totals and kinds are aggregates in Spark, of lower orders
+    over the distinct continuations. A model's rows are dealt by hash to shards of about SHARD rows, as many as they need, broadcast one by one."""
+    spark, key = counts.sparkSession, F.col("key")
+    level, rows, seen = counts.withColumnRenamed("gram", "key"), [], {}
+    for n in range(ORDER, 0, -1):
+        level = cut(level)
+        for r in level.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).collect():
+            seen.setdefault(r.lang, np.zeros(ORDER))[n - 1] = discount(r.ones, r.twos)
+        context = (F.shiftrightunsigned(key, 16) if n > 1 else F.lit(0).cast("long")).alias("key")
+        rows.append(level.select("lang", F.lit(n).alias("order"), "key", "n", F.lit(0).cast("long").alias("kinds")))
+        rows.append(level.groupBy("lang", context).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).select("lang", F.lit(-n).alias("order"), "key", "n", "kinds"))
+        level = level.groupBy("lang", key.bitwiseAND(F.lit((1 << 16 * (n - 1)) - 1)).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    names = sorted(seen)
+    if not names:
+        return [], []
+    table = cut(functools.reduce(DataFrame.unionByName, rows))
+    size = {r.lang: r.m for r in table.groupBy("lang").agg(F.count(F.lit(1)).alias("m")).collect()}
+    shards = [-(-size[x] // SHARD) for x in names]
+    at = (F.array_position(F.array(*map(F.lit, names)), F.col("lang")) - 1).cast("int")
+    folder = f"{shared_folder(spark)}/models-{uuid.uuid4().hex}"
+    dealt = table.withColumn("at", at).withColumn("shard", F.pmod(F.xxhash64("key"), F.element_at(F.array(*map(F.lit, shards)), F.col("at") + 1)).cast("int"))
+    dealt.drop("lang").write.partitionBy("at", "shard").parquet(folder)
+    stored, models = spark.read.parquet(folder), []
+    for k, name in enumerate(names):
+        own = [spark.sparkContext.broadcast(_shard(stored.where((F.col("at") == k) & (F.col("shard") == i)))) for i in range(shards[k])]
+        models.append(Model(seen[name], own, sum(size.values()) <= SHARD))
+    return names, models
+
+
+def _shard(rows: DataFrame) -> dict[int, tuple[np.ndarray, ...]]:
+    rows = rows.select("order", "key", "n", "kinds").toArrow()
+    order, key, n, kinds = (rows.column(c).to_numpy() for c in rows.column_names)
+    key, out = key.view(np.uint64), {}
+    for o in np.unique(order):
+        own = order == o
+        out[int(o)] = _table(key[own], n[own]) if o > 0 else _table(key[own], n[own], kinds[own])
+    return out
+
+
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModels:
     """Learns from every document with text and language that held_out() leaves; ids, sources and other columns are no inputs.
 
-    The four-gram counts cover the whole of these texts; only the most frequent `max_ngrams` of a language come to the driver."""
+    The models hold every four-gram of these texts."""
     known = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(F.col("text").isNotNull() & F.col("lang").isNotNull()).where(~held_out(F.col("doc_id")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    top = count_grams(known.select("text", "lang")).withColumn("rank", rank).where(F.col("rank") <= max_ngrams).select("lang", "gram", "n").toArrow()
-    of = np.array(top.column("lang").to_pylist(), object)
-    gram, n = (top.column(c).to_numpy() for c in ("gram", "n"))
-    names = sorted(set(of))
-    out = LanguageModels(names, [KneserNey(gram[of == x].view(np.uint64), n[of == x]) for x in names])
+    out = LanguageModels(*_learn(count_grams(known.select("text", "lang"))))
+    names = out.names
     if names:
         rows = known.count()
         share = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, CALIBRATION / max(rows, 1)))
@@ -183,12 +270,11 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
 
 
 def _scored(docs: DataFrame, fitted: LanguageModels, keep: list[str], text: str = "text") -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(fitted.models)
+    models = fitted.models
     docs = docs.select(*keep, F.col(text).alias("__text"))
     schema = T.StructType([*docs.schema.fields[:-1], T.StructField("__at", T.IntegerType()), T.StructField("__entropy", T.DoubleType()), T.StructField("__chars", T.LongType()), T.StructField("letters", T.LongType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
         for batch in batches:
             for part in pieces(batch, "__text", 2 << 20):
                 h, n, letters = scores(models, part.column("__text").to_pylist())

@@ -357,3 +357,21 @@ def test_pipeline_near_copies_from_80(spark):
         rows += [(i, " ".join(w), "en", "a", 1), (1000 + i, " ".join(other), "en", "a", 1)]
     got = corpus_pipeline.one_of_each(spark, spark.createDataFrame(rows, DOCS), "")
     assert {r.doc_id for r in got.collect()} == {*range(80), *range(1001, 1080, 2)}
+
+
+@pytest.mark.parametrize("shard", [1 << 21, 60_000])
+def test_language_models_hold_every_gram(spark, monkeypatch, shard):
+    """More than 200,000 four-grams, in one shard and in several, against a model of all of them in memory."""
+    monkeypatch.setattr(language_id, "SHARD", shard)
+    rng = random.Random(13)
+    texts = ["".join(chr(0x4E00 + rng.randrange(900)) for _ in range(500)) for _ in range(600)]
+    docs = spark.createDataFrame([(None, t, "zh") for t in texts] + [(None, "only a few words", "en")], "doc_id long, text string, lang string")
+    g = language_id.grams(texts)[0]
+    want = language_id.KneserNey(*np.unique(g, return_counts=True))
+    model = language_id.fit(docs)
+    assert model.names == ["en", "zh"] and len(np.unique(g)) > 200_000
+    assert np.allclose(model.models[1].discounts, want.discounts)
+    assert np.allclose(model.models[1].prob(g), want.prob(g))
+    got = language_id.identify(docs, model, ["text"]).where("lang_pred = 'zh'").collect()
+    h = language_id.scores([want], [r.text for r in got])[0][:, 0]
+    assert len(got) == 600 and np.allclose([r.cross_entropy for r in got], h)
