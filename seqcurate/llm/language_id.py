@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import functools
 import uuid
 from collections.abc import Iterator
@@ -17,8 +18,10 @@ from .common import cut, mix, pieces, shared_folder
 ORDER = 4
 #: Rows of a model (grams and contexts of all orders) that are read at once, by the driver to broadcast them and by a worker to look grams up.
 SHARD = 1 << 21
-#: Documents, chosen by hash, whose cross-entropies calibrate the rejection.
-CALIBRATION = 4096
+#: The share of a language's learning documents whose cross-entropies, each left out of the model, are within its calibration.
+WITHIN = 0.9
+#: Nats by which the cross-entropy of a text may be higher by chance, times the root of its characters.
+SHORT = 6.0
 
 _letters: list[np.ndarray] = []
 
@@ -202,8 +205,8 @@ def count_grams(docs: DataFrame) -> DataFrame:
 
 
 class LanguageModels:
-    """Languages in the order of their code points, a Kneser-Ney model of each, and for the rejection the highest cross-entropy
-    that the calibration documents of the language have under it."""
+    """Languages in the order of their code points, a Kneser-Ney model of each, and for the rejection the cross-entropy
+    within which WITHIN of its learning documents are, each under the model of the others."""
 
     def __init__(self, names: list[str], models: list[Model]):
         self.names, self.models = names, models
@@ -258,17 +261,58 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     out = LanguageModels(*_learn(count_grams(known.select("text", "lang"))))
     names = out.names
     if names:
-        rows = known.count()
-        share = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, CALIBRATION / max(rows, 1)))
-        sample = _scored(known.where(share), out, keep=["lang"]).where(F.col("letters") > 0).select("lang", "__entropy", "__at").toArrow()
-        said, h = np.array(sample.column("lang").to_pylist(), object), sample.column("__entropy").to_numpy()
-        for k, name in enumerate(names):
-            own = h[said == name]
-            if len(own) >= 8:
-                out.highest[k] = own.max()
+        found = _left_out(known.select("text", "lang"), out).groupBy("at").agg(F.percentile_approx("entropy", WITHIN, 10_000).alias("highest"))
+        for r in found.collect():
+            out.highest[r["at"]] = r.highest
     return out
 
 
+def left_out(model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Cross-entropy (nats a character) of every text under the model without the text's own counts, and its letters.
+
+    A text takes away its count of each four-gram; at lower orders, the continuations that no other text has."""
+    g, ends, letters = grams(texts)
+    kinds, at = _kinds(g)
+    n = np.diff(ends, prepend=0)
+    if not len(g):
+        return np.zeros(len(texts)), letters
+    known = model.statistics(kinds)
+    pair, removed = np.unique(np.repeat(np.arange(len(texts)), n) * len(kinds) + at, return_counts=True)
+    doc, gram, times = pair // len(kinds), pair % len(kinds), removed
+    row, found = np.arange(len(pair)), []  # the row of each pair among those of an order: text, a gram that has the part, what is removed
+    row_doc, row_gram = doc, gram
+    for order in range(ORDER, 0, -1):
+        count, total, sorts = known[order - 1][:, row_gram]
+        gone = (count <= removed) & (removed > 0)
+        _, context = np.unique(_context(kinds, order), return_inverse=True)
+        _, where = np.unique(row_doc * len(kinds) + context[row_gram], return_inverse=True)
+        left = count - removed, total - np.bincount(where, removed)[where], sorts - np.bincount(where, gone)[where]
+        found.append(np.stack([x[row] for x in left]))
+        if order > 1:
+            _, part = np.unique(_low(kinds, order - 1), return_inverse=True)
+            _, first, where = np.unique(row_doc * len(kinds) + part[row_gram], return_index=True, return_inverse=True)
+            row_doc, row_gram, removed, row = row_doc[first], row_gram[first], np.bincount(where, gone).astype(np.int64), where[row]
+    h = -np.log(interpolate(found[::-1], model.discounts))
+    return np.bincount(doc, h * times, len(texts)) / np.maximum(n, 1), letters
+
+
+def _left_out(docs: DataFrame, fitted: LanguageModels) -> DataFrame:
+    """docs: (text, lang). Returns (at, entropy): of each text with letters its language's place, and its cross-entropy (see left_out)."""
+    names, models = fitted.names, fitted.models
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text", 2 << 20):
+                texts, lang = part.column("text").to_pylist(), np.array(part.column("lang").to_pylist(), object)
+                for name in set(lang):
+                    k = bisect.bisect_left(names, name)
+                    h, letters = left_out(models[k], [t for t, x in zip(texts, lang, strict=True) if x == name])
+                    h = h[letters > 0]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), k, np.int32)), pa.array(h)], names=["at", "entropy"])
+
+    return docs.mapInArrow(run, "at int, entropy double")
+
+
 def _scored(docs: DataFrame, fitted: LanguageModels, keep: list[str], text: str = "text") -> DataFrame:
     models = fitted.models
     docs = docs.select(*keep, F.col(text).alias("__text"))
@@ -291,13 +335,13 @@ def identify(docs: DataFrame, fitted: LanguageModels, keep: list[str], text: str
     """The columns in `keep`, with lang_pred string, score double (0 to 1), cross_entropy double, rejected boolean.
 
     lang_pred: the language with the lowest cross-entropy per character over the whole text, the first of equal ones; `und`, with
-    score 0, if the text is null, empty or without letters, or no language was learned. rejected: und, or a cross-entropy over the
-    highest of its language's calibration documents by more than `margin` nats a character, which is text unlike any learned."""
+    score 0, if the text is null, empty or without letters, or no language was learned. rejected: und, or a cross-entropy over its language's
+    calibration (see LanguageModels) by more than `margin` nats a character, wider by SHORT over the root of the text's characters, which is text unlike any learned."""
     docs = docs.drop(*({"lang_pred", "score", "cross_entropy", "rejected"} - set(keep)))
     if not fitted.names:
         return docs.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
     scored = _scored(docs, fitted, keep, text)
     pick = lambda values: F.element_at(F.array(*(F.lit(x) for x in values)), F.col("__at") + 1)
     known = F.col("letters") > 0
-    far = F.col("__entropy") > pick(map(float, fitted.highest)) + margin
+    far = F.col("__entropy") > pick(map(float, fitted.highest)) + margin + SHORT / F.sqrt(F.greatest("__chars", F.lit(1)))
     return scored.select(*keep, F.when(known, pick(fitted.names)).otherwise("und").alias("lang_pred"), F.when(known, F.col("score")).otherwise(0.0).alias("score"), F.when(known, F.col("__entropy")).alias("cross_entropy"), (~known | far).alias("rejected"))

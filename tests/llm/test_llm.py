@@ -375,3 +375,34 @@ def test_language_models_hold_every_gram(spark, monkeypatch, shard):
     got = language_id.identify(docs, model, ["text"]).where("lang_pred = 'zh'").collect()
     h = language_id.scores([want], [r.text for r in got])[0][:, 0]
     assert len(got) == 600 and np.allclose([r.cross_entropy for r in got], h)
+
+
+def test_left_out_is_a_model_of_the_others():
+    rng = random.Random(14)
+    texts = ["", *(" ".join("".join(rng.choice(("ka", "ko", "ra", "mi")) for _ in range(3)) for _ in range(rng.randrange(1, 9))) for _ in range(12))]
+    model = language_id.KneserNey(*np.unique(language_id.grams(texts)[0], return_counts=True))
+    model.statistics = lambda g: language_id.statistics([model.shard], g)
+    got, _ = language_id.left_out(model, texts)
+    for i in range(1, len(texts)):
+        others = language_id.KneserNey(*np.unique(language_id.grams(texts[:i] + texts[i + 1 :])[0], return_counts=True))
+        others.discounts = model.discounts
+        assert got[i] == pytest.approx(language_id.scores([others], [texts[i]])[0][0, 0])
+
+
+def test_rejection_in_a_rare_language(spark):
+    """A language of 40 documents in 20,040, one of them odd, has a threshold all the same."""
+    rng = random.Random(15)
+
+    def text(syllables, n=12):
+        return " ".join("".join(rng.choice(syllables) for _ in range(3)) for _ in range(n))
+
+    xx, zz, other = "ka ko ra mi to".split(), "αλ βε γα δι ωσ".split(), "ши да ло пу жэ".split()
+    greek = lambda: "".join(rng.choice("αβγδεζηθικλμνξοπρστυφχψω ") for _ in range(120))
+    rows = [(i, text(xx), "xx") for i in range(20000)] + [(20000 + i, text(zz), "zz") for i in range(39)] + [(20041, greek(), "zz")]
+    assert language_id.fit(spark.createDataFrame([], "doc_id long, text string, lang string")).names == []
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert np.isfinite(model.highest).all()
+    new = [("clean", text(zz)) for _ in range(20)] + [("clean", text(xx)) for _ in range(20)] + [("strange", greek()) for _ in range(20)] + [("strange", text(other)) for _ in range(20)]
+    got = language_id.identify(spark.createDataFrame(new, "kind string, text string"), model, ["kind"]).collect()
+    assert {(r.kind, r.rejected) for r in got} == {("clean", False), ("strange", True)}
+    assert sum(r.lang_pred == "zz" for r in got if r.kind == "strange") >= 20
