@@ -1,4 +1,4 @@
-"""Near-duplicate documents by an LSH forest over MinHash signatures, confirmed on full shingle sets."""
+"""Near-duplicate documents by banded LSH over MinHash signatures, confirmed on full shingle sets."""
 
 from __future__ import annotations
 
@@ -93,7 +93,7 @@ def _fits(percent: int):
 def candidates(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """reps: (rep, n, copies, heads). Returns candidate pairs (a, b) and the members (hub, hub_n, rep, n) of large regions, but for the hubs.
 
-    In each tree the documents stand sorted by their minima; those with the same minima (see forest) make a region. In a region of up to REGION
+    A tree is a band of minima; documents in which all of a tree's minima are the same (see forest) make a region. In a region of up to REGION
     all are each other's neighbours. In a larger one each is first a neighbour of the region's hub only, the document with most
     exact copies; the rest is settled afterwards (see settle). Pairs whose sizes alone exclude the similarity are left out."""
     rows = reps.select("rep", "n", "copies", F.explode("heads").alias("head"))

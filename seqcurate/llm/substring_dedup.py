@@ -1,4 +1,4 @@
-"""Repeated passages by relative Lempel-Ziv parsing against a corpus-wide index."""
+"""Repeated passages by hashed windows counted over the whole corpus."""
 
 from __future__ import annotations
 
@@ -56,8 +56,7 @@ class Parsed:
 
 
 def factors(repeated: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """Greedy parse of a text of which it is known where windows recur: from each place on, the longest stretch of which every
-    window recurs, as (first word, word after the last). Stretches that touch or overlap are joined."""
+    """The stretches of a text that recurring windows cover, as (first word, word after the last). Those that touch or overlap are joined."""
     place = np.flatnonzero(repeated)
     if not len(place):
         return []
