@@ -1,4 +1,4 @@
-"""Near-duplicate documents by banded LSH over MinHash signatures, confirmed on full shingle sets."""
+"""Near-duplicate documents by an LSH forest of sorted MinHash signatures, confirmed on full shingle sets."""
 
 from __future__ import annotations
 
@@ -15,6 +15,8 @@ from .components import components
 
 #: Of so many pairs at the threshold one shares no region of any tree; a region's size up to which all neighbours are candidates.
 MISS, REGION = 85_000, 16
+#: Bits of a label, and pairs of one document that its set is sent to one task for.
+BITS, LOT = 60, 64
 #: Pairs that a rare difference (see settle) may make at once; beyond it, its documents are first compared with one of them.
 BUCKET = 1024
 #: Ids (of 8 bytes) that are broadcast to find their documents; if more are asked for, texts and ids are shuffled.
@@ -64,47 +66,116 @@ def minima(shingles: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np
 
 
 def _sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """docs: (doc_id, text). Adds n, the fingerprint (f1, f2) of the set, and for each tree of the forest the hash of its minima."""
+    """docs: (doc_id, text). Adds n, the fingerprint (f1, f2) of the set, and its signature: for each tree a label of `depth` minima side by side, cut to
+    the same number of bits, so that labels sort like the minima in turn and two share as many minima as their first bits."""
     trees, depth = forest(percent)
     factors, offsets = _orders(trees * depth)
+    bits = min(32, BITS // depth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text", 2 << 20):
-                n, f1, f2, heads = [], [], [], []
+                n, f1, f2, labels = [], [], [], []
                 for s in shingle_sets(*utf8(part.column("text")), k):
                     n.append(len(s))
                     f1.append(mix(s + np.uint64(1)).sum(dtype=np.uint64))
                     f2.append(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
-                    m = minima(s, factors, offsets).astype(np.uint64)
-                    heads.append(mix(rolling(m, depth, _BASE)[::depth] + np.arange(trees, dtype=np.uint64)).view(np.int64))
+                    m = mix(minima(s, factors, offsets).astype(np.uint64)) >> np.uint64(64 - bits)  # mixed, as the least of many are small numbers
+                    label = np.zeros(trees, np.uint64)
+                    for level in range(depth):
+                        label = (label << np.uint64(bits)) | m[level::depth]
+                    labels.append(label.view(np.int64))
                 if not n:
                     continue
                 flat = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(x)), trees).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.array(f1, np.uint64).view(np.int64)), pa.array(np.array(f2, np.uint64).view(np.int64)), flat(heads)], names=["doc_id", "n", "f1", "f2", "heads"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.array(f1, np.uint64).view(np.int64)), pa.array(np.array(f2, np.uint64).view(np.int64)), flat(labels)], names=["doc_id", "n", "f1", "f2", "labels"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, heads array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, labels array<long>")
 
 
 def _fits(percent: int):
     return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
 
 
-def candidates(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """reps: (rep, n, copies, heads). Returns candidate pairs (a, b) and the members (hub, hub_n, rep, n) of large regions, but for the hubs.
+def regions(reps: DataFrame, percent: int) -> DataFrame:
+    """reps: (rep, n, copies, labels). Returns (tree, label, further, rep, n, m, hub, hub_n): each document's place in each tree's order, if another shares its label.
 
-    A tree is a band of minima; documents in which all of a tree's minima are the same (see forest) make a region. In a region of up to REGION
-    all are each other's neighbours. In a larger one each is first a neighbour of the region's hub only, the document with most
-    exact copies; the rest is settled afterwards (see settle). Pairs whose sizes alone exclude the similarity are left out."""
-    rows = reps.select("rep", "n", "copies", F.explode("heads").alias("head"))
+    The orders of the forest are one signature, begun at each tree's minima in turn: an order's sort key is the tree's own label, then `further`, the next
+    tree's. Documents with the same label are a region of m documents, those that stand together in the order with a common prefix of `depth` minima at
+    least. Its hub is the document with most exact copies."""
+    trees = forest(percent)[0]
+    rows = reps.select("rep", "n", "copies", "labels", F.posexplode("labels").alias("tree", "label"))
+    rows = rows.select("rep", "n", "copies", "tree", "label", F.element_at("labels", F.pmod(F.col("tree") + 1, F.lit(trees)) + 1).alias("further"))
     hub = F.max(F.struct("copies", (-F.col("rep")).alias("other"), "n"))
-    regions = rows.groupBy("head").agg(F.count(F.lit(1)).alias("m"), hub.alias("hub")).where("m > 1")
-    rows = cut(rows.join(regions, "head").select("head", "rep", "n", "m", (-F.col("hub.other")).alias("hub"), F.col("hub.n").alias("hub_n")))
-    small, large = rows.where(F.col("m") <= REGION), rows.where(F.col("m") > REGION)
-    left, right = small.select("head", F.col("rep").alias("a"), F.col("n").alias("na")), small.select("head", F.col("rep").alias("b"), F.col("n").alias("nb"))
-    near = left.join(right, "head").where((F.col("a") < F.col("b")) & _fits(percent)).select("a", "b")
-    star = large.where(F.col("rep") != F.col("hub")).select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"), F.col("n").alias("na"), F.col("hub_n").alias("nb")).where(_fits(percent)).select("a", "b")
-    return near.unionByName(star).distinct(), large.where(F.col("rep") != F.col("hub")).select("hub", "hub_n", "rep", "n").distinct()
+    shared = rows.groupBy("tree", "label").agg(F.count(F.lit(1)).alias("m"), hub.alias("hub")).where("m > 1")
+    return rows.join(shared, ["tree", "label"]).select("tree", "label", "further", "rep", "n", "m", (-F.col("hub.other")).alias("hub"), F.col("hub.n").alias("hub_n"))
+
+
+def neighbours(rows: DataFrame, percent: int) -> DataFrame:
+    """rows: (tree, label, further, rep, n, m, component). Returns pairs (x, y) of different components that are neighbours in a tree's sorted order.
+
+    Range partitions hold a stretch of an order each, sorted by the whole prefix. From a region's label on, the prefix is made longer until at most REGION
+    documents share it, each region as deep as it needs; those are each other's neighbours, and everyone has at least the next one in the order, with whom
+    its common prefix is longest. A region of at most REGION documents stays in one partition; a larger one may lie across several, where neighbours at the border are not met (see settle)."""
+    depth = forest(percent)[1]
+    bits = min(32, BITS // depth)
+    names = ["tree", "label", "further", "rep", "n", "m", "component"]
+
+    def pairs(t: dict[str, np.ndarray]) -> pa.RecordBatch:
+        size = len(t["rep"])
+        lcp = np.full(size + 1, -1)  # minima after the label that a row shares with the one before; -1 in another region
+        same = (t["tree"][1:] == t["tree"][:-1]) & (t["label"][1:] == t["label"][:-1])
+        apart = (t["further"][1:] ^ t["further"][:-1]).view(np.uint64)
+        lcp[1:size] = np.where(same, sum((apart >> np.uint64(bits * (depth - level)) == 0).astype(np.int64) for level in range(1, depth + 1)), -1)
+        reach, open_ = np.arange(1, size + 1), np.ones(size, bool)
+        for level in range(depth + 1):
+            run = np.cumsum(lcp[:size] < level) - 1
+            length = np.bincount(run, minlength=1)
+            fits = open_ & (length[run] <= REGION)
+            reach[fits] = np.cumsum(length)[run[fits]]
+            open_ &= ~fits
+        reach = np.maximum(reach, np.arange(1, size + 1) + (lcp[1:] >= 0))
+        count = reach - np.arange(1, size + 1)
+        x = np.repeat(np.arange(size), count)
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(count) - count, count)
+        low, high = np.minimum(t["n"][x], t["n"][y]), np.maximum(t["n"][x], t["n"][y])
+        good = (t["component"][x] != t["component"][y]) & (low * 100 >= high * percent)
+        return pa.RecordBatch.from_arrays([pa.array(t["rep"][x[good]]), pa.array(t["rep"][y[good]])], names=["x", "y"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            t = {c: batch.column(c).to_numpy() for c in names}
+            if held is not None:
+                t = {c: np.concatenate([held[c], t[c]]) for c in names}
+            if not len(t["rep"]):
+                continue
+            last = int(np.flatnonzero((t["tree"] != t["tree"][-1]) | (t["label"] != t["label"][-1]))[-1:].sum() + 1) if (t["tree"][0], t["label"][0]) != (t["tree"][-1], t["label"][-1]) else 0
+            whole = last if t["m"][-1] <= REGION else len(t["rep"])
+            yield pairs({c: t[c][:whole] for c in names})
+            begin = last if whole == last else max(last, whole - REGION)
+            held = {c: t[c][begin:] for c in names}
+        if held is not None and len(held["rep"]):
+            yield pairs(held)
+
+    wide = F.col("m") > REGION
+    ordered = rows.select(*names).repartitionByRange("tree", "label", F.when(wide, F.col("further")), F.when(wide, F.col("rep"))).sortWithinPartitions("tree", "label", "further", "rep")
+    return ordered.mapInArrow(run, "x long, y long")
+
+
+def candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """rows: see regions. Returns pairs (x, y, m): neighbours in small regions, and in larger ones, of m documents, each y and the region's hub x.
+
+    Pairs whose sizes alone exclude the similarity are left out."""
+    near = neighbours(rows.where(F.col("m") <= REGION).withColumn("component", F.col("rep")), percent).withColumn("m", F.lit(1).cast("long"))
+    star = rows.where((F.col("m") > REGION) & (F.col("rep") != F.col("hub"))).select(F.col("hub").alias("x"), F.col("rep").alias("y"), "m", F.col("n").alias("na"), F.col("hub_n").alias("nb")).where(_fits(percent)).select("x", "y", "m")
+    return _once(near.unionByName(star))
+
+
+def _once(pairs: DataFrame) -> DataFrame:
+    """Each pair (x, y, m) once, whichever of its two is x: the one of the largest m."""
+    one = pairs.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.max(F.struct("m", "x")).alias("top"))
+    return one.select(F.col("top.x").alias("x"), F.when(F.col("top.x") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("y"), F.col("top.m").alias("m"))
 
 
 def _binary_sets(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
@@ -120,23 +191,48 @@ def _binary_sets(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     return docs.join(F.broadcast(asked) if few else asked, "doc_id", "left_semi").mapInArrow(run, "doc_id long, s binary")
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataFrame:
-    """The pairs (a, b) with 100 * |A and B| >= percent * |A or B|, counted on the full sets. docs: (doc_id, text), one row for each id."""
-    sets = _binary_sets(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), k)
+def _compare(docs: DataFrame, pairs: DataFrame, k: int, judge, more: list[str], schema: str) -> DataFrame:
+    """pairs: (x, y, lots, *more). The rows that judge(set of x, set of y) gives for each: (x, y, *more, its value).
+
+    x may be in very many pairs: these are dealt to `lots` lots by hash of y, and its set is sent to each lot once, where it stands before the sets of its
+    y; no row holds two sets, and no task all the pairs of an x. y must not be in many pairs."""
+    pairs = cut(pairs.withColumn("lot", F.pmod(F.xxhash64("y"), F.col("lots"))).drop("lots"))
+    sets = _binary_sets(docs, pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct(), k)
+    of_x = pairs.select("x", "lot").distinct().join(sets.select(F.col("doc_id").alias("x"), "s"), "x")
+    of_y = pairs.join(sets.select(F.col("doc_id").alias("y"), "s"), "y")
+    names = ["x", "y", *more]
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = np.sort(np.concatenate([x, y]))
-                common = int((both[1:] == both[:-1]).sum())
-                linked.append(100 * common >= percent * (len(both) - common))
-            yield batch.filter(pa.array(linked, pa.bool_())).select(["a", "b"])
+            place, found = [], []
+            for i, (y, s) in enumerate(zip(batch.column("y"), batch.column("s"), strict=True)):
+                s = np.frombuffer(s.as_buffer(), np.uint64)
+                if not y.is_valid:
+                    own = s
+                    continue
+                value = judge(own, s)
+                if value is not None:
+                    place.append(i)
+                    found.append(value)
+            kept = batch.take(pa.array(place, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in names), pa.array(found, kind)], names=[*names, "value"])
+
+    both = of_y.unionByName(of_x, allowMissingColumns=True).select("lot", *names, "s").repartition("x", "lot").sortWithinPartitions("x", "lot", F.col("y").isNotNull())
+    kind = pa.list_(pa.int64()) if schema.endswith("array<long>") else pa.bool_()
+    return both.mapInArrow(run, schema)
+
+
+def confirm(docs: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataFrame:
+    """The pairs (x, y, m) with 100 * |X and Y| >= percent * |X or Y|, counted on the full sets, as (a, b). docs: (doc_id, text), one row for each id."""
+
+    def judge(x: np.ndarray, y: np.ndarray) -> bool | None:
+        both = np.sort(np.concatenate([x, y]))
+        common = int((both[1:] == both[:-1]).sum())
+        return 100 * common >= percent * (len(both) - common) or None
 
-    one = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
-    two = one.join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b")
-    return two.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
+    pairs = pairs.select("x", "y", F.ceil(F.col("m") / LOT).cast("int").alias("lots"))
+    return _compare(docs, pairs, k, judge, [], "x long, y long, value boolean").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, k: int = 5) -> DataFrame:
@@ -148,49 +244,51 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     link nothing. An empty table gives an empty result.
 
     Documents with equal sets are one class from the start, found by a fingerprint of 128 bits and a pre-aggregated minimum, however many they are. The smallest id
-    of each goes into the forest (see candidates), and pairs are confirmed on full sets. A pair at the threshold shares no region of the forest once in MISS.
-    What the hubs of large regions leave open is then settled exactly (see settle)."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    known = rows.where(F.col("doc_id").isNotNull())
+    of each goes into the forest (see regions), where neighbours in the sorted orders are candidates, and pairs are confirmed on full sets. A pair at the
+    threshold shares no region of the forest once in MISS. Large regions are linked to their hubs first; where that leaves them in several components, neighbours
+    with longer common prefixes follow (see deepen), and what is open then is settled exactly (see settle)."""
+    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    known = given.where(F.col("doc_id").isNotNull())
     sets = cut(_sets(known, k, percent))
-    classes = sets.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("heads").alias("heads"))
+    classes = sets.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels"))
     classes = cut(classes)
-    pairs, large = candidates(classes, percent)
-    pairs, large = cut(pairs), cut(large)
+    rows = cut(regions(classes, percent))
     texts = known.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(sets) else known
-    links = cut(confirm(texts, pairs, percent, k))
+    links = cut(confirm(texts, candidates(rows, percent), percent, k))
     found = components(links)
-    if not large.isEmpty():
-        found = settle(texts, large, links, found, percent, k)
+    rows = rows.where(F.col("m") > REGION)
+    if not rows.isEmpty():
+        links, found = deepen(texts, rows, links, found, percent, k)
+        found = settle(texts, rows.where("rep <> hub").select("hub", "hub_n", "rep", "n").distinct(), links, found, percent, k)
     member = classes.select("f1", "f2", "n", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", "n", F.coalesce("component", "rep").alias("component"))
     out = sets.select("doc_id", "n", "f1", "f2").join(member, ["f1", "f2", "n"], "left")
     component = F.coalesce("component", "doc_id")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
-    return out.unionByName(_sets(rows.where(F.col("doc_id").isNull()), k, percent).select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept")))
+    return out.unionByName(_sets(given.where(F.col("doc_id").isNull()), k, percent).select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept")))
 
 
 def _repeats(sets: DataFrame) -> bool:
     return not sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
 
 
-def _differences(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
-    """members (hub, hub_n, rep, n, component, ours) with d, the sorted hashes of the shingles that only one of rep and hub has."""
-    asked = members.select(F.col("rep").alias("doc_id")).union(members.select("hub")).distinct()
-    kept = ["hub", "hub_n", "rep", "n", "component", "ours"]
+def deepen(docs: DataFrame, rows: DataFrame, links: DataFrame, found: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame]:
+    """links and found (components) with the links of neighbours in those large regions that are not of one component. rows: of large regions (see regions)."""
+    rows = rows.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    open_ = rows.groupBy("tree", "label").agg(F.min("component").alias("one"), F.max("component").alias("other")).where("one <> other").select("tree", "label")
+    near = neighbours(rows.join(open_, ["tree", "label"], "left_semi"), percent).withColumn("m", F.lit(1).cast("long"))
+    new = cut(confirm(docs, _once(near), percent, k))
+    if new.isEmpty():
+        return links, found
+    links = links.unionByName(new)
+    return links, components(links)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                found.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
-            d = pa.array(found, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), d], names=[*kept, "d"])
 
-    sets = _binary_sets(docs, asked, k)
-    one = members.join(sets.select(F.col("doc_id").alias("hub"), F.col("s").alias("sa")), "hub")
-    two = one.join(sets.select(F.col("doc_id").alias("rep"), F.col("s").alias("sb")), "rep")
-    return two.select(*kept, "sa", "sb").mapInArrow(run, "hub long, hub_n long, rep long, n long, component long, ours boolean, d array<long>")
+def _differences(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """members (hub, hub_n, rep, n, component, ours) with d, the sorted hashes of the shingles that only one of rep and hub has."""
+    more = ["hub_n", "n", "component", "ours"]
+    pairs = members.select(F.col("hub").alias("x"), F.col("rep").alias("y"), *more, F.lit(LOT).alias("lots"))
+    judge = lambda x, y: np.setxor1d(x, y, assume_unique=True).view(np.int64)
+    return _compare(docs, pairs, k, judge, more, "x long, y long, hub_n long, n long, component long, ours boolean, value array<long>").withColumnsRenamed({"x": "hub", "y": "rep", "value": "d"})
 
 
 def _merge(large: DataFrame) -> DataFrame:
@@ -242,15 +340,16 @@ def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame
     crowded = cut(rows.where(F.col("pairs") > BUCKET))
     star = crowded.where("rep <> least").select(F.least("rep", "least").alias("a"), F.greatest("rep", "least").alias("b"), F.col("n").alias("na"), F.col("least_n").alias("nb")).where(_fits(percent)).select("a", "b")
     more = cut(_meet(rows.where(F.col("pairs") <= BUCKET), percent, c).unionByName(star).distinct())
+    lone = lambda pairs: pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), F.lit(LOT * 16).cast("long").alias("m"))
     if more.isEmpty() and new.isEmpty():
         return found
-    links = cut(links.unionByName(confirm(docs, more, percent, k)))
+    links = cut(links.unionByName(confirm(docs, lone(more), percent, k)))
     found = components(links)
     if crowded.isEmpty():
         return found
     crowded = crowded.drop("component").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     last = cut(_meet(crowded, percent, c).distinct().join(more, ["a", "b"], "left_anti"))
-    return found if last.isEmpty() else components(links.unionByName(confirm(docs, last, percent, k)))
+    return found if last.isEmpty() else components(links.unionByName(confirm(docs, lone(last), percent, k)))
 
 
 def _meet(rows: DataFrame, percent: int, c: float) -> DataFrame:
