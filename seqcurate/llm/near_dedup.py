@@ -17,6 +17,8 @@ from .components import components
 MISS, REGION = 85_000, 16
 #: Bits of a label, and pairs of one document that its set is sent to one task for.
 BITS, LOT = 60, 64
+#: Parts in which the rows of a large region are joined with what is known of the region.
+SALTS = 64
 #: Pairs that a rare difference (see settle) may make at once; beyond it, its documents are first compared with one of them.
 BUCKET = 1024
 #: Ids (of 8 bytes) that are broadcast to find their documents; if more are asked for, texts and ids are shuffled.
@@ -275,7 +277,10 @@ def deepen(docs: DataFrame, rows: DataFrame, links: DataFrame, found: DataFrame,
     """links and found (components) with the links of neighbours in those large regions that are not of one component. rows: of large regions (see regions)."""
     rows = rows.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     open_ = rows.groupBy("tree", "label").agg(F.min("component").alias("one"), F.max("component").alias("other")).where("one <> other").select("tree", "label")
-    near = neighbours(rows.join(open_, ["tree", "label"], "left_semi"), percent).withColumn("m", F.lit(1).cast("long"))
+    # a region's rows are joined in SALTS parts, so that one of very many documents is not one task's
+    salted = open_.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(salted, ["tree", "label", "salt"], "left_semi")
+    near = neighbours(rows, percent).withColumn("m", F.lit(1).cast("long"))
     new = cut(confirm(docs, _once(near), percent, k))
     if new.isEmpty():
         return links, found
