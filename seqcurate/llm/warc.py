@@ -19,6 +19,10 @@ from .common import cut, shared_folder
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes that a reading task asks for at once.
 READ = 1 << 20
+#: A payload digest of more than 1 / OFTEN of the repeated rows is broadcast; there are OFTEN at most.
+OFTEN = 50_000
+#: Tasks that read at most.
+MOST = 100_000
 RECORDS = "record_id string, record_type string, target_uri string, refers_to string, payload_digest string, payload_bytes long"
 
 
@@ -56,14 +60,21 @@ def write_warc(pages: DataFrame, folder: str, page_id: str = "page_id", url: str
 
     Payload: the column in UTF-8, null as empty. Of rows with equal payloads of at least `least` bytes the one with the largest
     page_id is the response (all with that id, if it repeats), the others are revisits of it; a null id is the smallest.
-    Equal payloads are found by digest: counted map-side first and joined back, so a payload that a third of the rows share is not
-    gathered anywhere. Each task writes a name of its own and then renames it, so a lost task leaves no half an archive.
+    Equal payloads are found by digest, counted map-side first. Digests of more than 1 / OFTEN of all rows, at most OFTEN of them, come to
+    their rows by broadcast, the others by a join, so a payload that a third of the rows share is one task's nowhere. Repeated rows are records
+    each. Columns other than the three are left out. Each task writes a name of its own and then renames it, so a lost task leaves no half an archive.
     An empty table gives no archives or empty ones."""
     spark = pages.sparkSession
     raw = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(page_id).alias("id"), F.col(url).cast("string").alias("url"), raw.alias("payload")).withColumn("sha", F.sha1("payload"))
     first = rows.where(F.length("payload") >= least).groupBy("sha").agg(F.max("id").alias("top"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = rows.join(first, (rows["sha"] == first["sha"]) & (F.length("payload") >= least), "left")
+    first = cut(first)
+    total = first.agg(F.sum("n")).first()[0] or 0
+    often = first.where(F.col("n") * OFTEN > total).select(F.col("sha").alias("often"), F.col("top").alias("often_top"))
+    rows = rows.join(F.broadcast(often), (F.col("sha") == F.col("often")) & (F.length("payload") >= least), "left")
+    key = F.when(F.col("often").isNull() & (F.length("payload") >= least), F.col("sha")).otherwise(F.concat(F.lit("-"), F.xxhash64("id", "url").cast("string")))
+    rest = first.where(F.col("n") * OFTEN <= total).select(F.col("sha").alias("key"), F.col("top").alias("rest_top"))
+    rows = rows.withColumn("key", key).join(rest, "key", "left").withColumn("top", F.coalesce("often_top", "rest_top"))
     refers = F.when(F.col("top").isNotNull() & ~F.col("id").eqNullSafe(F.col("top")), F.col("top").cast("string"))
     rows = rows.select(F.col("id").cast("string").alias("id"), "url", "payload", refers.alias("refers"))
     at = qualified(spark, folder)
@@ -160,14 +171,17 @@ def members(file, size: int, start: int, end: int) -> Iterator[bytes]:
         yield b"".join(out)
 
 
-def read_warc(archives: DataFrame, payload: bool = True, split: int = 32 << 20) -> DataFrame:
+def read_warc(archives: DataFrame, payload: bool = True, split: int = 128 << 20) -> DataFrame:
     """archives: path, n_bytes. Returns a row for each record: RECORDS, and the payload (binary, empty for revisits) if asked for.
 
-    Every archive is cut into ranges of `split` bytes and the ranges are dealt to tasks. A record belongs to the range in which its
+    Every archive is cut into ranges of `split` bytes, and each range is dealt to a task (up to MOST tasks, that then have several). A record belongs to the range in which its
     member starts; digest and size of a response are those of the payload read, of a revisit those its headers tell. Members that are cut off or no records
     are passed over; empty archives give no rows."""
     ranges = archives.select("path", "n_bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("n_bytes") - 1, F.lit(0)), F.lit(split).cast("long"))).alias("start")).where("n_bytes > 0")
-    ranges = ranges.select("path", "n_bytes", "start", F.least(F.col("start") + split, F.col("n_bytes")).alias("end")).repartition("path", "start")
+    ranges = ranges.select("path", "n_bytes", "start", F.least(F.col("start") + split, F.col("n_bytes")).alias("end"))
+    ranges = cut(ranges)
+    # by number, as the few bytes of a range's row say nothing of the work, and would be put together in one task
+    ranges = ranges.repartitionByRange(max(1, min(MOST, ranges.count())), "path", "start")
     schema = RECORDS + (", payload binary" if payload else "")
     names = [x.split()[0] for x in schema.split(", ")]
 
