@@ -5,7 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections.abc import Callable, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +13,8 @@ from .common import cut, word_count
 
 #: Pieces that a block holds on average. A block is packed by one task, so it leaves a few half-filled bins, not more.
 BLOCK = 4096
+#: Tasks that pack at most; with more blocks than that a task has several.
+TASKS = 50_000
 
 
 def _pack(sizes: Sequence[int], opening: Callable[[int, int], int]) -> list[list]:
@@ -67,7 +69,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str | None = "text", siz
     length and a rest; none is dropped. A document with null or no text has no piece. costs: of a bin of each capacity; its length if not given, and 16 more.
     Pieces are dealt by hash into blocks of about BLOCK, so any number of rows of any kind spreads over tasks; each block is
     packed on its own, longest first, ties by document, copy and piece. Documents that agree in id and size are numbered by
-    `copy`, from 1. An empty table gives an empty result. Reruns agree."""
+    `copy`, from 1; a null id is an id like others, and ids are never changed. Other columns are left out, so their names can't clash. An empty table gives an empty result. Reruns agree."""
     capacities = sorted(set(capacities))
     costs = list(costs) if costs else [c + 16.0 for c in capacities]
     longest = capacities[-1]
@@ -80,17 +82,21 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str | None = "text", siz
     blocks = max(1, -(-pieces.count() // BLOCK))
     dealt = pieces.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "copy", "piece", "n_words"), F.lit(blocks)))
     kind = dict(pieces.dtypes)["doc_id"]
+    dealt = dealt.repartition(min(blocks, TASKS), "block")
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["n_words", "doc_id", "copy", "piece"], ascending=[False, True, True, True], kind="mergesort").reset_index(drop=True)
-        sizes = group["n_words"].tolist()
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("n_words", "descending"), ("doc_id", "ascending"), ("copy", "ascending"), ("piece", "ascending")])
+        sizes = group.column("n_words").to_pylist()
         bin_id, capacity, used, offset = ([0] * len(sizes) for _ in range(4))
-        base = int(group["block"].iloc[0]) << 20
+        base = group.column("block")[0].as_py() << 20
         for k, (room, words, items) in enumerate(pack_block(sizes, capacities, costs)):
             at = 0
             for i in items:
                 bin_id[i], capacity[i], used[i], offset[i] = base + k, room, words, at
                 at += sizes[i]
-        return group.assign(bin_id=bin_id, capacity=capacity, bin_words=used, bin_offset=offset).drop(columns="block")
+        new = (pa.array(bin_id, pa.int64()), pa.array(capacity, pa.int32()), pa.array(used, pa.int64()), pa.array(offset, pa.int64()))
+        for name, column in zip(("bin_id", "capacity", "bin_words", "bin_offset"), new, strict=True):
+            group = group.append_column(name, column)
+        return group.drop_columns("block")
 
-    return dealt.groupBy("block").applyInPandas(run, f"doc_id {kind}, copy long, piece int, start long, n_words long, bin_id long, capacity int, bin_words long, bin_offset long")
+    return dealt.groupBy("block").applyInArrow(run, f"doc_id {kind}, copy long, piece int, start long, n_words long, bin_id long, capacity int, bin_words long, bin_offset long")
