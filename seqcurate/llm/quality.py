@@ -108,13 +108,13 @@ def fit(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str =
             for part in pieces(batch, "text", 1 << 20):
                 doc, bucket, n = _counted(*utf8(part.column("text")))
                 cuts = np.searchsorted(doc, np.arange(len(part) + 1))
-                yield pa.RecordBatch.from_arrays([part.column("grade"), *(pa.array([x[a:b].astype(np.uint16).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()) for x in (bucket, np.minimum(n, 65535)))], names=["grade", "bucket", "n"])
+                yield pa.RecordBatch.from_arrays([part.column("grade"), *(pa.array([x[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()) for x in (bucket, n))], names=["grade", "bucket", "n"])
 
     got = rows.mapInArrow(run, "grade int, bucket binary, n binary").orderBy("grade", "bucket", "n").toArrow()
     grade = got.column("grade").to_numpy().astype(np.int64)
     if len(np.unique(grade)) < 2:
         return None
-    parts = [[np.frombuffer(x, np.uint16) for x in got.column(c).to_pylist()] for c in ("bucket", "n")]
+    parts = [[np.frombuffer(x, np.uint32) for x in got.column(c).to_pylist()] for c in ("bucket", "n")]
     doc = np.repeat(np.arange(len(grade)), [len(x) for x in parts[0]])
     model = Ordinal(int(grade.max()) + 1)
     model.fit(doc, np.concatenate(parts[0]).astype(np.int64), np.concatenate(parts[1]).astype(float), grade)
@@ -122,10 +122,12 @@ def fit(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def grade_documents(docs: DataFrame, model: Ordinal | None, keep: list[str], text: str = "text", above: int = 2, least: float = 0.5) -> DataFrame:
-    """The columns in `keep`, with expected_grade double, tail_probability double (of a grade of at least `above`), kept boolean.
+    """The columns in `keep`, with expected_grade double, tail_probability double (of a grade of at least `above`), kept boolean. A column in `keep`
+    with one of these names gives way to the new one.
 
     kept: the tail probability reaches `least`. A null text counts as empty, which has no features and so the score 0; without a model grade and
     probability are null and everything is kept."""
+    keep = [c for c in keep if c not in ("expected_grade", "tail_probability", "kept")]
     docs = docs.select(*keep, F.col(text).alias("__text"))
     if model is None:
         return docs.select(*keep, F.lit(None).cast("double").alias("expected_grade"), F.lit(None).cast("double").alias("tail_probability"), F.lit(True).alias("kept"))
