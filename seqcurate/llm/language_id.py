@@ -22,6 +22,8 @@ SHARD = 1 << 21
 WITHIN = 0.9
 #: Nats by which the cross-entropy of a text may be higher by chance, times the root of its characters.
 SHORT = 6.0
+#: Characters that a text counts as in its score, at most.
+TEMPER = 40
 
 _letters: list[np.ndarray] = []
 
@@ -316,7 +318,7 @@ def _left_out(docs: DataFrame, fitted: LanguageModels) -> DataFrame:
 def _scored(docs: DataFrame, fitted: LanguageModels, keep: list[str], text: str = "text") -> DataFrame:
     models = fitted.models
     docs = docs.select(*keep, F.col(text).alias("__text"))
-    schema = T.StructType([*docs.schema.fields[:-1], T.StructField("__at", T.IntegerType()), T.StructField("__entropy", T.DoubleType()), T.StructField("__chars", T.LongType()), T.StructField("letters", T.LongType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields[:-1], T.StructField("__at", T.IntegerType()), T.StructField("__entropy", T.DoubleType()), T.StructField("__chars", T.LongType()), T.StructField("__letters", T.LongType()), T.StructField("__score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,7 +326,7 @@ def _scored(docs: DataFrame, fitted: LanguageModels, keep: list[str], text: str
                 h, n, letters = scores(models, part.column("__text").to_pylist())
                 best = h.argmin(1)
                 low = h[np.arange(len(h)), best]
-                certain = 1 / np.exp((low[:, None] - h) * np.minimum(n, 40)[:, None]).sum(1)
+                certain = 1 / np.exp((low[:, None] - h) * np.minimum(n, TEMPER)[:, None]).sum(1)
                 columns = [pa.array(best.astype(np.int32)), pa.array(low), pa.array(n.astype(np.int64)), pa.array(letters), pa.array(np.clip(certain, 0, 1))]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], names=schema.names)
 
@@ -332,16 +334,17 @@ def _scored(docs: DataFrame, fitted: LanguageModels, keep: list[str], text: str
 
 
 def identify(docs: DataFrame, fitted: LanguageModels, keep: list[str], text: str = "text", margin: float = 1.5) -> DataFrame:
-    """The columns in `keep`, with lang_pred string, score double (0 to 1), cross_entropy double, rejected boolean.
+    """The columns in `keep`, with lang_pred string, score double (0 to 1), cross_entropy double, rejected boolean. A column in `keep` with one of
+    these names gives way to the new one. score: the language's share of likelihood among all learned, over TEMPER characters at most, as more would make it 0 or 1.
 
     lang_pred: the language with the lowest cross-entropy per character over the whole text, the first of equal ones; `und`, with
     score 0, if the text is null, empty or without letters, or no language was learned. rejected: und, or a cross-entropy over its language's
     calibration (see LanguageModels) by more than `margin` nats a character, wider by SHORT over the root of the text's characters, which is text unlike any learned."""
-    docs = docs.drop(*({"lang_pred", "score", "cross_entropy", "rejected"} - set(keep)))
+    keep = [c for c in keep if c not in ("lang_pred", "score", "cross_entropy", "rejected")]
     if not fitted.names:
         return docs.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
     scored = _scored(docs, fitted, keep, text)
     pick = lambda values: F.element_at(F.array(*(F.lit(x) for x in values)), F.col("__at") + 1)
-    known = F.col("letters") > 0
+    known = F.col("__letters") > 0
     far = F.col("__entropy") > pick(map(float, fitted.highest)) + margin + SHORT / F.sqrt(F.greatest("__chars", F.lit(1)))
-    return scored.select(*keep, F.when(known, pick(fitted.names)).otherwise("und").alias("lang_pred"), F.when(known, F.col("score")).otherwise(0.0).alias("score"), F.when(known, F.col("__entropy")).alias("cross_entropy"), (~known | far).alias("rejected"))
+    return scored.select(*keep, F.when(known, pick(fitted.names)).otherwise("und").alias("lang_pred"), F.when(known, F.col("__score")).otherwise(0.0).alias("score"), F.when(known, F.col("__entropy")).alias("cross_entropy"), (~known | far).alias("rejected"))
