@@ -9,8 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors of an index shard and queries of a block, on average; a task holds one of each.
-SHARD, QUERIES = 8192, 2048
+#: Vectors of an index shard and queries of a block, on average; a task holds one of each. Blocks are large, as a shard is sent and indexed once for each.
+SHARD, QUERIES = 8192, 32_768
+#: Partitions of the search at most; with more pairs of shard and block a task has several, one after the other.
+TASKS = 50_000
 
 
 def usable(embedding: Column) -> Column:
@@ -45,6 +47,8 @@ def search(vectors: DataFrame, query: Column, k: int, within: Callable[[np.ndarr
                     parts.append(pd.DataFrame({"query_id": ids[place], "vec_id": found, "score": value}))
         return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
+    parts = min(shards * blocks, TASKS)
+    rows, asked = rows.repartition(parts, "shard", "block"), asked.repartition(parts, "shard", "block")
     found = rows.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(run, f"query_id long, vec_id long, score {score}")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
