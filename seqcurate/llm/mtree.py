@@ -17,7 +17,7 @@ PAGE = 128
 class MTree:
     """Paged metric tree over points whose distance is Euclidean.
 
-    A page has a routing object, a covering radius and the distance of each entry to that object. To make the largest inner
+    A page has a routing object (the one of its points that is nearest to their mean), a covering radius and the distance of each entry to that object. To make the largest inner
     product the nearest point, each vector x gets the component sqrt(M^2 - |x|^2), M the largest norm, and a query gets 0:
     distance^2 = M^2 + |q|^2 - 2 q.x, and the triangle inequality holds."""
 
@@ -29,7 +29,8 @@ class MTree:
         self.root = self._build(np.arange(len(matrix)), page)
 
     def _build(self, rows: np.ndarray, page: int) -> int:
-        center = self.points[rows].mean(0)
+        mean = self.points[rows].mean(0)
+        center = self.points[rows[int(((self.points[rows] - mean) ** 2).sum(1).argmin())]]
         away = np.sqrt(((self.points[rows] - center) ** 2).sum(1))
         node = {"center": center, "radius": float(away.max())}
         if len(rows) <= page or node["radius"] == 0:
