@@ -1,4 +1,4 @@
-"""Repeated passages by hashed windows counted over the whole corpus."""
+"""Repeated passages by a relative Lempel-Ziv parse: texts are factored greedily against reference blocks that index the whole corpus."""
 
 from __future__ import annotations
 
@@ -55,7 +55,7 @@ class Parsed:
         return rolling(self.hash, self.window, _TWO).view(np.int64), (rolling(mix(self.hash + np.uint64(1)), self.window, _THREE) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def factors(repeated: np.ndarray, window: int) -> list[tuple[int, int]]:
+def spans_of(repeated: np.ndarray, window: int) -> list[tuple[int, int]]:
     """The stretches of a text that recurring windows cover, as (first word, word after the last). Those that touch or overlap are joined."""
     place = np.flatnonzero(repeated)
     if not len(place):
@@ -65,8 +65,32 @@ def factors(repeated: np.ndarray, window: int) -> list[tuple[int, int]]:
     return [(int(place[a]), int(place[b]) + window) for a, b in zip(first, last, strict=True)]
 
 
+def lookups(repeated: np.ndarray, window: int) -> np.ndarray:
+    """The windows of a text whose reference places a parse asks for: of each run of recurring windows the first, every `window`-th from there, and the last."""
+    flags = np.concatenate(([False], repeated, [False]))
+    begin, end = np.flatnonzero(~flags[:-1] & flags[1:]), np.flatnonzero(flags[:-1] & ~flags[1:])
+    return np.concatenate([np.zeros(0, np.int64), *(np.unique(np.append(np.arange(a, b, window), b - 1)) for a, b in zip(begin, end, strict=True))])
+
+
+def factors(places: list[tuple[int, int, int]], window: int) -> list[dict]:
+    """places: (window, source, place in the source) of a text's lookups, in order. The greedy parse: a factor goes on as long as the next
+    window asked for touches it and stands as far on in its source; else the next factor begins there."""
+    out: list[dict] = []
+    for at, source, source_at in places:
+        last = out[-1] if out else None
+        if last and at <= last["end"] and source == last["source"] and source_at - last["source_start"] == at - last["start"]:
+            last["end"] = at + window
+        else:
+            out.append({"start": at, "end": at + window, "source": source, "source_start": source_at})
+    return out
+
+
+SPANS = "array<struct<start:int,end:int,factors:array<struct<start:int,end:int,source:long,source_start:int>>>>"
+
+
 def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35, anchor: int = ANCHOR) -> DataFrame:
-    """docs with the text cut, and n_words, n_removed (longs), spans array<struct<start,end>> (words) and kept_sha256 string.
+    """docs with the text cut, and n_words, n_removed (longs), spans array<struct<start,end,factors>> (words; factors: array<struct<start,end,source,
+    source_start>>) and kept_sha256 string.
 
     A window is `window` consecutive words of a row; each word is removed that a window covers whose word sequence also starts at any other
     place of the table, the same row included, judged on the input. The rest keeps its own white space, but for what stood after a removed word. kept_sha256 is of the kept words
@@ -74,9 +98,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35, anchor
     their names, except those four and any that begin with `__rlz_`. An empty table gives an empty result.
 
     Texts that are equal are one, with a weight, from the start. The reference is the whole corpus, indexed in blocks: the shuffle partitions that its anchors,
-    and then its windows, are hashed to. (1) Anchors, a fourteenth of the places, are counted, map-side first. Only windows around an anchor that recurs can recur. (2) Each text gets
-    its recurring anchors. (3) The windows around them are looked up in the index, which tells those that stand alone: where a factor ends and the next begins. (4) Each text is
-    parsed greedily into its longest factors; those of at least `window` words are removed. Texts agree if 128 bits of hashes do, windows if 96 bits of hashes of their words do."""
+    and then its windows, are hashed to, each with a hash array of its windows, their numbers and the first place of each (in the order of the texts' hashes). (1) Anchors, a
+    fourteenth of the places, are counted, map-side first. Only windows around an anchor that recurs can recur. (2) Each text gets its recurring anchors. (3) The windows around
+    them are counted in their blocks, and those that stand alone are told to their texts: no factor reaches over them, so they are what is checked at a factor's ends. (4) Each text is parsed
+    greedily between them: it asks the blocks for the reference place of the first window, and of one window's length further on, and so on; a factor is as long as
+    its text goes on like the place at which it began. `source` is the xxhash64 of that place's text; the text that has the first place itself is its own source. A factor has
+    `window` words at least, so all are removed: a span is what those that touch cover. Texts agree if 128 bits of hashes do, windows if 96 bits of hashes of their words do."""
     docs = docs.drop("n_words", "n_removed", "spans", "kept_sha256")
     key = ["__rlz_1", "__rlz_2"]
     keyed = docs.withColumn(key[0], F.xxhash64(text)).withColumn(key[1], F.xxhash64(F.lit(42), text, F.length(text)))
@@ -109,37 +136,58 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35, anchor
     def lists(column: pa.Array) -> list[np.ndarray]:
         return [np.asarray(x.values, np.int64).view(np.uint64) if x.is_valid else np.zeros(0, np.uint64) for x in column]
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, "text", 1 << 20):
-                p = Parsed(part.column("text"), window, anchor)
-                at = np.flatnonzero(p.shared(lists(part.column("anchors"))))
-                if len(at):
-                    one, two = p.fingerprints()
-                    doc = p.doc[at]
-                    own = [pa.array(part.column(k).to_numpy()[doc]) for k in key]
-                    copies = np.minimum(part.column("n").to_numpy()[doc], 2).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(one[at]), pa.array(two[at]), pa.array(copies), *own, pa.array((at - p.edge[doc]).astype(np.int32))], names=["w", "c", "n", *key, "at"])
-
-    found = joined.where(F.col("anchors").isNotNull()).mapInArrow(windows, f"w long, c int, n int, {key[0]} long, {key[1]} long, at int")
-    alone = found.groupBy("w", "c").agg(F.sum("n").alias("n"), *(F.min(k).alias(k) for k in key), F.min("at").alias("at")).where("n = 1")
-    alone = alone.groupBy(*key).agg(F.collect_list("at").alias("alone"))
-    spans_kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    names = [*key, "cut", "n_words", "n_removed", "spans", "kept_sha256"]
+    def recurs(p: Parsed, part: pa.RecordBatch) -> list[np.ndarray]:
+        """For each text, whether each of its windows recurs."""
+        known, out = lists(part.column("anchors")), []
+        shared = p.shared(known) if any(map(len, known)) else np.zeros(len(p.least), bool)
+        for i, alone_at in enumerate(part.column("alone")):
+            own = shared[p.edge[i] : max(p.edge[i], p.edge[i + 1] - window + 1)]
+            if len(own) and alone_at.is_valid:
+                own[np.asarray(alone_at.values, np.int64)] = False
+            out.append(own)
+        return out
+
+    def windows(asking: bool):
+        """All windows around recurring anchors, or of those that recur the ones that a parse asks for."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in pieces(batch, "text", 1 << 20):
+                    p = Parsed(part.column("text"), window, anchor)
+                    if asking:
+                        at = np.concatenate([np.zeros(0, np.int64), *(p.edge[i] + lookups(own, window) for i, own in enumerate(recurs(p, part)))])
+                    else:
+                        at = np.flatnonzero(p.shared(lists(part.column("anchors"))))
+                    if len(at):
+                        one, two = p.fingerprints()
+                        doc = p.doc[at]
+                        own = [pa.array(part.column(k).to_numpy()[doc]) for k in key]
+                        copies = np.minimum(part.column("n").to_numpy()[doc], 2).astype(np.int32)
+                        yield pa.RecordBatch.from_arrays([pa.array(one[at]), pa.array(two[at]), pa.array(copies), *own, pa.array((at - p.edge[doc]).astype(np.int32))], names=["w", "c", "n", *key, "at"])
+
+        return run
+
+    row = f"w long, c int, n int, {key[0]} long, {key[1]} long, at int"
+    first = F.col(key[0]).bitwiseAND(F.lit(-(1 << 20))).bitwiseOR(F.least("at", F.lit((1 << 20) - 1)).cast("long"))  # order of places: text, place in it
+    found = joined.where(F.col("anchors").isNotNull()).mapInArrow(windows(False), row).withColumn("first", first)
+    index = found.groupBy("w", "c").agg(F.sum("n").alias("n"), *(F.min_by(k, "first").alias(k) for k in (*key, "at")))
+    alone = index.where("n = 1").groupBy(*key).agg(F.collect_list("at").alias("alone"))
+    flagged = joined.join(alone, key, "left").select(*key, "n", "text", "anchors", "alone")
+    asked = flagged.where(F.col("anchors").isNotNull()).mapInArrow(windows(True), row).drop("n")
+    places = index.where("n > 1").select("w", "c", F.col(key[0]).alias("source"), F.col("at").alias("source_at"))
+    places = asked.join(places, ["w", "c"]).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("at", "source", "source_at"))).alias("places"))
+    factor_kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("source", pa.int64()), ("source_start", pa.int32())]))
+    names = [*key, "__rlz_cut", "n_words", "n_removed", "spans", "kept_sha256"]
+    spans_kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("factors", factor_kind)]))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text", 1 << 20):
                 p = Parsed(part.column("text"), window, anchor)
-                known = lists(part.column("anchors"))
-                repeated = p.shared(known) if any(map(len, known)) else np.zeros(len(p.least), bool)
                 raw, out = p.data.tobytes(), ([], [], [], [], [])
-                for i, alone_at in enumerate(part.column("alone")):
+                for i, (own, told) in enumerate(zip(recurs(p, part), part.column("places").to_pylist(), strict=True)):
                     a, b = p.edge[i], p.edge[i + 1]
-                    own = repeated[a : max(a, b - window + 1)]
-                    if len(own) and alone_at.is_valid:
-                        own[np.asarray(alone_at.values, np.int64)] = False
-                    spans = factors(own, window)
+                    spans = spans_of(own, window)
                     body = raw[p.at[i] : p.at[i + 1]]
                     kept = body.split()
                     if spans:
@@ -151,17 +199,19 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35, anchor
                         kept += tokens[begin:]
                         parts.append(raw[p.at[i] + cut : p.at[i + 1]])
                         body = b"".join(parts)
-                    row = (body.decode(), b - a, sum(e - s for s, e in spans), [{"start": s, "end": e} for s, e in spans], hashlib.sha256(b" ".join(kept)).hexdigest())
-                    for column, x in zip(out, row, strict=True):
+                    parsed = factors([(x["at"], x["source"], x["source_at"]) for x in told or ()], window)
+                    line = (body.decode(), b - a, sum(e - s for s, e in spans), [{"start": s, "end": e, "factors": [f for f in parsed if s <= f["start"] < e]} for s, e in spans], hashlib.sha256(b" ".join(kept)).hexdigest())
+                    for column, x in zip(out, line, strict=True):
                         column.append(x)
                 new = [pa.array(x, k) for x, k in zip(out, (pa.string(), pa.int64(), pa.int64(), spans_kind, pa.string()), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in key), *new], names=names)
 
-    # n stays, so that both uses of `texts` are one plan and share its exchange
-    parsed = joined.join(alone, key, "left").select(*key, "n", "text", "anchors", "alone").mapInArrow(parse, f"{key[0]} long, {key[1]} long, cut string, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_sha256 string")
+    # n stays, so that all uses of `texts` are one plan and share its exchange
+    parsed = flagged.join(places, key, "left").select(*key, "n", "text", "anchors", "alone", "places")
+    parsed = parsed.mapInArrow(parse, f"{key[0]} long, {key[1]} long, __rlz_cut string, n_words long, n_removed long, spans {SPANS}, kept_sha256 string")
     rest = [c for c in docs.columns if c != text]
     back = keyed.select(*rest, *key, F.col(text).isNull().alias("__rlz_null")).join(parsed, key, "left")
     none = F.sha2(F.lit("").cast("binary"), 256)
-    new = {"n_words": F.coalesce("n_words", F.lit(0)), "n_removed": F.coalesce("n_removed", F.lit(0)), "spans": F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")), "kept_sha256": F.coalesce("kept_sha256", none)}
-    columns = [F.when(~F.col("__rlz_null"), F.col("cut")).alias(text) if c == text else F.col(c) for c in docs.columns]
+    new = {"n_words": F.coalesce("n_words", F.lit(0)), "n_removed": F.coalesce("n_removed", F.lit(0)), "spans": F.coalesce("spans", F.array().cast(SPANS)), "kept_sha256": F.coalesce("kept_sha256", none)}
+    columns = [F.when(~F.col("__rlz_null"), F.col("__rlz_cut")).alias(text) if c == text else F.col(c) for c in docs.columns]
     return back.select(*columns, *(v.alias(k) for k, v in new.items()))
