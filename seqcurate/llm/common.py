@@ -30,9 +30,11 @@ def word_count(text: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset a new one on this machine, in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
