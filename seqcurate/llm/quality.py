@@ -60,8 +60,8 @@ class Ordinal:
         """doc, bucket, n: counts of features in the rated documents. Adam on the mean negative log-likelihood."""
         rows = len(grade)
         total = np.bincount(doc, n, rows)
-        x = self.GAIN * n / np.maximum(total, 1)[doc]
-        seen = np.ones(len(doc)) * 0.3
+        x = (self.GAIN * n / np.maximum(total, 1)[doc]).astype(np.float32)
+        seen = np.full(len(doc), 0.3, np.float32)
         free = np.concatenate(([self.cuts[0]], np.log(np.diff(self.cuts)))) if len(self.cuts) > 1 else self.cuts.copy()
         first, second = [np.zeros(2 * BUCKETS + len(free)) for _ in range(2)]
         value = np.concatenate([self.share, self.present, free])
@@ -108,16 +108,18 @@ def fit(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str =
             for part in pieces(batch, "text", 1 << 20):
                 doc, bucket, n = _counted(*utf8(part.column("text")))
                 cuts = np.searchsorted(doc, np.arange(len(part) + 1))
-                yield pa.RecordBatch.from_arrays([part.column("grade"), *(pa.array([x[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()) for x in (bucket, n))], names=["grade", "bucket", "n"])
+                yield pa.RecordBatch.from_arrays([part.column("grade"), *(pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()) for x in (bucket.astype(np.uint16), n.astype(np.uint32)))], names=["grade", "bucket", "n"])
 
-    got = rows.mapInArrow(run, "grade int, bucket binary, n binary").orderBy("grade", "bucket", "n").toArrow()
-    grade = got.column("grade").to_numpy().astype(np.int64)
+    got = rows.mapInArrow(run, "grade int, bucket binary, n binary").toArrow()
+    got = sorted(zip(*(c.to_pylist() for c in got.columns), strict=True))  # bounded by max_rated; in this order a rerun learns the same
+    grade = np.array([r[0] for r in got], np.int64)
     if len(np.unique(grade)) < 2:
         return None
-    parts = [[np.frombuffer(x, np.uint32) for x in got.column(c).to_pylist()] for c in ("bucket", "n")]
-    doc = np.repeat(np.arange(len(grade)), [len(x) for x in parts[0]])
+    bucket, n = np.frombuffer(b"".join(r[1] for r in got), np.uint16), np.frombuffer(b"".join(r[2] for r in got), np.uint32)
+    doc = np.repeat(np.arange(len(grade), dtype=np.int32), [len(r[1]) // 2 for r in got])
+    del got
     model = Ordinal(int(grade.max()) + 1)
-    model.fit(doc, np.concatenate(parts[0]).astype(np.int64), np.concatenate(parts[1]).astype(float), grade)
+    model.fit(doc, bucket.astype(np.int32), n.astype(np.float32), grade)
     return model
 
 
