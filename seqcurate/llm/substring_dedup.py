@@ -169,12 +169,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35, anchor
 
     row = f"w long, c int, n int, {key[0]} long, {key[1]} long, at int"
     first = F.col(key[0]).bitwiseAND(F.lit(-(1 << 20))).bitwiseOR(F.least("at", F.lit((1 << 20) - 1)).cast("long"))  # order of places: text, place in it
-    found = joined.where(F.col("anchors").isNotNull()).mapInArrow(windows(False), row).withColumn("first", first)
+    found = joined.where(F.col("anchors").isNotNull()).mapInArrow(windows(False), row).where("w is not null and c is not null").withColumn("first", first)
     index = found.groupBy("w", "c").agg(F.sum("n").alias("n"), *(F.min_by(k, "first").alias(k) for k in (*key, "at")))
     alone = index.where("n = 1").groupBy(*key).agg(F.collect_list("at").alias("alone"))
     flagged = joined.join(alone, key, "left").select(*key, "n", "text", "anchors", "alone")
     asked = flagged.where(F.col("anchors").isNotNull()).mapInArrow(windows(True), row).drop("n")
-    places = index.where("n > 1").select("w", "c", F.col(key[0]).alias("source"), F.col("at").alias("source_at"))
+    # both uses of the index ask for the same columns and rows (key[1]; no nulls, as a join wants), so they are one plan and share its exchange
+    places = index.where(F.col(key[1]).isNotNull() & (F.col("n") > 1)).select("w", "c", F.col(key[0]).alias("source"), F.col("at").alias("source_at"))
     places = asked.join(places, ["w", "c"]).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("at", "source", "source_at"))).alias("places"))
     factor_kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("source", pa.int64()), ("source_start", pa.int32())]))
     names = [*key, "__rlz_cut", "n_words", "n_removed", "spans", "kept_sha256"]
