@@ -18,7 +18,7 @@ MISS, REGION = 85_000, 16
 #: Bits of a label, and pairs of one document that its set is sent to one task for.
 BITS, LOT = 60, 64
 #: Parts in which the rows of a large region are joined with what is known of the region.
-SALTS = 64
+SALTS = 16
 #: Pairs that a rare difference (see settle) may make at once; beyond it, its documents are first compared with one of them.
 BUCKET = 1024
 #: Ids (of 8 bytes) that are broadcast to find their documents; if more are asked for, texts and ids are shuffled.
@@ -180,16 +180,15 @@ def _once(pairs: DataFrame) -> DataFrame:
     return one.select(F.col("top.x").alias("x"), F.when(F.col("top.x") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("y"), F.col("top.m").alias("m"))
 
 
-def _binary_sets(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """(doc_id, s): the shingle hashes of the documents asked for, as bytes."""
+def _binary_sets(docs: DataFrame, asked: DataFrame, few: bool, k: int) -> DataFrame:
+    """(doc_id, s): the shingle hashes of the documents asked for, as bytes. few: the ids asked for are BROADCAST at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text", 2 << 20):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(*utf8(part.column("text")), k)], pa.binary())], names=["doc_id", "s"])
 
-    asked = cut(asked)
-    few = asked.count() <= BROADCAST  # a shuffle of the texts to pick a part of them is what costs most
+    # a shuffle of the texts to pick a part of them is what costs most
     return docs.join(F.broadcast(asked) if few else asked, "doc_id", "left_semi").mapInArrow(run, "doc_id long, s binary")
 
 
@@ -199,7 +198,8 @@ def _compare(docs: DataFrame, pairs: DataFrame, k: int, judge, more: list[str],
     x may be in very many pairs: these are dealt to `lots` lots by hash of y, and its set is sent to each lot once, where it stands before the sets of its
     y; no row holds two sets, and no task all the pairs of an x. y must not be in many pairs."""
     pairs = cut(pairs.withColumn("lot", F.pmod(F.xxhash64("y"), F.col("lots"))).drop("lots"))
-    sets = _binary_sets(docs, pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct(), k)
+    asked = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct()
+    sets = _binary_sets(docs, asked, 2 * pairs.count() <= BROADCAST, k)
     of_x = pairs.select("x", "lot").distinct().join(sets.select(F.col("doc_id").alias("x"), "s"), "x")
     of_y = pairs.join(sets.select(F.col("doc_id").alias("y"), "s"), "y")
     names = ["x", "y", *more]
@@ -260,7 +260,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = components(links)
     rows = rows.where(F.col("m") > REGION)
     if not rows.isEmpty():
-        links, found = deepen(texts, rows, links, found, percent, k)
+        links = cut(links.unionByName(deepen(texts, rows, found, percent, k)))
         found = settle(texts, rows.where("rep <> hub").select("hub", "hub_n", "rep", "n").distinct(), links, found, percent, k)
     member = classes.select("f1", "f2", "n", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", "n", F.coalesce("component", "rep").alias("component"))
     out = sets.select("doc_id", "n", "f1", "f2").join(member, ["f1", "f2", "n"], "left")
@@ -273,19 +273,15 @@ def _repeats(sets: DataFrame) -> bool:
     return not sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
 
 
-def deepen(docs: DataFrame, rows: DataFrame, links: DataFrame, found: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame]:
-    """links and found (components) with the links of neighbours in those large regions that are not of one component. rows: of large regions (see regions)."""
+def deepen(docs: DataFrame, rows: DataFrame, found: DataFrame, percent: int, k: int) -> DataFrame:
+    """The links of neighbours in those large regions that are not of one component (see found). rows: of large regions (see regions)."""
     rows = rows.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     open_ = rows.groupBy("tree", "label").agg(F.min("component").alias("one"), F.max("component").alias("other")).where("one <> other").select("tree", "label")
     # a region's rows are joined in SALTS parts, so that one of very many documents is not one task's
     salted = open_.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(salted, ["tree", "label", "salt"], "left_semi")
     near = neighbours(rows, percent).withColumn("m", F.lit(1).cast("long"))
-    new = cut(confirm(docs, _once(near), percent, k))
-    if new.isEmpty():
-        return links, found
-    links = links.unionByName(new)
-    return links, components(links)
+    return confirm(docs, _once(near), percent, k)
 
 
 def _differences(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
@@ -317,7 +313,7 @@ def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame
     If t is 0 or less, both are linked with the hub. Documents that changed a text in different ways share only frequent differences, and meet nowhere.
 
     Hubs are merged first, so hub and member may not have been compared yet; those that prove similar are linked, too.
-    Where the hub's component has all members of its regions, nothing is open. Elsewhere a difference counts only if a member outside that component has it,
+    found: the components before deepen's links, which are among `links`. Where the hub's component has all members of its regions, nothing is open. Elsewhere a difference counts only if a member outside that component has it,
     since one of two members to compare is outside; the others are left out of the sets before these are ordered, which takes no shared one away.
 
     A difference with which more than BUCKET pairs would meet is put off: first its documents are compared with the least of them,
@@ -346,8 +342,6 @@ def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame
     star = crowded.where("rep <> least").select(F.least("rep", "least").alias("a"), F.greatest("rep", "least").alias("b"), F.col("n").alias("na"), F.col("least_n").alias("nb")).where(_fits(percent)).select("a", "b")
     more = cut(_meet(rows.where(F.col("pairs") <= BUCKET), percent, c).unionByName(star).distinct())
     lone = lambda pairs: pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), F.lit(LOT * 16).cast("long").alias("m"))
-    if more.isEmpty() and new.isEmpty():
-        return found
     links = cut(links.unionByName(confirm(docs, lone(more), percent, k)))
     found = components(links)
     if crowded.isEmpty():
