@@ -29,7 +29,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share
     before, left = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
     level = (F.lit(float(share)) * F.sum("source_size").over(one) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(left)
     df = df.withColumn("level", level).withColumn("fits", F.col("cap") <= F.col("level") * F.col("weight"))
-    final = F.min(F.when(~F.col("fits"), F.struct(F.col("cap") / F.col("weight"), F.col("level")))).over(one)["level"]
+    final = F.max(F.when(~F.col("fits"), F.col("level"))).over(one)  # from the first source that is not filled on, levels fall; sources that fill up alike are one step
     target = F.least("cap", F.coalesce(final * F.col("weight"), F.col("cap")))
     return df.select("source", "source_size", "n_docs", target.alias("target"))
 
