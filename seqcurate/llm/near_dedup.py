@@ -133,7 +133,7 @@ def neighbours(rows: DataFrame, percent: int) -> DataFrame:
         for level in range(depth + 1):
             run = np.cumsum(lcp[:size] < level) - 1
             length = np.bincount(run, minlength=1)
-            fits = open_ & (length[run] <= REGION)
+            fits = open_ & (length[run] <= REGION) & ((t["m"] <= REGION) | (level > 0))  # of a large region only a part may be here
             reach[fits] = np.cumsum(length)[run[fits]]
             open_ &= ~fits
         reach = np.maximum(reach, np.arange(1, size + 1) + (lcp[1:] >= 0))
