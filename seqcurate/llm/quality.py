@@ -144,7 +144,7 @@ def grade_documents(docs: DataFrame, model: Ordinal | None, keep: list[str], tex
                 total = np.bincount(doc, n, len(part))
                 score = np.bincount(doc, Ordinal.GAIN * n / np.maximum(total, 1)[doc] * m.share[bucket] + 0.3 * m.present[bucket], len(part))
                 tail = m.tail(score)
-                p = tail[:, above - 1]
+                p = tail[:, above - 1] if above <= tail.shape[1] else np.zeros(len(part))  # a grade above all learned ones
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(tail.sum(1)), pa.array(p), pa.array(p >= least)], names=schema.names)
 
     return docs.mapInArrow(run, schema)
