@@ -20,45 +20,55 @@ from .warc import round_trip
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes, words and greedy word-piece tokens of every document."""
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_bytes", "n_words", "n_tokens")
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document, and its source's size and target."""
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by models of the documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.fit(docs), ["doc_id"]).withColumn("held_out", language_id.held_out(F.col("doc_id"))).select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
 
 
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every 50th vector with all others."""
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in sequences of 512 to 4,096 words."""
     return pack(table(spark, sf_dir, "documents"))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probability of every document by a model of the labels."""
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, quality.ratings(table(spark, sf_dir, "labels")))
     return quality.grade_documents(docs, model, ["doc_id"])
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of each document whose five-word shingles agree by 85 % or more."""
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op8_approximate_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found of every 20th vector."""
     return approximate_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to WARC archives and read back."""
     return round_trip(table(spark, sf_dir, "pages"))
 
 
 def op10_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document in windows of 35 that stand elsewhere, too, and the digest of the rest."""
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
