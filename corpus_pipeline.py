@@ -20,37 +20,38 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the models accept; those without letters, or unlike anything learned, go."""
+    """Documents whose language the models accept; those without letters (null and empty texts, too), or unlike anything learned, go. Very long texts count whole."""
     found = language_id.identify(docs, language_id.fit(docs), list(COLUMNS))
     return found.where(~F.col("rejected")).select(*COLUMNS)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id; documents without an id stay."""
+    """Of each group of near-duplicates the document with the smallest id; documents without an id stay, and of rows that repeat an id all do or none."""
     kept = near_duplicates(docs, percent=SIMILAR).where("kept and doc_id is not null").select("doc_id").distinct()
     named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
     return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*COLUMNS)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that recur; a text may end up empty."""
+    """Texts without the passages that recur; a text may end up empty, a null one stays null, and no document goes."""
     return remove_repeats(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
-    key = F.xxhash64("doc_id", "source", "size").alias("key")
-    taken = mix_sources(docs).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
-    left = docs.select(*COLUMNS, word_count(F.col("text")).alias("size")).select("*", key).alias("l")
-    same = (F.col("l.key") == F.col("r.key")) & F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("l.source").eqNullSafe(F.col("r.source")) & (F.col("l.size") == F.col("r.size"))
-    joined = left.join(taken.select("*", key).alias("r"), same).select(*(f"l.{c}" for c in COLUMNS), "l.key", "copies", "rows")
-    nth = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("text")))  # of rows that agree in id, source and size
-    times = F.floor(F.col("copies") / F.col("rows")) + (nth <= F.col("copies") % F.col("rows")).cast("int")
+    """Every document as often as the mix takes it. Rows are told apart by id and text, so rows without an id are as many documents as they have texts; of rows that
+    agree in both, too, the first ones take what is left over."""
+    row = F.xxhash64("doc_id", "text")
+    taken = mix_sources(docs.withColumn("doc_id", row)).groupBy(F.col("doc_id").alias("row"), "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
+    left = docs.select(*COLUMNS, word_count(F.col("text")).alias("size"), row.alias("row")).alias("l")
+    same = (F.col("l.row") == F.col("r.row")) & F.col("l.source").eqNullSafe(F.col("r.source")) & (F.col("l.size") == F.col("r.size"))
+    joined = left.join(taken.alias("r"), same).select(*(f"l.{c}" for c in COLUMNS), "l.row", "copies", "rows")
+    nth = F.row_number().over(Window.partitionBy("row", "source").orderBy("lang"))
+    times = F.floor(F.col("copies") / F.col("rows")) + F.when(F.col("rows") > 1, (nth <= F.col("copies") % F.col("rows")).cast("int")).otherwise(0)
     return joined.withColumn("times", times.cast("int")).where("times > 0").withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in which sequence."""
+    """Where each piece of each document lies in which sequence; a document without words has no piece."""
     return pack(docs)
 
 
@@ -61,7 +62,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage over sf_dir's documents; the others' are Parquet in the shared folder."""
+    """The result of the last stage over sf_dir's documents; the others' are Parquet in the shared folder. An empty table gives no rows; columns besides COLUMNS are left out."""
     docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
