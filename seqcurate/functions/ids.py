@@ -7,8 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The form of an assembly accession, with or without a version.
-ACCESSION = r"GC[AF]_[0-9]{9}(?:\.[0-9]+)?"
+# The forms of accessions, with or without a version: of assemblies, of curated sequences, of others.
+ASSEMBLY = r"GC[AF]_[0-9]+(?:\.[0-9]+)?"
+CURATED = r"(?:NC|NW|NZ|NT|NG|NM|NR|XM|XR|NP|YP|WP)_[0-9]+(?:\.[0-9]+)?"
+OTHER = r"[A-Z]{1,4}[0-9]{5,}(?:\.[0-9]+)?"
 
 
 def base_accession(col: Column, how: str = "first") -> Column:
@@ -23,13 +25,16 @@ def base_accession(col: Column, how: str = "first") -> Column:
 
 
 def extract_accessions(col: Column) -> Column:
-    """All accessions in free text, distinct, in the order in which they stand, in upper case."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(col, F.lit(rf"(?i)(?<![A-Z0-9])({ACCESSION})(?![0-9])"), F.lit(1)), F.upper))
+    """All accessions in free text, distinct, in the order in which they stand, in upper case; a text that begins with a portal's name is one id if it holds none."""
+    text = F.upper(F.trim(F.coalesce(col, F.lit(""))))
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?<![A-Z0-9])({ASSEMBLY}|{CURATED}|{OTHER})(?![A-Z0-9])"), F.lit(1)))
+    portal = (F.size(found) == 0) & (F.startswith(text, F.lit("JGI:")) | F.startswith(text, F.lit("IMG:")))
+    return F.when(portal, F.array(text)).otherwise(found)
 
 
 def accession_of(col: Column) -> Column:
     """The accession that a fragment id or a file path carries: the part of an id before its first bar, or what a path holds of that form."""
-    found = F.regexp_extract(col, ACCESSION, 0)
+    found = F.regexp_extract(col, ASSEMBLY, 0)
     return F.when(F.contains(col, F.lit("/")) & (found != ""), found).otherwise(F.substring_index(col, "|", 1))
 
 

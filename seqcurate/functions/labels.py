@@ -76,6 +76,57 @@ AMBIGUOUS_SUPERGROUP = {
     "protist(sar/excavata/amoebozoa)": "other_protist",
 }
 OTHER_CLADE = "eukarya_other"
+# Class of an external row's genome type, and of its domain.
+GENOME_TYPE_CLASS = {"mitochondrion": "mitochondria", "plastid": "plastids", "eukarya nuclear": "eukarya"}
+DOMAIN_CLASS = {"archaea": "archaea", "bacteria": "bacteria", "eukarya": "eukarya"}
+# Clade and source group of a taxonomy's names.
+TAXONOMY_CLADE = {
+    "fungi": ("fungi", "fungi"),
+    "ascomycota": ("fungi", "fungi"),
+    "basidiomycota": ("fungi", "fungi"),
+    "microsporidia": ("fungi", "fungi"),
+    "alveolata": ("alveolata", "protozoa"),
+    "apicomplexa": ("alveolata", "protozoa"),
+    "ciliophora": ("alveolata", "protozoa"),
+    "stramenopiles": ("stramenopiles", "protozoa"),
+    "bacillariophyta": ("stramenopiles", "protozoa"),
+    "oomycota": ("stramenopiles", "protozoa"),
+    "euglenozoa": ("other_protist", "protozoa"),
+    "kinetoplastida": ("other_protist", "protozoa"),
+    "discoba": ("other_protist", "protozoa"),
+    "evosea": ("other_protist", "protozoa"),
+    "amoebozoa": ("other_protist", "protozoa"),
+    "rhizaria": ("other_protist", "protozoa"),
+    "chlorophyta": ("algae", "plant"),
+    "rhodophyta": ("algae", "plant"),
+    "bangiophyceae": ("algae", "plant"),
+    "glaucocystophyceae": ("algae", "plant"),
+    "streptophyta": ("land_plant", "plant"),
+    "embryophyta": ("land_plant", "plant"),
+    "viridiplantae": ("land_plant", "plant"),
+    "metazoa": ("metazoa_invertebrate", "invertebrate"),
+    "arthropoda": ("metazoa_invertebrate", "invertebrate"),
+    "nematoda": ("metazoa_invertebrate", "invertebrate"),
+    "chordata": ("metazoa_vertebrate", "vertebrate_other"),
+    "vertebrata": ("metazoa_vertebrate", "vertebrate_other"),
+    "mammalia": ("metazoa_vertebrate", "vertebrate_mammalian"),
+}
+# Source group of a class.
+GROUP_OF_CLASS = {"bacteria": "bacteria", "archaea": "archaea", "mitochondria": "mitochondrion", "plastids": "plastid", "virus": "viral"}
+# Keyword in free text, group and class; the first that occurs counts.
+TEXT_RULES = (
+    ("mitochond", "mitochondrion", "mitochondria"),
+    ("plastid", "plastid", "plastid"),
+    ("chloroplast", "plastid", "plastid"),
+    ("bacteria", "bacteria", "bacteria"),
+    ("archaea", "archaea", "archaea"),
+    ("fung", "fungi", "nuclear_euk"),
+    ("plant", "plant", "nuclear_euk"),
+    ("viridiplant", "plant", "nuclear_euk"),
+    ("euk", "jgi_eukaryota", "nuclear_euk"),
+)
+# Short names of outputs and the classes they stand for.
+OUTPUTS = {"mit": "mitochondrion", "pla": "plastid", "bac": "bacteria", "arc": "archaea", "euk": "eukarya", "unk": "unknown", "pro": "prokarya", "org": "organelle"}
 
 
 def word(col: Column) -> Column:
@@ -152,17 +203,18 @@ def hier_labels(cls: Column, group: Column, policy: str = "other", other: str =
     return F.when(~missing, out) if policy == "skip" else out
 
 
-def classify_external(genome_type: Column, domain: Column, taxonomy: Column, clades: Mapping[str, str], separator: str = ";") -> Column:
-    """struct(class, clade): class by genome type (organelle or virus) or domain; clade of a eukaryote by the most specific token of its taxonomy
-    that the map (lower-case names) knows."""
-    kind, dom = word(genome_type), word(domain)
-    cls = F.when(kind.isin(*LABEL_WORDS["mitochondria"]), "mitochondria").when(kind.isin(*LABEL_WORDS["plastids"]), "plastids")
-    cls = cls.when(kind.isin(*LABEL_WORDS["virus"]) | dom.isin(*LABEL_WORDS["virus"]), "virus")
-    for name in ("eukarya", "bacteria", "archaea"):
-        cls = cls.when(dom.isin(*LABEL_WORDS[name]), name)
-    tokens = F.transform(F.reverse(F.split(F.coalesce(taxonomy, F.lit("")), separator)), lambda x: lookup(F.lower(F.trim(x)), clades))
-    clade = F.get(F.filter(tokens, lambda x: x.isNotNull()), F.lit(0))
-    return F.struct(cls.alias("class"), F.when(cls == "eukarya", F.coalesce(clade, F.lit(OTHER_CLADE))).alias("clade"))
+def classify_external(genome_type: Column, domain: Column, taxonomy: Column) -> Column:
+    """struct(class, stage1, clade, how, group): class by genome type, else by domain (null if neither is known); of a eukaryote clade and group by the most
+    specific name of its taxonomy that is known, else the fallback."""
+    cls = F.coalesce(lookup(word(genome_type), GENOME_TYPE_CLASS), lookup(word(domain), DOMAIN_CLASS))
+    names = F.filter(F.transform(F.split(F.lower(F.coalesce(taxonomy, F.lit(""))), "[;,/|>]+"), lambda x: F.trim(x)), lambda x: x != "")
+    known = F.create_map(*(x for k, (clade, group) in TAXONOMY_CLADE.items() for x in (F.lit(k), F.struct(F.lit(clade).alias("clade"), F.lit(group).alias("group")))))
+    hit = F.get(F.filter(F.transform(F.reverse(names), lambda x: F.element_at(known, x)), lambda x: x.isNotNull()), F.lit(0))
+    euk = cls == "eukarya"
+    clade = F.when(euk, F.coalesce(hit["clade"], F.lit(OTHER_CLADE)))
+    how = F.when(cls.isNull(), "unmapped").when(euk, F.when(hit.isNotNull(), "taxonomy_string").otherwise("fallback"))
+    group = F.when(euk, F.coalesce(hit["group"], F.lit("protozoa"))).otherwise(lookup(cls, GROUP_OF_CLASS))
+    return F.struct(cls.alias("class"), stage1_of(cls).alias("stage1"), clade.alias("clade"), how.alias("how"), group.alias("group"))
 
 
 def bucket(first: Column, second: Column) -> Column:
@@ -170,10 +222,20 @@ def bucket(first: Column, second: Column) -> Column:
     return F.when((first == "organelle") & second.isNotNull(), second).otherwise(first)
 
 
-def group_and_class(text: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
-    """struct(group, class) of the first rule (keyword, group, class) whose keyword the text contains."""
-    low, none = word(text), F.lit(None).cast("string")
-    out = F.struct(none.alias("group"), none.alias("class"))
+def wanted_outputs(names: Sequence[str]) -> list[str]:
+    """Classes of a list of short or full output names, each once; with `all`, every class."""
+    low = [n.strip().lower() for n in names if n and n.strip()]
+    found = [OUTPUTS.get(n, n) for n in low if n != "all"]
+    unknown = [n for n in found if n not in OUTPUTS.values()]
+    if unknown:
+        raise ValueError(f"unknown outputs: {unknown}")
+    return list(OUTPUTS.values()) if "all" in low else list(dict.fromkeys(found))
+
+
+def group_and_class(text: Column, rules: Sequence[tuple[str, str, str]] = TEXT_RULES) -> Column:
+    """struct(group, class) of the first rule (keyword, group, class) whose keyword the text contains; both empty if none does."""
+    low = word(text)
+    out = F.struct(F.lit("").alias("group"), F.lit("").alias("class"))
     for key, group, cls in reversed(list(rules)):
         out = F.when(F.contains(low, F.lit(key)), F.struct(F.lit(group).alias("group"), F.lit(cls).alias("class"))).otherwise(out)
     return out

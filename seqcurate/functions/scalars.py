@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from .ids import clean
 from .labels import lookup
 
-# Terms that show a metagenome-assembled genome, a non-isolate source, and a third-generation technology.
-MAG_PHRASES = ("metagenome-assembled", "metagenome assembled", "derived from metagenome", "metagenomic assembly")
-NON_ISOLATE = ("environmental sample", "metagenome", "single cell", "uncultured", "unculturable")
-THIRD_GENERATION = ("hifi", "minion", "nanopore", "oxford", "pacbio", "pacific biosciences", "promethion", "sequel", "smrt")
+# Terms that show a metagenome-assembled genome, a non-isolate source, and a third-generation technology; the first that occurs is told.
+MAG_PHRASES = ("derived from metagenome", "metagenome-derived", "metagenome derived", "metagenome-assembled", "metagenome assembled genome")
+NON_ISOLATE = ("derived from metagenome", "metagenome-assembled", "metagenome assembled", "metagenomic", "environmental sample", "single-cell", "single cell genome")
+THIRD_GENERATION = ("pacbio", "pac bio", "smrt", "hifi", "sequel", "revio", "nanopore", "oxford nanopore", "promethion", "minion", "gridion")
+TRUTHY = ("1", "true", "yes", "y", "mag")
+# The kinds of a virus's genome, by what its group's name holds when only letters and digits are left.
+VIRUS_GENOMES = {"dsdna": "dsDNA", "ssdna": "ssDNA", "dsrna": "dsRNA", "ssrna": "ssRNA", "retro": "retro"}
 # Rank of an assembly's category and level.
 CATEGORY_RANK = {"reference genome": 0, "representative genome": 1}
 LEVEL_RANK = {"complete genome": 0, "chromosome": 1, "scaffold": 2, "contig": 3}
@@ -29,12 +32,14 @@ def number(col: Column, default: float | None = None) -> Column:
 def acgt_purity(seq: Column) -> Column:
     """Share of A, C, G and T of either case; 0 for an empty or null sequence."""
     n = F.length(seq)
-    return F.when(n > 0, F.length(F.regexp_replace(F.upper(seq), "[^ACGT]", "")) / n).otherwise(0.0)
+    return F.when(n > 0, (n - F.length(F.translate(seq, "ACGTacgt", ""))) / n).otherwise(0.0)
 
 
-def filter_quality(df: DataFrame, seq: str, min_len: int, min_purity: float) -> DataFrame:
-    """Rows of at least min_len letters and min_purity."""
-    return df.where((F.length(seq) >= min_len) & (acgt_purity(F.col(seq)) >= min_purity))
+def filter_quality(df: DataFrame, seq: str, min_len: int, min_purity: float, purity: str | None = None) -> DataFrame:
+    """Rows of at least min_len letters and min_purity; `purity` names a column for it, so that it is computed once."""
+    name = purity or "__purity"
+    out = df.where(F.length(seq) >= min_len).withColumn(name, acgt_purity(F.col(seq))).where(F.col(name) >= min_purity)
+    return out if purity else out.drop(name)
 
 
 def composition(df: DataFrame, group: Sequence[str], seq: str, max_n: float, max_other: float) -> DataFrame:
@@ -147,39 +152,49 @@ def first_term(text: Column, terms: Sequence[str]) -> Column:
 
 
 def evidence(text: Column, kind: str, flag: Column | None = None) -> Column:
-    """Evidence in free text: `mag` (an explicit flag, a phrase, or the word), `non_isolate` or `third_generation`; the first term found."""
+    """Evidence in free text, the first term found, null if none: `mag` (an explicit flag, a phrase, or the bare word), `non_isolate` or `third_generation`."""
     if kind == "third_generation":
         return first_term(text, THIRD_GENERATION)
     if kind == "non_isolate":
         return first_term(text, NON_ISOLATE)
     if kind != "mag":
         raise ValueError(f"unknown kind of evidence: {kind}")
-    word = F.when(F.lower(F.coalesce(text, F.lit(""))).rlike(r"(^|[^a-z0-9])mag([^a-z0-9]|$)"), "mag")
-    explicit = F.when(F.lower(F.coalesce(flag.cast("string"), F.lit(""))).isin("1", "true", "yes"), "is_mag") if flag is not None else F.lit(None).cast("string")
-    return F.coalesce(explicit, first_term(text, MAG_PHRASES), word)
+    bare = F.when(F.lower(F.coalesce(text, F.lit(""))).rlike("(^|[^a-z])mag([^a-z]|$)"), "MAG")
+    explicit = F.when(F.lower(F.trim(F.coalesce(flag.cast("string"), F.lit("")))).isin(*TRUTHY), "explicit_is_mag") if flag is not None else F.lit(None).cast("string")
+    return F.coalesce(explicit, first_term(text, MAG_PHRASES), bare)
 
 
-def reasons(*tests: tuple[Column, str]) -> Column:
+def reasons(*tests: tuple[Column, str | Column]) -> Column:
     """Array of the names of the tests that hold."""
     return F.filter(F.array(*(F.when(F.coalesce(test, F.lit(False)), name) for test, name in tests)), lambda x: x.isNotNull())
 
 
-def hard_filter(df: DataFrame, sources: Sequence[str] | None = None, since: str | None = None, until: str | None = None, latest: bool = True, full: bool = True) -> DataFrame:
-    """Rows of the sources, with an accession of the usual form and a download path, the latest version, fully represented, and dated in the window
-    (YYYY/MM/DD, compared as text; rows without a date stay)."""
-    test = F.col("assembly_accession").rlike(r"^GC[AF]_[0-9]{9}\.[0-9]+$") & clean(F.col("ftp_path")).isNotNull()
-    if sources:
-        test &= F.col("source").isin(*sources)
+def passes_hard_filter(mag: Column, before: str | None = None, after: str | None = None, latest: bool = True, full: bool = True, exclude_mag: bool = False) -> Column:
+    """Whether a row (entity_type, source, source_native_id, assembly_accession, ftp_path, version_status, genome_rep, seq_rel_date) passes; never null.
+
+    Rows that are no assemblies pass. Of assemblies, those with MAG evidence fail if these are excluded; those of the genome portal pass if they have any id; the others
+    need a versioned accession, a path, the latest version and full representation (rows that don't tell pass), and a date, if told, from `after` to the day before `before`
+    (YYYY/MM/DD, compared as text)."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    date = text("seq_rel_date")
+    ncbi = text("assembly_accession").rlike(r"^GC[AF]_[0-9]+\.[0-9]+$") & ~text("ftp_path").isin("", "na")
     if latest:
-        test &= F.lower(F.coalesce(clean(F.col("version_status")), F.lit("latest"))) == "latest"
+        ncbi &= text("version_status").isin("", "latest")
     if full:
-        test &= F.lower(F.coalesce(clean(F.col("genome_rep")), F.lit("full"))) == "full"
-    date = clean(F.col("seq_rel_date"))
-    if since:
-        test &= date.isNull() | (date >= since)
-    if until:
-        test &= date.isNull() | (date <= until)
-    return df.where(test)
+        ncbi &= F.lower(text("genome_rep")).isin("", "full")
+    if before:
+        ncbi &= (date == "") | (date < before)
+    if after:
+        ncbi &= (date == "") | (date >= after)
+    portal = (text("source_native_id") != "") | (text("assembly_accession") != "")
+    assembly = F.when(text("source").isin("jgi", "jgi_gold"), portal).otherwise(ncbi)
+    if exclude_mag:
+        assembly = mag.isNull() & assembly
+    return F.when(text("entity_type") != "assembly", True).otherwise(assembly)
+
+
+def hard_filter(df: DataFrame, mag: Column, before: str | None = None, after: str | None = None, latest: bool = True, full: bool = True, exclude_mag: bool = False) -> DataFrame:
+    return df.where(passes_hard_filter(mag, before, after, latest, full, exclude_mag))
 
 
 def quality_gates(min_size: float = 0, max_size: float = 0, levels: Sequence[str] = (), full: bool = True, max_contigs: float = 0, exclude_flagged: bool = True) -> Column:
@@ -202,19 +217,31 @@ def quality_gates(min_size: float = 0, max_size: float = 0, levels: Sequence[str
     return reasons(*tests)
 
 
-def virus_qc(molecule: Column, completeness: Column, length: Column, ambiguous: Column, min_length: int = 1000, max_ambiguous: float = 0.05) -> Column:
-    """struct(genome_type, flags) of a virus: type by its molecule's name, flags by its metadata."""
-    low = F.lower(F.coalesce(molecule, F.lit("")))
-    kind = F.when(F.contains(low, F.lit("dsdna")), "dsDNA").when(F.contains(low, F.lit("ssdna")), "ssDNA").when(F.contains(low, F.lit("dsrna")), "dsRNA")
-    kind = kind.when(low.rlike(r"ssrna.*\(\+\)|ssrna\+|positive"), "ssRNA+").when(low.rlike(r"ssrna.*\(-\)|ssrna-|negative"), "ssRNA-").when(F.contains(low, F.lit("rna")), "RNA").when(F.contains(low, F.lit("dna")), "DNA").otherwise("unknown")
-    flags = reasons((F.lower(completeness) == "partial", "PARTIAL"), (clean(completeness).isNull(), "COMPLETENESS_UNKNOWN"), (length < min_length, "BELOW_MIN_LENGTH"), (ambiguous > max_ambiguous, "AMBIGUOUS_BASES"))
-    return F.struct(kind.alias("genome_type"), flags.alias("flags"))
+def virus_genome_type(group: Column) -> Column:
+    bare = F.regexp_replace(F.lower(F.coalesce(group, F.lit(""))), "[^a-z0-9]+", "")
+    return F.coalesce(*(F.when(F.contains(bare, F.lit(k)), v) for k, v in VIRUS_GENOMES.items()), F.lit("unknown"))
+
+
+def virus_qc(accession: Column, taxid: Column, url: Column, group: Column, reported: Column, allowed: Sequence[str] = (), min_length: float = 0, require_taxid: bool = True) -> Column:
+    """struct(genome_type, flags) of a virus sequence: its type, and the reasons for which its metadata fail."""
+    kind, empty = virus_genome_type(group), lambda c: F.coalesce(c.cast("string"), F.lit("")) == ""
+    length = number(reported, 0.0)
+    tests = [(~F.coalesce(accession, F.lit("")).rlike(r"^[A-Z][A-Z0-9_]*[0-9]+(\.[0-9]+)?$"), F.lit("INVALID_ACCESSION"))]
+    if require_taxid:
+        tests.append((empty(taxid), F.lit("MISSING_TAXID")))
+    tests.append((empty(url), F.lit("MISSING_DOWNLOAD_URL")))
+    if allowed:
+        tests.append((~kind.isin(*allowed), F.concat(F.lit("GENOME_TYPE_"), kind)))
+    if min_length:
+        tests.append(((length != 0) & (length < min_length), F.lit("REPORTED_GENOME_TOO_SHORT")))
+    return F.struct(kind.alias("genome_type"), reasons(*tests).alias("flags"))
 
 
-def size_class(hint: Column, kind: Column, small: float = 10e6, medium: float = 100e6, large: float = 1e9) -> Column:
-    """Download class by a size in bytes; without one, by type: sequences are small, assemblies medium."""
-    by_size = F.when(hint <= small, "small").when(hint <= medium, "medium").when(hint <= large, "large").otherwise("huge")
-    return F.when(hint > 0, by_size).when(F.contains(F.lower(kind), F.lit("sequence")), "small").otherwise("medium")
+def size_class(hint: Column, kind: Column, small_mb: int = 20, medium_mb: int = 200) -> Column:
+    """Download class: a virus segment is small; others go by size in bytes, medium if it is not known."""
+    size, mb = number(hint, 0.0), 1024 * 1024
+    by_size = F.when(size <= 0, "medium").when(size <= small_mb * mb, "small").when(size <= medium_mb * mb, "medium").otherwise("large")
+    return F.when(kind == "viral_segment_fna", "small").otherwise(by_size)
 
 
 def quality_order(anchor: Column | None = None, accession: str = "assembly_accession") -> list[Column]:

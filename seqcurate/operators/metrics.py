@@ -4,27 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import keep_by_id, md5_number
+from .order import running
 
-def census(df: DataFrame, by: Sequence[str], bp: str) -> DataFrame:
-    """Records, base pairs and mean length of every combination of the values of `by`, absent ones as 0."""
+
+def census(df: DataFrame, by: Sequence[str], bp: str, grid: DataFrame | None = None) -> DataFrame:
+    """Records, base pairs and mean length of every group, null values being a group like others. With `grid` (the columns `by`: a known dimension, such as splits
+    by classes), its combinations that are absent have 0."""
     got = df.groupBy(*by).agg(F.count(F.lit(1)).alias("records"), F.sum(bp).alias("bp"))
-    grid = None
-    for c in by:
-        values = df.select(c).distinct()
-        grid = values if grid is None else grid.crossJoin(values)
-    return grid.join(got, list(by), "left").na.fill(0, ["records", "bp"]).withColumn("mean_bp", F.coalesce(F.try_divide("bp", "records"), F.lit(0.0)))
+    if grid is not None:
+        own = grid.select(*(F.col(c).alias(f"_{c}") for c in by)).distinct()
+        test = F.lit(True)
+        for c in by:
+            test &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+        both = got.join(F.broadcast(own), test, "full")
+        got = both.select(*(F.coalesce(c, f"_{c}").alias(c) for c in by), "records", "bp")
+    return got.na.fill(0, ["records", "bp"]).withColumn("mean_bp", F.coalesce(F.try_divide("bp", "records"), F.lit(0.0)))
 
 
 def coverage_cells(df: DataFrame, by: Sequence[str], accession: str, bp: str) -> DataFrame:
-    """Per cell: fragments, base pairs, accessions, and of the fragments of an accession the largest number, the upper median and the Gini coefficient."""
+    """Per cell: fragments, base pairs, accessions, and of the fragments of an accession the largest number, the upper median and the Gini coefficient.
+
+    An accession's number of fragments is all that counts, so the windows are over each cell's different numbers, not over its accessions."""
     per = df.groupBy(*by, accession).agg(F.count(F.lit(1)).alias("n"), F.sum(bp).alias("bp"))
+    kinds = per.groupBy(*by, "n").agg(F.count(F.lit(1)).alias("c"), F.sum("bp").alias("bp"))
     cell = Window.partitionBy(*by)
-    per = per.withColumn("i", F.row_number().over(cell.orderBy("n", accession))).withColumn("m", F.count(F.lit(1)).over(cell))
-    gini = 2 * F.sum(F.col("i") * F.col("n")) / (F.max("m") * F.sum("n")) - (F.max("m") + 1) / F.max("m")
-    return per.groupBy(*by).agg(F.sum("n").alias("fragments"), F.sum("bp").alias("bp"), F.max("m").alias("accessions"), F.max("n").alias("largest"), F.max(F.when(F.col("i") == F.floor(F.col("m") / 2) + 1, F.col("n"))).alias("median"), gini.alias("gini"))
+    kinds = kinds.withColumn("upto", F.sum("c").over(cell.orderBy("n").rowsBetween(Window.unboundedPreceding, 0))).withColumn("m", F.sum("c").over(cell))
+    # of c accessions that stand last up to place `upto`, the places add up to c * upto - c * (c - 1) / 2
+    places = F.col("c") * F.col("upto") - F.col("c") * (F.col("c") - 1) / 2
+    gini = 2 * F.sum(places * F.col("n")) / (F.max("m") * F.sum(F.col("n") * F.col("c"))) - (F.max("m") + 1) / F.max("m")
+    middle = F.min(F.when(F.col("upto") >= F.floor(F.col("m") / 2) + 1, F.col("n")))
+    return kinds.groupBy(*by).agg(F.sum(F.col("n") * F.col("c")).alias("fragments"), F.sum("bp").alias("bp"), F.max("m").alias("accessions"), F.max("n").alias("largest"), middle.alias("median"), gini.alias("gini"))
 
 
 def leakage(df: DataFrame, keys: Sequence[str], split: str) -> DataFrame:
@@ -53,29 +66,35 @@ def class_metrics(cells: DataFrame, classes: Sequence[str]) -> DataFrame:
 
 
 def _cumulative(df: DataFrame, score: str, y: str) -> DataFrame:
-    """Per distinct score, falling: rows and positives so far, and all positives. Pre-aggregated, so the window is over scores, not rows."""
-    per = df.groupBy(F.col(score).alias("score")).agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("pos"))
-    down = Window.partitionBy(F.lit(0)).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    return per.select("score", "pos", F.sum("n").over(down).alias("rows"), F.sum("pos").over(down).alias("tp"), F.sum("pos").over(Window.partitionBy(F.lit(0))).alias("all_pos"))
+    """Per distinct score, falling: rows and positives so far, and all positives."""
+    per = df.groupBy(F.col(score).alias("score")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("long")).alias("pos"))
+    all_pos = df.agg(F.sum(F.col(y).cast("long")).alias("all_pos"))
+    return running(per, [F.desc("score")], {"rows": F.col("n"), "tp": F.col("pos")}).crossJoin(F.broadcast(all_pos))
 
 
-def best_f1(df: DataFrame, score: str, y: str) -> DataFrame:
-    """The threshold with the highest F1 (the highest such one), and that F1."""
+def best_f1(df: DataFrame, score: str, y: str, eligible: Column | None = None) -> DataFrame:
+    """The threshold with the highest F1 (the highest such one), and that F1. Rows that are not eligible score -1."""
+    if eligible is not None:
+        df = df.withColumn(score, F.when(eligible, F.col(score)).otherwise(-1.0))
     f1 = F.coalesce(F.try_divide(2.0 * F.col("tp"), F.col("rows") + F.col("all_pos")), F.lit(0.0))
     return _cumulative(df, score, y).agg(F.max_by("score", F.struct(f1, F.col("score"))).alias("threshold"), F.max(f1).alias("f1"))
 
 
-def auprc(df: DataFrame, score: str, y: str) -> DataFrame:
-    """Average precision: each step in recall times the precision there."""
+def auprc(df: DataFrame, score: str, y: str, eligible: Column | None = None) -> DataFrame:
+    """Average precision: each step in recall times the precision there. Rows that are not eligible score 0."""
+    if eligible is not None:
+        df = df.withColumn(score, F.when(eligible, F.col(score)).otherwise(0.0))
     return _cumulative(df, score, y).agg(F.sum(F.col("pos") / F.col("all_pos") * F.col("tp") / F.col("rows")).alias("auprc"))
 
 
-def compare(df: DataFrame, a: str, b: str, y: str, by: Sequence[str] = ()) -> DataFrame:
-    """Two models on the same rows: agreement quadrants, disagreement, the accuracy difference that is detectable, and the accuracy of an oracle."""
+def compare(df: DataFrame, a: str, b: str, y: str, by: Sequence[str] = (), losses: tuple[str, str] | None = None) -> DataFrame:
+    """Two models on the same rows: agreement quadrants, disagreement, the accuracy difference that is detectable, and the accuracy of an oracle; with the columns of
+    their losses also how these correlate, and the first one's standard deviation over the second's."""
     right_a, right_b = F.col(a) == F.col(y), F.col(b) == F.col(y)
     n, d = F.count(F.lit(1)), F.avg((F.col(a) != F.col(b)).cast("double"))
     count = lambda t: F.count(F.when(t, 1))
-    return df.groupBy(*by).agg(n.alias("n"), count(right_a & right_b).alias("both"), count(right_a & ~right_b).alias("only_a"), count(~right_a & right_b).alias("only_b"), count(~right_a & ~right_b).alias("neither"), d.alias("disagreement"), (2.8 * F.sqrt(d / n)).alias("detectable"), (count(right_a | right_b) / n).alias("oracle_accuracy"))
+    more = [F.corr(*losses).alias("loss_correlation"), (F.stddev_pop(losses[0]) / F.greatest(F.lit(1e-12), F.stddev_pop(losses[1]))).alias("std_ratio")] if losses else []
+    return df.groupBy(*by).agg(n.alias("n"), count(right_a & right_b).alias("both"), count(right_a & ~right_b).alias("only_a"), count(~right_a & right_b).alias("only_b"), count(~right_a & ~right_b).alias("neither"), d.alias("disagreement"), (2.8 * F.sqrt(d / n)).alias("detectable"), (count(right_a | right_b) / n).alias("oracle_accuracy"), *more)
 
 
 def length_hist(df: DataFrame, by: Sequence[str], bp: str) -> DataFrame:
@@ -83,14 +102,37 @@ def length_hist(df: DataFrame, by: Sequence[str], bp: str) -> DataFrame:
 
 
 def pareto(df: DataFrame, name: str, metric: str, speed: str) -> DataFrame:
-    """Rows that no faster row equals or beats in the metric."""
-    faster = Window.partitionBy(F.lit(0)).orderBy(F.desc(speed), F.desc(metric), name).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("_best", F.max(metric).over(faster)).where(F.col("_best").isNull() | (F.col(metric) > F.col("_best"))).drop("_best")
+    """Rows that no faster row equals or beats in the metric: of each speed the best metric counts, and of these those above all faster ones."""
+    best = df.where(F.col(metric).isNotNull() & F.col(speed).isNotNull()).groupBy(speed).agg(F.max(metric).alias("m"), F.min_by(name, F.struct(-F.col(metric), F.col(name))).alias(name))
+    faster = running(best, [F.desc(speed)], {"faster": F.col("m")}, largest=True, before=True)
+    return df.join(faster.where(F.col("faster").isNull() | (F.col("m") > F.col("faster"))).select(name), name, "left_semi")
+
+
+def pareto_winner(df: DataFrame, name: str, metric: str, speed: str, max_drop: float) -> DataFrame:
+    """The fastest row whose metric is at most max_drop below the best; ties to the better metric, then to the smaller name."""
+    best = df.agg(F.max(metric).alias("_best"))
+    near = df.crossJoin(F.broadcast(best)).where(F.col(metric) >= F.col("_best") - max_drop).drop("_best")
+    return near.orderBy(F.desc(speed), F.desc(metric), name).limit(1)
 
 
 def fingerprint(df: DataFrame, by: Sequence[str], id_: str, bp: str) -> DataFrame:
-    """Per group: records, base pairs and an order-independent hash of the ids."""
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("records"), F.sum(bp).alias("bp"), F.bit_xor(F.xxhash64(id_)).alias("ids"))
+    """Per group: records, base pairs and a hash of the ids in any order, which repeated ids change: the sum of their 32-bit md5 numbers and of the squares of these."""
+    h = md5_number(F.col(id_).cast("string"))
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("records"), F.sum(bp).alias("bp"), F.sum(h).alias("ids"), F.sum((h % 65_536) * (h % 65_536)).alias("ids2"))
+
+
+def verify_fingerprint(old: DataFrame, new: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Groups whose fingerprints differ, with the problem: missing, unexpected or changed. Empty if the datasets are the same."""
+    same = F.lit(True)
+    for c in by:
+        same &= F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))
+    fields = ("records", "bp", "ids", "ids2")
+    equal = F.lit(True)
+    for c in fields:
+        equal &= F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))
+    problem = F.when(F.col("n.records").isNull(), "missing").when(F.col("o.records").isNull(), "unexpected").when(~equal, "changed")
+    both = old.alias("o").join(new.alias("n"), same, "full").withColumn("problem", problem).where("problem is not null")
+    return both.select(*(F.coalesce(f"o.{c}", f"n.{c}").alias(c) for c in by), "problem")
 
 
 def project(stats: DataFrame, priors: DataFrame, cls: str, n: str, target: int) -> DataFrame:
@@ -105,3 +147,36 @@ def pred_share(df: DataFrame, pred: str) -> DataFrame:
     """The most predicted class (ties: the first) and its share of all predictions."""
     per = df.groupBy(F.col(pred).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
     return per.agg(F.min_by("pred", F.struct(-F.col("n"), F.col("pred"))).alias("pred"), (F.max("n") / F.sum("n")).alias("share"))
+
+
+def stratum_census(df: DataFrame, stratum: str, how: str, bp: str) -> DataFrame:
+    """Per stratum: records, base pairs, and how many records came to it by their class, supergroup, an ambiguous supergroup or the fallback."""
+    n = lambda *names: F.count(F.when(F.col(how).isin(*names), 1))
+    return df.groupBy(F.col(stratum).alias("stratum")).agg(F.count(F.lit(1)).alias("records"), F.sum(bp).alias("bp"), n("class").alias("by_class"), n("taxid", "group", "supergroup").alias("by_supergroup"), n("ambiguous_sg_collapsed").alias("ambiguous"), n("fallback").alias("fallback"))
+
+
+def repair_matrix(df: DataFrame, before: str, after: str, classes: Sequence[str]) -> DataFrame:
+    """Per class (of `classes`, and unknown): records before and after relabelling, those that moved out and in, and whether it was emptied. A row without a new class is unknown."""
+    cells = df.groupBy(F.col(before).alias("f"), F.coalesce(F.col(after), F.lit("unknown")).alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    sides = cells.select("n", "f", "t", F.explode(F.array(F.struct(F.col("f").alias("class_name"), F.lit("f").alias("side")), F.struct(F.col("t").alias("class_name"), F.lit("t").alias("side")))).alias("x")).select("n", "f", "t", "x.*")
+    total = lambda test: F.sum(F.when(test, F.col("n")).otherwise(0))
+    moved = F.col("f") != F.col("t")
+    per = sides.groupBy("class_name").agg(total(F.col("side") == "f").alias("before"), total(F.col("side") == "t").alias("after"), total((F.col("side") == "f") & moved).alias("moved_out"), total((F.col("side") == "t") & moved).alias("moved_in"))
+    known = df.sparkSession.createDataFrame([(c,) for c in [*classes, "unknown"]], "class_name string")
+    out = known.join(per, "class_name", "full").na.fill(0)
+    return out.withColumn("emptied", (F.col("before") > 0) & (F.col("after") == 0))
+
+
+def leakage_union(a: DataFrame, b: DataFrame, keys: Sequence[str], split: str, record: str) -> DataFrame:
+    """(kind, problems) over both tables together: values of each key that occur in more than one split (empty ones don't count), and rows that repeat a record's id."""
+    both = a.select(record, split, *keys).unionByName(b.select(record, split, *keys))
+    long = both.select(F.col(split).alias("split"), F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("value")) for k in keys))).alias("x")).select("split", "x.*").where(F.coalesce("value", F.lit("")) != "")
+    per = long.groupBy("kind", "value").agg(F.countDistinct("split").alias("c")).groupBy("kind").agg(F.count(F.when(F.col("c") > 1, 1)).alias("problems"))
+    ids = both.groupBy(record).agg((F.count(F.lit(1)) - 1).alias("more")).agg(F.lit("record_id").alias("kind"), F.coalesce(F.sum("more"), F.lit(0)).alias("problems"))
+    return per.unionByName(ids)
+
+
+def census_sample(df: DataFrame, by: Sequence[str], id_: str, bp: Column, fraction: float, how: str = "crc32") -> DataFrame:
+    """An estimate of census(): records and base pairs of the rows that hash sampling keeps, over the fraction; the mean length is that of the sample."""
+    some = df.where(keep_by_id(F.col(id_), fraction, how=how))
+    return some.groupBy(*by).agg(F.bround(F.count(F.lit(1)) / fraction).cast("long").alias("records"), F.bround(F.sum(bp) / fraction).cast("long").alias("bp"), F.round(F.avg(bp), 6).alias("mean_bp"))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import keep_by_id, md5_fraction
+from ..functions.scalars import filter_quality, keep_by_id, md5_fraction
 
 
 def apportion(df: DataFrame, ratio: str, total: int, key: str) -> DataFrame:
@@ -35,7 +35,7 @@ def water_fill(df: DataFrame, total: Column, weight: str, cap: str, key: str, gr
     weights = F.sum(weight).over(order.rowsBetween(0, Window.unboundedFollowing))
     left = total.cast("double") - (F.sum(base).over(by) if floor else F.lit(0.0)) - filled
     df = df.withColumn("_level", F.when(weights > 0, left / weights))
-    level = F.min(F.when(F.col("_at") > F.col("_level"), F.struct("_at", "_level"))).over(by)["_level"]
+    level = F.min(F.when(F.col("_at") > F.col("_level"), F.struct("_at", F.col(key).alias("_key"), "_level"))).over(by)["_level"]  # of the first such row in the order
     share = F.when(F.col(weight) > 0, base + F.least(F.col("_room"), F.coalesce(F.greatest(level, F.lit(0.0)) * F.col(weight), F.col("_room")))).otherwise(base)
     return df.withColumn("level_share", share).drop("_room", "_at", "_level")
 
@@ -66,30 +66,60 @@ def allocate_capped(df: DataFrame, total: Column, weight: str, cap: str, key: st
     return df.withColumn("quota", F.col("_q") + F.greatest(F.lit(0), F.least(F.col("_free"), F.col("_drift") - before))).drop("_q", "_free", "_drift", "level_share")
 
 
-def bp_plan(stats: DataFrame, priors: Mapping[str, float], weights: Mapping[str, float], divided: str = "eukarya") -> DataFrame:
+def bp_plan(stats: DataFrame, priors: Mapping[str, float], weights: Mapping[str, float], divided: str = "eukarya", total: int | None = None) -> DataFrame:
     """stats: (stratum, bp). Returns stratum, available_bp, target_bp, rate.
 
-    The total is the most that keeps the priors: the least of available / prior. A class's target is its prior's share; that of the divided class
-    goes to its clades (strata <class>/<clade>) by weighted water-filling."""
+    The total, if not given, is the most that keeps the priors: the least of available / prior. A class's target is its prior's share; that of the divided class
+    goes to its clades (strata <class>/<clade>) by weighted water-filling. A target over what a class, or the weighted clades together, have is an error when the plan is read."""
     spark = stats.sparkSession
-    classes = spark.createDataFrame([(k, float(v)) for k, v in priors.items()], "class string, prior double")
+    whole = sum(priors.values())
+    classes = spark.createDataFrame([(k, float(v) / whole) for k, v in priors.items()], "class string, prior double")
     clades = spark.createDataFrame([(f"{divided}/{k}", float(v)) for k, v in weights.items()], "stratum string, weight double")
     top = stats.groupBy(F.substring_index("stratum", "/", 1).alias("class")).agg(F.sum("bp").alias("bp"))
     top = classes.join(top, "class", "left").na.fill(0, ["bp"])
-    total = top.where("prior > 0").agg(F.floor(F.min(F.col("bp") / F.col("prior"))).alias("total"))
-    target = top.crossJoin(total).select("class", F.col("bp").alias("available_bp"), F.bround(F.col("total") * F.col("prior")).cast("long").alias("target_bp"))
-    split = clades.join(stats.select("stratum", "bp"), "stratum", "left").na.fill(0, ["bp"]).crossJoin(target.where(F.col("class") == divided).select(F.col("target_bp").alias("goal")))
-    split = allocate_capped(split, F.col("goal"), "weight", "bp", "stratum").select("stratum", F.col("bp").alias("available_bp"), F.col("quota").alias("target_bp"))
+    most = top.where("prior > 0").agg(F.floor(F.min(F.col("bp") / F.col("prior"))).alias("total")) if total is None else spark.createDataFrame([(total,)], "total long")
+    wish = F.bround(F.col("total") * F.col("prior")).cast("long")
+    fail = lambda text: F.raise_error(F.concat(F.lit(text), F.col("class"))).cast("long")
+    target = top.crossJoin(most).select("class", F.col("bp").alias("available_bp"), F.when(wish > F.col("bp"), fail("the total is infeasible for ")).otherwise(wish).alias("target_bp"))
+    goal = target.where(F.col("class") == divided).select(F.col("class").alias("class"), F.col("target_bp").alias("goal"))
+    split = clades.join(stats.select("stratum", "bp"), "stratum", "left").na.fill(0, ["bp"]).crossJoin(goal)
+    split = allocate_capped(split, F.col("goal"), "weight", "bp", "stratum")
+    short = F.sum("quota").over(Window.partitionBy(F.lit(0))) < F.col("goal")
+    split = split.select("stratum", F.col("bp").alias("available_bp"), F.when(short, fail("the weighted clades cannot fill the target of ")).otherwise(F.col("quota")).alias("target_bp"))
     out = target.where(F.col("class") != divided).withColumnRenamed("class", "stratum").unionByName(split)
     return out.withColumn("rate", F.when(F.col("available_bp") > 0, F.col("target_bp") / F.col("available_bp")).otherwise(0.0))
 
 
+def clade_coverage(stats: DataFrame, weights: Mapping[str, float], divided: str = "eukarya") -> DataFrame:
+    """(clade, weight, bp, problem, redistributed): the weighted clades, and which have no data, so that their weight goes to the others; redistributed: that weight in all."""
+    clades = stats.sparkSession.createDataFrame([(k, f"{divided}/{k}", float(v)) for k, v in weights.items() if v > 0], "clade string, stratum string, weight double")
+    out = clades.join(stats.select("stratum", "bp"), "stratum", "left").na.fill(0, ["bp"])
+    empty = F.col("bp") <= 0
+    lost = F.coalesce(F.sum(F.when(empty, F.col("weight"))).over(Window.partitionBy(F.lit(0))), F.lit(0.0))
+    return out.select("clade", "weight", "bp", F.when(empty, "no_data").alias("problem"), lost.alias("redistributed"))
+
+
 def bp_balance(df: DataFrame, plan: DataFrame, id_: str, stratum: str = "stratum", seed: int = 42, how: str = "crc32") -> DataFrame:
     """The rows that hash sampling keeps at their stratum's rate. The plan has a row for each stratum and is joined by it."""
     rates = plan.select(F.col("stratum").alias(stratum), "rate")
     return df.join(rates, stratum).where(keep_by_id(F.col(id_), F.col("rate"), seed, how)).drop("rate")
 
 
+def balance_splits(df: DataFrame, splits: Sequence[str], priors: Mapping[str, float], weights: Mapping[str, float], seq: str, id_: str, divided: str = "eukarya", min_len: int = 0, min_purity: float = 0.0, seed: int = 42, how: str = "crc32") -> DataFrame:
+    """df (split, stratum, bp and the sequence): each of `splits` sampled to a bp_plan of its own, of its rows of at least min_len letters and min_purity; other splits stay as they are. Only
+    train and validation can be balanced: a balanced test split would say nothing of the data as they come."""
+    bad = [s for s in splits if s not in ("train", "validation")]
+    if bad:
+        raise ValueError(f"splits that cannot be balanced: {bad}")
+    good = filter_quality(df, seq, min_len, min_purity)
+    out = df.where(~F.col("split").isin(*splits))
+    for split in splits:
+        rows = good.where(F.col("split") == split)
+        plan = bp_plan(rows.groupBy("stratum").agg(F.sum("bp").alias("bp")), priors, weights, divided)
+        out = out.unionByName(bp_balance(rows, plan, id_, "stratum", seed, how).select(*df.columns))
+    return out
+
+
 def sampling_report(plan: DataFrame, kept: DataFrame, bp: str, stratum: str = "stratum") -> DataFrame:
     """Available, target and kept base pairs of each stratum, with the signed error in percent."""
     got = kept.groupBy(stratum).agg(F.sum(bp).alias("kept_bp"), F.count(F.lit(1)).alias("kept_records"))
@@ -97,15 +127,20 @@ def sampling_report(plan: DataFrame, kept: DataFrame, bp: str, stratum: str = "s
     return out.select("stratum", "available_bp", "target_bp", "kept_bp", "kept_records", F.when(F.col("target_bp") > 0, 100.0 * (F.col("kept_bp") - F.col("target_bp")) / F.col("target_bp")).alias("error_pct"))
 
 
-def balance_rates(counts: DataFrame, mode: str, count: str = "n", total: float | None = None, max_rate: float = 1.0, min_rows: int = 0) -> DataFrame:
-    """counts with rate and expected rows: none keeps all, sqrt and linear level the classes; never over max_rate, never under min_rows."""
+def balance_rates(counts: DataFrame, mode: str, count: str = "n", total: int | None = None, base_rate: float = 1.0, max_rate: float = 1.0, min_rows: int = 0) -> DataFrame:
+    """counts with rate and expected rows: `none` keeps base_rate of each class, `sqrt` and `linear` share the total (all rows times base_rate, if not given) by the root of the count, or equally;
+    at least min_rows, at most max_rate. Rates have six decimals. Classes without rows are left out."""
+    if mode not in ("none", "sqrt", "linear"):
+        raise ValueError(f"unknown mode: {mode}")
+    counts = counts.where(F.col(count) > 0)
     if mode == "none":
-        return counts.withColumn("rate", F.lit(float(max_rate))).withColumn("expected", F.col(count) * F.lit(float(max_rate)))
-    weight = F.sqrt(count) if mode == "sqrt" else F.lit(1.0)
-    one = Window.partitionBy(F.lit(0))
-    goal = F.lit(float(total)) if total else F.sum(count).over(one)
-    rate = F.least(F.lit(float(max_rate)), F.greatest(goal * weight / F.sum(weight).over(one), F.lit(float(min_rows))) / F.col(count))
-    return counts.withColumn("rate", rate).withColumn("expected", F.col(count) * F.col("rate"))
+        rate = F.lit(float(base_rate))
+    else:
+        weight = F.sqrt(count) if mode == "sqrt" else F.lit(1.0)
+        one = Window.partitionBy(F.lit(0))
+        goal = F.lit(float(total)) if total is not None else F.floor(F.sum(count).over(one) * base_rate)
+        rate = F.bround(F.least(F.lit(float(max_rate)), F.greatest(goal * (weight / F.sum(weight).over(one)), F.lit(float(min_rows))) / F.col(count)), 6)
+    return counts.withColumn("rate", rate).withColumn("expected", F.floor(F.col(count) * F.col("rate")).cast("long"))
 
 
 def class_weights(df: DataFrame, cls: str) -> DataFrame:

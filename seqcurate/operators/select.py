@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import base_accession
+from . import features
+from .order import kept, placed
 
 
 def genus_balance(df: DataFrame, order: Sequence[Column], species: str, genus: str, scope: Sequence[str], cap: int) -> DataFrame:
@@ -33,34 +35,41 @@ def pick_genus(df: DataFrame, quota: DataFrame, genus: str, order: Sequence[Colu
     return df.withColumn("genus_rank", rank).join(quota, genus).where(anchor | (F.col("genus_rank") <= F.col("quota")))
 
 
-def round_robin(df: DataFrame, family: str, order: Sequence[Column], limit: int) -> DataFrame:
-    """`limit` rows: the first of every family, then the second; families in the order of their best row."""
-    df = df.withColumn("turn", F.row_number().over(Window.partitionBy(family).orderBy(*order)))
-    best = df.where("turn = 1").orderBy(*order).select(family, F.row_number().over(Window.orderBy(*order)).alias("family_no"))
-    return df.join(best, family).orderBy("turn", "family_no").limit(limit)
+def round_robin(df: DataFrame, family: str, order: Sequence[Column], limit: int, by: Sequence[str] = ()) -> DataFrame:
+    """`limit` rows (of each group `by`): the first of every family, then the second; families in the order of their best row. Adds turn and family_no."""
+    df = df.withColumn("turn", F.row_number().over(Window.partitionBy(*by, family).orderBy(*order)))
+    best = placed(df.where("turn = 1"), order, "family_no", by).select(*by, family, "family_no")
+    joined = df.join(best, [*by, family])
+    return placed(joined, [F.col("turn"), F.col("family_no")], "place", by, limit).drop("place")
 
 
 def class_cap(df: DataFrame, cls: str, order: Sequence[Column], cap: int, exempt: Column) -> DataFrame:
-    """The best `cap` rows of each class; exempt rows stay and do not count."""
-    rank = F.row_number().over(Window.partitionBy(cls, exempt).orderBy(*order))
-    return df.withColumn("class_rank", F.when(~exempt, rank)).where(exempt | (F.col("class_rank") <= cap))
+    """The best `cap` rows of each class, with class_rank; exempt rows stay, unranked, and do not count."""
+    ranked = placed(df.where(~exempt), order, "class_rank", [cls], cap)
+    return ranked.unionByName(df.where(exempt), allowMissingColumns=True)
 
 
-def union_prefer(dfs: Sequence[DataFrame], key: str, prefer: Column) -> DataFrame:
-    """One row for each version-stripped key of several tables: a preferred row, else the first seen. Missing columns are null."""
+def union_prefer(dfs: Sequence[DataFrame], key: str, prefer: Column, ordinal: str) -> DataFrame:
+    """One row for each version-stripped key of several tables: the first preferred row, else the first seen. Tables in turn, rows by `ordinal`.
+
+    Columns that a table lacks are null. Rows without a key are left out."""
     out = None
     for i, df in enumerate(dfs):
         df = df.withColumn("_table", F.lit(i))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    rank = F.row_number().over(Window.partitionBy(base_accession(F.col(key))).orderBy(F.when(prefer, 0).otherwise(1), "_table", key))
-    return out.withColumn("_rank", rank).where("_rank = 1").drop("_rank", "_table")
-
-
-def versioned_join(left: DataFrame, right: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    """left with the values of the row of right that has its key, else of the first that has it without version, and match: exact, base or null."""
-    exact = right.groupBy(key).agg(F.first(F.struct(*values)).alias("_e"))
-    base = right.groupBy(base_accession(F.col(key)).alias("_b")).agg(F.min_by(F.struct(*values), key).alias("_v"))
-    joined = left.join(exact, key, "left").join(base, base_accession(left[key]) == base["_b"], "left")
+    order = F.struct(F.when(prefer, 0).otherwise(1).alias("p"), "_table", ordinal)
+    rows = out.where(F.coalesce(F.col(key), F.lit("")) != "")
+    columns = [c for c in out.columns if c != "_table"]
+    first = rows.groupBy(base_accession(F.col(key)).alias("_base")).agg(F.min_by(F.struct(*columns), order).alias("_row"))
+    return first.select("_row.*")
+
+
+def versioned_join(left: DataFrame, right: DataFrame, key: str, values: Sequence[str], ordinal: str, how: str = "last") -> DataFrame:
+    """left with the values of the first row (by `ordinal`) of right that has its key, else of the first that has it without version, and match: exact, base or null."""
+    row = F.struct(*values)
+    exact = right.groupBy(F.col(key).alias("_x")).agg(F.min_by(row, ordinal).alias("_e"))
+    base = right.groupBy(base_accession(F.col(key), how).alias("_b")).agg(F.min_by(row, ordinal).alias("_v"))
+    joined = left.join(exact, left[key] == exact["_x"], "left").join(base, base_accession(left[key], how) == base["_b"], "left")
     found = F.coalesce("_e", "_v")
     match = F.when(F.col("_e").isNotNull(), "exact").when(F.col("_v").isNotNull(), "base")
     return joined.select(*[left[c] for c in left.columns], *(found[v].alias(v) for v in values), match.alias("match"))
@@ -69,12 +78,16 @@ def versioned_join(left: DataFrame, right: DataFrame, key: str, values: Sequence
 def dedup_exact(df: DataFrame, content: str, split: str, priority: Sequence[str], block: Sequence[str] = ()) -> DataFrame:
     """Rows of a split whose content no row of a split of higher priority has, in the same block; copies within a split stay.
 
-    Content is compared by digest, and the first split that has one is a pre-aggregated minimum, so copies meet nowhere.
+    Content is compared by digest, and the first split that has one is a pre-aggregated minimum, so copies meet nowhere. Rows without content equal nothing and
+    stay; blocks are compared with nulls equal. A split that is not in `priority` is an error.
     A row removed from its split does not count there: what a higher split has lost, one above it has, too."""
-    place = F.array_position(F.array(*(F.lit(p) for p in priority)), F.col(split)).cast("int")
-    df = df.withColumn("_digest", F.sha2(F.col(content).cast("binary"), 256)).withColumn("_place", place)
-    first = df.groupBy(*block, "_digest").agg(F.min("_place").alias("_first"))
-    return df.join(first, [*block, "_digest"]).where(F.col("_place") == F.col("_first")).drop("_digest", "_place", "_first")
+    known = F.array(*(F.lit(p) for p in priority))
+    place = F.when(F.array_contains(known, F.col(split)), F.array_position(known, F.col(split))).otherwise(F.raise_error(F.concat(F.lit("split without a priority: "), F.coalesce(F.col(split), F.lit("null")))).cast("long")).cast("int")
+    df = df.withColumn("_place", place)
+    keyed = df.where(F.col(content).isNotNull()).withColumn("_digest", F.sha2(F.to_json(F.struct(*(F.col(c).alias(f"b{i}") for i, c in enumerate(block)), F.sha2(F.col(content).cast("binary"), 256).alias("c"))), 256))
+    first = keyed.groupBy("_digest").agg(F.min("_place").alias("_first"))
+    rows = keyed.join(first, "_digest").where(F.col("_place") == F.col("_first")).select(*df.columns)
+    return rows.unionByName(df.where(F.col(content).isNull())).drop("_place")
 
 
 def drop_leaky(test: DataFrame, train: DataFrame, key: str) -> DataFrame:
@@ -89,18 +102,20 @@ def accept_hits(hits: DataFrame, min_id: float = 0.95, min_cov: float = 0.95) ->
 
 def regroup(df: DataFrame, removed: DataFrame, id_: str, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """The rows that were not removed, and per group those in, kept and removed, and the share kept."""
-    kept = df.join(removed.select(F.col(removed.columns[0]).alias(id_)).distinct(), id_, "left_anti")
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows_in")).join(kept.groupBy(*by).agg(F.count(F.lit(1)).alias("kept")), list(by), "left").na.fill(0, ["kept"])
-    return kept, counts.withColumn("removed", F.col("rows_in") - F.col("kept")).withColumn("retention", F.col("kept") / F.col("rows_in"))
+    left = df.join(removed.select(F.col(removed.columns[0]).alias(id_)).distinct(), id_, "left_anti")
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows_in")).join(left.groupBy(*by).agg(F.count(F.lit(1)).alias("kept")), list(by), "left").na.fill(0, ["kept"])
+    return left, counts.withColumn("removed", F.col("rows_in") - F.col("kept")).withColumn("retention", F.col("kept") / F.col("rows_in"))
+
 
+def mag_qc(contigs: DataFrame, hits: DataFrame, min_id: float = 0.9, min_cov: float = 0.5, max_foreign: float = 0.05) -> DataFrame:
+    """Per genome: base pairs of contigs whose best hit is in its own kingdom, in another, in none; dropped if the foreign share of those assigned reaches max_foreign.
 
-def mag_qc(contigs: DataFrame, hits: DataFrame, max_foreign: float = 0.1) -> DataFrame:
-    """Per genome: base pairs of contigs whose best hit (identity times coverage) is in its own kingdom, in another, in none; dropped if the
-    foreign share reaches max_foreign."""
-    best = hits.groupBy("contig_id").agg(F.max_by("target_kingdom", F.struct(F.col("fident") * F.col("qcov"), -F.col("ordinal"))).alias("kingdom"))
+    Hits below the identity or either coverage do not count. Best: identity times coverage, the first (by `ordinal`) of equal ones."""
+    good = hits.where((F.col("fident") >= min_id) & (F.col("qcov") >= min_cov) & (F.col("tcov") >= min_cov))
+    best = good.groupBy("contig_id").agg(F.max_by("target_kingdom", F.struct(F.col("fident") * F.col("qcov"), -F.col("ordinal"))).alias("kingdom"))
     bp = lambda test: F.sum(F.when(test, F.col("length")).otherwise(0))
     out = contigs.join(best, "contig_id", "left").groupBy("mag_id").agg(bp(F.col("kingdom") == F.col("mag_kingdom")).alias("own_bp"), bp(F.col("kingdom") != F.col("mag_kingdom")).alias("foreign_bp"), bp(F.col("kingdom").isNull()).alias("unassigned_bp"), F.sum("length").alias("bp"))
-    share = F.coalesce(F.try_divide("foreign_bp", "bp"), F.lit(0.0))
+    share = F.coalesce(F.try_divide("foreign_bp", F.col("own_bp") + F.col("foreign_bp")), F.lit(0.0))
     return out.withColumn("foreign_share", share).withColumn("dropped", share >= max_foreign)
 
 
@@ -111,7 +126,7 @@ def ancestors(nodes: DataFrame, max_depth: int = 200) -> DataFrame:
     while reach < max_depth:
         far = paths.where(F.col("depth") == reach).select(F.col("id").alias("i"), F.col("ancestor").alias("a"))
         more = far.join(paths, far["a"] == paths["id"]).select(far["i"].alias("id"), "ancestor", (F.col("depth") + reach).alias("depth")).where(F.col("depth") <= max_depth)
-        more = more.checkpoint() if more.sparkSession.sparkContext.getCheckpointDir() else more.persist()
+        more = kept(more)
         if more.isEmpty():
             break
         paths, reach = paths.unionByName(more), reach * 2
@@ -132,34 +147,33 @@ def split_overlap(df: DataFrame, key: str, split: str, a: str, b: str) -> DataFr
     return df.where(F.col(split) == a).select(key).intersect(df.where(F.col(split) == b).select(key))
 
 
-def kmer_counts(df: DataFrame, id_: str, seq: str, k: int) -> DataFrame:
-    """(id, kmer, n) of the windows of k letters that hold A, C, G and T of either case only, in upper case."""
-    kmers = F.regexp_extract_all(F.translate(seq, "acgt", "ACGT"), F.lit(f"(?=([ACGT]{{{k}}}))"), F.lit(1))
-    return df.select(F.col(id_).alias("id"), F.explode(kmers).alias("kmer")).groupBy("id", "kmer").agg(F.count(F.lit(1)).alias("n"))
-
-
-def tfidf(counts: DataFrame, documents: int) -> DataFrame:
-    """(id, kmer, tfidf): counts times ln((N + 1) / (df + 1)) + 1, each id's vector of length 1."""
-    df = counts.groupBy("kmer").agg(F.count(F.lit(1)).alias("df"))
-    raw = counts.join(df, "kmer").withColumn("w", F.col("n") * (F.log(F.lit(documents + 1.0) / (F.col("df") + 1)) + 1))
-    norm = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, "id").select("id", "kmer", (F.col("w") / F.col("norm")).alias("tfidf"))
-
-
 def chop(df: DataFrame, id_: str, seq: str, n: int) -> DataFrame:
     """Pieces of n letters that do not overlap; a shorter sequence is one piece, and a tail is dropped."""
     pieces = F.greatest(F.lit(1), F.floor(F.length(seq) / n)).cast("int")
     return df.select(F.col(id_).alias("id"), F.posexplode(F.transform(F.sequence(F.lit(0), pieces - 1), lambda i: F.substr(F.col(seq), i * n + 1, F.lit(n)))).alias("piece", "fragment"))
 
 
-def diff_index(rows: DataFrame, index: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """rows with status: duplicate_in_source (but the first row of a key), already_held, other_version (the index has the key with another version) or new."""
-    nth = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+def kmer_counts(df: DataFrame, id_: str, seq: str, k: int) -> DataFrame:
+    """(id, kmer, n) of the windows of k letters that hold A, C, G and T of either case only, in upper case (see features.kmer_counts)."""
+    return features.kmer_counts(df, id_, seq, k).select("id", features.kmer_text(F.col("code"), k).alias("kmer"), "n")
+
+
+def diff_index(rows: DataFrame, index: DataFrame, key: str, order: Sequence[str], detailed: bool = False) -> DataFrame:
+    """rows with status: duplicate_in_source (but the first row of a key), already_held, other_version (the index has the key with another version) or new.
+
+    detailed: of keys without version, too, the first row alone is not a duplicate (duplicate_in_source_other_version), and other_version is already_held_other_version."""
+    base = base_accession(F.col(key), "numeric") if detailed else base_accession(F.col(key))
+    place = F.struct(*order)
+    first = rows.groupBy(key).agg(F.min(place).alias("_first"))
+    first_base = rows.groupBy(base.alias("_base")).agg(F.min(place).alias("_first_base"))
     exact = index.select(key).distinct().withColumn("_held", F.lit(True))
-    base = index.select(base_accession(F.col(key)).alias("_base")).distinct().withColumn("_other", F.lit(True))
-    out = rows.withColumn("_nth", nth).withColumn("_base", base_accession(F.col(key))).join(exact, key, "left").join(base, "_base", "left")
-    status = F.when(F.col("_nth") > 1, "duplicate_in_source").when(F.col("_held"), "already_held").when(F.col("_other"), "other_version").otherwise("new")
-    return out.withColumn("status", status).drop("_nth", "_base", "_held", "_other")
+    held = index.select(base.alias("_base")).distinct().withColumn("_other", F.lit(True))
+    out = rows.withColumn("_base", base).join(first, key).join(first_base, "_base").join(exact, key, "left").join(held, "_base", "left")
+    status = F.when(place > F.col("_first"), "duplicate_in_source")
+    if detailed:
+        status = status.when(place > F.col("_first_base"), "duplicate_in_source_other_version")
+    status = status.when(F.col("_held"), "already_held").when(F.col("_other"), "already_held_other_version" if detailed else "other_version").otherwise("new")
+    return out.withColumn("status", status).select(*rows.columns, "status")
 
 
 def distinct_sequences(df: DataFrame, record: Sequence[str], seq: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import metrics, quota, select
+from ..operators import features, metrics, quota, select
+from . import curation, functions, scoring
 
 LETTERS, BASES = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ACGTACGTACGTACGTACGTACGTAC"
 DNA = f"translate(text, '{LETTERS + LETTERS.lower()}', '{BASES + BASES}')"
@@ -38,7 +39,9 @@ def balanced_corpus(spark, sf_dir):
 
 
 def a01_census(spark, sf_dir):
-    return metrics.census(_t(spark, sf_dir, "documents"), ["lang", "source"], "n_chars").withColumn("mean_bp", F.round("mean_bp", 6))
+    docs = _t(spark, sf_dir, "documents")
+    grid = docs.select("lang").distinct().crossJoin(docs.select("source").distinct())
+    return metrics.census(docs, ["lang", "source"], "n_chars", grid).withColumn("mean_bp", F.round("mean_bp", 6))
 
 
 def a13_coverage_cells(spark, sf_dir):
@@ -78,7 +81,7 @@ def a28_length_hist(spark, sf_dir):
 
 
 def f17_filter_quality(spark, sf_dir):
-    return scalars.filter_quality(_fragments(spark, sf_dir), "dna", 100, 0.75).select("doc_id", F.round(scalars.acgt_purity(F.col("dna")), 6).alias("purity"))
+    return scalars.filter_quality(_fragments(spark, sf_dir), "dna", 100, 0.75, "purity").select("doc_id", F.round("purity", 6).alias("purity"))
 
 
 def f19_length_bin(spark, sf_dir):
@@ -108,7 +111,9 @@ def j14_ancestors(spark, sf_dir):
 
 def m01_tfidf(spark, sf_dir):
     frags = _fragments(spark, sf_dir)
-    return select.tfidf(select.kmer_counts(frags, "doc_id", "dna", 2), frags.count()).withColumn("tfidf", F.round("tfidf", 6))
+    table = features.idf(features.doc_freq(frags, "dna", 2), frags.count(), 2)
+    rows = features.tfidf(frags, "doc_id", "dna", table).select("id", F.explode(F.arrays_zip("codes", "weights")).alias("x"))
+    return rows.select("id", features.kmer_text(F.col("x.codes").cast("long"), 2).alias("kmer"), F.round("x.weights", 6).alias("tfidf"))
 
 
 def t01_chop(spark, sf_dir):
@@ -184,7 +189,7 @@ def u05_distinct_sequences(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (balanced_corpus, a01_census, a13_coverage_cells, a14_leakage, a18_class_metrics, a22_best_f1, a23_auprc, a26_compare, a28_length_hist, f17_filter_quality, f19_length_bin, f23_hash_split, f25_keep_by_id, j08_dedup_exact, j14_ancestors, m01_tfidf, t01_chop, t07_kmer_counts, u03_split_overlap, w02_genus_balance, w12_bp_cap, w14_apportion, w22_class_weights, w33_pareto, w34_latest_status, a03_project, a32_pred_share, f22_range_bin, j05_diff_index, j13_drop_leaky, u05_distinct_sequences)
-    return {f.__name__: f for f in own}
+    return {f.__name__: f for f in own} | functions.QUERIES | curation.QUERIES | scoring.QUERIES
 
 
 _P = """p as (select *, quality::varchar as truth, quality as y, case when score >= 400 then '1' else '0' end as pred, case when score % 7 >= 2 then '1' else '0' end as other
@@ -196,7 +201,7 @@ _KMER = f"""(select doc_id as id, substr(s, i, {{k}}) as kmer, count(*) as n fro
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    return functions.SQL | curation.SQL | scoring.SQL | {
         "a01_census": """select lang, source, coalesce(records, 0) as records, coalesce(bp, 0)::bigint as bp, round(coalesce(bp / records, 0), 6) as mean_bp
             from (select distinct lang from documents) cross join (select distinct source from documents)
             left join (select lang, source, count(*) as records, sum(n_chars) as bp from documents group by all) using (lang, source)""",

@@ -5,9 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-def score_stream(spark: SparkSession, folder: str, schema: str, score: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str):
-    """Starts a stream that scores each Parquet file of a folder once and appends the rows to the sink; stateless, so late files need no watermark."""
-    rows = spark.readStream.schema(schema).parquet(folder)
+def score_stream(spark: SparkSession, folder: str, schema: str, score: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, how: str = "parquet"):
+    """Starts a stream that scores each file of a folder once and appends the rows to the sink as Parquet; stateless, so late files need no watermark.
+
+    how: `parquet` files of the schema, or `fasta`: records (fragment_id, header, sequence, bp), whose schema is given by the format."""
+    if how == "fasta":
+        raw = spark.readStream.text(folder, lineSep="\n>").where(F.trim("value") != "")
+        text = F.regexp_replace("value", "^>", "")
+        head = F.substring_index(text, "\n", 1)
+        rows = raw.select(F.trim(head).alias("header"), F.regexp_replace(F.substr(text, F.length(head) + 1), r"\s+", "").alias("sequence"))
+        rows = rows.select(F.regexp_extract("header", r"^\S*", 0).alias("fragment_id"), "header", "sequence", F.length("sequence").cast("long").alias("bp"))
+    else:
+        rows = spark.readStream.schema(schema).parquet(folder)
     return score(rows).writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
