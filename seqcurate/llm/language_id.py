@@ -22,6 +22,8 @@ SHARD = 1 << 21
 WITHIN = 0.9
 #: Nats by which the cross-entropy of a text may be higher by chance, times the root of its characters.
 SHORT = 6.0
+#: Bytes of text (or one text) that a worker looks at at once; its arrays take some hundred times as much.
+PIECE = 1 << 20
 #: Characters that a text counts as in its score, at most.
 TEMPER = 40
 
@@ -189,7 +191,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
         for batch in batches:
-            for part in pieces(batch, "text", 2 << 20):
+            for part in pieces(batch, "text", PIECE):
                 lang = np.array(part.column("lang").to_pylist(), object)
                 texts = part.column("text").to_pylist()
                 for name in set(lang):
@@ -304,7 +306,7 @@ def _left_out(docs: DataFrame, fitted: LanguageModels) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text", 2 << 20):
+            for part in pieces(batch, "text", PIECE):
                 texts, lang = part.column("text").to_pylist(), np.array(part.column("lang").to_pylist(), object)
                 for name in set(lang):
                     k = bisect.bisect_left(names, name)
@@ -322,7 +324,7 @@ def _scored(docs: DataFrame, fitted: LanguageModels, keep: list[str], text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "__text", 2 << 20):
+            for part in pieces(batch, "__text", PIECE):
                 h, n, letters = scores(models, part.column("__text").to_pylist())
                 best = h.argmin(1)
                 low = h[np.arange(len(h)), best]
