@@ -45,7 +45,7 @@ def chop_fixed(df: DataFrame, id_: str, seq: str, length: int, passes: int = 1,
     clean = F.filter(pieces, lambda x: F.translate(x["fragment"], "ACGT", "") == "")
     # the same letters at several places of a record: by first place, in the record's own row
     first = F.map_from_entries(F.transform(F.array_distinct(F.transform(clean, lambda x: x["fragment"])), lambda f: F.struct(f.alias("k"), F.array_min(F.transform(F.filter(clean, lambda y: y["fragment"] == f), lambda y: y["start"])).alias("v"))))
-    rows = df.where(n >= length).select(F.col(id_).alias("id"), F.explode(first).alias("fragment", "start"))
+    rows = df.where(n >= length).withColumn("_first", first).select(F.col(id_).alias("id"), F.explode("_first").alias("fragment", "start"))
     return rows.select("id", "start", "fragment")
 
 

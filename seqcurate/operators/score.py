@@ -136,12 +136,16 @@ def alpha_surface(df: DataFrame, alphas: Sequence[float], base: str, residual: s
     return whole.select(*by, "alpha", "n", "nll", f1.alias("macro_f1"))
 
 
+def _scaled(logits: str, beta: float) -> Column:
+    return F.transform(logits, lambda x: x.cast("double") * F.lit(beta))
+
+
 def fit_temperature(df: DataFrame, logits: str, y: str, low: float = 0.05, high: float = 10.0, rounds: int = 5, points: int = 24) -> tuple[float, float]:
     """(temperature, mean negative log-likelihood) at the least over logits / temperature, 1 / temperature from low to high: a grid in one pass over the rows, refined around its least, `rounds` times."""
     best = (1.0, float("inf"))
     for _ in range(rounds):
         betas = [low + (high - low) * i / (points - 1) for i in range(points)]
-        row = df.agg(*(F.avg(nll(F.transform(logits, lambda x, b=b: x.cast("double") * F.lit(b)), F.col(y))).alias(f"b{i}") for i, b in enumerate(betas))).first()
+        row = df.agg(*(F.avg(nll(_scaled(logits, b), F.col(y))).alias(f"b{i}") for i, b in enumerate(betas))).first()
         i = min(range(points), key=lambda j: row[j])
         best = (betas[i], row[i])
         low, high = betas[max(0, i - 1)], betas[min(points - 1, i + 1)]
