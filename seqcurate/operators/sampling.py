@@ -37,12 +37,12 @@ def chop_fixed(df: DataFrame, id_: str, seq: str, length: int, passes: int = 1,
 
     Each pass begins at 0 or, with a random phase, at a place below the length (and within the sequence) by the hash of seed, id and pass."""
     step, n = length - overlap, F.length(seq)
-    room = F.least(F.lit(length - 1), n - length)
+    room = F.greatest(F.lit(0), F.least(F.lit(length - 1), n - length))  # Spark may look at shorter rows, too, before it drops them
     token = lambda p: F.concat(F.lit(f"{seed}:"), F.col(id_).cast("string"), F.lit(":"), p.cast("string"))
     begin = (lambda p: F.lit(0)) if phase == "zero" else (lambda p: (md5_number(token(p)) % (room + 1)).cast("int"))
-    starts = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(passes - 1)), lambda p: F.sequence(begin(p), (n - length).cast("int"), F.lit(step))))
+    starts = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(passes - 1)), lambda p: F.sequence(begin(p), F.greatest(begin(p), (n - length).cast("int")), F.lit(step))))
     pieces = F.transform(F.array_distinct(starts), lambda s: F.struct(F.substr(F.col(seq), s + 1, F.lit(length)).alias("fragment"), s.alias("start")))
-    clean = F.filter(pieces, lambda x: F.translate(x["fragment"], "ACGT", "") == "")
+    clean = F.filter(pieces, lambda x: (F.length(x["fragment"]) == length) & (F.translate(x["fragment"], "ACGT", "") == ""))
     # the same letters at several places of a record: by first place, in the record's own row
     first = F.map_from_entries(F.transform(F.array_distinct(F.transform(clean, lambda x: x["fragment"])), lambda f: F.struct(f.alias("k"), F.array_min(F.transform(F.filter(clean, lambda y: y["fragment"] == f), lambda y: y["start"])).alias("v"))))
     rows = df.where(n >= length).withColumn("_first", first).select(F.col(id_).alias("id"), F.explode("_first").alias("fragment", "start"))

@@ -327,7 +327,7 @@ def j22_relabel(spark, sf_dir):
 
 
 def _delta(spark, sf_dir):
-    f = fragments(spark, sf_dir).withColumn("digest", F.md5(F.substr("text", F.lit(1), F.lit(12)).cast("binary"))).withColumn("record_id", F.col("doc_id").cast("string"))
+    f = fragments(spark, sf_dir).withColumn("digest", F.md5(F.col("text").cast("binary"))).withColumn("record_id", F.col("doc_id").cast("string"))
     base = f.where("doc_id % 2 = 0 and split <> 'test'").select("record_id", "split", "digest", "species_taxid", "split_group_id", "duplicate_cluster_id")
     cand = f.where("doc_id % 2 = 1 or doc_id % 50 = 0").where("split <> 'test'").select("record_id", "split", F.when(F.col("doc_id") % 19 == 0, "test").otherwise("").alias("meta_split"), "euk_group", "digest", "species_taxid", "split_group_id", "duplicate_cluster_id", "ordinal", (F.col("doc_id") % 23 > 0).alias("has_metadata"))
     required = spark.range(1).select(F.explode(F.array(F.lit("fungi"), F.lit("algae"), F.lit("plant"), F.lit("absent"))).alias("euk_group")).select(F.explode(F.array(F.lit("train"), F.lit("validation"))).alias("split"), "euk_group")

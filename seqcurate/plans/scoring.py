@@ -336,7 +336,8 @@ def a02_estimated_census(spark, sf_dir):
 
 QUERIES = {k: v for k, v in list(globals().items()) if k[:1] in "ajmtw" and k[1:3].isdigit()}
 
-_KC = lambda k: f"(select doc_id, i, substr(s, i, {k}) as w from (select doc_id, {DNA} as s from documents), range(1, length(s) - {k - 1} + 1) t(i) where regexp_matches(substr(s, i, {k}), '^[ACGTacgt]+$'))"
+# windows of k letters: texts are cut to overlapping pieces first, as a substring of a long text costs its length
+_KC = lambda k: f"(select doc_id, substr(p, i, {k}) as w from (select doc_id, substr(s, j, {200 + k - 1}) as p from (select doc_id, regexp_replace({DNA}, '[^ACGTacgt]', 'N', 'g') as s from documents), range(1, length(s) + 1, 200) u(j)), range(1, length(p) - {k - 1} + 1) t(i) where not contains(substr(p, i, {k}), 'N'))"
 _CODE = lambda k: "(" + " + ".join(f"{4 ** (k - 1 - j)} * (strpos('ACGT', upper(substr(w, {j + 1}, 1))) - 1)" for j in range(k)) + ")::bigint"
 _E = """l as (select vec_id, label, (label % 3)::int as y, 800 + vec_id * 37 % 5000 as length, vec_id % 23 as grp, list_transform(embedding[1:3], lambda x: x::double * 8) as root, list_transform(embedding[4:6], lambda x: x::double * 8) as residual,
       list_transform(embedding[7:14], lambda x: x::double * 8) as euk, list_transform(embedding[15:16], lambda x: x::double * 8) as prok, list_transform(embedding[17:18], lambda x: x::double * 8) as organelle,
