@@ -33,7 +33,7 @@ ORIGINAL = {"bacteria": 439077, "archaea": 179370, "eukarya": 327639, "mitochond
 
 
 def chop_fixed(df: DataFrame, id_: str, seq: str, length: int, passes: int = 1, overlap: int = 0, phase: str = "zero", seed: int = 42) -> DataFrame:
-    """(id, start, fragment): windows of `length` letters, length - overlap apart, of upper-case A, C, G and T only, each different one of a record once, at its first place.
+    """(id, start, fragment): windows of `length` letters, length - overlap apart, of upper-case A, C, G and T only, each different one of an id once, at its first place.
 
     Each pass begins at 0 or, with a random phase, at a place below the length (and within the sequence) by the hash of seed, id and pass."""
     step, n = length - overlap, F.length(seq)
@@ -43,10 +43,8 @@ def chop_fixed(df: DataFrame, id_: str, seq: str, length: int, passes: int = 1,
     starts = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(passes - 1)), lambda p: F.sequence(begin(p), F.greatest(begin(p), (n - length).cast("int")), F.lit(step))))
     pieces = F.transform(F.array_distinct(starts), lambda s: F.struct(F.substr(F.col(seq), s + 1, F.lit(length)).alias("fragment"), s.alias("start")))
     clean = F.filter(pieces, lambda x: (F.length(x["fragment"]) == length) & (F.translate(x["fragment"], "ACGT", "") == ""))
-    # the same letters at several places of a record: by first place, in the record's own row
-    first = F.map_from_entries(F.transform(F.array_distinct(F.transform(clean, lambda x: x["fragment"])), lambda f: F.struct(f.alias("k"), F.array_min(F.transform(F.filter(clean, lambda y: y["fragment"] == f), lambda y: y["start"])).alias("v"))))
-    rows = df.where(n >= length).withColumn("_first", first).select(F.col(id_).alias("id"), F.explode("_first").alias("fragment", "start"))
-    return rows.select("id", "start", "fragment")
+    rows = df.where(n >= length).withColumn("_pieces", clean).select(F.col(id_).alias("id"), F.explode("_pieces").alias("x"))
+    return rows.select("id", "x.fragment", "x.start").groupBy("id", "fragment").agg(F.min("start").alias("start")).select("id", "start", "fragment")
 
 
 def _chop(df: DataFrame, id_: str, seq: str, seed: int, walk) -> DataFrame:
