@@ -43,8 +43,8 @@ def chop_fixed(df: DataFrame, id_: str, seq: str, length: int, passes: int = 1,
     starts = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(passes - 1)), lambda p: F.sequence(begin(p), F.greatest(begin(p), (n - length).cast("int")), F.lit(step))))
     pieces = F.transform(F.array_distinct(starts), lambda s: F.struct(F.substr(F.col(seq), s + 1, F.lit(length)).alias("fragment"), s.alias("start")))
     clean = F.filter(pieces, lambda x: (F.length(x["fragment"]) == length) & (F.translate(x["fragment"], "ACGT", "") == ""))
-    rows = df.where(n >= length).withColumn("_pieces", clean).select(F.col(id_).alias("id"), F.explode("_pieces").alias("x"))
-    return rows.select("id", "x.fragment", "x.start").groupBy("id", "fragment").agg(F.min("start").alias("start")).select("id", "start", "fragment")
+    rows = df.where(n >= length).withColumn("_pieces", clean).select(F.col(id_).alias("id"), F.explode_outer("_pieces").alias("x"))  # explode would make Spark look at the pieces twice, for a filter
+    return rows.select("id", "x.fragment", "x.start").where("fragment is not null").groupBy("id", "fragment").agg(F.min("start").alias("start")).select("id", "start", "fragment")
 
 
 def _chop(df: DataFrame, id_: str, seq: str, seed: int, walk) -> DataFrame:
