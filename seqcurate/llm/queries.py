@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import language_id, quality
 from .common import table
+from .divergence import source_divergence
 from .mixing import mix_sources
 from .mtree import exact_top_k
 from .near_dedup import near_duplicates
@@ -72,8 +73,13 @@ def op10_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of each two sources of a language, and the ten terms that set each source apart most."""
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_token_counts, op2_mix_sources, op3_language_id, op4_exact_top_k, op5_pack, op6_quality, op7_near_duplicates, op8_approximate_top_k, op9_warc, op10_remove_repeats)
+    own = (op1_token_counts, op2_mix_sources, op3_language_id, op4_exact_top_k, op5_pack, op6_quality, op7_near_duplicates, op8_approximate_top_k, op9_warc, op10_remove_repeats, op11_source_divergence)
     return {f.__name__: f for f in own}
 
 
@@ -107,4 +113,23 @@ def oracle_sql() -> dict[str, str]:
             k as (select w.doc_id, len(w) as n, coalesce(gone, []) as gone, w from w left join g using (doc_id))
             select doc_id, n::bigint as n_words, len(gone)::bigint as n_removed,
                    sha256(array_to_string(list_filter(w, lambda x, i: not list_contains(gone, i)), ' ')) as kept_sha256 from k""",
+        "op11_source_divergence": r"""
+            with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text from documents),
+            w as (select r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as w from d),
+            t as (select r, lang, source, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term from w),
+            c as (select lang, source, term, count(*) as n from t group by all),
+            k as (select lang, term, count(*) as n from t group by all having count(distinct r) >= 10),
+            l as (select lang, count(*) as v, sum(n) as n from k group by lang),
+            s as (select distinct lang, source from d),
+            o as (select lang, source, sum(c.n) as n from c join k using (lang, term) group by all),
+            g as (select lang, source, coalesce(o.n, 0) + 2 * coalesce(v, 0) as total, l.n + 2 * v as lang_total from s left join o using (lang, source) left join l using (lang)),
+            p as (select lang, source, term, coalesce(c.n, 0) as n, 1 + 1000000000 * (coalesce(c.n, 0) + 2)::hugeint // total as p, 1 + 1000000000 * (k.n + 2)::hugeint // lang_total as q
+                  from g join k using (lang) left join c using (lang, source, term)),
+            b as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+                  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+            u as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+                  from s a join s b on a.lang = b.lang and a.source <> b.source left join b as m on m.lang = a.lang and m.source = a.source and m.item = b.source
+                  union all select lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint from p where n > 0 and p > q),
+            r as (select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from u)
+            select lang, source, part, item, value, rank from r where part = 'pair' or rank <= 10""",
     }
