@@ -15,6 +15,7 @@ from .mtree import exact_top_k
 from .near_dedup import near_duplicates
 from .packing import pack
 from .prefix_forest import approximate_top_k
+from .spelling import spelling_variants
 from .substring_dedup import remove_repeats
 from .token_counts import token_counts
 from .warc import round_trip
@@ -78,14 +79,38 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents, and the more frequent spelling that each stands for."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_token_counts, op2_mix_sources, op3_language_id, op4_exact_top_k, op5_pack, op6_quality, op7_near_duplicates, op8_approximate_top_k, op9_warc, op10_remove_repeats, op11_source_divergence)
+    own = (op1_token_counts, op2_mix_sources, op3_language_id, op4_exact_top_k, op5_pack, op6_quality, op7_near_duplicates, op8_approximate_top_k, op9_warc, op10_remove_repeats, op11_source_divergence, op13_spelling_variants)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of those that SQL can express; the others are tested against brute force in tests/llm."""
     return {
+        # a crc32 is a fold over bytes with a table of 256; words of one code point less meet in what remains of them, others in what a skipped one leaves
+        "op13_spelling_variants": r"""
+            with recursive x as (select list(case when crc is null then 0 else crc end order by b) as crcs from (
+                select b, list_reduce(list_prepend(b::bigint, range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as crc from range(256) t(b))),
+            d as (select row_number() over () as r, coalesce(doc_id::text, '') as id, coalesce(text, '') as text from documents),
+            u as (select r, id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as w from d),
+            c as (select id, w, count(*) as n, hex(encode(id || ':' || w)) as bytes from u group by all),
+            h as (select w, n, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(range(len(bytes) // 2), lambda i: ('0x' || substr(bytes, (2 * i + 1)::int, 2))::bigint)),
+                    lambda a, b: xor(a >> 8, crcs[(xor(a, b) & 255) + 1]))) as h from c, x),
+            v as (select case when h % 97 = 0 then substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) else w end as word, n from h),
+            words as (select word, sum(n)::bigint as n from v where length(word) >= 5 group by word having sum(n) >= 3),
+            s as (select word, n, i, substr(word, 1, i) || chr(1) || substr(word, i + 2) as gap, substr(word, 1, i) || substr(word, i + 2) as rest from words, range(length(word)) t(i)),
+            near as (select a.word, b.word as other, b.n as m from s a join s b on a.gap = b.gap and a.word <> b.word
+                     union select a.word, b.word, b.n from s a join words b on a.rest = b.word
+                     union select b.word, a.word, a.n from s a join words b on a.rest = b.word),
+            top as (select word, count(*) as n_near, max(m) as m, min(struct_pack(less := -m, other := other)).other as other from near group by word),
+            f as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when m >= 2 * n then other end as form, case when m >= 2 * n then m end as form_n from words w left join top using (word)),
+            g as (select word, word as root, form as next from f union all select g.word, f.word, f.form from g join f on g.next = f.word)
+            select f.word, f.form, g.root, f.n, f.n_near::bigint as n_near, f.form_n::bigint as form_n from f join g on f.word = g.word and g.next is null""",
         "op4_exact_top_k": """
             with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
                        where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
