@@ -196,10 +196,11 @@ def _compare(docs: DataFrame, pairs: DataFrame, k: int, judge, more: list[str],
     """pairs: (x, y, lots, *more). The rows that judge(set of x, set of y) gives for each: (x, y, *more, its value).
 
     x may be in very many pairs: these are dealt to `lots` lots by hash of y, and its set is sent to each lot once, where it stands before the sets of its
-    y; no row holds two sets, and no task all the pairs of an x. y must not be in many pairs."""
+    y; no row holds two sets, and no task all the pairs of an x. y must not be in many pairs. docs may be a function of (asked, few) instead, see _binary_sets."""
     pairs = cut(pairs.withColumn("lot", F.pmod(F.xxhash64("y"), F.col("lots"))).drop("lots"))
     asked = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct()
-    sets = _binary_sets(docs, asked, 2 * pairs.count() <= BROADCAST, k)
+    few = 2 * pairs.count() <= BROADCAST
+    sets = docs(asked, few) if callable(docs) else _binary_sets(docs, asked, few, k)
     of_x = pairs.select("x", "lot").distinct().join(sets.select(F.col("doc_id").alias("x"), "s"), "x")
     of_y = pairs.join(sets.select(F.col("doc_id").alias("y"), "s"), "y")
     names = ["x", "y", *more]

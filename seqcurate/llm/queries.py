@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import language_id, quality
 from .common import table
 from .divergence import source_divergence
+from .jaccard_join import jaccard_join
 from .mixing import mix_sources
 from .mtree import exact_top_k
 from .near_dedup import near_duplicates
@@ -79,19 +80,37 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of each document, by links of five-word shingles that agree by 80 % or more."""
+    return jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of all documents, and the more frequent spelling that each stands for."""
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_token_counts, op2_mix_sources, op3_language_id, op4_exact_top_k, op5_pack, op6_quality, op7_near_duplicates, op8_approximate_top_k, op9_warc, op10_remove_repeats, op11_source_divergence, op13_spelling_variants)
+    own = (op1_token_counts, op2_mix_sources, op3_language_id, op4_exact_top_k, op5_pack, op6_quality, op7_near_duplicates, op8_approximate_top_k, op9_warc, op10_remove_repeats, op11_source_divergence, op12_jaccard_join, op13_spelling_variants)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of those that SQL can express; the others are tested against brute force in tests/llm."""
     return {
+        "op12_jaccard_join": r"""
+            with recursive w as (select row_number() over () as r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+            s as (select distinct r, h from (select r, md5_number(array_to_string(w[i + 1:i + 5], ' ')) as h from w, range(greatest(len(w) - 4, least(len(w), 1))) t(i))),
+            z as (select r, count(*) as n, md5(string_agg(h::varchar, ' ' order by h)) as k from s group by r),
+            c as (select k, min(r) as r, any_value(n) as n, min(doc_id) as doc_id from z join w using (r) group by k),
+            q as (select r, h from s semi join c using (r)),
+            i as (select a.r as a, b.r as b, count(*) as m from q a join q b on a.h = b.h and a.r < b.r group by all),
+            l as (select a, b from i join c x on x.r = a join c y on y.r = b where 100 * m >= 80 * (x.n + y.n - m)),
+            e as (select a, b from l union all select b, a from l),
+            reach as (select r as a, r as b from c union select reach.a, e.b from reach join e on reach.b = e.a),
+            f as (select x.k, min(y.doc_id) as component_id from reach join c x on x.r = a join c y on y.r = b group by x.k)
+            select doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(component_id, doc_id) as component_id from w left join z using (r) left join f using (k)""",
         # a crc32 is a fold over bytes with a table of 256; words of one code point less meet in what remains of them, others in what a skipped one leaves
         "op13_spelling_variants": r"""
             with recursive x as (select list(case when crc is null then 0 else crc end order by b) as crcs from (
