@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterator
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -71,99 +69,128 @@ def skyband(n: np.ndarray, lang_n: np.ndarray, place: np.ndarray, k: int) -> np.
     order = np.lexsort((place, lang_n, -n))
     low, early = np.zeros(0, np.int64), np.zeros(0, np.int64)
     kept: list[np.ndarray] = []
-    for begin in range(0, len(order), 512):
-        block = order[begin : begin + 512]
-        over = ((low <= lang_n[block][:, None]) & (early < place[block][:, None])).sum(1)
-        block, over = block[over < k], over[over < k]
-        new: list[int] = []
-        for i, row in enumerate(block):
-            before = block[new]
-            if over[i] + int(((lang_n[before] <= lang_n[row]) & (place[before] < place[row])).sum()) < k:
-                new.append(i)
-        kept.append(block[new])
+    for begin in range(0, len(order), 256):
+        block = order[begin : begin + 256]
+        m, at = lang_n[block][:, None], place[block][:, None]
+        over = ((low <= m) & (early < at)).sum(1) + np.tril((m.T <= m) & (at.T < at), -1).sum(1)
+        kept.append(block[over < k])
         low, early = np.concatenate([low, lang_n[kept[-1]]]), np.concatenate([early, place[kept[-1]]])
     return np.concatenate([np.zeros(0, np.int64), *kept])
 
 
+def _edges(table: pa.Table | pa.RecordBatch, columns: list[str]) -> np.ndarray:
+    """Where one of the columns changes: the first row of each run of equal ones, and the number of rows."""
+    new = np.zeros(len(table), bool)
+    for c in columns:
+        column = table.column(c)
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    return np.concatenate(([0] if len(table) else [], np.flatnonzero(new), [len(table)])).astype(np.int64)
+
+
 def _skybands(k: int):
     """The skyband of each (lang, source) among the rows that a task reads."""
     names = ["lang", "source", "term", "n", "lang_n"]
 
     def shrunk(table: pa.Table) -> pa.Table:
         table = table.sort_by([("lang", "ascending"), ("source", "ascending"), ("term", "ascending")])  # strings sort by their bytes
-        group = np.zeros(len(table), bool)
-        for c in ("lang", "source"):
-            column = table.column(c).combine_chunks()
-            group[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
-        edge = np.concatenate(([0], np.flatnonzero(group), [len(table)]))
+        edge = _edges(table, ["lang", "source"])
         n, lang_n = table.column("n").to_numpy(), table.column("lang_n").to_numpy()
         found = [a + skyband(n[a:b], lang_n[a:b], np.arange(b - a), k) for a, b in zip(edge, edge[1:], strict=False) if b > a]
         return table.take(pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held: list[pa.Table] = []
         for batch in batches:
-            table = pa.Table.from_batches([batch]).select(names)
-            held = shrunk(table if held is None else pa.concat_tables([held, table]))
-            if len(held) > HELD:
-                yield from held.to_batches(max_chunksize=1 << 16)
-                held = None
-        if held is not None:
-            yield from held.to_batches(max_chunksize=1 << 16)
+            held.append(pa.Table.from_batches([batch]).select(names))
+            if sum(map(len, held)) > 2 * HELD:
+                held = [shrunk(pa.concat_tables(held))]
+                if len(held[0]) > HELD:
+                    yield from held[0].to_batches(max_chunksize=1 << 16)
+                    held = []
+        if held:
+            yield from shrunk(pa.concat_tables(held)).to_batches(max_chunksize=1 << 16)
 
     return run
 
 
 class _Pairs:
-    """Divergences of each two sources of one language, term by term. heads: rows of the sources, each with its block and its total."""
-
-    def __init__(self, heads: list[tuple]):
-        self.names = [h[5] for h in heads]
-        self.at = {name: i for i, name in enumerate(self.names)}
-        self.block = np.array([h[6] for h in heads], np.int64)
-        self.total = np.array([h[8] for h in heads], np.int64)
+    """Divergences of each two sources of one language, over terms that are told in order. Sources are told first: rows whose term is null."""
+
+    def __init__(self) -> None:
+        self.heads: list[pa.RecordBatch] = []
+        self.value: np.ndarray | None = None
+        self.cells: list[np.ndarray] = []  # term, source and n of rows that are not summed up yet
+        self.term, self.last = -1, None
+
+    def _begin(self) -> None:
+        heads = pa.Table.from_batches(self.heads)
+        self.names = heads.column("source").combine_chunks()
+        self.block, self.total = heads.column("block").to_numpy(), heads.column("total").to_numpy()
         self.zero = shares(np.full(len(heads), 2), self.total)  # the share of a term that a source does not have
         self.value = np.zeros((len(heads), len(heads)), np.int64)
-        self.cells: list[tuple[int, int, int]] = []
-        self.terms = 0
-
-    def add(self, cells: Iterator[tuple]) -> None:
-        self.cells.extend((self.terms, self.at[c[5]], c[7]) for c in cells)
-        self.terms += 1
-        if self.terms * len(self.names) > CELLS:
-            self._sum()
-
-    def _sum(self) -> None:
-        p = np.repeat(self.zero[None, :], self.terms, 0)
-        term, source, n = np.array(self.cells, np.int64).reshape(-1, 3).T
-        p[term, source] = shares(n + 2, self.total[source])
-        for i in range(len(self.names) - 1):
-            a, b = p[:, i : i + 1], p[:, i + 1 :]
-            self.value[i, i + 1 :] += ((a - b) * (a - b) // (a + b)).sum(0)
-        self.cells, self.terms = [], 0
+
+    def tell(self, rows: pa.RecordBatch) -> None:
+        heads = rows.filter(pc.is_null(rows.column("term")))
+        if len(heads):
+            self.heads.append(heads)
+        rows = rows.slice(len(heads))
+        if not len(rows):
+            return
+        if self.value is None:
+            self._begin()
+        term = np.zeros(len(rows), np.int64)
+        term[0] = rows.column("term")[0].as_py() != self.last
+        term[_edges(rows, ["term"])[1:-1]] = 1
+        term = self.term + np.cumsum(term)
+        self.term, self.last = int(term[-1]), rows.column("term")[-1].as_py()
+        source = pc.index_in(rows.column("source"), value_set=self.names).to_numpy()
+        self.cells.append(np.stack([term, source, rows.column("n").to_numpy()]))
+        if (self.term - self.cells[0][0, 0]) * len(self.names) > CELLS:
+            self._sum(self.term)
+
+    def _sum(self, end: int) -> None:
+        """Adds the terms before `end`; the last one told may have more rows."""
+        cells = np.concatenate([np.zeros((3, 0), np.int64), *self.cells], 1)
+        whole = cells[0] < end
+        self.cells = [cells[:, ~whole]] if not whole.all() else []
+        if not whole.any():
+            return
+        term, source, n = cells[:, whole]
+        p = np.repeat(self.zero[None, :], end - term[0], 0)
+        p[term - term[0], source] = shares(n + 2, self.total[source])
+        p = np.ascontiguousarray(p.T)
+        for i in range(len(p) - 1):
+            a, b = p[i], p[i + 1 :]
+            self.value[i, i + 1 :] += ((a - b) * (a - b) // (a + b)).sum(1)
 
     def result(self, lang: str, blocks: tuple[int, int]) -> pa.RecordBatch:
         """Of the pairs whose sources are of these two blocks."""
-        self._sum()
+        if self.value is None:
+            self._begin()
+        self._sum(self.term + 1)
         i, j = np.triu_indices(len(self.names), 1)
         wanted = (np.minimum(self.block[i], self.block[j]) == blocks[0]) & (np.maximum(self.block[i], self.block[j]) == blocks[1])
         i, j = i[wanted], j[wanted]
-        names = pa.array(self.names, pa.string())
-        columns = [pa.array([lang] * len(i), pa.string()), names.take(pa.array(i)), names.take(pa.array(j)), pa.array(self.value[i, j], pa.int64())]
+        columns = [pa.array([lang] * len(i), pa.string()), self.names.take(pa.array(i)), self.names.take(pa.array(j)), pa.array(self.value[i, j], pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "item", "value"])
 
 
 def _divergences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (part, one, other, lang, term, source, block, n, total), sorted by the first five; a null term (first) is a source and its total.
     Returns (lang, source, item, value): of each two sources of blocks one and other the divergence, summed over this part's terms."""
-    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-    for key, group in itertools.groupby(rows, itemgetter(0, 1, 2, 3)):
-        pairs = None
-        for term, cells in itertools.groupby(group, itemgetter(4)):
-            if term is None:
-                pairs = _Pairs(list(cells))
-            else:
-                pairs.add(cells)
+    key, pairs = None, _Pairs()
+    for batch in batches:
+        edge = _edges(batch, ["part", "one", "other", "lang"])
+        for a, b in zip(edge, edge[1:], strict=False):
+            rows = batch.slice(a, b - a)
+            own = tuple(rows.column(i)[0].as_py() for i in range(4))
+            if own != key:
+                if key:
+                    yield pairs.result(key[3], key[1:3])
+                key, pairs = own, _Pairs()
+            pairs.tell(rows)
+    if key:
         yield pairs.result(key[3], key[1:3])
 
 
@@ -222,5 +249,6 @@ def source_divergence(docs: DataFrame, lang: str = "lang", source: str = "source
     terms = near.join(groups, ["lang", "source"]).select("lang", "source", F.col("term").alias("item"), p, q).where("p > q")
     terms = terms.select("lang", "source", "item", F.expr("(p - q) * (p - q) div (p + q)").alias("value")).withColumn("part", F.lit("term"))
 
-    ranked = pairs.unionByName(terms).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")))
-    return ranked.where((F.col("part") == "pair") | (F.col("rank") <= top)).select("lang", "source", "part", "item", "value", "rank")
+    rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
+    pairs, terms = pairs.withColumn("rank", rank), terms.withColumn("rank", rank).where(F.col("rank") <= top)
+    return pairs.unionByName(terms).select("lang", "source", "part", "item", "value", "rank")
