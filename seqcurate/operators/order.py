@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset a new one on this machine, in local mode only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-shared-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def kept(df: DataFrame) -> DataFrame:
-    """The same rows, computed once: a checkpoint where the session has a folder for them, else persisted."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
+    """The same rows, computed once and written to the shared folder, so that partitions stay what they are when executors are lost."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
 
 
 def running(df: DataFrame, order: Sequence[Column], values: Mapping[str, Column], by: Sequence[str] = (), largest: bool = False, before: bool = False) -> DataFrame:

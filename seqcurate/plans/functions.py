@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -10,14 +9,12 @@ from pyspark.sql import functions as F
 from .. import sources
 from ..functions import ids, labels, scalars
 from ..operators import curate, plan, sampling, select
+from ..operators.order import shared_folder
 from .standins import FR, G, fragments, genomes, table
 
 
 def _scratch(spark) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{folder or tempfile.mkdtemp(prefix='spark-')}/written-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
 
 
 def f01_base_accession(spark, sf_dir):

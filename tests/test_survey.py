@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from seqcurate import sources
 from seqcurate.functions import ids, labels, scalars
 from seqcurate.operators import curate, features, metrics, plan, quota, sampling, score, select
-from seqcurate.operators.near import dedup_near, shingles
 from seqcurate.operators.order import placed, running
 from seqcurate.streaming import score_stream
 
@@ -183,17 +182,6 @@ def test_spaced_sample(spark):
     assert {c: sorted(r.i for r in got if r.c == c) for c in "abc"} == want
 
 
-def test_near_across_splits(spark):
-    rng = random.Random(5)
-    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
-    texts = [" ".join(word() for _ in range(60)) for _ in range(60)]
-    rows = [(i, "test", t) for i, t in enumerate(texts)]
-    rows += [(1000 + i, "train", t[:200] + "#" + t[201:]) for i, t in enumerate(texts[:40])] + [(2000 + i, "train", " ".join(word() for _ in range(60))) for i in range(20)] + [(3000, "train", None), (3001, "train", "")]
-    left = {r.i for r in dedup_near(spark.createDataFrame(rows, "i long, split string, s string"), "i", "s", "split", ("test", "train")).collect()}
-    close = {1000 + i for i, t in enumerate(texts[:40]) if len(np.intersect1d(shingles(t, 12), shingles(rows[60 + i][2], 12))) >= 0.95 * max(len(shingles(t, 12)), len(shingles(rows[60 + i][2], 12)))}
-    assert len(close) == 40 and not left & close and left >= set(range(60)) | {2000 + i for i in range(20)} | {3000, 3001}
-
-
 def test_cascade_and_decode(spark):
     first = [[0.7, 0.1, 0.1, 0.05, 0.05], [0.1, 0.4, 0.05, 0.35, 0.1], [0.1, 0.3, 0.1, 0.2, 0.3], [0.65, 0.1, 0.1, 0.1, 0.05]]
     df = spark.createDataFrame([(f, [0.1, 0.2, 0.7]) for f in first], "a array<double>, b array<double>")
