@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import base_accession, clean
-from ..functions.scalars import LEVEL_RANK, evidence, number, passes_hard_filter, quality_gates, quality_order, virus_genome_type
+from ..functions.scalars import LEVEL_RANK, evidence, number, passes_hard_filter, quality_gates, quality_order, virus_genome_type, virus_qc
 from .order import placed
 from .select import genus_quota, pick_genus
 
@@ -77,49 +77,106 @@ def build_index(sources: DataFrame, mag: Column, mag_policy: str = "test_only",
 
 
 def inventory(judged: DataFrame) -> DataFrame:
-    """judged: rows of build_index(). Per source and group: rows parsed, filtered, duplicate, kept, with MAG evidence and without, and distinct species."""
+    """judged: rows of build_index(). Per source and group: rows parsed, filtered, duplicate, kept, with MAG evidence and without, and distinct species.
+
+    Rows left out for their MAG evidence are filtered rows, too, so mag_excluded is a part of hard_filtered."""
     n = lambda test: F.count(F.when(test, 1))
     status, mag = F.col("status"), F.col("mag_evidence").isNotNull()
     species = F.when(_text("species_taxid") != "", F.col("species_taxid"))
-    return judged.groupBy("source", "group_name").agg(F.count(F.lit(1)).alias("parsed"), n(status == "hard_filtered").alias("hard_filtered"), n(status == "duplicate").alias("duplicates"), n(status == "kept").alias("kept"), n(mag).alias("mag"), n(~mag).alias("non_mag"), n(status == "mag_excluded").alias("mag_excluded"), F.countDistinct(species).alias("species"))
+    return judged.groupBy("source", "group_name").agg(F.count(F.lit(1)).alias("parsed"), n(status.isin("hard_filtered", "mag_excluded")).alias("hard_filtered"), n(status == "duplicate").alias("duplicates"), n(status == "kept").alias("kept"), n(mag).alias("mag"), n(~mag).alias("non_mag"), n(status == "mag_excluded").alias("mag_excluded"), F.countDistinct(species).alias("species"))
 
 
-def apply_qc(master: DataFrame, reports: Mapping[str, DataFrame], max_contamination: float = 0.05, low_ratio: float = 0.5, high_ratio: float = 2.0) -> DataFrame:
-    """master with n50_value, n50_metric, qc_status (accepted or quarantine), score, flags and split_group_id.
+def _optional(df: DataFrame, name: str) -> Column:
+    """The text of a column, empty where it is null or df lacks it."""
+    return _text(name) if name in df.columns else F.lit("")
 
-    reports, each optional: type_mismatch, synonym, type_strain, reference (accession); contamination (accession, fraction); size_range (species_taxid, lo, hi); ani_group (species_taxid,
-    ani_group). They are made unique by key, and joined. N50: of contigs, else of scaffolds, else missing. Score: log10(N50 + 1), 8 at most; 2 for the curated source and 2 for
-    third-generation reads; 3 for a complete genome or chromosome, -1 and -2 for scaffolds and contigs; 3 for a curated category, 3 for a reference, 2 for type material; less ten times the
-    contamination, 3 at most; less 1 if excluded. The split group is the species' ANI group, else the species, else the entity."""
-    df = master
+
+def _with_reports(df: DataFrame, reports: Mapping[str, DataFrame]) -> DataFrame:
+    """df with a column for each value of the reports (see apply_qc), null where a report lacks the row or is not given."""
     for name in ("type_mismatch", "synonym", "type_strain", "reference"):
         if name in reports:
             seen = reports[name].select(F.col("accession").alias("assembly_accession")).distinct().withColumn(f"_{name}", F.lit(True))
             df = df.join(seen, "assembly_accession", "left")
         else:
             df = df.withColumn(f"_{name}", F.lit(None).cast("boolean"))
-    tables = {"contamination": ("accession", "assembly_accession", ["fraction"]), "size_range": ("species_taxid", "species_taxid", ["lo", "hi"]), "ani_group": ("species_taxid", "species_taxid", ["ani_group"])}
+    tables = {
+        "contamination": ("accession", "assembly_accession", {"fraction": "double"}),
+        "size_range": ("species_taxid", "species_taxid", {"lo": "double", "hi": "double"}),
+        "ani_group": ("species_taxid", "species_taxid", {"ani_group": "string"}),
+    }
     for name, (theirs, ours, values) in tables.items():
         if name in reports:
-            one = reports[name].groupBy(F.col(theirs).alias(ours)).agg(F.max(F.struct(*values)).alias("_v")).select(ours, *(F.col(f"_v.{v}").alias(f"_{v}") for v in values))
-            df = df.join(one, ours, "left")
+            one = reports[name].groupBy(F.col(theirs).alias(ours)).agg(F.max(F.struct(*values)).alias("_v"))
+            df = df.join(one.select(ours, *(F.col(f"_v.{v}").alias(f"_{v}") for v in values)), ours, "left")
         else:
-            df = df.withColumns({f"_{v}": F.lit(None).cast("string" if v == "ani_group" else "double") for v in values})
-    contig, scaffold = number(F.col("contig_n50"), 0.0), number(F.col("scaffold_n50"), 0.0)
+            df = df.withColumns({f"_{v}": F.lit(None).cast(kind) for v, kind in values.items()})
+    return df
+
+
+def _filled(df: DataFrame, features: DataFrame | None) -> DataFrame:
+    """df with contig_n50, scaffold_n50 and sequencing_technology of the features (accession, and these) where its own are empty."""
+    names = ("contig_n50", "scaffold_n50", "sequencing_technology")
+    if features is None:
+        return df
+    one = features.groupBy(F.col("accession").alias("assembly_accession")).agg(F.max(F.struct(*(F.col(c).cast("string").alias(c) for c in names))).alias("_f"))
+    filled = {c: F.when(_optional(df, c) != "", _optional(df, c)).otherwise(F.coalesce(f"_f.{c}", F.lit(""))) for c in names}
+    return df.join(one, "assembly_accession", "left").withColumns(filled).drop("_f")
+
+
+def apply_qc(master: DataFrame, reports: Mapping[str, DataFrame], max_contamination: float = 0.05, low_ratio: float = 0.5, high_ratio: float = 2.0, features: DataFrame | None = None, virus: Mapping = {}) -> DataFrame:  # noqa: B006
+    """master with n50_value, n50_metric, qc_status (accepted, quarantine or rejected), score, flags and split_group_id, by entity_type.
+
+    reports, each optional: type_mismatch, synonym, type_strain, reference (accession); contamination (accession, fraction); size_range (species_taxid, lo, hi); ani_group (species_taxid,
+    ani_group). They are made unique by key, and joined. features (accession, contig_n50, scaffold_n50, sequencing_technology) fill what master lacks. N50: of contigs, else of scaffolds, else missing.
+
+    Assemblies: log10(N50 + 1), 8 at most; 2 for the curated source and 2 for third-generation reads; 3 for a complete genome or chromosome, -1 and -2 for scaffolds and contigs; 3 for a
+    curated category, 3 for a reference, 2 for type material; less ten times the contamination, 3 at most; less 1 if excluded. Any flag puts them in quarantine. The size is the ungapped one if that
+    is given at all. The split group is the species' ANI group, else the species, else the entity.
+    Organelles are accepted with a score of 5. Virus sequences (virus_sequence) are rejected if their metadata fail (see virus_qc; virus has its parameters), and score 5, 4 more if curated (is_refseq_viral),
+    1 for a host and 1 for a known genome type. Their groups are the virus genome, else the species, else the entity, those of organelles the species, else the entity."""
+    columns = [*master.columns, *(c for c in ("contig_n50", "scaffold_n50", "sequencing_technology") if features is not None and c not in master.columns)]
+    df = _with_reports(_filled(master, features), reports)
+    contig, scaffold = number(_optional(df, "contig_n50"), 0.0), number(_optional(df, "scaffold_n50"), 0.0)
     n50 = F.when(contig > 0, contig).when(scaffold > 0, scaffold)
-    size = F.coalesce(F.nullif(number(F.col("genome_size_ungapped"), 0.0), F.lit(0.0)), F.nullif(number(F.col("genome_size"), 0.0), F.lit(0.0)))
+    metric = F.when(contig > 0, "contig_n50").when(scaffold > 0, "scaffold_n50").otherwise("missing")
+    given = F.when(_optional(df, "genome_size_ungapped") != "", _optional(df, "genome_size_ungapped")).otherwise(_optional(df, "genome_size"))
+    size = F.nullif(number(given, 0.0), F.lit(0.0))
     yes = lambda c: F.coalesce(F.col(c), F.lit(False))
-    tests = [(yes("_type_mismatch"), "TYPE_NOT_MATCHING"), (yes("_synonym"), "SUSPECT_SYNONYM"), (F.col("_fraction") >= max_contamination, "CONTAMINATION"), (size < F.col("_lo") * low_ratio, "SIZE_BELOW_RANGE"), ((size >= F.col("_lo") * low_ratio) & (size > F.col("_hi") * high_ratio), "SIZE_ABOVE_RANGE")]
+    tests = [
+        (yes("_type_mismatch"), "TYPE_NOT_MATCHING"),
+        (yes("_synonym"), "SUSPECT_SYNONYM"),
+        (F.col("_fraction") >= max_contamination, "CONTAMINATION"),
+        (size < F.col("_lo") * low_ratio, "SIZE_BELOW_RANGE"),
+        ((size >= F.col("_lo") * low_ratio) & (size > F.col("_hi") * high_ratio), "SIZE_ABOVE_RANGE"),
+    ]
     flags = F.filter(F.array(*(F.when(F.coalesce(t, F.lit(False)), n) for t, n in tests)), lambda x: x.isNotNull())
     points = lambda test, n: F.when(F.coalesce(test, F.lit(False)), float(n)).otherwise(0.0)
-    level = F.lower(_text("assembly_level"))
-    score = F.when(n50.isNotNull(), F.least(F.log10(n50 + 1), F.lit(8.0))).otherwise(0.0) + points(F.col("source") == "refseq", 2) + points(evidence(F.col("sequencing_technology"), "third_generation").isNotNull(), 2)
+    level, species = F.lower(_optional(df, "assembly_level")), _optional(df, "species_taxid")
+    score = F.when(n50.isNotNull(), F.least(F.log10(n50 + 1), F.lit(8.0))).otherwise(0.0)
+    score += points(F.col("source") == "refseq", 2)
+    score += points(evidence(_optional(df, "sequencing_technology"), "third_generation").isNotNull(), 2)
     score += F.when(level.isin("complete genome", "chromosome"), 3.0).when(level == "scaffold", -1.0).when(level == "contig", -2.0).otherwise(0.0)
-    score += points(F.col("refseq_category").isin(*CURATED), 3) + points(yes("_reference"), 3) + points(yes("_type_strain") | (_text("relation_to_type_material") != ""), 2)
-    score -= F.when(F.col("_fraction").isNotNull(), F.least(F.col("_fraction") * 10, F.lit(3.0))).otherwise(0.0) + points(_text("excluded_from_refseq") != "", 1)
-    group = F.coalesce("_ani_group", F.when(_text("species_taxid") != "", F.concat(F.lit("SP_"), "species_taxid")), "entity_id")
-    metric = F.when(contig > 0, "contig_n50").when(scaffold > 0, "scaffold_n50").otherwise("missing")
-    return df.select(*master.columns, F.floor(n50).cast("long").alias("n50_value"), metric.alias("n50_metric"), F.when(F.size(flags) > 0, "quarantine").otherwise("accepted").alias("qc_status"), score.alias("score"), flags.alias("flags"), group.alias("split_group_id"))
+    score += points(_optional(df, "refseq_category").isin(*CURATED), 3) + points(yes("_reference"), 3)
+    score += points(yes("_type_strain") | (_optional(df, "relation_to_type_material") != ""), 2)
+    score -= F.when(F.col("_fraction").isNotNull(), F.least(F.col("_fraction") * 10, F.lit(3.0))).otherwise(0.0)
+    score -= points(_optional(df, "excluded_from_refseq") != "", 1)
+    entity, own = _optional(df, "entity_type"), F.when(species != "", species)
+    organelle, is_virus = entity == "organelle", entity == "virus_sequence"
+    names = ("sequence_accession", "taxid", "download_url", "virus_group", "virus_reported_genome_length")
+    checked = virus_qc(*(_optional(df, c) for c in names), **virus)
+    virus_score = F.lit(5.0) + points(F.lower(_optional(df, "is_refseq_viral")).isin("1", "true"), 4) + points(_optional(df, "host") != "", 1) + points(checked["genome_type"] != "unknown", 1)
+    group = F.coalesce("_ani_group", F.concat(F.lit("SP_"), own), "entity_id")
+    genome = F.when(_optional(df, "virus_genome_id") != "", _optional(df, "virus_genome_id"))
+    by_kind = lambda of_organelle, of_virus, other: F.when(organelle, of_organelle).when(is_virus, of_virus).otherwise(other)
+    found = {
+        "n50_value": F.floor(n50).cast("long"),
+        "n50_metric": metric,
+        "qc_status": by_kind(F.lit("accepted"), F.when(F.size(checked["flags"]) > 0, "rejected").otherwise("accepted"), F.when(F.size(flags) > 0, "quarantine").otherwise("accepted")),
+        "score": by_kind(F.lit(5.0), virus_score, score),
+        "flags": by_kind(F.array().cast("array<string>"), checked["flags"], flags),
+        "split_group_id": by_kind(F.coalesce(own, "entity_id"), F.coalesce(genome, own, "entity_id"), group),
+    }
+    return df.select(*columns, *(v.alias(k) for k, v in found.items()))
 
 
 def species_key() -> Column:
@@ -205,8 +262,8 @@ def gated(df: DataFrame, gates: Mapping, anchors: DataFrame | None = None, acces
 
 def _picked(df: DataFrame, quota: Mapping) -> DataFrame:
     good = df.where("eligible")
-    measured = good.select("genus_key", "species_taxid", number(F.col("genome_size"), 0.0).alias("size"), number(F.col("gc_percent"), -1.0).alias("gc"))
-    return pick_genus(good, genus_quota(measured, "genus_key", "species_taxid", "size", "gc", **quota), "genus_key", quality_order(), F.col("anchor"))
+    measured = good.select("genus_key", "species_taxid", "taxid", number(F.col("genome_size"), 0.0).alias("size"), number(F.col("gc_percent"), -1.0).alias("gc"))
+    return pick_genus(good, genus_quota(measured, "genus_key", ("species_taxid", "taxid"), "size", "gc", **quota), "genus_key", quality_order(), F.col("anchor"))
 
 
 def select_balanced(df: DataFrame, budget: DataFrame, gates: Mapping, quota: Mapping = {}, anchors: DataFrame | None = None, mean_bp: float = 4200.0) -> DataFrame:  # noqa: B006
@@ -230,6 +287,21 @@ def select_balanced(df: DataFrame, budget: DataFrame, gates: Mapping, quota: Map
     return out.withColumn("target_bp", target).withColumn("target_fragments", F.floor(F.col("target_bp") / mean_bp).cast("long")).drop("_n", "_anchors", "bp", "capacity", "reasons", "eligible")
 
 
+def clade_report(df: DataFrame, selected: DataFrame, budget: DataFrame, gates: Mapping, quota: Mapping = {}, anchors: DataFrame | None = None) -> DataFrame:  # noqa: B006
+    """A row for each clade that has an eligible genome: genera_available, genomes_eligible, genomes_selected, genomes_dropped_for_depth (picked, but over the clade's capacity), budget_fragments, budget_bp, bp_per_genome (by the
+    budget alone), planned_bp and anchors. The first and the last three parameters are those of select_balanced, `selected` is what it returned."""
+    judged = gated(df, gates, anchors)
+    have = judged.where("eligible").groupBy("clade").agg(F.countDistinct("genus_key").alias("genera_available"), F.count(F.lit(1)).alias("genomes_eligible"))
+    picked = _picked(judged, quota).groupBy("clade").agg(F.count(F.lit(1)).alias("_picked"))
+    sums = selected.groupBy("clade").agg(F.count(F.lit(1)).alias("genomes_selected"), F.sum("target_bp").alias("planned_bp"), F.count_if("anchor").alias("anchors"))
+    limits = F.broadcast(budget.select("clade", F.col("fragments").alias("budget_fragments"), F.col("bp").alias("budget_bp")))
+    out = have.join(picked, "clade").join(sums, "clade", "left").join(limits, "clade", "left")
+    out = out.na.fill(0, ["genomes_selected", "planned_bp", "anchors", "budget_fragments", "budget_bp"])
+    each = F.when(F.col("genomes_selected") > 0, bp_per_genome(F.col("budget_bp"), F.col("genomes_selected"), F.lit(0.0))).otherwise(0)
+    dropped = (F.col("_picked") - F.col("genomes_selected")).alias("genomes_dropped_for_depth")
+    return out.select("clade", "genera_available", "genomes_eligible", "genomes_selected", dropped, "budget_fragments", "budget_bp", each.alias("bp_per_genome"), "planned_bp", "anchors")
+
+
 def select_breadth(df: DataFrame, gates: Mapping, quota: Mapping = {}, anchors: DataFrame | None = None, clades: Sequence[str] | None = None, max_bp: float = 50_000_000.0, fraction: float = 0.8, mean_bp: float = 4200.0) -> DataFrame:  # noqa: B006
     """The genomes of a selection in which every genus counts, without a budget: up to its quota, each with at most max_bp (0: none) and a fraction of its size."""
     picked = _picked(gated(df, gates, anchors), quota)

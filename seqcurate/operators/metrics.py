@@ -116,9 +116,10 @@ def pareto_winner(df: DataFrame, name: str, metric: str, speed: str, max_drop: f
 
 
 def fingerprint(df: DataFrame, by: Sequence[str], id_: str, bp: str) -> DataFrame:
-    """Per group: records, base pairs and a hash of the ids in any order, which repeated ids change: the sum of their 32-bit md5 numbers and of the squares of these."""
+    """Per group: records, base pairs and a hash of the ids in any order, which repeated ids change: the sum of their 32-bit md5 numbers and of the squares of the numbers' last 16 bits, as decimals of 38 digits, which any number of rows fits in."""
     h = md5_number(F.col(id_).cast("string"))
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("records"), F.sum(bp).alias("bp"), F.sum(h).alias("ids"), F.sum((h % 65_536) * (h % 65_536)).alias("ids2"))
+    total = lambda x: F.sum(x.cast("decimal(20,0)")).cast("decimal(38,0)")
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("records"), F.sum(bp).alias("bp"), total(h).alias("ids"), total((h % 65_536) * (h % 65_536)).alias("ids2"))
 
 
 def verify_fingerprint(old: DataFrame, new: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -24,7 +24,7 @@ def merge_indexes(own: DataFrame, other: DataFrame, status: DataFrame, local_org
     """The union of two indexes. own, other: accession, training_class, ordinal and more (own: entity_type; other: status, is_anchor); status: accession, result;
     local_organelles: accession.
 
-    Adds index_source (v2, tiara1 or v2+tiara1 as given by `own` and `other`), accession_match, available, availability_reason, other_accession and output: current (available, of a known
+    Adds index_source (own, other or own+other), accession_match, available, availability_reason, other_accession and output: current (available, of a known
     class), deferred (not available, or known from the other index) or neither. Own rows are available if a download of theirs, in any version, is done, organelles also if they are there;
     a row of the other index upgrades the own row with its accession, else the first of another version; those that match none are appended, deferred."""
     good = status.where(F.lower(_text("result")).isin(*DONE)).select(base_accession(F.col("accession"), "last").alias("_base")).distinct().withColumn("_good", F.lit(True))
@@ -170,26 +170,50 @@ def organize(master: DataFrame, qc: DataFrame, split: DataFrame, manifest: DataF
     return rows.select("entity_id", "split", F.when(done, place).alias("destination"), F.when(~done, "missing").alias("problem"))
 
 
-def organelle_inventory(fasta: DataFrame, meta: DataFrame, min_len: int = 0, per_species: int = 0) -> DataFrame:
-    """Sequences (accession, length, ordinal) and metadata (accession, taxid, organism) side by side: accession, accession_base, taxid, length, metadata_matched, fasta_present, selected,
-    reasons: DUPLICATE_FASTA_ACCESSION, BELOW_MIN_LENGTH, SPECIES_CAP, FASTA_NOT_FOUND.
+def organelle_inventory(fasta: DataFrame, meta: DataFrame, min_len: int = 0, per_species: int = 0, group: str | None = None) -> DataFrame:
+    """Sequences (accession, length, ordinal) and metadata (accession, taxid, organism, and species_taxid if there is such a column) side by side: accession, accession_base, taxid, species_taxid, length,
+    metadata_matched, fasta_present, selected, reasons: DUPLICATE_FASTA_ACCESSION, BELOW_MIN_LENGTH, SPECIES_CAP, FASTA_NOT_FOUND. group: a column of both tables, within which they are matched, and which the result has, too.
 
-    Versions don't count between the two. Of a species' sequences that are neither, the first per_species are selected; without a taxid each is a species of its own."""
-    base = lambda c: base_accession(F.col(c))
-    info = meta.groupBy(base("accession").alias("accession_base")).agg(F.min_by(F.struct("accession", "taxid", "organism"), "accession").alias("_m"))
-    rows = fasta.withColumn("accession_base", base("accession")).withColumn("_nth", F.row_number().over(Window.partitionBy("accession").orderBy("ordinal")))
-    both = rows.join(info, "accession_base", "full")
+    Versions don't count between the two. A species is that of species_taxid, else of taxid; of its sequences that are neither short nor repeated the first per_species are selected; without
+    either each is a species of its own."""
+    own, base = [group] if group else [], lambda c: base_accession(F.col(c))
+    of_species = F.col("species_taxid") if "species_taxid" in meta.columns else F.lit("")
+    info = meta.withColumn("_species", of_species).groupBy(*own, base("accession").alias("accession_base")).agg(F.min_by(F.struct("accession", "taxid", "_species"), "accession").alias("_m"))
+    rows = fasta.withColumn("accession_base", base("accession")).withColumn("_nth", F.row_number().over(Window.partitionBy(*own, "accession").orderBy("ordinal")))
+    both = rows.join(info, [*own, "accession_base"], "full")
     present = F.col("ordinal").isNotNull()
     twice, short = F.col("_nth") > 1, F.col("length") < min_len
-    taxid = F.coalesce(F.nullif(F.col("_m.taxid").cast("string"), F.lit("")), F.lit(None))
-    both = both.withColumn("taxid", taxid).withColumn("_ok", present & ~F.coalesce(twice, F.lit(False)) & ~F.coalesce(short, F.lit(False)))
-    key = F.coalesce("taxid", F.concat(F.lit("ACC:"), F.coalesce("accession", "accession_base")))
-    nth = F.row_number().over(Window.partitionBy(key, "_ok").orderBy("ordinal"))
+    filled = lambda c: F.nullif(F.col(c).cast("string"), F.lit(""))
+    both = both.withColumn("taxid", filled("_m.taxid")).withColumn("species_taxid", F.coalesce(filled("_m._species"), filled("_m.taxid")))
+    both = both.withColumn("_ok", present & ~F.coalesce(twice, F.lit(False)) & ~F.coalesce(short, F.lit(False)))
+    key = F.coalesce("species_taxid", F.concat(F.lit("ACC:"), F.coalesce("accession", "accession_base")))
+    nth = F.row_number().over(Window.partitionBy(*own, key, "_ok").orderBy("ordinal"))
     over = F.col("_ok") & (nth > per_species) if per_species else F.lit(False)
     both = both.withColumn("_over", over)
     tests = [(twice, "DUPLICATE_FASTA_ACCESSION"), (short, "BELOW_MIN_LENGTH"), (F.col("_over"), "SPECIES_CAP"), (~present, "FASTA_NOT_FOUND")]
     reasons = F.filter(F.array(*(F.when(F.coalesce(t, F.lit(False)), n) for t, n in tests)), lambda x: x.isNotNull())
-    return both.select(F.coalesce("accession", "_m.accession").alias("accession"), "accession_base", "taxid", "length", F.col("_m").isNotNull().alias("metadata_matched"), present.alias("fasta_present"), (F.col("_ok") & ~F.col("_over")).alias("selected"), reasons.alias("reasons"))
+    found = [F.col("_m").isNotNull().alias("metadata_matched"), present.alias("fasta_present"), (F.col("_ok") & ~F.col("_over")).alias("selected"), reasons.alias("reasons")]
+    return both.select(*own, F.coalesce("accession", "_m.accession").alias("accession"), "accession_base", "taxid", "species_taxid", "length", *found)
+
+
+def organelle_stats(inventory: DataFrame, group: str, meta: DataFrame) -> DataFrame:
+    """Per group of an inventory (see organelle_inventory; meta: its metadata): metadata records and repeated ones, sequences and repeated ones, with metadata and without, without a taxid, short ones,
+    those over a species' cap, those kept, and distinct taxids of sequences."""
+    n, has = F.count_if, lambda reason: F.array_contains("reasons", reason)
+    there = F.col("fasta_present")
+    sums = inventory.groupBy(group).agg(
+        n(there).alias("fasta_records"),
+        n(has("DUPLICATE_FASTA_ACCESSION")).alias("duplicate_fasta_accessions"),
+        n(there & F.col("metadata_matched")).alias("metadata_matched"),
+        n(there & ~F.col("metadata_matched")).alias("missing_metadata"),
+        n(there & F.col("taxid").isNull()).alias("missing_taxid"),
+        n(has("BELOW_MIN_LENGTH")).alias("below_min_len"),
+        n(has("SPECIES_CAP")).alias("species_cap_filtered"),
+        n(F.col("selected")).alias("kept_records"),
+        F.countDistinct(F.when(there, F.col("taxid"))).alias("distinct_taxids"),
+    )
+    records = meta.groupBy(group).agg(F.count(F.lit(1)).alias("gbff_records"), (F.count(F.lit(1)) - F.countDistinct(base_accession(F.col("accession")))).alias("duplicate_gbff_accessions"))
+    return records.join(sums, group, "full").na.fill(0)
 
 
 def verify(manifest: DataFrame, files: DataFrame) -> DataFrame:

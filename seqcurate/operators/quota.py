@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import filter_quality, keep_by_id, md5_fraction
+from .order import kept, running, with_totals
 
 
 def apportion(df: DataFrame, ratio: str, total: int, key: str) -> DataFrame:
@@ -20,50 +21,64 @@ def apportion(df: DataFrame, ratio: str, total: int, key: str) -> DataFrame:
     return df.withColumn("quota", (F.col("base") + (rank <= left).cast("int")).cast("long")).drop("raw", "base")
 
 
-def water_fill(df: DataFrame, total: Column, weight: str, cap: str, key: str, group: Sequence[str] = (), floor: str | None = None) -> DataFrame:
-    """df with level_share: min(cap, floor + level * weight), which add up to min(total, caps) in each group.
+def water_fill(df: DataFrame, total: Column, weight: str, cap: str, key: str, group: Sequence[str] = (), floor: str | None = None, few: bool = False) -> DataFrame:
+    """df with level_share: min(cap, floor + level * weight), which add up to min(total, caps) in each group. total is the same in all rows of a group.
 
     Rows fill up in the order of (cap - floor) / weight. The level is what is left of the total after the caps of the rows before, over the weights
-    from here on, at the first row that it does not fill: one window per group instead of a loop."""
+    from here on, at the first row that it does not fill. Rows are sorted over range partitions and their sums run on from partition to partition, so no task holds a group; with `few` (rows that
+    are as many as the classes someone named) one window for each group does it."""
     base = F.col(floor) if floor else F.lit(0.0)
-    by = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     room = F.greatest(F.lit(0.0), F.col(cap).cast("double") - base)
-    df = df.withColumn("_room", room).withColumn("_at", F.when(F.col(weight) > 0, F.col("_room") / F.col(weight)))
+    df = df.withColumn("_goal", total.cast("double")).withColumn("_room", room).withColumn("_at", F.when(F.col(weight) > 0, F.col("_room") / F.col(weight)))
     live = F.when(F.col(weight) > 0, F.col("_room")).otherwise(0.0)
-    order = by.orderBy(F.col("_at").asc_nulls_last(), key)
-    filled = F.coalesce(F.sum(live).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    weights = F.sum(weight).over(order.rowsBetween(0, Window.unboundedFollowing))
-    left = total.cast("double") - (F.sum(base).over(by) if floor else F.lit(0.0)) - filled
-    df = df.withColumn("_level", F.when(weights > 0, left / weights))
-    level = F.min(F.when(F.col("_at") > F.col("_level"), F.struct("_at", F.col(key).alias("_key"), "_level"))).over(by)["_level"]  # of the first such row in the order
-    share = F.when(F.col(weight) > 0, base + F.least(F.col("_room"), F.coalesce(F.greatest(level, F.lit(0.0)) * F.col(weight), F.col("_room")))).otherwise(base)
-    return df.withColumn("level_share", share).drop("_room", "_at", "_level")
+    up = [F.col("_at").asc_nulls_last(), F.col(key)]
+    if few:
+        by = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+        filled = F.sum(live).over(by.orderBy(*up).rowsBetween(Window.unboundedPreceding, -1))
+        weights = F.sum(weight).over(by.orderBy(F.col("_at").desc_nulls_first(), F.desc(key)).rowsBetween(Window.unboundedPreceding, 0))
+        df = df.withColumns({"_filled": filled, "_weights": weights, "_base": F.sum(base).over(by)})
+    else:
+        df = running(df, up, {"_filled": live}, group, before=True, rest={"_weights": F.col(weight).cast("double")})
+        df = with_totals(df, {"_base": F.sum(base)}, group)
+    df = df.withColumn("_level", F.when(F.col("_weights") > 0, (F.col("_goal") - F.col("_base") - F.coalesce("_filled", F.lit(0.0))) / F.col("_weights")))
+    first = F.min(F.when(F.col("_at") > F.col("_level"), F.struct("_at", F.col(key).alias("_key"), "_level")))  # of the first such row in the order
+    df = df.withColumn("_first", first.over(by)) if few else with_totals(df, {"_first": first}, group)
+    level = F.when(F.col("_first").isNotNull(), F.greatest(F.col("_first._level"), F.lit(0.0)))  # null where all rows are full
+    share = F.when(F.col(weight) > 0, base + F.least(F.col("_room"), F.coalesce(level * F.col(weight), F.col("_room")))).otherwise(base)
+    return df.withColumn("level_share", share).drop("_goal", "_room", "_at", "_filled", "_weights", "_base", "_level", "_first")
 
 
 def allocate_rates(counts: DataFrame, target: int, mode: str, key: str, count: str = "n", floor: int = 0, cap: int = 0) -> DataFrame:
     """counts with quota and rate: every key's floor first (scaled down if the target is less), then the rest by water-filling with
-    proportional, sqrt or equal weights up to the cap."""
+    proportional, sqrt or equal weights up to the cap. Keys may be very many."""
     capacity = F.least(F.col(count), F.lit(cap)) if cap else F.col(count)
     df = counts.where(F.col(count) > 0).withColumn("_cap", capacity.cast("double"))
-    one = Window.partitionBy(F.lit(0))
-    goal = F.least(F.lit(float(target)), F.sum("_cap").over(one))
-    low = F.least(F.lit(float(floor)), F.col("_cap"))
-    df = df.withColumn("_goal", goal).withColumn("_low", low)
-    df = df.withColumn("_low", F.col("_low") * F.least(F.lit(1.0), F.col("_goal") / F.greatest(F.lit(1.0), F.sum("_low").over(one))))
+    df = df.withColumn("_low", F.least(F.lit(float(floor)), F.col("_cap")))
+    df = with_totals(df, {"_caps": F.sum("_cap"), "_lows": F.sum("_low")})
+    goal = F.least(F.lit(float(target)), F.col("_caps"))
+    df = df.withColumn("_target", goal).withColumn("_low", F.col("_low") * F.least(F.lit(1.0), goal / F.greatest(F.lit(1.0), F.col("_lows"))))
     weight = {"proportional": F.col(count).cast("double"), "sqrt": F.sqrt(count), "equal": F.lit(1.0)}[mode]
-    df = water_fill(df.withColumn("_w", weight), F.col("_goal"), "_w", "_cap", key, floor="_low")
-    return df.withColumn("quota", F.col("level_share")).withColumn("rate", F.least(F.lit(1.0), F.col("quota") / F.col(count))).drop("_cap", "_goal", "_low", "_w", "level_share")
-
-
-def allocate_capped(df: DataFrame, total: Column, weight: str, cap: str, key: str) -> DataFrame:
-    """df with quota (long): weighted water-filling, rounded half to even, what rounding leaves going to the rows with most room."""
-    df = water_fill(df, total, weight, cap, key)
-    one = Window.partitionBy(F.lit(0))
-    df = df.withColumn("_q", F.least(F.col(cap).cast("long"), F.bround("level_share").cast("long"))).withColumn("_free", F.when(F.col(weight) > 0, F.col(cap).cast("long") - F.col("_q")).otherwise(0))
-    drift = F.least(total.cast("long"), F.sum(F.when(F.col(weight) > 0, F.col(cap).cast("long")).otherwise(0)).over(one)) - F.sum("_q").over(one)
-    df = df.withColumn("_drift", F.greatest(drift, F.lit(0)))
-    before = F.coalesce(F.sum("_free").over(one.orderBy(F.desc("_free"), key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.withColumn("quota", F.col("_q") + F.greatest(F.lit(0), F.least(F.col("_free"), F.col("_drift") - before))).drop("_q", "_free", "_drift", "level_share")
+    df = water_fill(df.withColumn("_w", weight), F.col("_target"), "_w", "_cap", key, floor="_low")
+    return df.withColumn("quota", F.col("level_share")).withColumn("rate", F.least(F.lit(1.0), F.col("quota") / F.col(count))).drop("_cap", "_caps", "_target", "_low", "_lows", "_w", "level_share")
+
+
+def allocate_capped(df: DataFrame, total: Column, weight: str, cap: str, key: str, few: bool = False) -> DataFrame:
+    """df with quota (long): weighted water-filling, rounded half to even, what rounding leaves going to the rows with most room. few: see water_fill."""
+    df = water_fill(df, total, weight, cap, key, few=few)
+    most = F.col(cap).cast("long")
+    rounded = F.least(most, F.bround("level_share").cast("long"))
+    df = df.withColumn("_q", rounded).withColumn("_free", F.when(F.col(weight) > 0, most - F.col("_q")).otherwise(0))
+    sums = {"_room": F.sum(F.when(F.col(weight) > 0, most).otherwise(0)), "_given": F.sum("_q")}
+    order = [F.desc("_free"), F.col(key)]
+    if few:
+        one = Window.partitionBy(F.lit(0))
+        df = df.withColumns({k: v.over(one) for k, v in sums.items()})
+        df = df.withColumn("_before", F.sum("_free").over(one.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)))
+    else:
+        df = running(with_totals(df, sums), order, {"_before": F.col("_free")}, before=True)
+    drift = F.greatest(F.least(total.cast("long"), F.col("_room")) - F.col("_given"), F.lit(0))
+    more = F.greatest(F.lit(0), F.least(F.col("_free"), drift - F.coalesce("_before", F.lit(0))))
+    return df.withColumn("quota", F.col("_q") + more).drop("_q", "_free", "_room", "_given", "_before", "level_share")
 
 
 def bp_plan(stats: DataFrame, priors: Mapping[str, float], weights: Mapping[str, float], divided: str = "eukarya", total: int | None = None) -> DataFrame:
@@ -83,7 +98,7 @@ def bp_plan(stats: DataFrame, priors: Mapping[str, float], weights: Mapping[str,
     target = top.crossJoin(most).select("class", F.col("bp").alias("available_bp"), F.when(wish > F.col("bp"), fail("the total is infeasible for ")).otherwise(wish).alias("target_bp"))
     goal = target.where(F.col("class") == divided).select(F.col("class").alias("class"), F.col("target_bp").alias("goal"))
     split = clades.join(stats.select("stratum", "bp"), "stratum", "left").na.fill(0, ["bp"]).crossJoin(goal)
-    split = allocate_capped(split, F.col("goal"), "weight", "bp", "stratum")
+    split = allocate_capped(split, F.col("goal"), "weight", "bp", "stratum", few=True)
     short = F.sum("quota").over(Window.partitionBy(F.lit(0))) < F.col("goal")
     split = split.select("stratum", F.col("bp").alias("available_bp"), F.when(short, fail("the weighted clades cannot fill the target of ")).otherwise(F.col("quota")).alias("target_bp"))
     out = target.where(F.col("class") != divided).withColumnRenamed("class", "stratum").unionByName(split)
@@ -99,9 +114,19 @@ def clade_coverage(stats: DataFrame, weights: Mapping[str, float], divided: str
     return out.select("clade", "weight", "bp", F.when(empty, "no_data").alias("problem"), lost.alias("redistributed"))
 
 
+#: Rows of a table of rates that are broadcast; more are joined by a shuffle.
+BROADCAST = 1 << 18
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """df, written, and broadcast if it has BROADCAST rows at most; so that a few rates never make the corpus shuffle onto its hot strata."""
+    df = kept(df)
+    return F.broadcast(df) if df.count() <= BROADCAST else df
+
+
 def bp_balance(df: DataFrame, plan: DataFrame, id_: str, stratum: str = "stratum", seed: int = 42, how: str = "crc32") -> DataFrame:
-    """The rows that hash sampling keeps at their stratum's rate. The plan has a row for each stratum and is joined by it."""
-    rates = plan.select(F.col("stratum").alias(stratum), "rate")
+    """The rows that hash sampling keeps at their stratum's rate. The plan has a row for each stratum; texts are not shuffled to join it."""
+    rates = _small(plan.select(F.col("stratum").alias(stratum), "rate"))
     return df.join(rates, stratum).where(keep_by_id(F.col(id_), F.col("rate"), seed, how)).drop("rate")
 
 
@@ -151,7 +176,7 @@ def class_weights(df: DataFrame, cls: str) -> DataFrame:
 
 def hash_cap(df: DataFrame, group: str, id_: str, cap: int, salt: str = "cap") -> DataFrame:
     """About `cap` rows of each group: those whose hash fraction is under cap / rows. The counts are joined, no group is gathered."""
-    n = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    n = _small(df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")))
     return df.join(n, group).where(md5_fraction(F.concat(F.lit(f"{salt}:"), F.col(id_).cast("string"))) < F.lit(float(cap)) / F.col("_n")).drop("_n")
 
 

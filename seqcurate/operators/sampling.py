@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import md5_number
-from .order import kept, placed, running
+from .order import kept, placed, running, with_totals
 from .quota import water_fill
 
 # Presets of the choppers.
@@ -198,41 +198,82 @@ def spaced_sample(df: DataFrame, cls: str, order: Sequence[str], cap: int, mode:
 
 
 def cap_target(df: DataFrame, natural: str, requested: str, most: float, key: str) -> DataFrame:
-    """df with effective: the requested shares, none over `most` times the natural one, what is cut off going to the others in proportion to their request (water-filling; a share that is not
-    requested gets none). Shares add up to 1. An error if the caps do not allow that."""
+    """df with effective: the requested shares, none over `most` times the natural one, what is cut off going to the others in proportion to their request (water-filling), and where all that are
+    requested are at their caps, to the rest in proportion to their room. Shares add up to 1. An error if `most` is below 1, a natural share is not above 0, or a request is below 0."""
+    if not 1 <= most < float("inf"):
+        raise ValueError("most must be finite and 1 at least")
     one = Window.partitionBy(F.lit(0))
-    df = df.withColumn("_p", F.col(natural) / F.sum(natural).over(one)).withColumn("_q", F.col(requested) / F.sum(requested).over(one)).withColumn("_cap", F.col("_p") * most)
-    df = water_fill(df, F.lit(1.0), "_q", "_cap", key)
-    whole = F.sum("level_share").over(one)
-    share = F.when(F.abs(whole - 1) > 1e-6, F.raise_error(F.lit("the caps leave no distribution")).cast("double")).otherwise(F.col("level_share") / whole)
-    return df.withColumn("effective", share).drop("_p", "_q", "_cap", "level_share")
+    wrong = (F.coalesce(F.col(natural), F.lit(0)) <= 0) | (F.coalesce(F.col(requested), F.lit(0)) < 0)
+    checked = F.when(wrong, F.raise_error(F.concat(F.lit("empty or without a target: "), F.col(key).cast("string"))).cast("double")).otherwise(F.col(natural))
+    df = df.withColumn("_p", checked / F.sum(checked).over(one)).withColumn("_q", F.col(requested) / F.sum(requested).over(one)).withColumn("_cap", F.col("_p") * most)
+    df = water_fill(df, F.lit(1.0), "_q", "_cap", key, few=True)
+    left = F.greatest(1.0 - F.sum("level_share").over(one), F.lit(0.0))
+    room = F.when(F.col("_q") > 0, 0.0).otherwise(F.col("_cap"))
+    df = df.withColumn("_room", room).withColumn("_all", F.sum(room).over(one)).withColumn("_left", F.when(left > 1e-12, left).otherwise(0.0))
+    df = df.withColumn("level_share", F.col("level_share") + F.when(F.col("_all") > 0, F.col("_left") * F.col("_room") / F.col("_all")).otherwise(0.0))
+    share = F.col("level_share") / F.sum("level_share").over(one)
+    return df.withColumn("effective", share).drop("_p", "_q", "_cap", "_room", "_all", "_left", "level_share")
+
+
+def _levels(df: DataFrame, total: float, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """df (_w, _s) with _level: in each group `by` the level l at which the sum of _w * min(l, _s) is `total`; null if it is less at any level."""
+    df = running(df, [F.col("_s"), *(F.col(c) for c in order)], {"_filled": F.col("_w") * F.col("_s")}, by, before=True, rest={"_rest": F.col("_w")})
+    level = (F.lit(total) - F.coalesce("_filled", F.lit(0.0))) / F.col("_rest")
+    df = df.withColumn("_at", level)
+    first = F.min(F.when(F.col("_s") >= F.col("_at"), F.struct("_s", *order, "_at")))["_at"]  # of the first such row
+    return with_totals(df, {"_level": first}, by).drop("_filled", "_rest", "_at")
 
 
 def donor_caps(df: DataFrame, leaf: str, donors: Sequence[str], caps: Sequence[float], rows: str = "n", rounds: int = 50) -> DataFrame:
-    """df, a row for each group of rows (`rows` of them) of the same leaf and donors, with share: its part of its leaf's weight, at first by rows, in which no donor of any level has more than
-    its cap of the leaf. Each round scales the donors of a level that have more down to it and gives the others what is left, in proportion, until nothing changes. An error if that is impossible.
-
-    Only groups are looked at, never rows, and each level's totals are aggregates; each round is written or persisted."""
-    leaf_total = Window.partitionBy(leaf)
-    df = kept(df.withColumn("share", F.col(rows) / F.sum(rows).over(leaf_total)))
+    """df, a row for each group of rows (`rows` of them, above 0) of the same leaf and donors, with share: its part of its leaf's weight, at first by rows, in which no donor of any level has more than
+    its cap of the leaf (up to 1e-8); an error if that is impossible. Donors are named from the narrowest, caps lie in (0, 1]; null donors are donors like others.
+
+    Where donors are nested, as accessions in species in genera, the shares are exact: every row grows with one level until a donor that it belongs to is full. The level at which a donor is full is that of
+    water-filling, where what narrower donors have filled counts as caps; it is found from the narrowest donors to the widest, and then for the whole leaf, and a row's share is its rows' by the least
+    of its levels. Sums run over range partitions, so no leaf is one task's. Where they are not nested (a donor in several wider ones), rounds follow (see _scaled)."""
+    if len(donors) != len(caps) or not all(0 < c <= 1 for c in caps):
+        raise ValueError("every donor needs a cap above 0 and not above 1")
+    given = df.columns
+    df = with_totals(df, {"_all": F.sum(rows)}, [leaf]).withColumn("_w", F.col(rows) / F.col("_all")).withColumn("_s", F.lit(float("1e18")))
+    for i, cap in enumerate(caps):
+        level = F.least(F.col("_s"), F.coalesce("_level", F.col("_s")))
+        df = _levels(df, float(cap), [leaf, *donors[i:]], donors).withColumn("_s", level).drop("_level")
+    fail = F.raise_error(F.concat(F.lit("donor caps are infeasible in "), F.col(leaf).cast("string"))).cast("double")
+    # what is missing from 1 by rounding alone is made up for
+    df = with_totals(_levels(df, 1.0, [leaf], donors), {"_most": F.sum(F.col("_w") * F.least(F.col("_s"), F.lit(1e9)))}, [leaf])
+    level = F.when(F.col("_level").isNotNull(), F.least("_s", "_level")).when(F.col("_most") >= 1 - 1e-9, F.col("_s")).otherwise(fail)
+    df = kept(df.withColumn("share", F.col("_w") * level).select(*given, "share"))
+    return df if _within(df, leaf, donors, caps) else _scaled(df.drop("share"), leaf, donors, caps, rows, rounds)
+
+
+def _within(df: DataFrame, leaf: str, donors: Sequence[str], caps: Sequence[float]) -> bool:
+    return all(df.groupBy(leaf, donor).agg(F.sum("share").alias("_t")).where(F.col("_t") > cap + 1e-8).isEmpty() for donor, cap in zip(donors, caps, strict=True))
+
+
+def _scaled(df: DataFrame, leaf: str, donors: Sequence[str], caps: Sequence[float], rows: str, rounds: int) -> DataFrame:
+    """The shares of donor_caps where donors are not nested: each round scales the donors of a level that have more down to their cap and gives those below it what is left, in proportion,
+    until nothing changes. An error if some donor still has too much after the last round, or if none has room."""
+    given = df.columns
+    df = kept(with_totals(df, {"_all": F.sum(rows)}, [leaf]).withColumn("share", F.col(rows) / F.col("_all")).select(*given, "share"))
     for _ in range(rounds):
         changed = False
         for donor, cap in zip(donors, caps, strict=True):
-            total = F.sum("share").over(Window.partitionBy(leaf, donor))
-            step = df.withColumn("_t", total).withColumn("_over", F.col("_t") > cap + 1e-12)
+            step = with_totals(df, {"_t": F.sum("share")}, [leaf, donor]).withColumn("_over", F.col("_t") > cap + 1e-12)
             if step.where("_over").isEmpty():
                 continue
             changed = True
             step = step.withColumn("share", F.when(F.col("_over"), F.col("share") * cap / F.col("_t")).otherwise(F.col("share")))
             step = step.withColumn("_free", ~F.col("_over") & (F.col("_t") < cap - 1e-12))
-            left = 1.0 - F.sum("share").over(leaf_total)
-            mass = F.sum(F.when(F.col("_free"), F.col("share")).otherwise(0.0)).over(leaf_total)
-            step = step.withColumn("_left", left).withColumn("_mass", mass)
+            step = with_totals(step, {"_sum": F.sum("share"), "_mass": F.sum(F.when(F.col("_free"), F.col("share")).otherwise(0.0))}, [leaf])
+            left = 1.0 - F.col("_sum")
             fail = F.raise_error(F.lit("donor caps are infeasible")).cast("double")
-            step = step.withColumn("share", F.when((F.col("_left") > 1e-12) & (F.col("_mass") <= 0), fail).when(F.col("_free") & (F.col("_left") > 1e-12), F.col("share") * (1 + F.col("_left") / F.col("_mass"))).otherwise(F.col("share")))
-            df = kept(step.drop("_t", "_over", "_free", "_left", "_mass"))
+            share = F.when((left > 1e-12) & (F.col("_mass") <= 0), fail).when(F.col("_free") & (left > 1e-12), F.col("share") * (1 + left / F.col("_mass"))).otherwise(F.col("share"))
+            step = with_totals(step.withColumn("share", share).drop("_sum"), {"_sum": F.sum("share")}, [leaf])
+            df = kept(step.withColumn("share", F.col("share") / F.col("_sum")).select(*given, "share"))
         if not changed:
-            return df
+            break
+    if not _within(df, leaf, donors, caps):
+        raise ValueError(f"donor caps did not hold after {rounds} rounds")
     return df
 
 

@@ -22,10 +22,15 @@ def genus_balance(df: DataFrame, order: Sequence[Column], species: str, genus: s
     return df.withColumn("decision", F.when(~winner, "duplicate_within_species").when(F.col("genus_rank") <= cap, "selected").otherwise("dropped_by_genus_cap"))
 
 
-def genus_quota(df: DataFrame, genus: str, species: str, size: str, gc: str, max_per: int = 4, exponent: float = 0.4, size_ratio: float = 3.0, gc_spread: float = 8.0) -> DataFrame:
-    """Genomes that each genus may have: 1, or more by its number of species if its sizes or GC contents spread widely."""
-    wide = (F.max(F.when(F.col(size) > 0, F.col(size))) / F.min(F.when(F.col(size) > 0, F.col(size))) >= size_ratio) | ((F.count(F.when(F.col(gc) >= 0, 1)) >= 2) & (F.max(F.when(F.col(gc) >= 0, F.col(gc))) - F.min(F.when(F.col(gc) >= 0, F.col(gc))) >= gc_spread))
-    scaled = F.least(F.lit(max_per), F.ceil(F.pow(F.countDistinct(species), F.lit(exponent))), F.count(F.lit(1)))
+def genus_quota(df: DataFrame, genus: str, species: str | Sequence[str], size: str, gc: str, max_per: int = 4, exponent: float = 0.4, size_ratio: float = 3.0, gc_spread: float = 8.0) -> DataFrame:
+    """Genomes that each genus may have: 1, or more by its number of species if its sizes or GC contents spread widely.
+
+    A row's species is the first of the columns `species` that is not empty; a row without any is a species of its own."""
+    sizes, gcs = F.when(F.col(size) > 0, F.col(size)), F.when(F.col(gc) >= 0, F.col(gc))
+    wide = (F.max(sizes) / F.min(sizes) >= size_ratio) | ((F.count(gcs) >= 2) & (F.max(gcs) - F.min(gcs) >= gc_spread))
+    named = F.coalesce(*(F.nullif(F.col(c).cast("string"), F.lit("")) for c in ([species] if isinstance(species, str) else species)))
+    kinds = F.countDistinct(named) + F.count_if(named.isNull())
+    scaled = F.least(F.lit(max_per), F.ceil(F.pow(kinds, F.lit(exponent))), F.count(F.lit(1)))
     return df.groupBy(genus).agg(F.when(F.lit(max_per > 1) & F.coalesce(wide, F.lit(False)), F.greatest(F.lit(1), scaled)).otherwise(1).cast("long").alias("quota"))
 
 
@@ -95,9 +100,22 @@ def drop_leaky(test: DataFrame, train: DataFrame, key: str) -> DataFrame:
     return test.join(train.select(key).distinct(), key, "left_anti")
 
 
+def _accepted(hits: DataFrame, min_id: float, min_cov: float) -> DataFrame:
+    enough = lambda c, least: F.col(c) + 1e-12 >= least
+    return hits.where((F.col("query") != F.col("target")) & enough("fident", min_id) & enough("qcov", min_cov) & enough("tcov", min_cov))
+
+
 def accept_hits(hits: DataFrame, min_id: float = 0.95, min_cov: float = 0.95) -> DataFrame:
-    """Ids of queries with an accepted hit: not on themselves, with identity and both coverages at the thresholds."""
-    return hits.where((F.col("query") != F.col("target")) & (F.col("fident") >= min_id) & (F.col("qcov") >= min_cov) & (F.col("tcov") >= min_cov)).select("query").distinct()
+    """Ids of queries with an accepted hit: not on themselves, with identity and both coverages at the thresholds, up to 1e-12."""
+    return _accepted(hits, min_id, min_cov).select("query").distinct()
+
+
+def hit_report(hits: DataFrame, queries: DataFrame, id_: str, by: Sequence[str], min_id: float = 0.95, min_cov: float = 0.95) -> DataFrame:
+    """Per group of the queries searched with: query_count, accepted_hit_rows, removed_count (queries with an accepted hit) and retention, the share of queries left. Hits of other queries don't count."""
+    rows = _accepted(hits, min_id, min_cov).groupBy(F.col("query").alias(id_)).agg(F.count(F.lit(1)).alias("_rows"))
+    out = queries.select(id_, *by).join(rows, id_, "left").groupBy(*by)
+    out = out.agg(F.count(F.lit(1)).alias("query_count"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("accepted_hit_rows"), F.count("_rows").alias("removed_count"))
+    return out.withColumn("retention", (F.col("query_count") - F.col("removed_count")) / F.col("query_count"))
 
 
 def regroup(df: DataFrame, removed: DataFrame, id_: str, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -34,8 +34,16 @@ def _reports(spark, sf_dir):
     }
 
 
+VIRUS = {"allowed": ("dsDNA", "ssRNA", "retro"), "min_length": 300}
+
+
 def f16_apply_qc(spark, sf_dir):
-    out = curate.apply_qc(genomes(spark, sf_dir), _reports(spark, sf_dir))
+    """Assemblies, organelles and viruses; some N50 and technologies come from a feature table."""
+    g = genomes(spark, sf_dir)
+    curated = F.when(F.col("n") % 38 == 0, "1").otherwise("0")
+    master = g.withColumn("is_refseq_viral", curated).withColumn("virus_genome_id", F.when(F.col("n") % 57 == 0, F.concat(F.lit("VG"), F.col("n").cast("string"))).otherwise(""))
+    features = g.where("n % 16 = 0").select(F.col("assembly_accession").alias("accession"), F.lit("").alias("contig_n50"), (F.col("n") * 10).cast("string").alias("scaffold_n50"), F.lit("PromethION").alias("sequencing_technology"))
+    out = curate.apply_qc(master, _reports(spark, sf_dir), features=features, virus=VIRUS)
     return out.select("n", "n50_value", "n50_metric", "qc_status", F.round("score", 6).alias("score"), F.array_join("flags", ",").alias("flags"), "split_group_id")
 
 
@@ -88,7 +96,7 @@ def w01_quality_order(spark, sf_dir):
 
 def w03_genus_quota(spark, sf_dir):
     g = genomes(spark, sf_dir).withColumn("size", scalars.number(F.col("genome_size"), 0.0)).withColumn("gc", scalars.number(F.col("gc_percent"), -1.0)).withColumn("genus", F.concat("genus_key", F.lit("/"), (F.col("n") % 40).cast("string")))
-    return select.genus_quota(g, "genus", "species_taxid", "size", "gc")
+    return select.genus_quota(g, "genus", ("species_taxid", "taxid"), "size", "gc")
 
 
 def w04_pick_genus(spark, sf_dir):
@@ -117,6 +125,12 @@ def w07_select_balanced(spark, sf_dir):
     return curate.select_balanced(g, budget, GATES, anchors=anchors).select("n", "clade", "genus_rank", "anchor", "target_bp", "target_fragments")
 
 
+def w07_clade_report(spark, sf_dir):
+    g, anchors = _curated(spark, sf_dir)
+    budget = curate.clade_budget(g.select("clade").distinct().withColumn("share", F.length("clade").cast("double")), 200_000, 0.5)
+    return curate.clade_report(g, curate.select_balanced(g, budget, GATES, anchors=anchors), budget, GATES, anchors=anchors)
+
+
 def w08_select_breadth(spark, sf_dir):
     g, anchors = _curated(spark, sf_dir)
     return curate.select_breadth(g, GATES, anchors=anchors, clades=("ECONOMY", "SMALL")).select("n", "clade", "genus_rank", "anchor", "target_bp", "target_fragments")
@@ -215,6 +229,10 @@ def j10_accept_hits(spark, sf_dir):
     return select.accept_hits(_hits(spark, sf_dir))
 
 
+def j10_hit_report(spark, sf_dir):
+    return select.hit_report(_hits(spark, sf_dir), table(spark, sf_dir, "part"), "p_partkey", ["p_brand"]).withColumn("retention", F.round("retention", 6))
+
+
 def j11_regroup(spark, sf_dir):
     parts = table(spark, sf_dir, "part").withColumn("split", F.when(F.col("p_partkey") % 10 < 8, "train").otherwise("test"))
     return select.regroup(parts, select.accept_hits(_hits(spark, sf_dir)), "p_partkey", ["split", "p_brand"])[1].withColumn("retention", F.round("retention", 6))
@@ -305,6 +323,17 @@ def j20_organelle_inventory(spark, sf_dir):
     return out.groupBy(F.array_join("reasons", ",").alias("reasons"), "selected", "metadata_matched", "fasta_present").agg(F.count(F.lit(1)).alias("rows"), F.sum("length").alias("bp"))
 
 
+def j20_organelle_stats(spark, sf_dir):
+    """Two groups of organelle sequences; the cap goes by species, where that is known, else by taxon."""
+    group = lambda c: F.when(c % 3 == 0, "plastid").otherwise("mito").alias("grp")
+    items = table(spark, sf_dir, "lineitem").where("l_partkey % 7 < 5").groupBy("l_partkey", (F.col("l_linenumber") % 3).alias("v"), F.col("l_orderkey")).agg(F.min("l_quantity").cast("long").alias("length"))
+    items = items.select(group(F.col("l_partkey")), F.concat(F.lit("P"), F.col("l_partkey").cast("string"), F.lit("."), F.col("v").cast("string")).alias("accession"), "length", (F.col("l_orderkey") * 10 + F.col("v")).alias("ordinal"))
+    part = table(spark, sf_dir, "part")
+    meta = part.where("p_size > 5").select(group(F.col("p_partkey")), F.concat(F.lit("P"), F.col("p_partkey").cast("string"), F.lit(".9")).alias("accession"), F.when(F.col("p_size") % 4 > 0, F.col("p_brand")).otherwise("").alias("taxid"), F.col("p_name").alias("organism"), F.when(F.col("p_size") % 3 > 0, F.col("p_type")).otherwise("").alias("species_taxid"))
+    meta = meta.unionByName(meta.where("length(organism) % 5 = 0"))
+    return plan.organelle_stats(plan.organelle_inventory(items, meta, 10, 20, "grp"), "grp", meta)
+
+
 def j21_organize(spark, sf_dir):
     g = genomes(spark, sf_dir).withColumn("evaluation_collection", F.when(F.col("n") % 2 == 0, "mags").otherwise(""))
     qc = g.select("entity_id", F.when(F.col("n") % 5 == 0, "quarantine").otherwise("accepted").alias("qc_status"))
@@ -389,7 +418,7 @@ _SRC = f"""s0 as (select *, {MAG} as mag, n as ordinal, case source when 'refseq
 _GATED = f"""ga as (select *, n % 50 = 0 as anchor0 from {G}), gb as (select *, split_part(assembly_accession, '.', 1) in (select split_part(assembly_accession, '.', 1) from ga where anchor0) as anchor, coalesce(try_cast(genome_size as double), 0) as size from ga),
     gc as (select *, (size <> 0 and size < 1000000) or assembly_level = 'Contig' or genome_rep = 'Partial' or contig_count::int > 800 or excluded_from_refseq <> '' or version_status = 'replaced' as bad from gb),
     ge as (select * from gc where anchor or not bad),
-    gq as (select genus_key, case when (max(case when size > 0 then size end) / min(case when size > 0 then size end) >= 3) or (count(try_cast(gc_percent as double)) >= 2 and max(try_cast(gc_percent as double)) - min(try_cast(gc_percent as double)) >= 8) then greatest(1, least(4, ceil(pow(count(distinct species_taxid), 0.4)), count(*))) else 1 end as quota from ge group by genus_key),
+    gq as (select genus_key, case when (max(case when size > 0 then size end) / min(case when size > 0 then size end) >= 3) or (count(try_cast(gc_percent as double)) >= 2 and max(try_cast(gc_percent as double)) - min(try_cast(gc_percent as double)) >= 8) then greatest(1, least(4, ceil(pow(count(distinct coalesce(nullif(species_taxid, ''), nullif(taxid, ''))) + count(*) filter (species_taxid = '' and taxid = ''), 0.4)), count(*))) else 1 end as quota from ge group by genus_key),
     gr as (select ge.*, quota, row_number() over (partition by ge.genus_key order by (not anchor), {_ORDER})::int as genus_rank from ge join gq using (genus_key)), gp as (select * from gr where anchor or genus_rank <= quota)"""
 _SUB = f"""f as (select doc_id as fragment_id, accession, class, class_hint, bp, ordinal, split_part(accession, '.', 1) as b from {FR}),
     pl as (select b || '.1' as pa, b, case when min(ordinal) % 5 > 0 then (sum(bp) // 2) * case when min(ordinal) % 7 = 1 then 4 else 1 end end::bigint as target_bp from f where fragment_id % 97 < 60 group by b),
@@ -408,19 +437,36 @@ _INFO = f"""{_TREE}, tx as (select distinct o_custkey + case when o_custkey % 50
       from tx left join ti using (taxid) left join nm g on g.id = genus left join nm f on f.id = family left join nm o on o.id = tx.taxid)"""
 _NG = """(case euk_group when 'fungi' then 'fungi' when 'plant' then 'land_plant' when 'algae' then 'algae' when 'vertebrate' then 'metazoa_vertebrate' when 'metazoa_invertebrate' then 'metazoa_invertebrate' when 'alveolata' then 'alveolata' when 'stramenopiles' then 'stramenopiles' when 'protist' then 'other_protist' end)"""
 
+_BALANCED = f"""with {_GATED}, cl as (select distinct clade from {G}), cs as (select clade, 200000.0::double * 0.5::double * length(clade) / sum(length(clade)) over () as f from cl), bu as (select clade, floor(f * 4200)::bigint as bp, case when floor(f * 4200) > 0 then greatest(1, floor(floor(f * 4200) / 5000000)) else 0 end as capacity from cs),
+        pk as (select gp.*, bp, capacity, count(*) over (partition by gp.clade) as m, count(*) filter (anchor) over (partition by gp.clade) as anchors from gp join bu using (clade)),
+        ot as (select *, row_number() over (partition by clade, family order by genus_rank, {_ORDER}) as turn from pk where capacity > 0 and m > capacity and not anchor),
+        fam as (select clade, family, row_number() over (partition by clade order by genus_rank, {_ORDER}) as fno from ot where turn = 1),
+        pl as (select ot.*, row_number() over (partition by clade order by turn, fno) as place from ot join fam using (clade, family)),
+        al as (select n, clade, genus_rank, anchor, bp, size from pk where not (capacity > 0 and m > capacity) or anchor union all select n, clade, genus_rank, anchor, bp, size from pl where place <= greatest(0, capacity - anchors)),
+        am as (select *, greatest(5000000.0, least(bp / count(*) over (partition by clade), 50000000.0)) as sh from al), an as (select *, floor(case when size > 0 then least(sh, size * 0.8) else sh end)::bigint as target_bp from am)"""
+
 SQL = {
-    "f16_apply_qc": f"""with {_PARTS}, b as (select *, case when contig_n50 not in ('', '0') then contig_n50::bigint when scaffold_n50 not in ('', '0') then scaffold_n50::bigint end as v, n % 100 / 1000.0 as frac, n % 20 = 0 as has_frac, try_cast(species_taxid as int) as sp,
-          coalesce(nullif(try_cast(genome_size_ungapped as double), 0), nullif(try_cast(genome_size as double), 0)) as size from a),
+    "f16_apply_qc": f"""with a0 as (select * replace (case when scaffold_n50 = '' and n % 16 = 0 then (n * 10)::varchar else scaffold_n50 end as scaffold_n50, case when sequencing_technology = '' and n % 16 = 0 then 'PromethION' else sequencing_technology end as sequencing_technology) from {G}),
+        a as (select *, case when regexp_matches(lower(sequencing_technology), 'pacbio|pac bio|smrt|hifi|sequel|revio|nanopore|promethion|minion|gridion') then 1 end as tech,
+          case when virus_group like 'dsDNA%' then 'dsDNA' when virus_group like 'ssRNA%' then 'ssRNA' when virus_group like 'ds-RNA%' then 'dsRNA' when virus_group like 'Retro%' then 'retro' when virus_group = 'ssDNA' then 'ssDNA' else 'unknown' end as vt from a0),
+        b as (select *, case when contig_n50 not in ('', '0') then contig_n50::bigint when scaffold_n50 not in ('', '0') then scaffold_n50::bigint end as v, n % 100 / 1000.0 as frac, n % 20 = 0 as has_frac, try_cast(species_taxid as int) as sp,
+          nullif(try_cast(case when genome_size_ungapped <> '' then genome_size_ungapped else genome_size end as double), 0) as size from a),
         c as (select *, case when v is null then 'missing' when contig_n50 not in ('', '0') then 'contig_n50' else 'scaffold_n50' end as n50_metric, array_to_string(list_filter([case when n % 40 = 0 then 'TYPE_NOT_MATCHING' end, case when n % 35 = 0 then 'SUSPECT_SYNONYM' end, case when has_frac and frac >= 0.05 then 'CONTAMINATION' end,
-          case when sp % 3 = 0 and size < sp * 100000 * 0.5 then 'SIZE_BELOW_RANGE' end, case when sp % 3 = 0 and size >= sp * 100000 * 0.5 and size > sp * 150000 * 2 then 'SIZE_ABOVE_RANGE' end], lambda x: x is not null), ',') as flags from b)
-        select n, v as n50_value, n50_metric, case when flags = '' then 'accepted' else 'quarantine' end as qc_status,
-          round(case when v is null then 0 else least(log10(v + 1), 8) end + case when source = 'refseq' then 2 else 0 end + case when tech is not null then 2 else 0 end + case assembly_level when 'Complete Genome' then 3 when 'Chromosome' then 3 when 'Scaffold' then -1 else -2 end
-          + case when refseq_category <> 'na' then 3 else 0 end + case when n % 15 = 0 then 3 else 0 end + case when n % 12 = 0 or n % 53 = 0 then 2 else 0 end - case when has_frac then least(frac * 10, 3) else 0 end - case when excluded_from_refseq <> '' then 1 else 0 end, 6)::double as score,
-          flags, case when sp % 7 = 0 then 'ANIG_' || (sp % 5) when sp is not null then 'SP_' || species_taxid else entity_id end as split_group_id from c""",
+          case when sp % 3 = 0 and size < sp * 100000 * 0.5 then 'SIZE_BELOW_RANGE' end, case when sp % 3 = 0 and size >= sp * 100000 * 0.5 and size > sp * 150000 * 2 then 'SIZE_ABOVE_RANGE' end], lambda x: x is not null), ',') as flags from b),
+        d as (select *, array_to_string(list_filter([case when sequence_accession = 'bad acc' then 'INVALID_ACCESSION' end, case when taxid = '' then 'MISSING_TAXID' end, case when download_url = '' then 'MISSING_DOWNLOAD_URL' end,
+            case when vt not in ('dsDNA', 'ssRNA', 'retro') then 'GENOME_TYPE_' || vt end, case when virus_reported_genome_length::double between 1 and 299 then 'REPORTED_GENOME_TOO_SHORT' end], lambda x: x is not null), ',') as vflags,
+          case when v is null then 0 else least(log10(v + 1), 8) end + case when source = 'refseq' then 2 else 0 end + case when tech is not null then 2 else 0 end + case assembly_level when 'Complete Genome' then 3 when 'Chromosome' then 3 when 'Scaffold' then -1 else -2 end
+          + case when refseq_category <> 'na' then 3 else 0 end + case when n % 15 = 0 then 3 else 0 end + case when n % 12 = 0 or n % 53 = 0 then 2 else 0 end - case when has_frac then least(frac * 10, 3) else 0 end - case when excluded_from_refseq <> '' then 1 else 0 end as points from c)
+        select n, v as n50_value, n50_metric,
+          case entity_type when 'organelle' then 'accepted' when 'virus_sequence' then case when vflags = '' then 'accepted' else 'rejected' end else case when flags = '' then 'accepted' else 'quarantine' end end as qc_status,
+          round(case entity_type when 'organelle' then 5 when 'virus_sequence' then 5 + case when n % 38 = 0 then 4 else 0 end + case when host <> '' then 1 else 0 end + case when vt <> 'unknown' then 1 else 0 end else points end, 6)::double as score,
+          case entity_type when 'organelle' then '' when 'virus_sequence' then vflags else flags end as flags,
+          case entity_type when 'organelle' then coalesce(nullif(species_taxid, ''), entity_id) when 'virus_sequence' then case when n % 57 = 0 then 'VG' || n else coalesce(nullif(species_taxid, ''), entity_id) end
+            else case when sp % 7 = 0 then 'ANIG_' || (sp % 5) when sp is not null then 'SP_' || species_taxid else entity_id end end as split_group_id from d""",
     "j06_canonicalize_pairs": f"""with a as (select n, entity_type, paired_comparison, case when n % 3 = 0 then 'GCF_' else 'GCA_' end || lpad((n - case when n % 3 = 1 then 1 else 0 end)::varchar, 9, '0') || '.1' as assembly_accession from {G})
         select n, assembly_accession from a where entity_type <> 'assembly' or not (n % 3 = 1 and exists (select 1 from a x where x.n = a.n - 1 and x.paired_comparison = 'identical'))""",
     "j07_build_index": f"with {_SRC} select ordinal, entity_id, source, status from st",
-    "a10_inventory": f"""with {_SRC} select source, group_name, count(*) as parsed, count(*) filter (status = 'hard_filtered') as hard_filtered, count(*) filter (status = 'duplicate') as duplicates, count(*) filter (status = 'kept') as kept, count(mag) as mag,
+    "a10_inventory": f"""with {_SRC} select source, group_name, count(*) as parsed, count(*) filter (status in ('hard_filtered', 'mag_excluded')) as hard_filtered, count(*) filter (status = 'duplicate') as duplicates, count(*) filter (status = 'kept') as kept, count(mag) as mag,
         count(*) - count(mag) as non_mag, count(*) filter (status = 'mag_excluded') as mag_excluded, count(distinct nullif(species_taxid, '')) as species from st group by all""",
     "w09_select_species": f"""with {_PARTS}, b as (select *, coalesce(n50, 0) as v, (source = 'refseq' or starts_with(assembly_accession, 'GCF_'))::int as rs, (tech is not null)::int as th, case assembly_level when 'Complete Genome' then 4 when 'Chromosome' then 3 when 'Scaffold' then 2 else 1 end as lv,
           case when entity_type = 'virus_sequence' then 'virus_sequence' when entity_type <> 'assembly' then case when n % 25 = 0 then 'passthrough_evaluation' else 'passthrough_train' end when klass = 'virus' then 'virus_assembly_test' when mag_evidence is not null then 'mag_evaluation'
@@ -437,21 +483,20 @@ SQL = {
         select v as virus_genome_id, segments, curated, length, round(score, 6)::double as score, rank::int as rank, genome_type, rank = 1 and top <= 40 as selected,
           case when rank > 1 then 'LOWER_RANK_SAME_SPECIES' when top > 40 then 'GLOBAL_GENOME_CAP' else 'SELECTED_BEST_PER_SPECIES' end as reason, case when rank = 1 and top <= 40 then segments else 0 end as kept from t""",
     "w01_quality_order": f"select n, genus_key, row_number() over (partition by genus_key order by {_ORDER})::int as rank from {G}",
-    "w03_genus_quota": f"""with a as (select genus_key || '/' || (n % 40) as genus, species_taxid, coalesce(try_cast(genome_size as double), 0) as s, coalesce(try_cast(gc_percent as double), -1) as gc from {G})
+    "w03_genus_quota": f"""with a as (select genus_key || '/' || (n % 40) as genus, coalesce(nullif(species_taxid, ''), nullif(taxid, '')) as sp, coalesce(try_cast(genome_size as double), 0) as s, coalesce(try_cast(gc_percent as double), -1) as gc from {G})
         select genus, case when coalesce(max(case when s > 0 then s end) / min(case when s > 0 then s end) >= 3, false) or (count(*) filter (gc >= 0) >= 2 and max(case when gc >= 0 then gc end) - min(case when gc >= 0 then gc end) >= 8)
-          then greatest(1, least(4, ceil(pow(count(distinct species_taxid), 0.4)), count(*))) else 1 end::bigint as quota from a group by genus""",
+          then greatest(1, least(4, ceil(pow(count(distinct sp) + count(*) - count(sp), 0.4)), count(*))) else 1 end::bigint as quota from a group by genus""",
     "w04_pick_genus": f"""with a as (select *, count(*) over (partition by genus_key) % 5 + 1 as q, row_number() over (partition by genus_key order by (n % 100 <> 0), {_ORDER})::int as genus_rank from {G}) select n, genus_key, genus_rank from a where n % 100 = 0 or genus_rank <= q""",
     "w05_round_robin": f"""with a as (select n, genus_key, row_number() over (partition by genus_key order by n desc)::int as turn, max(n) over (partition by genus_key) as best from {G}) select n, genus_key, turn from a order by turn, best desc limit 60""",
     "w06_clade_budget": f"""with a as (select clade, count(*) as share from {G} group by clade), b as (select clade, 40000000.0::double * 0.3167::double * share / sum(share) over () as f from a)
         select clade, floor(f)::bigint as fragments, floor(f * 4200)::bigint as bp, greatest(1, floor(floor(f * 4200) / 5000000))::bigint as capacity from b""",
-    "w07_select_balanced": f"""with {_GATED}, cl as (select distinct clade from {G}), cs as (select clade, 200000.0::double * 0.5::double * length(clade) / sum(length(clade)) over () as f from cl), bu as (select clade, floor(f * 4200)::bigint as bp, case when floor(f * 4200) > 0 then greatest(1, floor(floor(f * 4200) / 5000000)) else 0 end as capacity from cs),
-        pk as (select gp.*, bp, capacity, count(*) over (partition by gp.clade) as m, count(*) filter (anchor) over (partition by gp.clade) as anchors from gp join bu using (clade)),
-        ot as (select *, row_number() over (partition by clade, family order by genus_rank, {_ORDER}) as turn from pk where capacity > 0 and m > capacity and not anchor),
-        fam as (select clade, family, row_number() over (partition by clade order by genus_rank, {_ORDER}) as fno from ot where turn = 1),
-        pl as (select ot.*, row_number() over (partition by clade order by turn, fno) as place from ot join fam using (clade, family)),
-        al as (select n, clade, genus_rank, anchor, bp, size from pk where not (capacity > 0 and m > capacity) or anchor union all select n, clade, genus_rank, anchor, bp, size from pl where place <= greatest(0, capacity - anchors)),
-        am as (select *, greatest(5000000.0, least(bp / count(*) over (partition by clade), 50000000.0)) as sh from al), an as (select *, floor(case when size > 0 then least(sh, size * 0.8) else sh end)::bigint as target_bp from am)
+    "w07_select_balanced": f"""{_BALANCED}
         select n, clade, genus_rank, anchor, target_bp, floor(target_bp / 4200)::bigint as target_fragments from an""",
+    "w07_clade_report": f"""{_BALANCED}, el as (select clade, count(distinct genus_key) as genera, count(*) as eligible from ge group by clade), pn as (select clade, count(*) as picked from gp group by clade),
+        se as (select clade, count(*) as m, sum(target_bp)::bigint as planned, count(*) filter (anchor) as anchors from an group by clade)
+        select clade, genera as genera_available, eligible as genomes_eligible, coalesce(m, 0) as genomes_selected, picked - coalesce(m, 0) as genomes_dropped_for_depth, floor(f)::bigint as budget_fragments, bp as budget_bp,
+          case when m > 0 then floor(greatest(5000000.0, least(bp / m, 50000000.0))) else 0 end::bigint as bp_per_genome, coalesce(planned, 0) as planned_bp, coalesce(anchors, 0) as anchors
+        from el join pn using (clade) left join se using (clade) join bu using (clade) join cs using (clade)""",
     "w08_select_breadth": f"""with {_GATED}, a as (select *, floor(case when size > 0 then least(50000000.0, size * 0.8) else 50000000.0 end)::bigint as target_bp from gp where clade in ('ECONOMY', 'SMALL')) select n, clade, genus_rank, anchor, target_bp, floor(target_bp / 4200)::bigint as target_fragments from a""",
     "w11_class_cap": """with a as (select *, row_number() over (partition by o_orderpriority order by o_totalprice desc, o_orderkey) as r from orders where o_orderstatus <> 'P') select o_orderkey, o_orderpriority, r as class_rank from a where r <= 500 union all select o_orderkey, o_orderpriority, null from orders where o_orderstatus = 'P'""",
     "a09_balance_report": f"""with a as (select *, case when n % 10 < 8 then 'train' else 'validation' end as split, 's' || (n % 300) as species from {G}), s as (select *, row_number() over (partition by split, klass, species order by n desc) as sr from a),
@@ -481,8 +526,10 @@ SQL = {
     "j05_diff_versions": """with i as (select l_partkey || '.' || l_linenumber as key, l_partkey, row_number() over (partition by l_partkey, l_linenumber order by l_orderkey, l_suppkey) as nth, rank() over (partition by l_partkey order by l_orderkey, l_linenumber, l_suppkey) as bth from lineitem),
         x as (select p_partkey, p_partkey || '.' || (p_size % 7 + 1) as key from part where p_size < 25)
         select key, case when nth > 1 then 'duplicate_in_source' when bth > 1 then 'duplicate_in_source_other_version' when key in (select key from x) then 'already_held' when l_partkey in (select p_partkey from x) then 'already_held_other_version' else 'new' end as status, count(*) as n from i group by all""",
-    "j10_accept_hits": "select distinct l_partkey as query from lineitem where l_partkey <> l_suppkey and 0.9::double + l_tax >= 0.95 and 1 - l_discount >= 0.95 and 0.8::double + l_quantity / 250 >= 0.95",
-    "j11_regroup": """with r as (select distinct l_partkey from lineitem where l_partkey <> l_suppkey and 0.9::double + l_tax >= 0.95 and 1 - l_discount >= 0.95 and 0.8::double + l_quantity / 250 >= 0.95), p as (select case when p_partkey % 10 < 8 then 'train' else 'test' end as split, p_brand, p_partkey in (select * from r) as gone from part)
+    "j10_accept_hits": "select distinct l_partkey as query from lineitem where l_partkey <> l_suppkey and 0.9::double + l_tax + 1e-12 >= 0.95 and 1 - l_discount + 1e-12 >= 0.95 and 0.8::double + l_quantity / 250 + 1e-12 >= 0.95",
+    "j10_hit_report": """with h as (select l_partkey as p_partkey, count(*) as m from lineitem where l_partkey <> l_suppkey and 0.9::double + l_tax + 1e-12 >= 0.95 and 1 - l_discount + 1e-12 >= 0.95 and 0.8::double + l_quantity / 250 + 1e-12 >= 0.95 group by 1)
+        select p_brand, count(*) as query_count, coalesce(sum(m), 0)::bigint as accepted_hit_rows, count(m) as removed_count, round((count(*) - count(m)) / count(*), 6) as retention from part left join h using (p_partkey) group by p_brand""",
+    "j11_regroup": """with r as (select distinct l_partkey from lineitem where l_partkey <> l_suppkey and 0.9::double + l_tax + 1e-12 >= 0.95 and 1 - l_discount + 1e-12 >= 0.95 and 0.8::double + l_quantity / 250 + 1e-12 >= 0.95), p as (select case when p_partkey % 10 < 8 then 'train' else 'test' end as split, p_brand, p_partkey in (select * from r) as gone from part)
         select split, p_brand, count(*) as rows_in, count(*) filter (not gone) as kept, count(*) filter (gone) as removed, round(count(*) filter (not gone) / count(*), 6) as retention from p group by all""",
     "j12_mag_qc": """with h as (select l_orderkey, arg_max(['a', 'b', 'c'][l_suppkey % 3 + 1], ((0.85::double + l_discount) * (0.4::double + l_quantity / 100), -(l_linenumber * 100000000 + l_partkey * 10000 + l_suppkey))) as k from lineitem where 0.85::double + l_discount >= 0.9 and 0.4::double + l_quantity / 100 >= 0.5 and 0.45::double + l_tax * 5 >= 0.5 group by l_orderkey),
         c as (select o_custkey as mag_id, ['a', 'b', 'c'][o_custkey % 3 + 1] as own, o_orderkey % 5000 + 1000 as len, k from orders left join h on l_orderkey = o_orderkey),
@@ -511,6 +558,12 @@ SQL = {
         m as (select 'P' || p_partkey as b, case when p_size % 4 > 0 then p_brand end as t from part where p_size > 5), j as (select f.o, f.a, f.len, f.nth, coalesce(f.b, m.b) as b, m.b is not null as mm, t, f.o is not null as fp from f full join m using (b)),
         k as (select *, coalesce(fp and nth = 1 and len >= 10, false) as ok, coalesce(t, 'ACC:' || coalesce(a, b)) as sp from j), l as (select *, ok and row_number() over (partition by sp, ok order by o) > 20 as ov from k)
         select array_to_string(list_filter([case when nth > 1 then 'DUPLICATE_FASTA_ACCESSION' end, case when len < 10 then 'BELOW_MIN_LENGTH' end, case when ov then 'SPECIES_CAP' end, case when not fp then 'FASTA_NOT_FOUND' end], lambda x: x is not null), ',') as reasons, ok and not ov as selected, mm as metadata_matched, fp as fasta_present, count(*) as rows, sum(len)::bigint as bp from l group by all""",
+    "j20_organelle_stats": """with f as (select case when l_partkey % 3 = 0 then 'plastid' else 'mito' end as grp, 'P' || l_partkey as b, 'P' || l_partkey || '.' || (l_linenumber % 3) as a, l_orderkey * 10 + l_linenumber % 3 as o, min(l_quantity)::bigint as len from lineitem where l_partkey % 7 < 5 group by l_partkey, l_orderkey, l_linenumber % 3),
+        g as (select *, row_number() over (partition by grp, a order by o) as nth from f), r as (select case when p_partkey % 3 = 0 then 'plastid' else 'mito' end as grp, 'P' || p_partkey as b, case when p_size % 4 > 0 then p_brand end as taxid, case when p_size % 3 > 0 then p_type end as sp, p_name from part where p_size > 5),
+        ms as (select grp, count(*) + count(*) filter (length(p_name) % 5 = 0) as gbff_records, count(*) filter (length(p_name) % 5 = 0) as duplicate_gbff_accessions from r group by grp),
+        j as (select g.*, r.b is not null as mm, taxid, coalesce(sp, taxid, 'ACC:' || a) as q, nth = 1 and len >= 10 as ok from g left join r using (grp, b)), k as (select *, ok and row_number() over (partition by grp, q, ok order by o) > 20 as ov from j)
+        select grp, gbff_records, duplicate_gbff_accessions, count(*) as fasta_records, count(*) filter (nth > 1) as duplicate_fasta_accessions, count(*) filter (mm) as metadata_matched, count(*) filter (not mm) as missing_metadata, count(*) filter (taxid is null) as missing_taxid,
+          count(*) filter (len < 10) as below_min_len, count(*) filter (ov) as species_cap_filtered, count(*) filter (ok and not ov) as kept_records, count(distinct taxid) as distinct_taxids from k join ms using (grp) group by all""",
     "j21_organize": f"""with a as (select *, case when n % 3 = 0 then 'evaluation' when n % 11 = 0 then 'other' else 'train' end as split, entity_type = 'organelle' as o from {G} where n % 5 > 0 and n % 7 > 0), b as (select *, o or n % 4 > 0 as done from a where split <> 'other' and (o or n % 13 > 0))
         select entity_id, split, case when done then case when split = 'evaluation' then 'evaluation/' || case when n % 2 = 0 then 'mags' else group_name end else 'raw/' || group_name || '/' || split end || '/' || entity_id || '.fna.gz' end as destination, case when not done then 'missing' end as problem from b""",
     "a33_verify": """with a as (select doc_id, upper(translate(coalesce(text, ''), 'aeiou', 'ACGTN')) as s from documents), b as (select doc_id, length(s) > 0 and length(regexp_replace(s, '[^N]', '', 'g')) / nullif(length(s), 0) <= 0.05 and length(regexp_replace(s, '[ACGTN]', '', 'g')) / nullif(length(s), 0) <= 0.7 as ok from a)

@@ -206,7 +206,8 @@ def a27_temperature(spark, sf_dir):
 
 def a29_fingerprint(spark, sf_dir):
     f = fragments(spark, sf_dir).withColumnRenamed("class", "cls")
-    return metrics.fingerprint(f.unionByName(f.where("doc_id % 10 = 0")), ["split", "cls"], "doc_id", "bp")
+    out = metrics.fingerprint(f.unionByName(f.where("doc_id % 10 = 0")), ["split", "cls"], "doc_id", "bp")
+    return out.withColumns({c: F.col(c).cast("string") for c in ("ids", "ids2")})
 
 
 def a29_verify(spark, sf_dir):
@@ -309,9 +310,10 @@ def w23_cap_target(spark, sf_dir):
 
 
 def w24_donor_caps(spark, sf_dir):
-    """Shares of groups of lines within a return flag, no part over 0.4 % and no supplier over 1.3 %; iterated, so no SQL."""
-    g = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    return sampling.donor_caps(g, "l_returnflag", ["l_partkey", "l_suppkey"], [0.004, 0.013]).select("l_returnflag", "l_partkey", "l_suppkey", "n", F.round("share", 9).alias("share"))
+    """Shares of the customers of an order priority, none over a limit; customers are in groups, and these in wider ones."""
+    g = table(spark, sf_dir, "orders").groupBy("o_orderpriority", "o_custkey").agg(F.sum(F.col("o_custkey") % 7 + 1).alias("n"))
+    g = g.withColumn("species", F.col("o_custkey") % 40).withColumn("genus", F.col("o_custkey") % 8)
+    return sampling.donor_caps(g, "o_orderpriority", ["o_custkey", "species", "genus"], [0.025, 0.04, 0.132]).select("o_orderpriority", "o_custkey", "n", F.round("share", 9).alias("share"))
 
 
 def w25_row_weights(spark, sf_dir):
@@ -404,7 +406,7 @@ SQL = {
     "a25_compare_losses": f"""with {_E}, z as (select *, {_MIX('root', 'residual', 0.125)} as z from l), p as (select y, {_AM('root')} - 1 as a, {_AM('z')} - 1 as b, {_NLL('root')} as la, {_NLL('z')} as lb from z)
         select count(*) as n, count(*) filter (a = y and b = y) as both, count(*) filter (a = y and b <> y) as only_a, count(*) filter (a <> y and b = y) as only_b, count(*) filter (a <> y and b <> y) as neither, round(avg((a <> b)::int), 6) as disagreement, round(2.8 * sqrt(avg((a <> b)::int) / count(*)), 6) as detectable,
         round(count(*) filter (a = y or b = y) / count(*), 6) as oracle_accuracy, round(corr(la, lb), 6) as loss_correlation, round(stddev_pop(la) / stddev_pop(lb), 6) as std_ratio from p""",
-    "a29_fingerprint": f"""with u as (select * from {FR} union all select * from {FR} where doc_id % 10 = 0), h as (select split, class as cls, bp, ('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint as h from u) select split, cls, count(*) as records, sum(bp)::bigint as bp, sum(h)::bigint as ids, sum((h % 65536) * (h % 65536))::bigint as ids2 from h group by all""",
+    "a29_fingerprint": f"""with u as (select * from {FR} union all select * from {FR} where doc_id % 10 = 0), h as (select split, class as cls, bp, ('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint as h from u) select split, cls, count(*) as records, sum(bp)::bigint as bp, sum(h)::varchar as ids, sum((h % 65536) * (h % 65536))::varchar as ids2 from h group by all""",
     "a29_verify": f"""with f as (select split, class as cls, doc_id from {FR}), o as (select distinct split, cls from f where not (split = 'test' and cls = 'archaea')), n as (select distinct split, cls from f where not (split = 'train' and cls = 'bacteria') and doc_id <> 1)
         select coalesce(o.split, n.split) as split, coalesce(o.cls, n.cls) as cls, case when n.cls is null then 'missing' when o.cls is null then 'unexpected' else 'changed' end as problem from o full join n on o.split = n.split and o.cls = n.cls where o.cls is null or n.cls is null or (o.split, o.cls) = (select (split, cls) from f where doc_id = 1)""",
     "a31_hp_rollup": f"""with {_C}, r as (select *, row_number() over (partition by stage, k order by seconds) as i, count(*) over (partition by stage, k) as n from c) select stage, k, count(*) as candidates, sum(seconds) as total_seconds, max(seconds) as slowest, max(case when i = n // 2 + 1 then seconds end) as median, max(mean_f1) as best_f1, arg_min(candidate, (-mean_f1, candidate)) as best from r group by stage, k""",
@@ -441,6 +443,15 @@ SQL = {
     "w23_cap_target": """with a as (select source, count(*) as n, case when source = 'src0' then 40.0::double else 1.0 end as w from documents group by source), p as (select source, n, n / sum(n) over () as p, w / sum(w) over () as q from a), o as (select *, 2.0 * p as cap, 2.0 * p / q as brk from p),
         s as (select *, coalesce(sum(cap) over (order by brk, source rows between unbounded preceding and 1 preceding), 0) as filled, sum(q) over (order by brk, source rows between current row and unbounded following) as qs from o), lv as (select *, (1 - filled) / qs as lev from s), f as (select arg_min(lev, (brk, source)) filter (brk > lev) as lev from lv)
         select source, n, round(least(cap, coalesce(f.lev * q, cap)) / sum(least(cap, coalesce(f.lev * q, cap))) over (), 6) as effective from lv, f""",
+    "w24_donor_caps": """with g as (select o_orderpriority as p, o_custkey as c, c % 40 as s, c % 8 as x, sum(o_custkey % 7 + 1)::bigint as n from orders group by 1, 2), w as (select *, n / sum(n) over (partition by p) as w from g),
+        a as (select *, 0.025 / w as s0 from w),
+        b1 as (select *, (0.04 - coalesce(sum(w * s0) over (partition by p, s order by s0, c rows between unbounded preceding and 1 preceding), 0)) / sum(w) over (partition by p, s order by s0 desc, c desc rows unbounded preceding) as l from a),
+        b as (select *, least(s0, coalesce(min(case when s0 >= l then l end) over (partition by p, s), s0)) as s1 from (select * replace (case when s0 >= l and row_number() over (partition by p, s, s0 >= l order by s0, c) = 1 then l end as l) from b1)),
+        c1 as (select *, (0.132 - coalesce(sum(w * s1) over (partition by p, x order by s1, c rows between unbounded preceding and 1 preceding), 0)) / sum(w) over (partition by p, x order by s1 desc, c desc rows unbounded preceding) as m from b),
+        d as (select *, least(s1, coalesce(min(m) over (partition by p, x), s1)) as s2 from (select * replace (case when s1 >= m and row_number() over (partition by p, x, s1 >= m order by s1, c) = 1 then m end as m) from c1)),
+        e1 as (select *, (1 - coalesce(sum(w * s2) over (partition by p order by s2, c rows between unbounded preceding and 1 preceding), 0)) / sum(w) over (partition by p order by s2 desc, c desc rows unbounded preceding) as k from d),
+        e as (select *, least(s2, coalesce(min(k) over (partition by p), s2)) as s3 from (select * replace (case when s2 >= k and row_number() over (partition by p, s2 >= k order by s2, c) = 1 then k end as k) from e1))
+        select p as o_orderpriority, c as o_custkey, n, round(w * s3, 9) as share from e""",
     "w25_row_weights": f"""with f as (select doc_id, class as root, euk_group as leaf from {FR} where class <> 'eukarya' or euk_group not in ('', 'nonsense')), r as (select root, count(*) as n from f group by root), l as (select leaf, count(*) as m, case when leaf = 'fungi' then 3.0::double else 1.0 end as w from f where root = 'eukarya' group by leaf),
         p as (select leaf, m, m / sum(m) over () as p, w / sum(w) over () as q from l), o as (select *, 1.5 * p as cap, 1.5 * p / q as brk from p), s as (select *, coalesce(sum(cap) over (order by brk, leaf rows between unbounded preceding and 1 preceding), 0) as filled, sum(q) over (order by brk, leaf rows between current row and unbounded following) as qs from o),
         lv as (select *, (1 - filled) / qs as lev from s), g as (select arg_min(lev, (brk, leaf)) filter (brk > lev) as lev from lv), e as (select leaf, m, least(cap, coalesce(g.lev * q, cap)) / sum(least(cap, coalesce(g.lev * q, cap))) over () as e from lv, g)

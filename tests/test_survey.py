@@ -172,6 +172,114 @@ def test_donor_caps(spark):
         sampling.donor_caps(spark.createDataFrame(rows[:3], "leaf string, acc string, sp string, n long"), "leaf", ["acc"], [0.2]).collect()
 
 
+def test_donor_caps_not_nested_or_impossible(spark):
+    make = lambda rows: spark.createDataFrame(rows, "leaf string, acc string, sp string, n long")
+    # rounds do not get there: an error, no shares above the caps
+    rows = [("l", f"a{i}", f"s{min(i, 1)}", n) for i, n in enumerate((168, 24, 102, 23, 13, 16))]
+    with pytest.raises(Exception, match="infeasible"):
+        sampling.donor_caps(make(rows), "leaf", ["acc", "sp"], [0.1686, 0.5342]).collect()
+    with pytest.raises(ValueError, match="cap"):
+        sampling.donor_caps(make(rows), "leaf", ["acc", "sp"], [0.5, 1.5])
+    crossed = [("l", f"a{i % 4}", f"s{i % 5}", 1 + i) for i in range(20)]  # each acc in all species
+    got = sampling.donor_caps(make(crossed), "leaf", ["acc", "sp"], [0.26, 0.23]).collect()
+    for key, cap in (("acc", 0.26), ("sp", 0.23)):
+        by = Counter()
+        for r in got:
+            by[r[key]] += r.share
+        assert max(by.values()) <= cap + 1e-8 and sum(by.values()) == pytest.approx(1.0)
+
+
+def test_donor_caps_are_the_level_of_the_tree(spark):
+    """Against a search for the level: every node of the tree holds at most its cap."""
+    rng = random.Random(2)
+    rows = [("xy"[i % 2], f"a{i}", f"s{i // 6}", f"g{i // 24}", rng.randrange(1, 90)) for i in range(96)]
+    caps = (0.05, 0.16, 0.33)
+    got = {r.acc: r.share for r in sampling.donor_caps(spark.createDataFrame(rows, "leaf string, acc string, sp string, genus string, n long"), "leaf", ["acc", "sp", "genus"], caps).collect()}
+    for leaf in "xy":
+        own = [r for r in rows if r[0] == leaf]
+        total = sum(r[4] for r in own)
+
+        def filled(level, depth, key):
+            inner = [r for r in own if r[3 - depth] == key] if depth >= 0 else own
+            if depth == 2:
+                return min(caps[0], level * inner[0][4] / total)
+            below = sorted({r[2 - depth] for r in inner})
+            amount = sum(filled(level, depth + 1, k) for k in below)
+            return min((1.0, caps[2], caps[1])[depth + 1], amount)
+
+        low, high = 0.0, 1e6
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(filled(mid, 0, g) for g in {r[3] for r in own}) < 1 else (low, mid)
+        assert sum(got[r[1]] for r in own) == pytest.approx(1.0)
+        for g in {r[3] for r in own}:
+            assert sum(got[r[1]] for r in own if r[3] == g) == pytest.approx(filled(high, 0, g), abs=1e-7)
+        for s in {r[2] for r in own}:
+            assert sum(got[r[1]] for r in own if r[2] == s) <= caps[1] + 1e-9
+
+
+def test_cap_target_falls_back_to_room(spark):
+    df = spark.createDataFrame([("a", 50.0, 1.0), ("b", 30.0, 0.0), ("c", 20.0, 0.0)], "k string, p double, q double")
+    got = {r.k: r.effective for r in sampling.cap_target(df, "p", "q", 1.5, "k").collect()}
+    assert got == pytest.approx({"a": 0.75, "b": 0.15, "c": 0.10})  # a is full; the others get the rest by their room
+    with pytest.raises(Exception, match="empty"):
+        sampling.cap_target(df.withColumn("p", F.when(F.col("k") == "b", 0.0).otherwise(F.col("p"))), "p", "q", 1.5, "k").collect()
+
+
+def test_water_filling_of_many_keys(spark):
+    """A hundred thousand keys, no task with all of them; the level is that of a search."""
+    rng = np.random.default_rng(3)
+    n = rng.integers(1, 4000, 100_000)
+    counts = spark.createDataFrame([(i, int(x)) for i, x in enumerate(n)], "k long, n long")
+    out = quota.allocate_rates(counts, 20_000_000, "sqrt", "k", floor=5, cap=600)
+    got = {r.k: r.quota for r in out.collect()}
+    cap, low = np.minimum(n, 600), np.minimum(np.minimum(n, 600), 5)
+    a, b = 0.0, 1e4
+    for _ in range(200):
+        mid = (a + b) / 2
+        a, b = (mid, b) if np.minimum(cap, low + mid * np.sqrt(n)).sum() < 20_000_000 else (a, mid)
+    assert np.allclose([got[i] for i in range(len(n))], np.minimum(cap, low + b * np.sqrt(n)), atol=1e-5)
+
+
+def test_qc_by_entity_type(spark):
+    base = {"entity_id": "E1", "assembly_accession": "GCA_1.1", "entity_type": "assembly", "source": "refseq", "species_taxid": "9", "genome_size": "5000", "genome_size_ungapped": "bad"}
+    virus = {"sequence_accession": "NC_1.1", "taxid": "7", "download_url": "u", "virus_group": "dsDNA viruses", "virus_reported_genome_length": "500", "host": "h", "is_refseq_viral": "1"}
+    rows = [
+        base | {"contig_n50": ""},
+        base | {"entity_id": "E2", "entity_type": "organelle", "assembly_accession": ""},
+        base | {"entity_id": "E3", "entity_type": "organelle", "species_taxid": ""},
+        base | virus | {"entity_id": "V1", "entity_type": "virus_sequence", "virus_genome_id": "VG1"},
+        base | virus | {"entity_id": "V2", "entity_type": "virus_sequence", "taxid": "", "is_refseq_viral": "0", "host": "", "virus_group": "?"},
+    ]
+    names = sorted({k for r in rows for k in r})
+    df = spark.createDataFrame([tuple(r.get(n, "") for n in names) for r in rows], ", ".join(f"{n} string" for n in names))
+    sizes = spark.createDataFrame([("9", 10000.0, 20000.0)], "species_taxid string, lo double, hi double")
+    features = spark.createDataFrame([("GCA_1.1", "", "999", "PacBio")], "accession string, contig_n50 string, scaffold_n50 string, sequencing_technology string")
+    out = curate.apply_qc(df, {"size_range": sizes}, features=features, virus={"allowed": ["dsDNA"], "min_length": 100})
+    got = {r.entity_id: (r.qc_status, round(r.score, 6), r.flags, r.split_group_id, r.n50_metric) for r in out.collect()}
+    assert got["E1"] == ("accepted", 7.0, [], "SP_9", "scaffold_n50")  # log10(1000) + curated + long reads; an ungapped size that is no number is no size
+    assert got["E2"][:4] == ("accepted", 5.0, [], "9") and got["E3"][:4] == ("accepted", 5.0, [], "E3")
+    assert got["V1"][:4] == ("accepted", 11.0, [], "VG1")
+    assert got["V2"][:4] == ("rejected", 5.0, ["MISSING_TAXID", "GENOME_TYPE_unknown"], "9")
+
+
+def test_water_filling_where_all_is_taken(spark):
+    counts = spark.createDataFrame([(1, 10), (2, 20)], "k int, n long")
+    assert {r.k: r.quota for r in quota.allocate_rates(counts, 500, "equal", "k").collect()} == {1: 10.0, 2: 20.0}
+
+
+def test_quota_counts_unnamed_species_each(spark):
+    rows = [("g", "", "", 100.0, -1.0)] * 9 + [("g", "", "5", 900.0, -1.0), ("g", "5", "", 100.0, -1.0)]
+    out = select.genus_quota(spark.createDataFrame(rows, "genus string, sp string, tx string, size double, gc double"), "genus", ("sp", "tx"), "size", "gc", max_per=9)
+    assert out.first().quota == 3  # 10 species, to the power of 0.4, rounded up
+
+
+def test_inventory_counts_left_out_rows_as_filtered(spark):
+    rows = [("s", "g", "1", "mag_excluded", "x"), ("s", "g", "2", "hard_filtered", None), ("s", "g", "", "kept", None)]
+    got = curate.inventory(spark.createDataFrame(rows, "source string, group_name string, species_taxid string, status string, mag_evidence string")).first()
+    assert (got.parsed, got.hard_filtered, got.mag_excluded, got.kept, got.species) == (3, 2, 1, 1, 2)
+
+
 def test_spaced_sample(spark):
     df = spark.createDataFrame([(c, i) for c, n in (("a", 100), ("b", 7), ("c", 1)) for i in range(n)], "c string, i int")
     got = sampling.spaced_sample(df, "c", ["i"], 20).collect()
