@@ -55,14 +55,16 @@ class Parsed:
         return rolling(self.hash, self.window, _TWO).view(np.int64), (rolling(mix(self.hash + np.uint64(1)), self.window, _THREE) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def spans_of(repeated: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """The stretches of a text that recurring windows cover, as (first word, word after the last). Those that touch or overlap are joined."""
-    place = np.flatnonzero(repeated)
-    if not len(place):
-        return []
-    breaks = np.flatnonzero(np.diff(place) > window)
-    first, last = np.concatenate(([0], breaks + 1)), np.concatenate((breaks, [len(place) - 1]))
-    return [(int(place[a]), int(place[b]) + window) for a, b in zip(first, last, strict=True)]
+def spans_of(parsed: list[dict]) -> list[dict]:
+    """The stretches of words that factors cover, as {start, end, factors}; factors, in order, that touch or overlap are of one stretch."""
+    out: list[dict] = []
+    for factor in parsed:
+        if out and factor["start"] <= out[-1]["end"]:
+            out[-1]["end"] = max(out[-1]["end"], factor["end"])
+            out[-1]["factors"].append(factor)
+        else:
+            out.append({"start": factor["start"], "end": factor["end"], "factors": [factor]})
+    return out
 
 
 def lookups(repeated: np.ndarray, window: int) -> np.ndarray:
@@ -102,8 +104,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35, anchor
     fourteenth of the places, are counted, map-side first. Only windows around an anchor that recurs can recur. (2) Each text gets its recurring anchors. (3) The windows around
     them are counted in their blocks, and those that stand alone are told to their texts: no factor reaches over them, so they are what is checked at a factor's ends. (4) Each text is parsed
     greedily between them: it asks the blocks for the reference place of the first window, and of one window's length further on, and so on; a factor is as long as
-    its text goes on like the place at which it began. `source` is the xxhash64 of that place's text; the text that has the first place itself is its own source. A factor has
-    `window` words at least, so all are removed: a span is what those that touch cover. Texts agree if 128 bits of hashes do, windows if 96 bits of hashes of their words do."""
+    its text goes on like the place at which it began. `source` is the xxhash64 of that place's text; the text that has the first place itself is its own source. (5) A factor has
+    `window` words at least, so the words of all factors are removed, and nothing else: a span is what factors that touch cover. Texts agree if 128 bits of hashes do, windows if 96 bits of hashes of their words do."""
     docs = docs.drop("n_words", "n_removed", "spans", "kept_sha256")
     key = ["__rlz_1", "__rlz_2"]
     keyed = docs.withColumn(key[0], F.xxhash64(text)).withColumn(key[1], F.xxhash64(F.lit(42), text, F.length(text)))
@@ -184,35 +186,40 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35, anchor
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text", 1 << 20):
-                p = Parsed(part.column("text"), window, anchor)
-                raw, out = p.data.tobytes(), ([], [], [], [], [])
-                for i, (own, told) in enumerate(zip(recurs(p, part), part.column("places").to_pylist(), strict=True)):
-                    a, b = p.edge[i], p.edge[i + 1]
-                    spans = spans_of(own, window)
-                    body = raw[p.at[i] : p.at[i + 1]]
+                data, at = utf8(part.column("text"))
+                _, start, _, doc = words(data, at)
+                edge = np.searchsorted(doc, np.arange(len(at)))
+                raw, out = data.tobytes(), ([], [], [], [], [])
+                for i, told in enumerate(part.column("places").to_pylist()):
+                    a, b = edge[i], edge[i + 1]
+                    spans = spans_of(factors([(x["at"], x["source"], x["source_at"]) for x in told or ()], window))
+                    body = raw[at[i] : at[i + 1]]
                     kept = body.split()
                     if spans:
                         tokens, begin, cut, kept, parts = kept, 0, 0, [], []
-                        for s, e in spans:
+                        for span in spans:
+                            s, e = span["start"], span["end"]
                             kept += tokens[begin:s]
-                            parts.append(raw[p.at[i] + cut : p.start[a + s]])
-                            begin, cut = e, (p.start[a + e] if a + e < b else p.at[i + 1]) - p.at[i]
+                            parts.append(raw[at[i] + cut : start[a + s]])
+                            begin, cut = e, (start[a + e] if a + e < b else at[i + 1]) - at[i]
                         kept += tokens[begin:]
-                        parts.append(raw[p.at[i] + cut : p.at[i + 1]])
+                        parts.append(raw[at[i] + cut : at[i + 1]])
                         body = b"".join(parts)
-                    parsed = factors([(x["at"], x["source"], x["source_at"]) for x in told or ()], window)
-                    line = (body.decode(), b - a, sum(e - s for s, e in spans), [{"start": s, "end": e, "factors": [f for f in parsed if s <= f["start"] < e]} for s, e in spans], hashlib.sha256(b" ".join(kept)).hexdigest())
+                    line = (body.decode(), b - a, sum(x["end"] - x["start"] for x in spans), spans, hashlib.sha256(b" ".join(kept)).hexdigest())
                     for column, x in zip(out, line, strict=True):
                         column.append(x)
                 new = [pa.array(x, k) for x, k in zip(out, (pa.string(), pa.int64(), pa.int64(), spans_kind, pa.string()), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in key), *new], names=names)
 
     # n stays, so that all uses of `texts` are one plan and share its exchange
-    parsed = flagged.join(places, key, "left").select(*key, "n", "text", "anchors", "alone", "places")
+    parsed = texts.join(places, key, "left").select(*key, "n", "text", "places")
     parsed = parsed.mapInArrow(parse, f"{key[0]} long, {key[1]} long, __rlz_cut string, n_words long, n_removed long, spans {SPANS}, kept_sha256 string")
     rest = [c for c in docs.columns if c != text]
-    back = keyed.select(*rest, *key, F.col(text).isNull().alias("__rlz_null")).join(parsed, key, "left")
+    known = F.col(text).isNotNull()
+    back = keyed.where(known).select(*rest, *key).join(parsed, key, "left")
     none = F.sha2(F.lit("").cast("binary"), 256)
-    new = {"n_words": F.coalesce("n_words", F.lit(0)), "n_removed": F.coalesce("n_removed", F.lit(0)), "spans": F.coalesce("spans", F.array().cast(SPANS)), "kept_sha256": F.coalesce("kept_sha256", none)}
-    columns = [F.when(~F.col("__rlz_null"), F.col("__rlz_cut")).alias(text) if c == text else F.col(c) for c in docs.columns]
-    return back.select(*columns, *(v.alias(k) for k, v in new.items()))
+    new = {"n_words": F.coalesce("n_words", F.lit(0).cast("long")), "n_removed": F.coalesce("n_removed", F.lit(0).cast("long")), "spans": F.coalesce("spans", F.array().cast(SPANS)), "kept_sha256": F.coalesce("kept_sha256", none)}
+    out = back.select(*(F.col("__rlz_cut").alias(c) if c == text else F.col(c) for c in docs.columns), *(v.alias(k) for k, v in new.items()))
+    # null texts would all be one key of the join
+    void = {"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "spans": F.array().cast(SPANS), "kept_sha256": none}
+    return out.unionByName(docs.where(~known).select("*", *(v.alias(k) for k, v in void.items())))
