@@ -13,6 +13,7 @@ from seqcurate.llm.mixing import mix_sources
 from seqcurate.llm.near_dedup import near_duplicates
 from seqcurate.llm.packing import pack
 from seqcurate.llm.substring_dedup import remove_repeats
+from seqcurate.operators.order import kept, placed
 
 #: Five-word shingle sets this similar (percent) make near-duplicates of the corpus.
 SIMILAR = 80
@@ -25,11 +26,35 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(~F.col("rejected")).select(*COLUMNS)
 
 
+def told_apart(named: DataFrame) -> tuple[DataFrame, bool]:
+    """named (rows with an id) with row, a number that only rows of equal id and text share: the id, but for the other texts of an id that has several, numbers above all ids. And whether ids repeat."""
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    again = kept(named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
+    if again.isEmpty():
+        return named.withColumn("row", F.col("doc_id")), False
+    texts = named.join(again, "doc_id", "left_semi").select("doc_id", digest.alias("digest")).distinct()
+    first = texts.groupBy("doc_id").agg(F.min("digest").alias("digest"))
+    most = named.agg(F.max("doc_id")).first()[0]
+    others = placed(texts.join(first, ["doc_id", "digest"], "left_anti"), [F.col("doc_id"), F.col("digest")], "place")
+    others = others.select("doc_id", "digest", (F.col("place") + most).alias("row"))
+    joined = named.withColumn("digest", digest).join(others, ["doc_id", "digest"], "left")
+    return joined.withColumn("row", F.coalesce("row", "doc_id")).drop("digest"), True
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id; documents without an id stay, and of rows that repeat an id all do or none."""
-    kept = near_duplicates(docs, percent=SIMILAR).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
-    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*COLUMNS)
+    """Of each group of near-duplicates the document with the smallest id. Of rows that agree in id and text one stays, whichever; an id's other texts are documents of their own, that
+    come after all ids. Documents without an id stay."""
+    named, repeat = told_apart(docs.select(*COLUMNS).where(F.col("doc_id").isNotNull()))
+    kept_rows = near_duplicates(named, doc_id="row", percent=SIMILAR).where("kept").select(F.col("doc_id").alias("row")).distinct()
+    rest = docs.where(F.col("doc_id").isNull()).select(*COLUMNS)
+    left = named.join(kept_rows, "row", "left_semi")
+    if not repeat:
+        return left.select(*COLUMNS).unionByName(rest)
+    left = kept(left)
+    again = left.groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row")
+    once = left.join(again, "row", "left_anti")
+    one = left.join(again, "row", "left_semi").groupBy("row").agg(F.min(F.struct(*COLUMNS)).alias("r")).select("r.*")  # pre-aggregated, however many agree
+    return once.select(*COLUMNS).unionByName(one).unionByName(rest)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
