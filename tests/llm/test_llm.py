@@ -343,6 +343,19 @@ def test_pipeline(spark, odd, tmp_path):
     assert corpus_pipeline.packed(spark, four, "").agg(F.sum("n_words")).first()[0] == pytest.approx(words, abs=200)
 
 
+def test_pipeline_keeps_one_of_repeated_rows(spark):
+    """Rows that agree in id and text are one document, the other texts of an id documents of their own; what is left is not taken for a repeat of what went."""
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    a, b, c = (sentence(rng, 80) for _ in range(3))
+    rows = [(1, a, "en", "a", 1), (1, a, "en", "a", 1), (1, a, "en", "b", 1), (2, b, "en", "a", 1), (2, c, "en", "a", 1), (3, c, "en", "a", 1), (None, sentence(rng, 80), "en", "a", 1)]
+    two = corpus_pipeline.one_of_each(spark, spark.createDataFrame(rows, DOCS), "")
+    assert sorted((r.doc_id or 0, r.text) for r in two.collect()) == sorted([(0, rows[-1][1]), (1, a), (2, b), (3, c)])
+    three = corpus_pipeline.without_repeats(spark, two, "")
+    assert sorted(r.text for r in three.collect()) == sorted([a, b, c, rows[-1][1]])
+
+
 def test_pipeline_near_copies_from_80(spark):
     """Four of 200 words changed leave a similarity of 176 / 216 = 0.815; five leave 171 / 221 = 0.774."""
     import corpus_pipeline
