@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
-import random
-import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import md5_number
+from ..functions.scalars import md5_fraction, md5_number
 from .order import kept, placed, running, with_totals
 from .quota import water_fill
 
@@ -32,83 +28,118 @@ PRESETS = {
 ORIGINAL = {"bacteria": 439077, "archaea": 179370, "eukarya": 327639, "mitochondria": 28881, "plastids": 59649}
 
 
-def chop_fixed(df: DataFrame, id_: str, seq: str, length: int, passes: int = 1, overlap: int = 0, phase: str = "zero", seed: int = 42) -> DataFrame:
-    """(id, start, fragment): windows of `length` letters, length - overlap apart, of upper-case A, C, G and T only, each different one of an id once, at its first place.
+#: Values that one step of a running sum within a row adds up.
+_BLOCK = 128
 
-    Each pass begins at 0 or, with a random phase, at a place below the length (and within the sequence) by the hash of seed, id and pass."""
-    step, n = length - overlap, F.length(seq)
-    room = F.greatest(F.lit(0), F.least(F.lit(length - 1), n - length))  # Spark may look at shorter rows, too, before it drops them
-    token = lambda p: F.concat(F.lit(f"{seed}:"), F.col(id_).cast("string"), F.lit(":"), p.cast("string"))
-    begin = (lambda p: F.lit(0)) if phase == "zero" else (lambda p: (md5_number(token(p)) % (room + 1)).cast("int"))
-    starts = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(passes - 1)), lambda p: F.sequence(begin(p), F.greatest(begin(p), (n - length).cast("int")), F.lit(step))))
-    pieces = F.transform(F.array_distinct(starts), lambda s: F.struct(F.substr(F.col(seq), s + 1, F.lit(length)).alias("fragment"), s.alias("start")))
-    clean = F.filter(pieces, lambda x: (F.length(x["fragment"]) == length) & (F.translate(x["fragment"], "ACGT", "") == ""))
-    rows = df.where(n >= length).withColumn("_pieces", clean).select(F.col(id_).alias("id"), F.explode_outer("_pieces").alias("x"))  # explode would make Spark look at the pieces twice, for a filter
-    return rows.select("id", "x.fragment", "x.start").where("fragment is not null").groupBy("id", "fragment").agg(F.min("start").alias("start")).select("id", "start", "fragment")
+
+def _bases(seq: str) -> Column:
+    """A sequence as bytes, one for each letter; what is not A, C, G or T is N. Bytes are cut at any place without counting letters from the start."""
+    return F.regexp_replace(F.col(seq), "[^ACGT]", "N").cast("binary")
+
+
+def _chance(id_: str, seed: int, what: str, i: Column) -> Column:
+    """A number from 0 up to 1, by the hash of seed, id, what it is for, and its own number: the same whenever it is asked for."""
+    return md5_fraction(F.concat(F.lit(f"{seed}:"), F.col(id_).cast("string"), F.lit(f":{what}:"), i.cast("string")))
 
 
-def _chop(df: DataFrame, id_: str, seq: str, seed: int, walk) -> DataFrame:
-    """(id, start, fragment) of a walk over each record with a generator seeded by seed and id; only pieces of A, C, G and T, each different one once."""
-    source = df.select(F.col(id_).alias("id"), F.col(seq).alias("seq"))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often, and in whatever inner loop, body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, s in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                rng = random.Random(hashlib.md5(f"{seed}:{i.as_py()}".encode()).hexdigest())
-                starts, pieces, seen = [], [], set()
-                for start, piece in walk(s or "", rng, seen):
-                    starts.append(start)
-                    pieces.append(piece)
-                yield pa.RecordBatch.from_arrays([pa.array([i.as_py()] * len(starts), batch.column(0).type), pa.array(starts, pa.int32()), pa.array(pieces, pa.string())], names=["id", "start", "fragment"])
 
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, start int, fragment string")
+def _cut(df: DataFrame, id_: str, seq: str, spots: Callable[[Column], Column], enough: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(id, start, fragment) of df: the pieces at spots(letters of the sequence), an array of (start, length), that are of A, C, G and T only and that no piece before equals; with `enough` only until
+    their letters are so many.
 
+    Everything happens within the row: nothing is shuffled."""
+    cut = lambda v: F.transform(v["spots"], lambda x, i: F.struct(F.substring(v["bases"], x["start"] + 1, x["length"]).alias("b"), i.alias("i"), x["start"].alias("start")))
+    found = lambda n: _let(F.struct(_bases(seq).alias("bases"), spots(n).alias("spots")), cut)
+    clean = lambda n: F.array_sort(F.filter(found(n), lambda x: ~F.contains(x["b"], F.lit(b"N"))))
+    # equal ones stand together, the earliest first
+    first = lambda v: F.filter(v, lambda x, i: (i == 0) | (F.get(v, i - 1)["b"] != x["b"]))
+    again = lambda v: F.array_sort(F.transform(first(v), lambda x: F.struct(x["i"].alias("i"), x["start"].alias("start"), x["b"].alias("b"))))
+    pieces = lambda n: _let(clean(n), again)
 
-def _new(piece: str, seen: set) -> bool:
-    if piece in seen or _OTHER.search(piece):
-        return False
-    seen.add(piece)
-    return True
+    def until(v: Column) -> Column:
+        empty = F.struct(F.lit(0).cast("long").alias("bp"), F.lit(0).alias("n"))
+        add = lambda done, x: F.when(done["bp"] < v["enough"], F.struct((done["bp"] + F.length(x["b"])).alias("bp"), (done["n"] + 1).alias("n"))).otherwise(done)
+        return F.slice(v["pieces"], F.lit(1), F.aggregate(v["pieces"], empty, add)["n"])
 
+    kept_ones = _let(F.length(seq), pieces if enough is None else lambda n: _let(F.struct(pieces(n).alias("pieces"), enough(n).cast("long").alias("enough")), until))
+    return df.select(F.col(id_).alias("id"), F.explode(kept_ones).alias("x")).select("id", "x.start", F.col("x.b").cast("string").alias("fragment"))
 
-_OTHER = re.compile("[^ACGT]")
+
+def chop_fixed(df: DataFrame, id_: str, seq: str, length: int, passes: int = 1, overlap: int = 0, phase: str = "zero", seed: int = 42) -> DataFrame:
+    """(id, start, fragment): windows of `length` letters, length - overlap apart, of upper-case A, C, G and T only, each different one of a record once, at its first place.
+
+    Each pass begins at 0 or, with a random phase, at a place below the length (and within the sequence) by the hash of seed, id and pass. Null sequences and shorter ones have none."""
+    token = lambda p: F.concat(F.lit(f"{seed}:"), F.col(id_).cast("string"), F.lit(":"), p.cast("string"))
+
+    def spots(n: Column) -> Column:
+        room = F.greatest(F.lit(0), F.least(F.lit(length - 1), n - length))  # Spark may look at shorter rows, too, before it drops them
+        begin = (lambda p: F.lit(0)) if phase == "zero" else (lambda p: (md5_number(token(p)) % (room + 1)).cast("int"))
+        one = lambda p: _let(begin(p), lambda b: F.sequence(b, F.greatest(b, (n - length).cast("int")), F.lit(length - overlap)))
+        starts = F.array_sort(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(passes - 1)), one))))
+        return F.transform(starts, lambda x: F.struct(x.alias("start"), F.lit(length).alias("length")))
+
+    return _cut(df.where(F.length(seq) >= length), id_, seq, spots)
 
 
 def chop_varlen(df: DataFrame, id_: str, seq: str, low: int, high: int, coverage: float, log: bool = False, seed: int = 42) -> DataFrame:
-    """Pieces of lengths from low to high (uniform, or uniform in the logarithm) at random places until they add up to coverage times the record, or tries run out."""
+    """(id, start, fragment): pieces of lengths from low to high (uniform, or uniform in the logarithm; no more than the record has) at random places, until they add up to coverage times the
+    record. Pieces with other letters than A, C, G and T, and repeated ones, don't count; after 64 draws and four for each `low` letters wanted no more are made. Records below `low` have none."""
+    wanted = lambda n: F.floor(n * float(coverage))
+
+    def size(u: Column, most: Column) -> Column:
+        drawn = F.exp(math.log(low) + u * (F.log(most.cast("double")) - math.log(low))) if log else low + u * (most - low + 1)
+        return F.least(most, F.greatest(F.lit(low), F.floor(drawn))).cast("int")
+
+    def spots(n: Column) -> Column:
+        draws = F.sequence(F.lit(0), (4 * F.ceil(wanted(n) / low) + 63).cast("int"))
+        place = lambda i, m: F.struct(F.floor(_chance(id_, seed, "start", i) * (n - m + 1)).cast("int").alias("start"), m.alias("length"))
+        return F.transform(draws, lambda i: _let(size(_chance(id_, seed, "length", i), F.least(F.lit(high), n)), lambda m: place(i, m)))
 
-    def walk(s: str, rng: random.Random, seen: set):
-        n = len(s)
-        if n < low:
-            return
-        target, got, top = int(coverage * n), 0, min(high, n)
-        for _ in range(max(100, target // low * 6 + 100)):
-            if got >= target:
-                return
-            length = int(math.exp(rng.uniform(math.log(low), math.log(top)))) if log else rng.randint(low, top)
-            start = rng.randint(0, n - length)
-            if _new(s[start : start + length], seen):
-                got += length
-                yield start, s[start : start + length]
+    return _cut(df.where(F.length(seq) >= low), id_, seq, spots, wanted)
 
-    return _chop(df, id_, seq, seed, walk)
+
+def _sums_before(values: Column) -> Column:
+    """For each place of an array of longs the sum of those before it. Sums are of blocks first, so that a long array costs no square of its length."""
+    total = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, b: a + b)
+    block = lambda i: F.floor(i / _BLOCK).cast("int")
+
+    def of_blocks(v: Column) -> Column:
+        every = F.sequence(F.lit(0), block(F.greatest(F.size(v), F.lit(1)) - 1))
+        sums = F.transform(every, lambda k: total(F.slice(v, k * _BLOCK + 1, F.lit(_BLOCK))))
+        offsets = _let(sums, lambda s: F.transform(s, lambda _, k: total(F.slice(s, F.lit(1), k))))
+        return _let(offsets, lambda o: F.transform(v, lambda _, i: F.get(o, block(i)) + total(F.slice(v, block(i) * _BLOCK + 1, i % _BLOCK))))
+
+    return _let(values, of_blocks)
 
 
 def chop_discrete(df: DataFrame, id_: str, seq: str, lengths: Sequence[int], weights: Sequence[float], overlap: float, min_tail: int, seed: int = 42) -> DataFrame:
-    """Pieces one after the other, each of a length chosen by weight (the last one of what is left, min_tail at least); the next begins a part of 1 - overlap of the chosen length on."""
+    """(id, start, fragment): pieces one after the other, each of a length chosen by weight (what is left at the end); the next begins a part of 1 - overlap of the chosen length on. The first piece that
+    would have less than min_tail letters ends the walk; those with other letters than A, C, G and T, and repeated ones, are left out."""
+    whole, bounds = float(sum(weights)), []
+    for m, w in zip(lengths, weights, strict=True):
+        bounds.append(((bounds[-1][0] if bounds else 0.0) + w / whole, m))
+    step_of = {m: max(1, int(m * (1 - overlap))) for m in lengths}
+
+    def choose(u: Column, of) -> Column:
+        out = F.lit(of(bounds[-1][1]))
+        for edge, m in reversed(bounds[:-1]):
+            out = F.when(u < edge, F.lit(of(m))).otherwise(out)
+        return out
 
-    def walk(s: str, rng: random.Random, seen: set):
-        at = 0
-        while at < len(s):
-            length = rng.choices(list(lengths), weights=list(weights))[0]
-            piece = s[at : at + length]
-            if len(piece) < min_tail:
-                return
-            if _new(piece, seen):
-                yield at, piece
-            at += max(1, int(length * (1 - overlap)))
+    def spots(n: Column) -> Column:
+        draws = F.sequence(F.lit(0), F.floor(n / min(step_of.values())).cast("int"))
+        size = lambda u, at: F.least(choose(u, int), (n - at).cast("int"))
+        at_once = lambda u, at: F.struct(at.cast("int").alias("start"), size(u, at).alias("length"))
+        every = lambda us: F.zip_with(us, _sums_before(F.transform(us, lambda u: choose(u, step_of.get).cast("long"))), at_once)
+        short = lambda v: F.array_position(F.transform(v, lambda x: x["length"] < max(min_tail, 1)), F.lit(True))
+        upto = lambda v: F.slice(v, F.lit(1), F.coalesce(F.nullif(short(v), F.lit(0)) - 1, F.size(v)).cast("int"))
+        return _let(_let(F.transform(draws, lambda i: _chance(id_, seed, "length", i)), every), upto)
 
-    return _chop(df, id_, seq, seed, walk)
+    return _cut(df.where(F.length(seq) > 0), id_, seq, spots)
 
 
 def chop_preset(df: DataFrame, id_: str, seq: str, name: str, seed: int = 42) -> DataFrame:
@@ -138,9 +169,9 @@ def crop(header: Column, seq: Column, seed: int = 42, focus: float = 0.5) -> Col
 
 def encode_bases(seq: Column, width: int) -> Column:
     """Array of `width` tokens: A, C, G, T or U of either case are 0 to 3, all else and what the sequence lacks 4; longer ones are cut off."""
-    text = F.rpad(F.translate(F.translate(F.substr(F.coalesce(seq, F.lit("")), F.lit(1), F.lit(width)), "01234", "NNNNN"), "ACGTUacgtu", "0123301233"), width, "4")
-    letter = lambda i: F.substr(text, i, F.lit(1))
-    return F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: F.when(letter(i).isin("0", "1", "2", "3"), letter(i).cast("int")).otherwise(4))
+    letters = F.regexp_replace(F.substr(F.coalesce(seq, F.lit("")), F.lit(1), F.lit(width)), "[^ACGTUacgtu]", "4")
+    text = F.rpad(F.translate(letters, "ACGTUacgtu", "0123301233"), width, "4")
+    return F.transform(F.split(text, ""), lambda x: x.cast("int"))
 
 
 def derive_targets(available: DataFrame, strategy: str, classes: Sequence[str], total: int = 0, mult: float = 1.0, targets: Mapping[str, int] | None = None, ratios: Mapping[str, float] | None = None) -> DataFrame:

@@ -251,10 +251,28 @@ def t02_chop_fixed(spark, sf_dir):
     return sampling.chop_fixed(docs, "doc_id", "dna", 100, overlap=20).groupBy("id").agg(F.count(F.lit(1)).alias("pieces"), F.sum("start").cast("long").alias("starts"))
 
 
+_LETTERS = ("eaionrtshlduEAIONRTSHLDUè .,\n", "ACGTACGTACGTACGTACGTACGTACGTA")
+
+
+def _pieces(df):
+    """What pieces of a record are: how many, their letters, places and first letters."""
+    return df.groupBy("id").agg(F.count(F.lit(1)).alias("pieces"), F.sum(F.length("fragment")).alias("bp"), F.sum("start").cast("long").alias("starts"), F.min(F.substring("fragment", 1, 20)).alias("least"))
+
+
+def t03_chop_varlen(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("dna", F.translate("text", *_LETTERS))
+    return _pieces(sampling.chop_varlen(docs, "doc_id", "dna", 100, 400, 1.5))
+
+
+def t04_chop_discrete(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("dna", F.translate("text", *_LETTERS))
+    return _pieces(sampling.chop_discrete(docs, "doc_id", "dna", (50, 100, 250), (1, 2, 1), 0.2, 20))
+
+
 def t05_presets(spark, sf_dir):
-    """Pieces of three of the presets, one of each kind; what they are is a matter of chance, so there is no SQL."""
-    docs = table(spark, sf_dir, "documents").withColumn("dna", F.translate(F.repeat("text", 3), "eaionrtshlduEAIONRTSHLDUè .,\n", "ACGTACGTACGTACGTACGTACGTACGTA"))
-    parts = [sampling.chop_preset(docs, "doc_id", "dna", name).groupBy("id").agg(F.count(F.lit(1)).alias("pieces"), F.sum(F.length("fragment")).alias("bp")).withColumn("preset", F.lit(name)) for name in ("T2-fixed5k-3phase", "T5-v2b-logU3-15-cov2", "T6-v2c-equal-v3ov")]
+    """Pieces of three of the presets, one of each kind."""
+    docs = table(spark, sf_dir, "documents").withColumn("dna", F.translate(F.repeat("text", 3), *_LETTERS))
+    parts = [_pieces(sampling.chop_preset(docs, "doc_id", "dna", name)).withColumn("preset", F.lit(name)) for name in ("T2-fixed5k-3phase", "T5-v2b-logU3-15-cov2", "T6-v2c-equal-v3ov")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -263,7 +281,7 @@ def t06_crop(spark, sf_dir):
 
 
 def t08_encode_bases(spark, sf_dir):
-    tokens = sampling.encode_bases(F.col("text"), 64)
+    tokens = sampling.encode_bases(F.col("text"), 5000)
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.transform(tokens, lambda x: x.cast("string")), "").alias("tokens"))
 
 
@@ -289,6 +307,36 @@ _TEXT = "lower(excluded_from_refseq || ' ' || definition)"
 MAG = f"""(case when lower(is_mag) = 'yes' then 'explicit_is_mag' when contains({_TEXT}, 'derived from metagenome') then 'derived from metagenome' when regexp_matches({_TEXT}, '(^|[^a-z])mag([^a-z]|$)') then 'MAG' end)"""
 TECH = "(case when contains(lower(sequencing_technology), 'pacbio') then 'pacbio' when contains(lower(sequencing_technology), 'nanopore') then 'nanopore' end)"
 _DNA2 = "translate(text, 'eaionrtshlduEAIONRTSHLDUè .,\n', 'ACGTACGTACGTACGTACGTACGTACGTA')"
+_FRACTION = lambda what: f"('0x' || substr(md5('42:' || doc_id || ':{what}:' || i), 1, 8))::bigint / 4294967296.0::double"
+_PIECES = "select doc_id as id, count(*) as pieces, sum(length(f))::bigint as bp, sum(st)::bigint as starts, min(substr(f, 1, 20)) as least from k group by doc_id"
+_CLEAN = "k as (select doc_id, i, st, f from p where regexp_full_match(f, '[ACGT]+') qualify row_number() over (partition by doc_id, f order by i) = 1)"
+
+
+def _FIXED(text, length, passes):
+    return f"""with d as (select doc_id, {_DNA2.replace('text', text)} as s, length({text}) as n from documents),
+        b as (select *, (('0x' || substr(md5('42:' || doc_id || ':' || j), 1, 8))::bigint % (least({length - 1}, n - {length}) + 1))::bigint as b from d, range({passes}) t(j) where n >= {length}),
+        q as (select distinct doc_id, s, b + {length} * x as st from b, range(n // {length} + 1) u(x) where b + {length} * x + {length} <= n), p as (select doc_id, st as i, st, substr(s, st + 1, {length}) as f from q), {_CLEAN} """
+
+
+def _VARLEN(text, low, high, coverage, log):
+    size = f"floor(exp(ln({low}::double) + u1 * (ln(most::double) - ln({low}::double))))" if log else f"{low} + floor(u1 * (most - {low} + 1))"
+    return f"""with d as (select doc_id, {_DNA2.replace('text', text)} as s, length({text}) as n from documents), e as (select *, least({high}, n) as most, floor(n * {coverage}::double)::bigint as want from d where n >= {low}),
+        t as (select *, {_FRACTION('length')} as u1, {_FRACTION('start')} as u2 from e, range(4 * ceil(want / {low})::bigint + 64) r(i)), l as (select *, least(most, greatest({low}, {size}))::bigint as m from t),
+        g as (select *, floor(u2 * (n - m + 1))::bigint as st from l), p as (select doc_id, i, st, want, substr(s, st + 1, m) as f from g where regexp_full_match(substr(s, st + 1, m), '[ACGT]+') qualify row_number() over (partition by doc_id, substr(s, st + 1, m) order by i) = 1),
+        k as (select * from (select *, coalesce(sum(length(f)) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as before from p) where before < want) """
+
+
+def _DISCRETE(text, lengths, weights, overlap, tail):
+    total, at, cases = sum(weights), 0.0, ""
+    for m, w in list(zip(lengths, weights, strict=True))[:-1]:
+        at += w / total
+        cases += f" when u < {at!r}::double then {m}"
+    steps = " ".join(f"when {m} then {max(1, int(m * (1 - overlap)))}" for m in lengths)
+    return f"""with d as (select doc_id, {_DNA2.replace('text', text)} as s, length({text}) as n from documents),
+        t as (select *, {_FRACTION('length')} as u from d, range(n // {max(1, int(min(lengths) * (1 - overlap)))} + 1) r(i) where n > 0), c as (select *, case{cases} else {lengths[-1]} end as m from t), w as (select *, coalesce(sum(case m {steps} end) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0)::bigint as st from c),
+        v as (select *, bool_or(least(m, n - st) < {tail}) over (partition by doc_id order by i rows unbounded preceding) as over from w), p as (select doc_id, i, st, substr(s, st + 1, m) as f from v where not over), {_CLEAN} """
+
+
 
 SQL = {
     "f01_base_accession": f"select n, split_part(assembly_accession, '.', 1) as first, regexp_replace(assembly_accession || '.x.2', '\\.[^.]*$', '') as last, upper(assembly_accession || '.x') as numeric from {G}",
@@ -369,6 +417,13 @@ SQL = {
     "t06_crop": """with d as (select doc_id, length(text)::int as n, least(2499, length(text))::int as most, ('0x' || substr(sha256('42|' || doc_id), 1, 16))::ubigint as t from documents),
         f as (select *, most >= 1250 and t % 1000000 < 500000 as focused from d where most >= 800), b as (select *, case when focused then 1250 else 800 end as low, least(most, case when focused then 1750 else 2499 end) as high from f),
         l as (select *, (low + (t >> 20) % (high - low + 1)::ubigint)::int as length from b) select doc_id, case when n = length then 0 else ((t >> 40) % (n - length + 1)::ubigint)::int end::int as start, length, focused from l""",
-    "t08_encode_bases": """select doc_id, rpad(regexp_replace(translate(substr(regexp_replace(coalesce(text, ''), '[0-9]', 'N', 'g'), 1, 64), 'ACGTUacgtu', '0123301233'), '[^0-3]', '4', 'g'), 64, '4') as tokens from documents""",
+    "t08_encode_bases": """select doc_id, rpad(translate(regexp_replace(substr(coalesce(text, ''), 1, 5000), '[^ACGTUacgtu]', '4', 'g'), 'ACGTUacgtu', '0123301233'), 5000, '4') as tokens from documents""",
+    "t03_chop_varlen": _VARLEN("text", 100, 400, 1.5, False) + _PIECES,
+    "t04_chop_discrete": _DISCRETE("text", (50, 100, 250), (1, 2, 1), 0.2, 20) + _PIECES,
+    "t05_presets": " union all ".join(f"select *, '{name}' as preset from ({sql} {_PIECES})" for name, sql in {
+        "T2-fixed5k-3phase": _FIXED("repeat(text, 3)", 5000, 3),
+        "T5-v2b-logU3-15-cov2": _VARLEN("repeat(text, 3)", 3000, 15000, 2.0, True),
+        "T6-v2c-equal-v3ov": _DISCRETE("repeat(text, 3)", (1000, 2000, 3000, 5000, 10000), (1, 1, 1, 1, 1), 0.2, 500),
+    }.items()),
     "t09_number_fragments": f"select accession, doc_id, accession || '|' || (row_number() over (partition by accession order by doc_id) - 1) as fragment_id from {FR}",
 }
