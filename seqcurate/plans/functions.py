@@ -10,6 +10,7 @@ from .. import sources
 from ..functions import ids, labels, scalars
 from ..operators import curate, plan, sampling, select
 from ..operators.order import shared_folder
+from ..streaming import score_stream, scored
 from .standins import FR, G, fragments, genomes, table
 
 
@@ -139,13 +140,69 @@ def f29_bucket(spark, sf_dir):
     return g.groupBy(labels.bucket(first, F.when(F.col("n") % 2 == 0, "plastid")).alias("bucket")).agg(F.count(F.lit(1)).alias("records"))
 
 
-def s01_fasta(spark, sf_dir):
-    """documents written as FASTA by split and class, and read back."""
+def _corpus(spark, sf_dir):
+    """documents written as a corpus of FASTA by split and class."""
     root = _scratch(spark)
     docs = fragments(spark, sf_dir).where("text is not null").withColumn("header", F.concat(F.col("doc_id").cast("string"), F.lit(" sg=x")))
-    sources.write_fasta(docs.withColumn("sequence", F.regexp_replace("text", r"[^A-Za-z]", "N")), root, width=60)
-    back = sources.read_fasta(spark, [f"{root}/split=*/class=*"])
-    return back.select(F.col("fragment_id").cast("long").alias("doc_id"), "bp", F.md5(F.col("sequence").cast("binary")).alias("digest"), F.regexp_extract("path", "split=([^/]*)", 1).alias("split"), F.regexp_extract("path", "class=([^/]*)", 1).alias("cls"))
+    sources.write_corpus(docs.withColumn("sequence", F.regexp_replace("text", r"[^A-Za-z]", "N")), root, width=60)
+    return root
+
+
+def s01_fasta(spark, sf_dir):
+    """documents written as FASTA by split and class, and read back."""
+    back = sources.read_fasta(spark, [f"{_corpus(spark, sf_dir)}/*/*.fasta"])
+    parts = F.regexp_extract("path", r"/([^/]*)/([^/]*)\.fasta/", 1).alias("split"), F.regexp_extract("path", r"/([^/]*)/([^/]*)\.fasta/", 2).alias("cls")
+    return back.select(F.col("fragment_id").cast("long").alias("doc_id"), "bp", F.md5(F.col("sequence").cast("binary")).alias("digest"), *parts)
+
+
+def s02_read_corpus(spark, sf_dir):
+    """Two classes of one split of the corpus that s13 writes; other files are not read."""
+    back = sources.read_corpus(spark, _corpus(spark, sf_dir), ["validation"], ["eukarya", "archaea"])
+    return back.select(F.col("fragment_id").cast("long").alias("doc_id"), "split", F.col("class").alias("cls"), "bp", F.md5(F.col("sequence").cast("binary")).alias("digest"))
+
+
+def s02_read_chunks(spark, sf_dir):
+    """The whole corpus in chunks of 1,000 letters, put together again."""
+    rows = sources.read_chunks(spark, f"{_corpus(spark, sf_dir)}/*/*.fasta", 1000)
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "sequence"))), lambda x: x["sequence"]), "")
+    out = rows.groupBy("fragment_id", "header").agg(whole.alias("s"), F.max(F.col("start") + F.length("sequence")).alias("bp"), F.max(F.length("sequence")).alias("most"))
+    return out.select(F.col("fragment_id").cast("long").alias("doc_id"), "header", "bp", (F.col("most") < 1060).alias("short"), F.md5(F.col("s").cast("binary")).alias("digest"))
+
+
+def s13_write_corpus(spark, sf_dir):
+    """What the corpus has of each split and class, after bacteria were written again without half of them."""
+    root = _corpus(spark, sf_dir)
+    half = fragments(spark, sf_dir).where("text is not null and class = 'bacteria' and doc_id % 2 = 0").withColumn("header", F.col("doc_id").cast("string"))
+    sources.write_corpus(half.withColumnRenamed("text", "sequence"), root)
+    back = sources.read_fasta(spark, [f"{root}/*/*.fasta"])
+    back = back.select(F.regexp_extract("path", r"/([^/]*)/([^/]*)\.fasta/", 1).alias("split"), F.regexp_extract("path", r"/([^/]*)/([^/]*)\.fasta/", 2).alias("cls"), F.col("fragment_id").cast("long").alias("i"))
+    return back.groupBy("split", "cls").agg(F.count(F.lit(1)).alias("records"), F.sum("i").alias("ids"))
+
+
+def m15_infer_files(spark, sf_dir):
+    """The corpus scored in one job, its files named twice; counts of each split and class, and in all."""
+    root = _corpus(spark, sf_dir)
+    gc = F.round(F.length(F.regexp_replace("sequence", "[^GCgc]", "")) / F.col("bp"), 6)
+    out, counts = sources.infer(spark, [root, f"{root}/train/*.fasta"], lambda df: df.withColumn("gc", gc), f"{root}-scored", 100)
+    at = lambda i: F.regexp_extract("path", r"/([^/]*)/([^/]*)\.fasta/", i)
+    per_file = counts.groupBy(at(1).alias("split"), at(2).alias("cls")).agg(F.sum("records").alias("records"))
+    sums = out.groupBy(at(1).alias("split"), at(2).alias("cls")).agg(F.round(F.sum("gc"), 4).alias("gc"))
+    return per_file.join(sums, (per_file["split"].eqNullSafe(sums["split"])) & (per_file["cls"].eqNullSafe(sums["cls"])), "left").select(per_file["split"], per_file["cls"], "records", "gc")
+
+
+def p01_score_stream(spark, sf_dir):
+    """Documents that land in two drops are scored as they come; the stream is started three times, the second time before its batch was marked as done."""
+    folder = _scratch(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gc = lambda df: df.select("doc_id", F.length("text").alias("n"), F.length(F.regexp_replace("text", "[^GCgc]", "")).alias("gc"))
+    run = lambda: score_stream(spark, f"{folder}/in", "doc_id long, text string", gc, f"{folder}/out", f"{folder}/mark").awaitTermination()
+    for k in range(2):
+        docs.where(F.col("doc_id") % 2 == k).write.mode("append").parquet(f"{folder}/in")
+        run()
+    at, system = sources.corpus._path(spark, f"{folder}/mark/commits/1")
+    system.delete(at, True)
+    run()
+    return scored(spark, f"{folder}/out")
 
 
 def s03_hash_tsv(spark, sf_dir):
@@ -289,7 +346,7 @@ def t09_number_fragments(spark, sf_dir):
     return sampling.number_fragments(fragments(spark, sf_dir).select("accession", "doc_id"), "accession", ["doc_id"])
 
 
-QUERIES = {k: v for k, v in list(globals().items()) if k[:1] in "fst" and k[1:3].isdigit()}
+QUERIES = {k: v for k, v in list(globals().items()) if k[:1] in "fmpst" and k[1:3].isdigit()}
 
 _EUK = "('euk', 'euk_nuclear', 'eukarya', 'eukaryota', 'eukaryote')"
 _CLASS = f"""(case when lower(trim(supergroup)) in ('organelle-mito') then 'mitochondria' when lower(trim(supergroup)) = 'organelle-cp' then 'plastids' when lower(supergroup) like 'organelle-%' then null
@@ -381,6 +438,12 @@ SQL = {
     "f28_size_class": f"""select n, case when n % 7 = 0 then 'small' when n % 9 = 0 or n = 0 then 'medium' when n * 50000 <= 20 * 1048576 then 'small' when n * 50000 <= 200 * 1048576 then 'medium' else 'large' end as size_class from {G}""",
     "f29_bucket": f"select case when n % 6 = 0 then 'plastid' when n % 3 = 0 then 'organelle' else klass end as bucket, count(*) as records from {G} group by 1",
     "s01_fasta": f"select doc_id, length(text)::bigint as bp, md5(regexp_replace(text, '[^A-Za-z]', 'N', 'g')) as digest, split, class as cls from {FR} where text is not null",
+    "s02_read_corpus": f"select doc_id, split, class as cls, length(text)::bigint as bp, md5(regexp_replace(text, '[^A-Za-z]', 'N', 'g')) as digest from {FR} where text is not null and split = 'validation' and class in ('eukarya', 'archaea')",
+    "s02_read_chunks": f"select doc_id, doc_id || ' sg=x' as header, length(text)::bigint as bp, true as short, md5(regexp_replace(text, '[^A-Za-z]', 'N', 'g')) as digest from {FR} where text is not null",
+    "s13_write_corpus": f"select split, class as cls, count(*) as records, sum(doc_id)::bigint as ids from {FR} where text is not null and (class <> 'bacteria' or doc_id % 2 = 0) group by all",
+    "m15_infer_files": f"""with a as (select split, class as cls, length(regexp_replace(text, '[^GCgc]', '', 'g')) as g, length(text) as n from {FR} where text is not null), b as (select split, cls, count(*) filter (n >= 100) as records, sum(round(g / n, 6)) filter (n >= 100) as gc from a group by all)
+        select split, cls, records::bigint as records, round(gc, 4) as gc from b union all select null, null, sum(records)::bigint, null from b""",
+    "p01_score_stream": "select doc_id, length(text)::int as n, length(regexp_replace(text, '[^GCgc]', '', 'g'))::int as gc from documents",
     "s03_hash_tsv": "select p_partkey as key, p_name as name, case when p_partkey % 5 = 0 then '' else p_type end as kind from part",
     "s04_delimited": "select p_partkey, p_name, p_brand from part",
     "s05_union_prefer": f"""with u as (select assembly_accession, source, n, null as extra, 0 as t from {G} union all select split_part(assembly_accession, '.', 1) || '.9', case when n % 8 = 0 then 'refseq' else 'genbank' end, n, 'second', 1 from {G} where n % 4 = 0),

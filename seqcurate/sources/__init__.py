@@ -9,39 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ids import parse_header
+from .corpus import CLASS_ALIASES, corpus_files, fasta_lines, infer, read_chunks, read_corpus, split_records, write_corpus
 
-# Class directories' other names.
-CLASS_ALIASES = {"archea": "archaea", "plastid": "plastids", "mitochondrion": "mitochondria", "chloroplast": "plastids"}
-
+__all__ = ["CLASS_ALIASES", "corpus_files", "fasta_lines", "infer", "read_chunks", "read_corpus", "split_records", "write_corpus"]
 
 def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(fragment_id, header, sequence, bp, path) of FASTA files; blanks in sequences are dropped. Files that aren't compressed are split between tasks."""
     raw = spark.read.text(paths, lineSep="\n>").select("value", F.col("_metadata.file_path").alias("path"))
-    text = F.regexp_replace("value", "^>", "")
-    header = F.trim(F.substring_index(text, "\n", 1))
-    body = F.regexp_replace(F.substr(text, F.length(F.substring_index(text, "\n", 1)) + 1), r"\s+", "")
-    out = raw.where(F.trim("value") != "").select(header.alias("header"), body.alias("sequence"), "path")
-    return out.select(F.regexp_extract("header", r"^\S*", 0).alias("fragment_id"), "header", "sequence", F.length("sequence").cast("long").alias("bp"), "path")
-
-
-def _there(spark: SparkSession, path: str) -> bool:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return len(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or []) > 0
-
-
-def read_corpus(spark: SparkSession, root: str, splits: Sequence[str], classes: Sequence[str]) -> DataFrame:
-    """(fragment_id, header, sequence, bp, split, class) of <root>/<split>/<class>.fasta (or .fa, .fna, each also .gz), under a class's other names too; only these files are read.
-    A class that a split lacks is an error."""
-    out = None
-    for split in splits:
-        for cls in classes:
-            names = [cls, *(a for a, c in CLASS_ALIASES.items() if c == cls)]
-            found = next((p for n in names for p in (f"{root}/{split}/{n}.{{fasta,fa,fna}}", f"{root}/{split}/{n}.{{fasta,fa,fna}}.gz") if _there(spark, p)), None)
-            if found is None:
-                raise FileNotFoundError(f"{root}/{split} has no {cls}")
-            own = read_fasta(spark, found).drop("path").withColumns({"split": F.lit(split), "class": F.lit(cls)})
-            out = own if out is None else out.unionByName(own)
-    return out
+    return split_records(raw, "path")
 
 
 def read_hash_tsv(spark: SparkSession, path: str) -> DataFrame:
@@ -142,17 +117,6 @@ def init_metadata(fragments: DataFrame, resolved: Column | None = None) -> DataF
     return out.withColumn("label_status", F.when((F.col("legacy_class") == "eukarya") & (F.col("euk_group") == ""), "unresolved_euk").otherwise("resolved"))
 
 
-def fasta_lines(df: DataFrame, header: str = "header", seq: str = "sequence", width: int = 0) -> Column:
-    """A record's text: > header, and the sequence, in lines of `width` letters if given."""
-    body = F.rtrim(F.regexp_replace(F.col(seq), f"(.{{{width}}})", "$1\n")) if width else F.col(seq)
-    return F.concat(F.lit(">"), F.col(header), F.lit("\n"), body)
-
-
-def write_fasta(df: DataFrame, root: str, header: str = "header", seq: str = "sequence", width: int = 0) -> None:
-    """<root>/split=.../class=.../part-*.txt of the rows, each file whole or not there; splits and classes without rows have no folder."""
-    df.select("split", "class", fasta_lines(df, header, seq, width).alias("value")).write.partitionBy("split", "class").mode("overwrite").text(root)
-
-
 def export_by_class(df: DataFrame, chosen: DataFrame, path: str, cls: str = "klass", entity: str = "entity_id") -> None:
     """Tables of all rows and of the chosen ones, and the ids of the chosen ones, a folder for each class."""
     df.write.partitionBy(cls).mode("overwrite").csv(f"{path}/classes", sep="\t", header=True)
@@ -168,10 +132,3 @@ def prediction_table(df: DataFrame, ids: Sequence[str], probabilities: Mapping[s
 def write_predictions(df: DataFrame, path: str, ids: Sequence[str], probabilities: Mapping[str, Column] = {}, compression: str = "gzip") -> None:  # noqa: B006
     prediction_table(df, ids, probabilities).write.mode("overwrite").csv(path, sep="\t", header=True, compression=compression)
 
-
-def infer(spark: SparkSession, paths: Sequence[str], score, least: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(predictions, counts) of FASTA files in one job: score(df) adds columns to rows of at least `least` letters; counts: records of each file, and in all (file null)."""
-    rows = read_fasta(spark, list(paths)).where(F.col("bp") >= least)
-    out = score(rows)
-    counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("records"))
-    return out, counts.unionByName(counts.agg(F.lit(None).cast("string").alias("path"), F.sum("records").alias("records")))

@@ -12,7 +12,7 @@ from seqcurate import sources
 from seqcurate.functions import ids, labels, scalars
 from seqcurate.operators import curate, features, metrics, plan, quota, sampling, score, select
 from seqcurate.operators.order import placed, running
-from seqcurate.streaming import score_stream
+from seqcurate.streaming import score_stream, scored
 
 
 def test_running_sums(spark):
@@ -88,11 +88,56 @@ def test_corpus_round_trip(spark, tmp_path):
     assert sorted((r.fragment_id, r.sequence, r.split, r["class"]) for r in got.collect()) == [("a", "ACGT", "train", "archaea"), ("b", "AC", "train", "bacteria"), ("c", "GG", "train", "bacteria"), ("d", "A", "test", "archaea"), ("e", "C", "test", "bacteria")]
     with pytest.raises(FileNotFoundError):
         sources.read_corpus(spark, str(tmp_path), ["train"], ["plastids"])
-    pred, counts = sources.infer(spark, [str(tmp_path / "train"), str(tmp_path / "test")], lambda df: df.withColumn("gc", F.length(F.regexp_replace("sequence", "[^GC]", ""))), 2)
+    pred, counts = sources.infer(spark, [str(tmp_path / "train"), str(tmp_path / "test")], lambda df: df.withColumn("gc", F.length(F.regexp_replace("sequence", "[^GC]", ""))), str(tmp_path / "scored"), 2)
     assert pred.count() == 3 and counts.where("path is null").first().records == 3
-    sources.write_fasta(got, str(tmp_path / "out"), width=2)
-    back = sources.read_fasta(spark, str(tmp_path / "out" / "split=train" / "class=archaea"))
-    assert [(r.header, r.sequence) for r in back.collect()] == [("a x", "ACGT")]
+    out = str(tmp_path / "out")
+    paths = sources.write_corpus(got, out, width=2)
+    assert sorted(p.split("/out/")[1] for p in paths) == [f"{s}/{c}.fasta" for s in ("test", "train") for c in ("archaea", "bacteria")]
+    back = sources.read_corpus(spark, out, ["train", "test"], ["archaea", "bacteria"])
+    assert sorted(back.collect()) == sorted(got.select(back.columns).collect())
+    one = sources.read_corpus(spark, out, ["train"], ["archaea"])
+    assert {f.split("/out/")[1].rpartition("/")[0] for f in one.inputFiles()} == {"train/archaea.fasta"}  # no other file is read
+    # a class that is written again replaces the old one; the others stay, and nothing of the draft does
+    sources.write_corpus(got.where("fragment_id = 'b'"), out)
+    assert [r.fragment_id for r in sources.read_corpus(spark, out, ["train"], ["bacteria"]).collect()] == ["b"] and sources.read_corpus(spark, out, ["test"], ["bacteria"]).count() == 1
+    assert sorted(x.name for x in (tmp_path / "out").iterdir()) == ["test", "train"]
+    # a file, a pattern and a folder that name the same files; one file has no record that is long enough
+    paths = [str(tmp_path / "train" / "bacteria.fasta"), str(tmp_path / "t*"), str(tmp_path / "test")]
+    _, counts = sources.infer(spark, paths, lambda df: df, str(tmp_path / "scored2"), 2)
+    assert {(r.path or "all").rpartition("/")[2]: r.records for r in counts.where("path is null or path like '%train%'").collect()} == {"archea.fasta": 1, "bacteria.fasta": 2, "all": 3}
+    assert counts.where("records = 0").count() == 2
+
+
+def test_chunks_of_long_records(spark, tmp_path):
+    """Records over many blocks of a file, lines of any length, blank ones, text before the first header, a record without letters; compressed or not."""
+    import gzip
+
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    records = {"a": letters(50_000), "b": "", "c": letters(7), "d": letters(20_000)}
+    lines = ["no header yet"]
+    for name, seq in records.items():
+        lines.append(f">{name} of {len(seq)}")
+        while seq:
+            n = rng.randrange(1, 90)
+            lines += [seq[:n], ""] if n == 5 else [seq[:n]]
+            seq = seq[n:]
+    (tmp_path / "one.fa").write_text("\n".join(lines) + "\n")
+    (tmp_path / "two.fa.gz").write_bytes(gzip.compress("\n".join(lines).encode()))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1500)
+    try:
+        for name in ("one.fa", "two.fa.gz"):
+            rows = sources.read_chunks(spark, str(tmp_path / name), 600).collect()
+            assert {r.header for r in rows} == {f"{k} of {len(v)}" for k, v in records.items()} and max(len(r.sequence) for r in rows) < 700
+            for k, seq in records.items():
+                at = 0
+                for r in sorted((r for r in rows if r.fragment_id == k), key=lambda r: (r.start, len(r.sequence))):
+                    assert r.start == at
+                    at += len(r.sequence)
+                assert at == len(seq) and "".join(r.sequence for r in sorted((r for r in rows if r.fragment_id == k), key=lambda r: (r.start, len(r.sequence)))) == seq
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_stream_of_fasta(spark, tmp_path):
@@ -102,7 +147,7 @@ def test_stream_of_fasta(spark, tmp_path):
     run()
     (tmp_path / "in" / "two.fasta").write_text(">c\nT\n")
     run()
-    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == [("a", 6), ("b", 2), ("c", 1)]
+    assert sorted(map(tuple, scored(spark, str(tmp_path / "out")).collect())) == [("a", 6), ("b", 2), ("c", 1)]
 
 
 def test_choppers(spark):
