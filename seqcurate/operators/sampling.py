@@ -66,7 +66,7 @@ def _cut(df: DataFrame, id_: str, seq: str, spots: Callable[[Column], Column], e
         return F.slice(v["pieces"], F.lit(1), F.aggregate(v["pieces"], empty, add)["n"])
 
     kept_ones = _let(F.length(seq), pieces if enough is None else lambda n: _let(F.struct(pieces(n).alias("pieces"), enough(n).cast("long").alias("enough")), until))
-    return df.select(F.col(id_).alias("id"), F.explode(kept_ones).alias("x")).select("id", "x.start", F.col("x.b").cast("string").alias("fragment"))
+    return df.select(F.col(id_).alias("_id"), F.explode(kept_ones).alias("_x")).select(F.col("_id").alias("id"), "_x.start", F.col("_x.b").cast("string").alias("fragment"))
 
 
 def chop_fixed(df: DataFrame, id_: str, seq: str, length: int, passes: int = 1, overlap: int = 0, phase: str = "zero", seed: int = 42) -> DataFrame:
