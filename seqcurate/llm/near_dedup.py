@@ -325,9 +325,13 @@ def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame
     of_hub = same.select(F.col("rep").alias("hub"), F.col("component").alias("hub_component"))
     members = cut(members.join(of_hub, "hub", "left").withColumn("ours", F.coalesce(F.col("component") == F.col("hub_component"), F.lit(False))))
     members = cut(members.join(members.where("not ours").select("hub").distinct(), "hub", "left_semi"))
-    rows = cut(_differences(docs, members, k).select("hub", "hub_n", "rep", "n", "component", "ours", F.size("d").alias("d"), F.explode("d").alias("e")))
-    common = (F.col("n") + F.col("hub_n") - F.col("d")) / 2
-    new = rows.where(~F.col("ours") & (100 * common >= percent * (F.col("n") + F.col("hub_n") - common))).select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
+    apart = cut(_differences(docs, members, k).withColumn("size", F.size("d")))
+    common = (F.col("n") + F.col("hub_n") - F.col("size")) / 2
+    new = apart.where(~F.col("ours") & (100 * common >= percent * (F.col("n") + F.col("hub_n") - common))).select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
+    # two sets differ by the difference of their distances from the hub at least, so members too near to it for any set outside its component are done
+    bound = apart.where(~F.col("ours")).groupBy("hub").agg(F.min(F.col("size") - c * F.col("n")).alias("bound"))
+    apart = apart.join(bound, "hub").where(~F.col("ours") | (F.col("size") + c * F.col("n") + 1e-6 >= F.col("bound")))
+    rows = apart.select("hub", "hub_n", "rep", "n", "component", "ours", F.col("size").alias("d"), F.explode("d").alias("e"))
     links = links.unionByName(cut(new))
     often = rows.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("m"), F.count_if(~F.col("ours")).alias("outside")).where("m > 1 and outside > 0")
     left = F.row_number().over(Window.partitionBy("hub", "rep").orderBy(F.desc("m"), F.desc("e")))  # differences from here on, rarest first
