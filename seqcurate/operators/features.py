@@ -13,8 +13,6 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import metrics
-
 _CODE = np.full(256, 4, np.uint8)
 for _i, _pair in enumerate(("Aa", "Cc", "Gg", "Tt")):
     _CODE[[ord(c) for c in _pair]] = _i
@@ -244,16 +242,3 @@ def fit_tree(df: DataFrame, features: str, label: str, trees: int = 100, depth:
     rows = df.withColumn("_x", array_to_vector(features)).where(F.col(label).isNotNull())
     return RandomForestClassifier(featuresCol="_x", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed).fit(rows)
 
-
-def grid_search(train: DataFrame, test: DataFrame, features: str, label: str, grid: Sequence[Mapping], weight: str | None = None, collapsed_at: float = 0.95) -> DataFrame:
-    """A row for each distinct setting of the grid (steps, l2): mean_f1, accuracy, pred_share (of the most predicted class) and whether it collapsed."""
-    spark, rows = train.sparkSession, []
-    settings = {(int(g.get("steps", 50)), float(g.get("l2", 1e-4))) for g in grid}
-    classes = sorted(str(r[0]) for r in train.select(F.col(label).cast("int")).distinct().collect())
-    for steps, l2 in sorted(settings):
-        model = fit_heads(train, features, {"head": (label, F.lit(True))}, weight, steps, l2)["head"]
-        scored = model.transform(test.withColumn("_x", array_to_vector(features))).select(F.col(label).cast("int").cast("string").alias("truth"), F.col("head_prediction").cast("int").cast("string").alias("pred"))
-        per = metrics.class_metrics(metrics.confusion(scored, "truth", "pred", classes), classes).first()
-        share = metrics.pred_share(scored, "pred").first().share
-        rows.append((steps, l2, float(per.macro_f1), float(per.accuracy), float(share), share >= collapsed_at))
-    return spark.createDataFrame(rows, "steps int, l2 double, mean_f1 double, accuracy double, pred_share double, collapsed boolean")

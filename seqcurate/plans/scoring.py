@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import features, metrics, quota, sampling, score
+from ..operators import cascade, features, metrics, quota, sampling, score, select
 from ..operators.near import dedup_near
 from ..operators.order import kept
 from .functions import _scratch
@@ -84,8 +84,9 @@ def m05_fit_heads(spark, sf_dir):
 
 
 def m06_grid_search(spark, sf_dir):
-    e = _heads(spark, sf_dir)[0]
-    return features.grid_search(e.where("vec_id % 5 > 0"), e.where("vec_id % 5 = 0"), "x", "root", [{"steps": 5}, {"steps": 5}, {"steps": 5, "l2": 10.0}])
+    """Three architectures, one of them named twice, fitted on vectors that tell their labels; a fit, so no SQL."""
+    e = _heads(spark, sf_dir)[0].select("vec_id", "root", array_to_vector("x").alias("x"))
+    return cascade.grid_search(e.where("vec_id % 5 > 0"), e.where("vec_id % 5 = 0"), "root", 3, [{"steps": 20}, {"steps": 20}, {"hidden": (16,), "steps": 30}, {"hidden": (32, 16), "steps": 30}])
 
 
 def m07_tree_expert(spark, sf_dir):
@@ -103,6 +104,17 @@ def m08_cascade(spark, sf_dir):
     return one.join(two.select("record", "second"), "record").select("record", "fragments", score.cascade(F.col("first"), F.col("second"), 0.3, 0.4).alias("c")).select("record", "fragments", "c.first", "c.second")
 
 
+def m08_classify(spark, sf_dir):
+    """Documents in place of genomes, their language as the class: both stages fitted on some, saved, loaded, and all classified from their texts; a fit, so no SQL."""
+    of = lambda *names: F.element_at(F.create_map(*(F.lit(x) for pair in zip(("en", "de", "fr", "es"), names, strict=True) for x in pair)), F.col("lang"))
+    d, path = table(spark, sf_dir, "documents").where("length(text) >= 20"), _scratch(spark)
+    pieces = select.chop(d.where("doc_id % 4 > 0").withColumn("_i", F.struct(of("eukarya", "bacteria", "organelle", "archaea").alias("one"), of("unknown", "unknown", "plastid", "mitochondrion").alias("two"))), "_i", "text", 2000)
+    for stage, label, classes, k in ((1, "id.one", score.FIRST, 4), (2, "id.two", score.SECOND, 3)):
+        cascade.save_stage(cascade.fit_stage(pieces, "fragment", label, classes, k, 2000, (16,), 0.5, 40), f"{path}/{stage}")
+    out = cascade.classify(d, "doc_id", "text", *(cascade.load_stage(spark, f"{path}/{stage}") for stage in (1, 2)), min_len=100)
+    return out.select(F.col("id").alias("doc_id"), "bp", "fragments", "first", "second", F.round(F.array_max("first_probabilities"), 6).alias("probability"))
+
+
 def _decoded(df, root="root", **more):
     return score.hier_decode(F.col(root), {h: F.col(h) for h in ("euk", "prok", "organelle")}, {"root": 2.0, "euk": 0.5}, {"root": 0.4, "euk": 0.3, "prok": 0.6}, **more)
 
