@@ -334,21 +334,27 @@ def row_weights(df: DataFrame, root: str, leaf: str, branch: str, targets: Mappi
 
 
 def weighted_sample(df: DataFrame, weight: str, order: Sequence[str], draws: int, seed: int = 42, epoch: int = 0) -> DataFrame:
-    """df with `draws` in all dealt to the rows with replacement, as the column draws (rows without any are left out): draw i falls on the row in whose part of the whole weight, in the order,
-    the i-th of `draws` equal strata has its point, by the hash of seed, epoch and i. A row's number differs from its share of all draws by less than two.
+    """df with `draws` in all dealt to the rows with replacement, as the column draws (rows without any are left out). Draws are independent: each falls on a row with its part of the whole weight, by
+    52 bits of the hash of seed, epoch and its number, so the rows' numbers are multinomial, and reruns agree. `order` must tell rows apart; null and negative weights count as 0. An error without any weight.
 
-    Places are running sums over range partitions; each row counts its own points, so nothing is joined by range."""
-    total = df.agg(F.sum(weight)).first()[0] or 0.0
+    Rows lie one after the other from 0 to 1, each as long as its part, by running sums over range partitions. Draws, points of that line, are sorted among the rows' beginnings, and each takes the last one before
+    it, a running maximum; so neither a heavy row's draws nor all rows are one task's."""
+    clean = F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0))
+    total = df.agg(F.sum(clean)).first()[0] or 0.0
     if total <= 0:
         raise ValueError("the weights add up to nothing")
-    rows = running(df, [F.col(c) for c in order], {"_upto": F.col(weight).cast("double")})
-    point = lambda i: (i + md5_number(F.concat(F.lit(f"{seed}:{epoch}:"), i.cast("string"))) / float(1 << 32)) / draws
-    low, high = (F.col("_upto") - F.col(weight)) / total, F.col("_upto") / total
-    inside = lambda i: (point(i) >= low) & (point(i) < high)
-    a, b = F.greatest(F.lit(0), F.floor(low * draws)).cast("long"), F.least(F.lit(draws - 1), F.floor(high * draws)).cast("long")
-    # only the first and the last stratum can have their point outside the row's part
-    ends = inside(a).cast("long") + F.when(b > a, inside(b).cast("long")).otherwise(0)
-    return rows.withColumn("draws", ends + F.greatest(F.lit(0).cast("long"), b - a - 1)).where(F.col("draws") > 0).drop("_upto")
+    rows = running(df.withColumn("_w", clean).where("_w > 0").select("_w", *order), [F.col(c) for c in order], {"_upto": F.col("_w")})
+    starts = rows.select(((F.col("_upto") - F.col("_w")) / total).alias("_at"), F.lit(-1).cast("long").alias("_i"), F.struct("_upto", *order).alias("_row"))
+    token = F.concat(F.lit(f"{seed}:{epoch}:"), F.col("id").cast("string"))
+    point = F.conv(F.substr(F.md5(token.cast("binary")), F.lit(1), F.lit(13)), 16, 10).cast("double") / float(1 << 52)
+    points = df.sparkSession.range(draws).select(point.alias("_at"), F.col("id").alias("_i"), F.lit(None).cast(starts.schema["_row"].dataType).alias("_row"))
+    line = running(starts.unionByName(points), [F.col("_at"), F.col("_i"), F.col("_row")], {"_on": F.col("_row")}, largest=True)
+    counts = line.where("_i >= 0").groupBy("_on").agg(F.count(F.lit(1)).alias("draws"))
+    counts = counts.select("draws", *(F.col(f"_on.{c}").alias(f"_of_{c}") for c in order))
+    test = F.lit(True)
+    for c in order:
+        test &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return df.join(counts, test).select(*df.columns, "draws")
 
 
 def donor_index(df: DataFrame, columns: Sequence[str], ordinal: str) -> DataFrame:

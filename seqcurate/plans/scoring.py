@@ -468,7 +468,7 @@ SQL = {
         p as (select leaf, m, m / sum(m) over () as p, w / sum(w) over () as q from l), o as (select *, 1.5 * p as cap, 1.5 * p / q as brk from p), s as (select *, coalesce(sum(cap) over (order by brk, leaf rows between unbounded preceding and 1 preceding), 0) as filled, sum(q) over (order by brk, leaf rows between current row and unbounded following) as qs from o),
         lv as (select *, (1 - filled) / qs as lev from s), g as (select arg_min(lev, (brk, leaf)) filter (brk > lev) as lev from lv), e as (select leaf, m, least(cap, coalesce(g.lev * q, cap)) / sum(least(cap, coalesce(g.lev * q, cap))) over () as e from lv, g)
         select doc_id, round(1.0 / (select count(*) from r) * case when root = 'eukarya' then e / m else 1.0 / n end, 9) as weight from f join r using (root) left join e on root = 'eukarya' and e.leaf = f.leaf""",
-    "w26_weighted_sample": """with o as (select o_orderkey, (o_orderkey % 7 + 1)::double as w from orders), u as (select *, sum(w) over (order by o_orderkey) as hi, sum(w) over () as t from o), d as (select (i + ('0x' || substr(md5('42:0:' || i), 1, 8))::bigint / 4294967296.0::double) / 20000 as p from range(20000) t(i))
+    "w26_weighted_sample": """with o as (select o_orderkey, (o_orderkey % 7 + 1)::double as w from orders), u as (select *, sum(w) over (order by o_orderkey) as hi, sum(w) over () as t from o), d as (select ('0x' || substr(md5('42:0:' || i), 1, 13))::bigint / 4503599627370496.0::double as p from range(20000) t(i))
         select o_orderkey, w, count(*) as draws from d asof join (select o_orderkey, w, (hi - w) / t as lo from u) b on d.p >= b.lo group by all""",
     "w27_donor_index": """with c as (select o_custkey, row_number() over (order by min(o_orderkey)) - 1 as o_custkey_code from orders group by 1), p as (select o_orderpriority, row_number() over (order by min(o_orderkey)) - 1 as o_orderpriority_code from orders group by 1) select o_orderkey, o_custkey_code, o_orderpriority_code from orders join c using (o_custkey) join p using (o_orderpriority)""",
     "a02_estimated_census": """select l_returnflag, l_linestatus, (count(*) / 0.1::double)::bigint as records, (sum(l_quantity::bigint) / 0.1::double)::bigint as bp, round(avg(l_quantity::bigint), 6) as mean_bp from lineitem where ('0x' || substr(md5('42:' || l_orderkey), 1, 8))::bigint < 429496729 group by all""",

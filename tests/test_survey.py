@@ -196,13 +196,26 @@ def test_idf_model_checks(spark, tmp_path):
             features.load_idf(spark, str(tmp_path / "m"), *bad)
 
 
-def test_weighted_draws(spark):
+def test_weighted_sample_is_multinomial(spark):
+    """Counts and counts of pairs of epochs by chi-square; the sum is exact, reruns agree, a row with a third of the weight and rows without weight."""
     rng = random.Random(4)
-    w = [rng.random() * (i % 3) for i in range(300)]
-    df = spark.createDataFrame(list(enumerate(w)), "i int, w double")
-    got = {r.i: r.draws for r in sampling.weighted_sample(df, "w", ["i"], 5000).collect()}
-    assert sum(got.values()) == 5000 and all(abs(got.get(i, 0) - 5000 * x / sum(w)) < 2 for i, x in enumerate(w))
-    assert got != {r.i: r.draws for r in sampling.weighted_sample(df, "w", ["i"], 5000, epoch=1).collect()}
+    w = [rng.random() * (i % 3) for i in range(200)]
+    w[7] = sum(w) / 2
+    rows = [(i, x if i != 11 else None) for i, x in enumerate(w)]
+    w[11] = 0.0
+    df = spark.createDataFrame([*rows, (500, -1.0)], "i int, w double")
+    draw = lambda epoch: {r.i: r.draws for r in sampling.weighted_sample(df, "w", ["i"], 20_000, epoch=epoch).collect()}
+    one, two = draw(0), draw(1)
+    assert one == draw(0) != two and sum(one.values()) == sum(two.values()) == 20_000
+    live = [i for i, x in enumerate(w) if x > 0]
+    assert set(one) | set(two) <= set(live)
+    chi = sum((got.get(i, 0) - 20_000 * w[i] / sum(w)) ** 2 / (20_000 * w[i] / sum(w)) for got in (one, two) for i in live)
+    free = 2 * (len(live) - 1)
+    assert abs(chi - free) < 5 * math.sqrt(2 * free)  # systematic points would be far below
+    a, b = ([(g.get(i, 0) - 20_000 * w[i] / sum(w)) / math.sqrt(20_000 * w[i] / sum(w)) for i in live] for g in (one, two))
+    assert abs(sum(x * y for x, y in zip(a, b, strict=True))) < 5 * math.sqrt(len(live))  # epochs are independent
+    with pytest.raises(ValueError, match="nothing"):
+        sampling.weighted_sample(df.where("i = 11"), "w", ["i"], 5)
 
 
 def test_donor_caps(spark):
