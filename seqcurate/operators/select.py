@@ -151,6 +151,19 @@ def ancestors(nodes: DataFrame, max_depth: int = 200) -> DataFrame:
     return paths.groupBy("id", "ancestor").agg(F.min("depth").alias("depth"))
 
 
+def upward(nodes: DataFrame, asked: DataFrame, max_depth: int = 200) -> DataFrame:
+    """The rows of nodes (id, parent, ...) that are asked for (id) or above one that is, each once. Steps go up from the distinct nodes reached last, ever fewer, so the rest of the tree is never joined with
+    itself; a cycle ends when it comes round."""
+    known = nodes.select("id", "parent").where("id <> parent")
+    seen = last = kept(asked.select("id").distinct())
+    for _ in range(max_depth):
+        last = kept(known.join(last, "id", "left_semi").select(F.col("parent").alias("id")).distinct().join(seen, "id", "left_anti"))
+        if last.isEmpty():
+            break
+        seen = seen.unionByName(last)
+    return nodes.join(seen.distinct(), "id", "left_semi")
+
+
 def latest_status(log: DataFrame, entity: str, status: str, at: str, tie: str) -> DataFrame:
     """The last status of each entity."""
     return log.groupBy(entity).agg(F.max_by(status, F.struct(at, tie)).alias(status), F.max(at).alias(at))

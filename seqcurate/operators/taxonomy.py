@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import base_accession
 from ..functions.labels import CLADE_OF_SUPERGROUP, lookup, word
-from .select import ancestors
+from .order import kept
+from .select import ancestors, upward
 
 # Clades in the order in which they are tried, with the taxon of their root and their names in lineages.
 CLADES = (
@@ -62,6 +63,7 @@ def taxon_info(taxa: DataFrame, nodes: DataFrame, names: DataFrame, clades: Clad
     A taxon's ancestors are itself and those above it; the nearest of a rank counts. clade: of the first of `clades` whose root is among them, else `unknown`. Without a genus a taxon
     is a genus of its own (n<taxid>), so unrelated ones never merge; without a family the family is the genus. A taxon that the nodes lack is not ok and has no keys."""
     asked = taxa.select("taxid").distinct()
+    nodes = kept(upward(nodes, asked.select(F.col("taxid").alias("id"))))  # what is above the taxa; the closure of the whole tree would be some forty times its size
     chain = ancestors(nodes.select("id", "parent")).select(F.col("id").alias("taxid"), F.col("ancestor").alias("node"), "depth")
     chain = nodes.select(F.col("id").alias("taxid"), F.col("id").alias("node"), F.lit(0).alias("depth")).unionByName(chain).join(asked, "taxid", "left_semi")
     place = F.create_map(*(x for i, (_, root, _) in enumerate(clades) for x in (F.lit(root), F.lit(i))))

@@ -196,6 +196,12 @@ def test_idf_model_checks(spark, tmp_path):
             features.load_idf(spark, str(tmp_path / "m"), *bad)
 
 
+def test_only_what_is_above_is_looked_at(spark):
+    nodes = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, 3), (5, 1), (6, 5), (7, 8), (8, 7)], "id long, parent long")
+    up = lambda *ids: sorted(r.id for r in select.upward(nodes, spark.createDataFrame([(i,) for i in ids], "id long")).collect())
+    assert up(4) == [1, 2, 3, 4] and up(6, 3, 3) == [1, 2, 3, 5, 6] and up(7) == [7, 8] and up(99) == []
+
+
 def test_weighted_sample_is_multinomial(spark):
     """Counts and counts of pairs of epochs by chi-square; the sum is exact, reruns agree, a row with a third of the weight and rows without weight."""
     rng = random.Random(4)
