@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The words that metadata use for each class. They are compared whole, never as parts of a name.
@@ -246,6 +246,12 @@ def audit_labels(df: DataFrame, file_class: str, label: str, supergroup: str, to
     derived = class_from_meta(F.col(label), F.col(supergroup))
     rows = df.groupBy(F.col(file_class).alias("file_class"), F.col(label).alias("label"), F.col(supergroup).alias("supergroup"), derived.alias("derived")).agg(F.count(F.lit(1)).alias("n"))
     wrong = ~F.col("derived").eqNullSafe(F.col("file_class"))
-    pairs = F.struct((-F.col("n")).alias("n"), "supergroup", "label")
-    out = rows.groupBy("file_class").agg(F.sum("n").alias("records"), F.sum(F.when(wrong, F.col("n")).otherwise(0)).alias("mismatched"), F.sum(F.when(F.col("derived").isNull(), F.col("n")).otherwise(0)).alias("unknown"), F.slice(F.sort_array(F.collect_list(F.when(wrong, pairs))), 1, top).alias("worst"))
-    return out.withColumn("mismatch_rate", F.col("mismatched") / F.col("records"))
+    n = lambda test: F.sum(F.when(test, F.col("n")).otherwise(0))
+    out = rows.groupBy("file_class").agg(F.sum("n").alias("records"), n(wrong).alias("mismatched"), n(F.col("derived").isNull()).alias("unknown"))
+    # tasks keep their own first few before any class is sorted
+    place = F.row_number().over(Window.partitionBy("file_class").orderBy(F.desc("n"), "supergroup", "label"))
+    first = rows.where(wrong).withColumn("place", place).where(F.col("place") <= top)
+    worst = first.groupBy(F.col("file_class").alias("_class")).agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "supergroup", "label"))).alias("worst"))
+    none = F.array().cast(worst.schema["worst"].dataType)
+    out = out.join(worst, F.col("file_class").eqNullSafe(F.col("_class")), "left").drop("_class").withColumn("worst", F.coalesce("worst", none))
+    return out.select("file_class", "records", "mismatched", "unknown", "worst", (F.col("mismatched") / F.col("records")).alias("mismatch_rate"))
