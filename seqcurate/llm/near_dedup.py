@@ -15,10 +15,10 @@ from .components import components
 
 #: Of so many pairs at the threshold one shares no region of any tree; a region's size up to which all neighbours are candidates.
 MISS, REGION = 85_000, 16
+#: Rows of a region that are joined with what is known of the region in one part.
+SALT = 256
 #: Bits of a label, and pairs of one document that its set is sent to one task for.
 BITS, LOT = 60, 64
-#: Parts in which the rows of a large region are joined with what is known of the region.
-SALTS = 16
 #: Pairs that a rare difference (see settle) may make at once; beyond it, its documents are first compared with one of them.
 BUCKET = 1024
 #: Ids (of 8 bytes) that are broadcast to find their documents; if more are asked for, texts and ids are shuffled.
@@ -277,18 +277,19 @@ def _repeats(sets: DataFrame) -> bool:
 def deepen(docs: DataFrame, rows: DataFrame, found: DataFrame, percent: int, k: int) -> DataFrame:
     """The links of neighbours in those large regions that are not of one component (see found). rows: of large regions (see regions)."""
     rows = rows.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    open_ = rows.groupBy("tree", "label").agg(F.min("component").alias("one"), F.max("component").alias("other")).where("one <> other").select("tree", "label")
-    # a region's rows are joined in SALTS parts, so that one of very many documents is not one task's
-    salted = open_.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(salted, ["tree", "label", "salt"], "left_semi")
+    open_ = rows.groupBy("tree", "label").agg(F.min("component").alias("one"), F.max("component").alias("other"), F.max("m").alias("m")).where("one <> other").select("tree", "label", "m")
+    # a region's rows are joined in as many parts as its documents need, so that one of very many is not one task's
+    parts = lambda: F.ceil(F.col("m") / SALT).cast("int")
+    salted = open_.withColumn("salt", F.explode(F.sequence(F.lit(0), parts() - 1))).drop("m")
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), parts()).cast("int")).join(salted, ["tree", "label", "salt"], "left_semi")
     near = neighbours(rows, percent).withColumn("m", F.lit(1).cast("long"))
     return confirm(docs, _once(near), percent, k)
 
 
 def _differences(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
-    """members (hub, hub_n, rep, n, component, ours) with d, the sorted hashes of the shingles that only one of rep and hub has."""
+    """members (hub, hub_n, rep, n, component, ours, m; m: of the hub) with d, the sorted hashes of the shingles that only one of rep and hub has."""
     more = ["hub_n", "n", "component", "ours"]
-    pairs = members.select(F.col("hub").alias("x"), F.col("rep").alias("y"), *more, F.lit(LOT).alias("lots"))
+    pairs = members.select(F.col("hub").alias("x"), F.col("rep").alias("y"), *more, F.ceil(F.col("m") / LOT).cast("int").alias("lots"))
     judge = lambda x, y: np.setxor1d(x, y, assume_unique=True).view(np.int64)
     return _compare(docs, pairs, k, judge, more, "x long, y long, hub_n long, n long, component long, ours boolean, value array<long>").withColumnsRenamed({"x": "hub", "y": "rep", "value": "d"})
 
@@ -324,7 +325,8 @@ def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame
     members = _merge(large).join(same, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     of_hub = same.select(F.col("rep").alias("hub"), F.col("component").alias("hub_component"))
     members = cut(members.join(of_hub, "hub", "left").withColumn("ours", F.coalesce(F.col("component") == F.col("hub_component"), F.lit(False))))
-    members = cut(members.join(members.where("not ours").select("hub").distinct(), "hub", "left_semi"))
+    open_hubs = members.groupBy("hub").agg(F.count(F.lit(1)).alias("m"), F.count_if(~F.col("ours")).alias("outside")).where("outside > 0").select("hub", "m")
+    members = cut(members.join(open_hubs, "hub"))
     apart = cut(_differences(docs, members, k).withColumn("size", F.size("d")))
     common = (F.col("n") + F.col("hub_n") - F.col("size")) / 2
     new = apart.where(~F.col("ours") & (100 * common >= percent * (F.col("n") + F.col("hub_n") - common))).select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
@@ -346,7 +348,8 @@ def settle(docs: DataFrame, large: DataFrame, links: DataFrame, found: DataFrame
     crowded = cut(rows.where(F.col("pairs") > BUCKET))
     star = crowded.where("rep <> least").select(F.least("rep", "least").alias("a"), F.greatest("rep", "least").alias("b"), F.col("n").alias("na"), F.col("least_n").alias("nb")).where(_fits(percent)).select("a", "b")
     more = cut(_meet(rows.where(F.col("pairs") <= BUCKET), percent, c).unionByName(star).distinct())
-    lone = lambda pairs: pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), F.lit(LOT * 16).cast("long").alias("m"))
+    per = lambda pairs: pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m"))
+    lone = lambda pairs: pairs.join(per(pairs), "a").select(F.col("a").alias("x"), F.col("b").alias("y"), "m")
     links = cut(links.unionByName(confirm(docs, lone(more), percent, k)))
     found = components(links)
     if crowded.isEmpty():
