@@ -238,3 +238,16 @@ def test_near_words_over_range_partitions(spark):
     near = {(a, b) for g, ws in gaps.items() for a in ws for b in ws if a != b and ("_" in g or g in (a, b))}
     assert found == sorted(near)
     assert spelling.trie_nodes(spark.createDataFrame([], "word string, n long"), F.col("word")).count() == 0
+
+
+def test_operators_on_empty_tables(spark):
+    """No rows in, no rows out, with the columns there."""
+    from seqcurate.llm.prefix_forest import approximate_top_k
+    from seqcurate.llm.token_counts import token_counts
+
+    docs = spark.createDataFrame([], DOCS)
+    counts = token_counts(docs.select("doc_id", "text"))
+    assert counts.count() == 0 and {"doc_id", "n_bytes", "n_words", "n_tokens"} <= set(counts.columns)
+    vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    found = approximate_top_k(vectors, F.col("vec_id") % 20 == 0)
+    assert found.count() == 0 and found.columns == ["query_id", "rank", "vec_id", "score"]
