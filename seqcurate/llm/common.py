@@ -8,7 +8,7 @@ import tempfile
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but the six ASCII white-space characters.
@@ -47,6 +47,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def cut_counted(df: DataFrame, **values: Column) -> tuple[DataFrame, dict]:
+    """cut(df), and aggregates over its rows that are taken while these are written, without a further pass."""
+    seen = Observation()
+    return cut(df.observe(seen, *(v.alias(k) for k, v in values.items()))), seen.get
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the offset at which each text begins (one more at the end); null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, mix, pieces, utf8
+from .common import cut, cut_counted, mix, pieces, utf8
 from .components import components
 from .near_dedup import _fits, _once, confirm, settle, shingle_sets
 
@@ -199,9 +199,10 @@ def _sets_of(docs: DataFrame, classes: DataFrame, k: int) -> Callable[[DataFrame
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(prints[:, 0]), pa.array(prints[:, 1]), pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "f1", "f2", "s"])
 
     def sets(asked: DataFrame, few: bool) -> DataFrame:
+        asked, named = asked.withColumnRenamed("doc_id", "cls"), classes.select("cls", "rep", "f1", "f2")
         some = F.broadcast if few else (lambda df: df)
-        wanted = cut(asked.withColumnRenamed("doc_id", "cls").join(classes.select("cls", "rep", "f1", "f2"), "cls"))
-        texts = docs.join(some(wanted.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi")
+        wanted = named.join(F.broadcast(asked), "cls", "left_semi") if few else cut(named.join(asked, "cls", "left_semi"))
+        texts = docs.join(some(wanted.select(F.col("rep").alias("doc_id"))), "doc_id", "left_semi")
         found = texts.mapInArrow(run, "rep long, f1 long, f2 long, s binary").join(some(wanted), ["rep", "f1", "f2"])
         return found.select(F.col("cls").alias("doc_id"), "s").dropDuplicates(["doc_id"])
 
@@ -234,11 +235,11 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     if hot:
         repeated = repeated.unionByName(_hot_rows(known.select("text"), hot, k))
     pairs, large = candidates(prefixes(repeated, classes.select("cls", "f1", "n", "copies"), percent), percent)
-    large, sets = cut(large), _sets_of(known, classes, k)
+    (large, groups), sets = cut_counted(large, n=F.count(F.lit(1))), _sets_of(known, classes, k)
     links = cut(confirm(sets, pairs, percent, k))
-    found = components(links)
-    if not large.isEmpty():
-        found = settle(sets, large, links, found, percent, k)
+    found = components(links, roots=False)
+    if groups["n"]:
+        found = settle(sets, large, links.where(F.lit(False)), found, percent, k)
     linked = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("n_links"))
     reached = cut(classes.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls")))
     least = reached.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("sets"))
