@@ -256,12 +256,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sets = cut(_sets(known, k, percent))
     classes = sets.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels"))
     classes = cut(classes)
-    rows = cut(regions(classes, percent))
+    rows, seen = cut_counted(regions(classes, percent), large=F.count_if(F.col("m") > REGION))
     texts = known.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(sets) else known
     links = cut(confirm(texts, candidates(rows, percent), percent, k))
     found = components(links, roots=False)
     rows = rows.where(F.col("m") > REGION)
-    if not rows.isEmpty():
+    if seen["large"]:
         links = cut(deepen(texts, rows, found, percent, k))
         found = settle(texts, cut(rows.where("rep <> hub").select("hub", "hub_n", "rep", "n").distinct()), links, found, percent, k)
     member = classes.select("f1", "f2", "n", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", "n", F.coalesce("component", "rep").alias("component"))

@@ -9,6 +9,7 @@ import pytest
 
 from seqcurate.llm import components as parts
 from seqcurate.llm.jaccard_join import jaccard_join
+from seqcurate.llm.near_dedup import near_duplicates
 
 
 def reach(links):
@@ -89,7 +90,7 @@ def _linked(texts, percent):
     return {x: x for x in range(len(texts))} | reach(links)
 
 
-@pytest.mark.parametrize(("operator", "most"), [(jaccard_join, 235)])
+@pytest.mark.parametrize(("operator", "most"), [(jaccard_join, 235), (near_duplicates, 200)])
 def test_near_copies_in_few_stages(uncoalesced, operator, most):
     texts, docs = _family(uncoalesced)
     rows, count = stages(uncoalesced, lambda: operator(docs, percent=80).collect())
